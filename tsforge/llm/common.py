@@ -14,6 +14,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows per Arrow batch; texts can be long, so batches stay small.
 BATCH_ROWS = 1000
+BATCH_BYTES = "16m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,7 @@ def text_of(name: str = "text") -> Column:
 
 def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
 def partitions(spark: SparkSession) -> int:

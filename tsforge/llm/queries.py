@@ -4,23 +4,38 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tsforge.llm import exact_dedup, simhash
+from tsforge.llm import bpe, exact_dedup, media, simhash, token_files
 from tsforge.llm.common import table
 
 
+def op1_byte_bpe(spark, sf_dir):
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op2_exact_dedup(spark, sf_dir):
     found = exact_dedup.classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op3_token_files(spark, sf_dir):
+    return token_files.read_index(token_files.write(table(spark, sf_dir, "documents")))
+
+
 def op7_simhash_near_dedup(spark, sf_dir):
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_media_columns(spark, sf_dir):
+    return media.payload_features(media.store_texts(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
+    "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_token_files": op3_token_files,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op10_media_columns": op10_media_columns,
 }
 
 ORACLE_SQL = {
