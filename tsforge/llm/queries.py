@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tsforge.llm import bpe, exact_dedup, media, simhash, token_files
+from tsforge.llm import bpe, exact_dedup, media, mixing, quality, simhash, token_files
 from tsforge.llm.common import table
 
 
@@ -21,11 +21,20 @@ def op3_token_files(spark, sf_dir):
     return token_files.read_index(token_files.write(table(spark, sf_dir, "documents")))
 
 
+def op4_quality_classifier(spark, sf_dir):
+    stats = quality.described(table(spark, sf_dir, "documents"))
+    return quality.score(stats, quality.fit(stats, table(spark, sf_dir, "labels")))
+
+
 def op7_simhash_near_dedup(spark, sf_dir):
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op8_source_mixing(spark, sf_dir):
+    return mixing.Mix(table(spark, sf_dir, "documents")).taken().select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op10_media_columns(spark, sf_dir):
     return media.payload_features(media.store_texts(table(spark, sf_dir, "documents")))
 
@@ -34,7 +43,9 @@ QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_files": op3_token_files,
+    "op4_quality_classifier": op4_quality_classifier,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_source_mixing": op8_source_mixing,
     "op10_media_columns": op10_media_columns,
 }
 

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from tsforge.llm import queries
 
-QUERIES = dict(queries.QUERIES)
+QUERIES = {**queries.QUERIES, "pipeline": corpus_pipeline.run}
 ORACLE_SQL = dict(queries.ORACLE_SQL)
+if corpus_pipeline.ORACLE_SQL:
+    ORACLE_SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
