@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tsforge.llm import bpe, exact_dedup, media, mixing, quality, simhash, token_files
+from tsforge.llm import bpe, exact_dedup, html_text, line_dedup, media, mixing, quality, simhash, substring_dedup, token_files
 from tsforge.llm.common import table
 
 
@@ -26,6 +26,16 @@ def op4_quality_classifier(spark, sf_dir):
     return quality.score(stats, quality.fit(stats, table(spark, sf_dir, "labels")))
 
 
+def op5_substring_dedup(spark, sf_dir):
+    found = substring_dedup.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op6_line_dedup(spark, sf_dir):
+    found = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_deleted", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_simhash_near_dedup(spark, sf_dir):
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -35,6 +45,10 @@ def op8_source_mixing(spark, sf_dir):
     return mixing.Mix(table(spark, sf_dir, "documents")).taken().select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op9_html_extraction(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_media_columns(spark, sf_dir):
     return media.payload_features(media.store_texts(table(spark, sf_dir, "documents")))
 
@@ -44,8 +58,11 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_token_files": op3_token_files,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_line_dedup": op6_line_dedup,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_source_mixing": op8_source_mixing,
+    "op9_html_extraction": op9_html_extraction,
     "op10_media_columns": op10_media_columns,
 }
 
@@ -55,4 +72,24 @@ ORACLE_SQL = {
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))
     """,
+    "op5_substring_dedup": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+             p AS (SELECT doc_id, ws, unnest(range(len(ws) - 12)) AS i FROM w WHERE len(ws) >= 13),
+             g AS (SELECT doc_id, i, doc_id > min(doc_id) OVER (PARTITION BY md5(array_to_string(ws[i + 1:i + 13], ' '))) AS again FROM p),
+             c AS (SELECT DISTINCT doc_id, i + k AS pos FROM g, range(13) AS r(k) WHERE again),
+             e AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS pos FROM w),
+             k AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS kept, count(*) AS n FROM e ANTI JOIN c USING (doc_id, pos) GROUP BY doc_id)
+        SELECT doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN k USING (doc_id)
+    """,
+    "op6_line_dedup": r"""
+        WITH w AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+             p AS (SELECT doc_id, ls, unnest(range(len(ls) - 2)) AS i FROM w WHERE len(ls) >= 3),
+             g AS (SELECT doc_id, i, row_number() OVER (PARTITION BY md5(array_to_string(ls[i + 1:i + 3], chr(10))) ORDER BY doc_id, i) > 1 AS again FROM p),
+             c AS (SELECT DISTINCT doc_id, i + k AS pos FROM g, range(3) AS r(k) WHERE again),
+             e AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM w),
+             k AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS kept, count(*) AS n FROM e ANTI JOIN c USING (doc_id, pos) GROUP BY doc_id)
+        SELECT doc_id, len(ls) AS n_lines, len(ls) - coalesce(n, 0) AS n_deleted, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN k USING (doc_id)
+    """,
 }
