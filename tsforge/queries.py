@@ -1,4 +1,590 @@
-"""The registered query set of the engine."""
+"""The registered queries of the engine, and the SQL that says the same.
+
+Facts are derived from the ``events`` table (one value each, with markers, NaN,
+nulls and missing identities at fixed ids) and from ``lineitem`` (five typed
+fields). Each query is an operator of the engine over those facts.
+"""
+
+from __future__ import annotations
+
+from datetime import UTC, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tsforge import schema
+from tsforge.functions import identity, times
+from tsforge.functions.globs import matches
+from tsforge.operators import catalog, ingest, inventory
+from tsforge.operators.selection import Selection
+from tsforge.plans import level1, qc
+from tsforge.plans.qc_config import Rules
+from tsforge.sources import line_protocol
 
 QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None):
+    """Registers a query under its function's name with its SQL."""
+
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# ---------------------------------------------------------------- derived facts
+
+START_NS = times.to_ns(datetime(2024, 1, 1, tzinfo=UTC))
+END_NS = times.to_ns(datetime(2024, 1, 21, tzinfo=UTC))
+
+_EV = """ev0 AS (
+    SELECT event_id, user_id, props, event_type, epoch_us(ts) * 1000 + event_id % 1000 AS time_ns, 'evt.' || event_type AS measurement, 'value' AS field, 'float64' AS value_type,
+           CASE WHEN event_id % 83 = 0 THEN NULL ELSE event_type END AS sensor, CASE WHEN event_id % 89 = 0 THEN NULL ELSE 'W' || lpad((user_id % 64)::VARCHAR, 3, '0') END AS vsn,
+           CASE WHEN user_id % 3 = 0 THEN NULL WHEN user_id % 2 = 0 THEN 'core' ELSE 'shield roof' END AS zone,
+           CASE WHEN event_id % 97 = 0 THEN -9999.9 WHEN event_id % 101 = 0 THEN 'NaN'::DOUBLE WHEN event_id % 103 = 0 THEN NULL ELSE value END AS value
+    FROM events),
+ev1 AS (SELECT *, '{"measurement":"' || measurement || '","tags":{' || concat_ws(',', '"sensor":"' || sensor || '"', '"vsn":"' || vsn || '"', '"zone":"' || zone || '"') || '}}' AS series_json,
+        coalesce(vsn, 'unknown-vsn') AS known_vsn, coalesce(sensor, 'evt') AS kind, coalesce(zone, 'unknown-zone') AS known_zone FROM ev0),
+ev AS (SELECT *, substr(sha256(series_json), 1, 32) AS series_id,
+        known_vsn || '--' || lower(kind) || '--' || lower(replace(known_zone, ' ', '-')) || '--' || substr(sha256('{"device": "unknown-device", "kind": "' || kind || '", "vsn": "' || known_vsn || '", "zone": "' || known_zone || '"}'), 1, 12) AS instrument_id,
+        'vsn+' || CASE WHEN sensor IS NULL THEN 'measurement' ELSE 'sensor' END AS identity_source,
+        CASE WHEN sensor IS NULL OR vsn IS NULL THEN 'low' ELSE 'high' END AS confidence,
+        strftime(make_timestamp(time_ns // 1000), '%Y-%m-%d') AS day FROM ev1)"""
+
+
+def sql(body: str, *more: str) -> str:
+    return f"WITH {', '.join([_EV, *more])} {body}"
+
+
+def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Facts of ``events`` before their series are named: with tags, value and user columns."""
+    e = _read(spark, sf_dir, "events")
+    # events.ts has no time zone; the difference does not depend on the session's
+    micros = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts"))
+    n = F.col("event_id")
+    value = F.when(n % 97 == 0, -9999.9).when(n % 101 == 0, float("nan")).when(n % 103 == 0, None).otherwise(F.col("value"))
+    sensor = F.when(n % 83 != 0, F.col("event_type"))
+    vsn = F.when(n % 89 != 0, F.concat(F.lit("W"), F.lpad((F.col("user_id") % 64).cast("string"), 3, "0")))
+    zone = F.when(F.col("user_id") % 3 == 0, None).when(F.col("user_id") % 2 == 0, "core").otherwise("shield roof")
+    tags = F.map_filter(F.create_map(F.lit("node"), F.concat(F.lit("n"), F.col("user_id").cast("string")), F.lit("sensor"), sensor, F.lit("vsn"), vsn, F.lit("zone"), zone), lambda _, v: v.isNotNull())
+    return e.select("event_id", "user_id", "props", "event_type", (micros * 1000 + n % 1000).alias("time_ns"), F.concat(F.lit("evt."), F.col("event_type")).alias("measurement"), F.lit("value").alias("field"), F.lit("float64").alias("value_type"), sensor.alias("sensor"), vsn.alias("vsn"), zone.alias("zone"), tags.alias("tags"), value.alias("value"))
+
+
+def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their series' and instruments' identities (JVM-side: these tags are ASCII)."""
+    m, tags = F.col("measurement"), F.col("tags")
+    named = events(spark, sf_dir).withColumns({"series_id": identity.series_id(m, tags), "instrument": identity.instrument(m, tags)})
+    return named.withColumns({"instrument_id": F.col("instrument.instrument_id"), "identity_source": F.col("instrument.source"), "confidence": F.col("instrument.confidence"), "day": F.date_format(times.date_of(F.col("time_ns")), "yyyy-MM-dd")})
+
+
+def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records of line protocol made of ``events``, with escapes and quoted newlines."""
+    esc = lambda c: F.regexp_replace(c, r"([,= ])", r"\\$1")
+    e = events(spark, sf_dir).filter("value is not null and not isnan(value)")
+    tag = lambda k: F.when(F.col(k).isNotNull(), F.concat(F.lit(f",{k}="), esc(F.col(k)))).otherwise("")
+    text = F.concat(F.lit('"'), F.regexp_replace(F.concat(F.col("props"), F.lit("\nend")), r'(["\\])', r"\\$1"), F.lit('"'))
+    fields = F.concat(F.lit("value="), F.col("value").cast("string"), F.lit(",event\\ id="), F.col("event_id").cast("string"), F.lit("i,user="), F.col("user_id").cast("string"), F.lit("u,even="), F.when(F.col("event_id") % 2 == 0, "true").otherwise("false"), F.lit(",props="), text)
+    return e.select(F.concat(F.col("measurement"), F.lit(",node=n1"), tag("sensor"), tag("vsn"), tag("zone"), F.lit(" "), fields, F.lit(" "), F.col("time_ns").cast("string")).alias("record"))
+
+
+def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five typed fields of each line item, unpivoted in one pass."""
+    li = _read(spark, sf_dir, "lineitem")
+    row = lambda name, kind, value: F.struct(F.lit(name).alias("field"), F.lit(kind).alias("value_type"), *[(value.cast(t) if k == kind else F.lit(None).cast(t)).alias(f"value_{k}") for k, t in schema.VALUE_COLUMNS.items()])
+    rows = F.array(row("quantity", "int64", F.col("l_quantity")), row("extendedprice", "float64", F.col("l_extendedprice")), row("orderkey", "uint64", F.col("l_orderkey")), row("open", "bool", F.col("l_linestatus") == "O"), row("returnflag", "string", F.col("l_returnflag")))
+    return li.select("l_orderkey", F.inline(rows))
+
+
+# ---------------------------------------------------------------- quality rules
+
+RULES = Rules.from_document(
+    {
+        "schema_version": 1,
+        "flags": {"missing_value": {"bit": 0}, "missing_sample": {"bit": 1}, "physical_range": {"bit": 2}, "instrument_range": {"bit": 3}, "top": {"bit": 63}},
+        "profiles": {
+            "events": {
+                "variables": {
+                    kind: {
+                        "column": "value",
+                        "where": {"measurement": f"evt.{kind}", "field": "value"},
+                        "missing_values": [-9999.9],
+                        "checks": [
+                            {"id": f"{kind}_missing", "method": "col_vals_not_null", "flag": "missing_value"},
+                            {"id": f"{kind}_physical", "method": "col_vals_between", "flag": "physical_range", "args": {"left": 0.5, "right": 200}},
+                            {"id": f"{kind}_instrument", "method": "col_vals_between", "flag": "instrument_range", "args": {"left": 1, "right": 100, "inclusive": [False, True]}, "thresholds": {"warning": 0.01, "error": 0.5}},
+                            {"id": f"{kind}_top", "method": "col_vals_between", "flag": "top", "args": {"left": 0, "right": 50}},
+                        ],
+                    }
+                    for kind in ("click", "error", "view", "absent")
+                }
+            }
+        },
+    }
+)
+PROFILE = RULES.profiles["events"]
+KEYS = ("time_ns", "series_id")
+
+_OBS = """obs AS (SELECT time_ns, series_id, sensor, vsn, event_id, day, event_type AS variable, CASE WHEN isnan(value) OR value = -9999.9 THEN NULL ELSE value END AS v
+    FROM ev WHERE event_type IN ('click', 'error', 'view'))"""
+_CHECKS = """checks(variable, suffix, flag_name, bit) AS (SELECT v, s, f, b FROM (VALUES ('click'), ('error'), ('view'), ('absent')) AS x(v),
+    (VALUES ('_missing', 'missing_value', 0), ('_physical', 'physical_range', 2), ('_instrument', 'instrument_range', 3), ('_top', 'top', 63)) AS y(s, f, b))"""
+_FAILED = "CASE bit WHEN 0 THEN v IS NULL WHEN 2 THEN coalesce(NOT (v >= 0.5 AND v <= 200), false) WHEN 3 THEN coalesce(NOT (v > 1 AND v <= 100), false) ELSE coalesce(NOT (v >= 0 AND v <= 50), false) END"
+_FIND = f"find AS (SELECT obs.*, variable || suffix AS check_id, flag_name, bit FROM obs JOIN checks USING (variable) WHERE {_FAILED})"
+_MASKS = "masks AS (SELECT time_ns, series_id, variable, bit_or(1::UBIGINT << bit) AS bits FROM find GROUP BY ALL)"
+
+
+def observations(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    return qc.normalize(qc.select(facts(spark, sf_dir), PROFILE), PROFILE, KEYS, "sensor", "vsn", "event_id", "day", *more)
+
+
+def _flagged(spark, sf_dir):
+    seen = observations(spark, sf_dir)
+    return qc.attach_masks(seen, qc.compile_masks(qc.findings(seen, PROFILE, RULES), KEYS), KEYS)
+
+
+@query(sql("SELECT sensor, vsn, coalesce(bits, 0)::VARCHAR AS qc_bits, count(*) AS n, min(time_ns) AS first_ns FROM obs LEFT JOIN masks USING (time_ns, series_id, variable) GROUP BY ALL", _OBS, _CHECKS, _FIND, _MASKS))
+def qc_histogram(spark, sf_dir):
+    """Masks attached to observations and counted: the whole of quality control."""
+    return _flagged(spark, sf_dir).groupBy("sensor", "vsn", F.col("qc_bits").cast("string").alias("qc_bits")).agg(F.count("*").alias("n"), F.min("time_ns").alias("first_ns"))
+
+
+@query(sql("SELECT event_id, variable, v AS observed_value FROM obs", _OBS))
+def normalize_observations(spark, sf_dir):
+    return observations(spark, sf_dir).select("event_id", "variable", "observed_value")
+
+
+@query("SELECT p_partkey, CASE WHEN p_brand IN ('Brand#11', 'Brand#22', '') THEN NULL ELSE p_brand END AS brand, CASE WHEN p_type IN ('STEEL') THEN NULL ELSE p_type END AS type FROM part")
+def normalize_strings(spark, sf_dir):
+    p = _read(spark, sf_dir, "part")
+    return p.select("p_partkey", qc.text_or_null(F.col("p_brand"), ("Brand#11", "Brand#22", "")).alias("brand"), qc.text_or_null(F.col("p_type"), ("STEEL",)).alias("type"))
+
+
+def _one_check(spark, sf_dir, suffix):
+    found = qc.findings(observations(spark, sf_dir), PROFILE, RULES)
+    return found.filter(F.col("check_id").endswith(suffix)).select("event_id", "check_id", "observed_value")
+
+
+def _one_sql(bit):
+    return sql(f"SELECT event_id, check_id, v AS observed_value FROM find WHERE bit = {bit}", _OBS, _CHECKS, _FIND)
+
+
+@query(_one_sql(0))
+def check_not_null(spark, sf_dir):
+    return _one_check(spark, sf_dir, "_missing")
+
+
+@query(_one_sql(2))
+def check_between(spark, sf_dir):
+    return _one_check(spark, sf_dir, "_physical")
+
+
+@query(_one_sql(3))
+def check_between_exclusive(spark, sf_dir):
+    return _one_check(spark, sf_dir, "_instrument")
+
+
+@query(sql("SELECT event_id, variable, check_id, bit, v AS observed_value, 'r1' AS run_id, 'u1' AS work_unit_id FROM find", _OBS, _CHECKS, _FIND))
+def findings(spark, sf_dir):
+    return qc.findings(observations(spark, sf_dir), PROFILE, RULES, "r1", "u1").select("event_id", "variable", "check_id", "bit", "observed_value", "run_id", "work_unit_id")
+
+
+_RESULTS = f"""results AS (SELECT {{day}} variable || suffix AS check_id, variable, flag_name, bit, count(time_ns) AS units_tested, coalesce(sum(CASE WHEN time_ns IS NOT NULL AND {_FAILED} THEN 1 ELSE 0 END), 0)::BIGINT AS units_failed
+    FROM {{left}} LEFT JOIN obs USING ({{using}}) GROUP BY ALL)"""
+_LEVELS = "units_tested - units_failed AS units_passed, CASE WHEN units_tested > 0 THEN units_failed / units_tested ELSE 0.0 END AS fraction_failed, units_tested > 0 AND bit = 3 AND units_failed / units_tested >= 0.01 AS warning, units_tested > 0 AND bit = 3 AND units_failed / units_tested >= 0.5 AS error"
+
+
+@query(sql(f"SELECT *, {_LEVELS} FROM results", _OBS, _CHECKS, _RESULTS.format(day="", left="checks", using="variable")))
+def check_results(spark, sf_dir):
+    found = qc.check_results(observations(spark, sf_dir), PROFILE, RULES)
+    return found.select("check_id", "variable", "flag_name", "bit", "units_tested", "units_failed", "units_passed", "fraction_failed", "warning", "error")
+
+
+_BY_DAY = _RESULTS.format(day="day,", left="(SELECT * FROM checks, (SELECT DISTINCT day FROM obs))", using="variable, day")
+
+
+@query(sql("""SELECT variable, check_id, flag_name, bit, sum(units_tested)::BIGINT AS units_tested, sum(units_tested - units_failed)::BIGINT AS units_passed, sum(units_failed)::BIGINT AS units_failed,
+    CASE WHEN sum(units_tested) > 0 THEN sum(units_failed) / sum(units_tested) ELSE 0.0 END AS fraction_failed FROM results GROUP BY variable, check_id, flag_name, bit""", _OBS, _CHECKS, _BY_DAY))
+def run_report(spark, sf_dir):
+    """Check results of each day, summed over the days."""
+    return qc.report(qc.check_results(observations(spark, sf_dir), PROFILE, RULES, "day"))
+
+
+@query(sql("SELECT (SELECT count(*) FROM obs) AS rows_processed, (SELECT count(*) FROM find) AS findings, (SELECT count(DISTINCT day) FROM obs) AS periods", _OBS, _CHECKS, _FIND))
+def run_totals(spark, sf_dir):
+    seen = observations(spark, sf_dir)
+    a = seen.groupBy("day").agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows_processed"), F.count("*").alias("periods"))
+    b = qc.findings(seen, PROFILE, RULES).agg(F.count("*").alias("findings"))
+    return a.withColumn("k", F.lit(0)).join(b.withColumn("k", F.lit(0)), "k").select("rows_processed", "findings", "periods")
+
+
+@query(sql("SELECT time_ns, series_id, variable, CASE WHEN bits >= 9223372036854775808 THEN (bits::HUGEINT - 18446744073709551616)::BIGINT ELSE bits::BIGINT END AS mask FROM masks", _OBS, _CHECKS, _FIND, _MASKS))
+def qc_bits(spark, sf_dir):
+    return qc.compile_masks(qc.findings(observations(spark, sf_dir), PROFILE, RULES), KEYS).select("time_ns", "series_id", "variable", "mask")
+
+
+@query(sql("SELECT time_ns, series_id, variable, bits::VARCHAR AS qc_bits FROM masks", _OBS, _CHECKS, _FIND, _MASKS))
+def qc_bits_u64(spark, sf_dir):
+    return qc.compile_masks(qc.findings(observations(spark, sf_dir), PROFILE, RULES), KEYS).select("time_ns", "series_id", "variable", F.col("qc_bits").cast("string").alias("qc_bits"))
+
+
+@query(sql("SELECT event_id, variable, v AS observed_value, coalesce(bits, 0)::VARCHAR AS qc_bits FROM obs LEFT JOIN masks USING (time_ns, series_id, variable)", _OBS, _CHECKS, _FIND, _MASKS))
+def flag_attach(spark, sf_dir):
+    return _flagged(spark, sf_dir).select("event_id", "variable", "observed_value", F.col("qc_bits").cast("string").alias("qc_bits"))
+
+
+@query(sql("""SELECT variable, first_second, end_second, 'PT' || (end_second - first_second)::VARCHAR || 'S' AS duration FROM
+    (SELECT variable, min(time_ns) // 1000000000 AS first_second, max(time_ns) // 1000000000 + 1 AS end_second FROM obs GROUP BY variable)""", _OBS))
+def coverage_attributes(spark, sf_dir):
+    return level1.coverage(observations(spark, sf_dir), "variable")
+
+
+@query(sql("SELECT variable, CASE variable WHEN 'click' THEN 0 WHEN 'error' THEN 1 ELSE 2 END AS variable_code, count(*) AS n FROM obs GROUP BY ALL", _OBS))
+def variable_codes(spark, sf_dir):
+    return level1.with_codes(observations(spark, sf_dir), level1.variable_codes(PROFILE)).groupBy("variable", "variable_code").agg(F.count("*").alias("n"))
+
+
+# ---------------------------------------------------------------- line protocol and typed values
+
+
+@query(sql("""SELECT measurement, sensor, vsn, zone, time_ns, value, event_id AS "event id", user_id::VARCHAR AS "user", event_id % 2 = 0 AS even, props || chr(10) || 'end' AS props FROM ev WHERE value IS NOT NULL AND NOT isnan(value)"""))
+def lp_roundtrip(spark, sf_dir):
+    """Events written as line protocol and read again."""
+    points = line_protocol.decode(lines(spark, sf_dir))
+    tag = lambda k: F.try_element_at("tags", F.lit(k))
+    one = lambda field, c, out: F.max(F.when(F.col("field") == field, F.col(c))).alias(out)
+    rows = points.groupBy("measurement", tag("sensor").alias("sensor"), tag("vsn").alias("vsn"), tag("zone").alias("zone"), "time_ns")
+    return rows.agg(one("value", "value_float64", "value"), one("event id", "value_int64", "event id"), one("user", "value_uint64", "u"), one("even", "value_bool", "even"), one("props", "value_string", "props")).withColumn("user", F.col("u").cast("string")).drop("u")
+
+
+@query(sql("""SELECT f AS field, t AS value_type, count(*) AS n FROM ev, (VALUES ('value', 'float64'), ('event id', 'int64'), ('user', 'uint64'), ('even', 'bool'), ('props', 'string')) AS x(f, t)
+    WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY ALL"""))
+def lp_field_types(spark, sf_dir):
+    points = line_protocol.decode(lines(spark, sf_dir))
+    return points.filter(schema.filled() == 1).groupBy("field", "value_type").agg(F.count("*").alias("n"))
+
+
+_LI = """li AS (SELECT 'quantity' AS field, 'int64' AS value_type, l_quantity::BIGINT::DOUBLE AS number, NULL AS string FROM lineitem UNION ALL SELECT 'extendedprice', 'float64', l_extendedprice, NULL FROM lineitem
+    UNION ALL SELECT 'orderkey', 'uint64', l_orderkey::DOUBLE, NULL FROM lineitem UNION ALL SELECT 'open', 'bool', (l_linestatus = 'O')::INT::DOUBLE, NULL FROM lineitem UNION ALL SELECT 'returnflag', 'string', NULL, l_returnflag FROM lineitem)"""
+
+
+@query(f"WITH {_LI} SELECT field, value_type, count(*) AS n, min(number) AS low, max(number) AS high, min(string) AS first, max(string) AS last FROM li GROUP BY ALL")
+def lp_typed_fields(spark, sf_dir):
+    rows = typed(spark, sf_dir)
+    number = F.coalesce(F.col("value_float64"), F.col("value_int64").cast("double"), F.col("value_uint64").cast("double"), F.col("value_bool").cast("int").cast("double"))
+    return rows.groupBy("field", "value_type").agg(F.count("*").alias("n"), F.min(number).alias("low"), F.max(number).alias("high"), F.min("value_string").alias("first"), F.max("value_string").alias("last"))
+
+
+@query("SELECT count(*) * 5 AS n, 0::BIGINT AS broken, count(*) AS float64, count(*) AS int64, count(*) AS uint64, count(*) AS bool, count(*) AS string FROM lineitem")
+def facts_unpivot(spark, sf_dir):
+    """One value column is filled in every row."""
+    return typed(spark, sf_dir).agg(F.count("*").alias("n"), F.sum((schema.filled() != 1).cast("long")).alias("broken"), *[F.count(f"value_{k}").alias(k) for k in schema.VALUE_TYPES])
+
+
+@query("SELECT p_partkey, 'float64' AS value_type, try_cast(p_retailprice::VARCHAR AS DOUBLE) AS value_float64 FROM part")
+def typed_parse(spark, sf_dir):
+    p = _read(spark, sf_dir, "part").select("p_partkey", F.lit("float64").alias("value_type"), F.col("p_retailprice").cast("string").alias("text"))
+    return p.select("p_partkey", "value_type", schema.typed_values("value_type", "text")[0])
+
+
+# ---------------------------------------------------------------- identities and times
+
+
+@query(sql("SELECT DISTINCT measurement, sensor, vsn, zone, series_id FROM ev"))
+def series_id_hash(spark, sf_dir):
+    return facts(spark, sf_dir).select("measurement", "sensor", "vsn", "zone", "series_id").distinct()
+
+
+@query(sql("SELECT DISTINCT measurement, sensor, vsn, zone, instrument_id, identity_source, confidence, confidence <> 'high' AS review_required FROM ev"))
+def instrument_identity(spark, sf_dir):
+    return facts(spark, sf_dir).select("measurement", "sensor", "vsn", "zone", "instrument_id", "identity_source", "confidence", F.col("instrument.review_required").alias("review_required")).distinct()
+
+
+_REGISTRY = identity.Registry.from_document({"rules": [{"instrument_id": "w001-click", "match": {"vsn": "W001", "sensor": "click"}}, {"instrument_id": "all-w001", "match": {"vsn": "W001"}}, {"instrument_id": "core-views", "match": {"sensor": "view", "zone": "core"}}]})
+_LISTED = "CASE WHEN vsn = 'W001' AND sensor = 'click' THEN 'w001-click' WHEN vsn = 'W001' THEN 'all-w001' WHEN sensor = 'view' AND zone = 'core' THEN 'core-views' END"
+
+
+@query(sql(f"SELECT DISTINCT sensor, vsn, zone, coalesce({_LISTED}, instrument_id) AS instrument_id, CASE WHEN {_LISTED} IS NULL THEN identity_source ELSE 'registry' END AS source, CASE WHEN {_LISTED} IS NULL THEN confidence ELSE 'high' END AS confidence FROM ev"))
+def instrument_registry(spark, sf_dir):
+    named = facts(spark, sf_dir).withColumn("i", identity.instrument(F.col("measurement"), F.col("tags"), _REGISTRY))
+    return named.select("sensor", "vsn", "zone", "i.instrument_id", "i.source", "i.confidence").distinct()
+
+
+@query("SELECT o_orderkey, strftime(DATE '1970-01-01' + floor((o_orderkey - 500) * 3600.0 * 7 / 86400)::INT, '%Y-%m-%d') AS day FROM orders")
+def ns_day_partition(spark, sf_dir):
+    """Days of times before and after 1970."""
+    t = (F.col("o_orderkey") - 500) * (7 * 3600 * times.SECOND)
+    return _read(spark, sf_dir, "orders").select("o_orderkey", F.date_format(times.date_of(t), "yyyy-MM-dd").alias("day"))
+
+
+@query(sql("SELECT event_id, strftime(make_timestamp(time_ns // 1000), '%Y-%m-%dT%H:%M:%S') || '.' || lpad((time_ns % 1000000000)::VARCHAR, 9, '0') || 'Z' AS text, time_ns AS parsed FROM ev"))
+def rfc3339_format(spark, sf_dir):
+    text = times.rfc3339(F.col("time_ns"))
+    return events(spark, sf_dir).select("event_id", text.alias("text"), times.parse_rfc3339(text).alias("parsed"))
+
+
+# ---------------------------------------------------------------- ingest
+
+_SELECTION = Selection.from_document({"selection_version": 2, "selectors": [{"measurement": "evt.click", "tags": {"vsn": ["W00*", "W03[0-4]"]}}, {"measurement_glob": "evt.?r*", "fields": ["val*"]}, {"measurement": "evt.view", "tags": {"zone": ["core"], "vsn": ["W*[!0-8]"]}}]})
+_MATCH = "coalesce((measurement = 'evt.click' AND regexp_full_match(vsn, 'W00.*|W03[0-4]')) OR regexp_full_match(measurement, 'evt\\..r.*') OR (measurement = 'evt.view' AND zone = 'core' AND regexp_full_match(vsn, 'W.*[^0-8]')), false)"
+_CANDIDATE = "(measurement IN ('evt.click', 'evt.view') OR regexp_full_match(measurement, 'evt\\..r.*'))"
+_ALLOWED = "substr(sha256(instrument_id), 1, 1) < 'd'"
+_FATE = f"""fate AS (SELECT *, CASE WHEN time_ns >= {END_NS} THEN 'upper_boundary' WHEN NOT {_MATCH} AND NOT ((vsn IS NULL OR sensor IS NULL) AND {_CANDIDATE}) THEN 'filtered_selection'
+    WHEN vsn IS NOT NULL AND sensor IS NOT NULL AND NOT {_ALLOWED} THEN 'filtered_instrument' WHEN vsn IS NULL THEN 'missing-vsn' WHEN sensor IS NULL THEN 'missing-sensor' ELSE 'output' END AS disposition FROM ev)"""
+
+
+def classified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m, f, tags = F.col("measurement"), F.col("field"), F.col("tags")
+    allowed = F.substring(F.sha2("instrument_id", 256), 1, 1) < "d"
+    fate = ingest.disposition(START_NS, END_NS, _SELECTION.matches(m, f, tags), _SELECTION.candidates(m, f), allowed)
+    return facts(spark, sf_dir).withColumn("disposition", fate)
+
+
+@query(sql(f"SELECT time_ns >= {END_NS} AS late, count(*) AS n, min(time_ns) AS low, max(time_ns) AS high FROM ev GROUP BY ALL"))
+def range_boundary(spark, sf_dir):
+    fate = ingest.disposition(START_NS, END_NS)
+    return facts(spark, sf_dir).groupBy((fate == ingest.UPPER).alias("late")).agg(F.count("*").alias("n"), F.min("time_ns").alias("low"), F.max("time_ns").alias("high"))
+
+
+@query(sql(f"SELECT event_id FROM ev WHERE {_MATCH}"))
+def selection_match(spark, sf_dir):
+    return events(spark, sf_dir).filter(_SELECTION.matches(F.col("measurement"), F.col("field"), F.col("tags"))).select("event_id")
+
+
+@query(sql("SELECT event_id, event_type FROM ev WHERE regexp_full_match(event_type, '[ce].*k')"))
+def glob_match(spark, sf_dir):
+    return events(spark, sf_dir).filter(matches(F.col("event_type"), "[ce]*k")).select("event_id", "event_type")
+
+
+@query(sql("SELECT sensor, vsn, instrument_id, count(*) AS n FROM ev WHERE vsn IN ('W001', 'W002', 'W063') AND sensor = 'click' GROUP BY ALL"))
+def allowlist_filter(spark, sf_dir):
+    """Rows of listed instruments; the list is a table, as long as it may be."""
+    rows = facts(spark, sf_dir)
+    listed = rows.filter("vsn in ('W001', 'W002', 'W063') and sensor = 'click'").select("instrument_id").distinct()
+    return rows.filter("vsn is not null and sensor is not null").join(listed, "instrument_id", "left_semi").groupBy("sensor", "vsn", "instrument_id").agg(F.count("*").alias("n"))
+
+
+@query(sql("SELECT disposition AS reason, day AS date, event_id, series_id FROM fate WHERE disposition LIKE 'missing-%'", _FATE))
+def quarantine_split(spark, sf_dir):
+    rows = classified(spark, sf_dir)
+    return rows.filter(ingest.is_quarantined(F.col("disposition"))).select(F.col("disposition").alias("reason"), F.col("day").alias("date"), "event_id", "series_id")
+
+
+_COUNTS = "count(*) AS parsed_rows, count(*) FILTER (disposition = 'output') AS output_rows, count(*) FILTER (disposition LIKE 'missing-%') AS quarantined_rows, count(*) FILTER (disposition = 'upper_boundary') AS upper_boundary_rows, count(*) FILTER (disposition = 'filtered_selection') AS filtered_selection_rows, count(*) FILTER (disposition = 'filtered_instrument') AS filtered_instrument_rows"
+
+
+@query(sql(f"SELECT day AS date, {_COUNTS} FROM fate GROUP BY day", _FATE))
+def disposition_summary(spark, sf_dir):
+    return ingest.summary(classified(spark, sf_dir)).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
+@query(sql("SELECT measurement, count(*) AS rows FROM fate WHERE disposition = 'output' GROUP BY measurement", _FATE))
+def kept_measurements(spark, sf_dir):
+    return ingest.kept_counts(classified(spark, sf_dir), "measurement", by_day=False)
+
+
+@query(sql("SELECT DISTINCT measurement FROM ev WHERE measurement IN (SELECT measurement FROM ev WHERE " + _MATCH + ") OR measurement IN ('evt.click', 'evt.view')"))
+def measurement_discovery(spark, sf_dir):
+    return _SELECTION.measurements(events(spark, sf_dir).select("measurement", "field", "tags"))
+
+
+# ---------------------------------------------------------------- catalogs
+
+
+def _named(spark, sf_dir):
+    return facts(spark, sf_dir).filter("vsn is not null and sensor is not null")
+
+
+_NAMED = "f AS (SELECT * FROM ev WHERE vsn IS NOT NULL AND sensor IS NOT NULL)"
+_SPAN = "min(time_ns) AS minimum_time, max(time_ns) AS maximum_time"
+
+
+@query(sql(f"SELECT sensor, vsn, instrument_id, day AS date, count(*) AS row_count, {_SPAN}, count(DISTINCT measurement) AS measurements, count(DISTINCT field) AS fields, count(DISTINCT value_type) AS value_types FROM f GROUP BY ALL", _NAMED))
+def partition_stats(spark, sf_dir):
+    return catalog.partition_stats(_named(spark, sf_dir)).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
+
+
+@query(sql(f"SELECT series_id, {_SPAN}, string_agg(DISTINCT field, ',') AS fields, string_agg(DISTINCT value_type, ',') AS value_types, any_value(measurement) AS measurement FROM ev GROUP BY series_id"))
+def series_stats(spark, sf_dir):
+    found = catalog.series(facts(spark, sf_dir), "measurement")
+    return found.withColumns({c: F.array_join(c, ",") for c in ("fields", "value_types")})
+
+
+def _stats(spark, sf_dir):
+    return catalog.partition_variables(_named(spark, sf_dir))
+
+
+@query(sql(f"SELECT sensor, count(DISTINCT vsn) AS vsns, count(DISTINCT instrument_id) AS instruments, count(*) AS rows, {_SPAN} FROM f GROUP BY sensor", _NAMED))
+def sensor_catalog(spark, sf_dir):
+    return catalog.sensors(_stats(spark, sf_dir))
+
+
+@query(sql(f"SELECT sensor, vsn, instrument_id, count(*) AS rows, {_SPAN} FROM f GROUP BY ALL", _NAMED))
+def instrument_catalog(spark, sf_dir):
+    return catalog.instruments(_stats(spark, sf_dir))
+
+
+@query(sql("SELECT sensor || '::' || measurement || '::' || field AS variable_id, sensor, measurement, field, count(*) AS rows FROM f GROUP BY ALL", _NAMED))
+def variable_catalog(spark, sf_dir):
+    return catalog.variables(_stats(spark, sf_dir))
+
+
+@query(sql("SELECT instrument_id || '::' || measurement || '::' || field AS variable_id, sensor, vsn, instrument_id, measurement, field, count(*) AS rows FROM f GROUP BY ALL", _NAMED))
+def instrument_variable_catalog(spark, sf_dir):
+    return catalog.instrument_variables(_stats(spark, sf_dir))
+
+
+@query(sql(f"SELECT series_id, {_SPAN}, string_agg(DISTINCT f2, ',' ORDER BY f2) AS fields, any_value(measurement) AS measurement FROM (SELECT *, CASE WHEN event_id % 2 = 0 THEN 'value' ELSE 'odd' END AS f2 FROM ev) GROUP BY series_id"))
+def series_catalog_merge(spark, sf_dir):
+    """The series of two runs (even and odd ids) merged."""
+    rows = facts(spark, sf_dir).withColumn("field", F.when(F.col("event_id") % 2 == 0, "value").otherwise("odd"))
+    runs = [catalog.series(rows.filter(F.col("event_id") % 2 == k), "measurement") for k in (0, 1)]
+    return catalog.merge_series(runs[0].unionByName(runs[1]), "measurement").select("series_id", "minimum_time", "maximum_time", F.array_join("fields", ",").alias("fields"), "measurement")
+
+
+@query(sql("""SELECT sensor, measurement, field, array_to_string(list_sort(list(DISTINCT said)), ';') AS signatures FROM
+    (SELECT *, '{"units":"' || CASE WHEN user_id % 5 = 0 AND sensor <> 'error' THEN 'K' ELSE 'C' END || '","missing":"-9999.9"}' AS said FROM f) GROUP BY sensor, measurement, field HAVING count(DISTINCT said) > 1""", _NAMED))
+def metadata_conflicts(spark, sf_dir):
+    rows = _named(spark, sf_dir).withColumns({"units": F.when((F.col("user_id") % 5 == 0) & (F.col("sensor") != "error"), "K").otherwise("C"), "missing": F.lit("-9999.9")})
+    found = catalog.metadata_conflicts(rows.groupBy("sensor", "measurement", "series_id", "units", "missing").agg(F.collect_set("field").alias("fields")), ["units", "missing"])
+    return found.withColumn("signatures", F.array_join("signatures", ";"))
+
+
+@query(sql("SELECT zone, count(*) AS n, count(DISTINCT series_id) AS series FROM ev GROUP BY zone"))
+def facts_series_join(spark, sf_dir):
+    """Facts that carry only a series id, joined to the series' tags."""
+    rows = facts(spark, sf_dir)
+    series = rows.groupBy("series_id").agg(F.first("tags").alias("tags"))
+    joined = catalog.with_series(rows.select("series_id", "time_ns"), series)
+    return joined.groupBy(F.try_element_at("tags", F.lit("zone")).alias("zone")).agg(F.count("*").alias("n"), F.count_distinct("series_id").alias("series"))
+
+
+# ---------------------------------------------------------------- inventory
+
+_ENTRIES = "e AS (SELECT *, time_ns AS minimum_time, time_ns + 1000 AS maximum_time, 'shard-' || (event_id % 7)::VARCHAR AS source FROM ev)"
+_TIMES = "min(minimum_time) AS minimum_time, max(maximum_time) AS maximum_time"
+_RESOLVED = f"r AS (SELECT series_id, measurement, field, any_value(sensor) AS sensor, any_value(vsn) AS vsn, any_value(instrument_id) AS instrument_id, any_value(zone) AS zone, {_TIMES}, count(*) AS blocks, min_by(source, event_id) AS first_source, max_by(source, event_id) AS last_source FROM e GROUP BY series_id, measurement, field)"
+
+
+def _entries(spark, sf_dir):
+    return facts(spark, sf_dir).withColumns({"minimum_time": F.col("time_ns"), "maximum_time": F.col("time_ns") + 1000, "source": F.concat(F.lit("shard-"), (F.col("event_id") % 7).cast("string")), "ordinal": F.col("event_id")})
+
+
+def _resolved(spark, sf_dir):
+    return inventory.rollup(_entries(spark, sf_dir), "series_id", "measurement", "field", "sensor", "vsn", "instrument_id", "zone")
+
+
+@query(sql("SELECT series_id, measurement, field, minimum_time, maximum_time, blocks, first_source, last_source FROM r", _ENTRIES, _RESOLVED))
+def index_rollup(spark, sf_dir):
+    return inventory.rollup(_entries(spark, sf_dir), "series_id", "measurement", "field")
+
+
+@query(sql(f"SELECT instrument_id, vsn, zone, {_TIMES}, count(*) AS series, count(DISTINCT (measurement, field)) AS variables FROM r GROUP BY instrument_id, vsn, zone", _ENTRIES, _RESOLVED))
+def instrument_inventory(spark, sf_dir):
+    return inventory.instruments(_resolved(spark, sf_dir), "instrument_id", "vsn", "zone")
+
+
+@query(sql(f"SELECT instrument_id, measurement, field, array_to_string(list_sort(list(DISTINCT coalesce(zone, 'none'))), ',') AS units, '-9999.9' AS missing, {_TIMES}, sum(blocks)::BIGINT AS blocks FROM r GROUP BY instrument_id, measurement, field", _ENTRIES, _RESOLVED))
+def variable_inventory(spark, sf_dir):
+    rows = _resolved(spark, sf_dir).withColumns({"units": F.coalesce("zone", F.lit("none")), "missing": F.lit("-9999.9")})
+    return inventory.instrument_variables(rows, "instrument_id")
+
+
+@query(sql(f"SELECT measurement, field, count(DISTINCT instrument_id) AS instruments, count(*) AS series, {_TIMES} FROM r GROUP BY measurement, field", _ENTRIES, _RESOLVED))
+def measurement_inventory(spark, sf_dir):
+    return inventory.measurements(_resolved(spark, sf_dir))
+
+
+@query(sql("SELECT DISTINCT measurement FROM r WHERE measurement ILIKE 'EVT.C%' OR lower(coalesce(sensor, '')) = 'view'", _ENTRIES, _RESOLVED))
+def family_list(spark, sf_dir):
+    return inventory.family(_resolved(spark, sf_dir), "EVT.C", "view", "measurement")
+
+
+@query("SELECT o_orderstatus AS status, count(*) AS n FROM orders GROUP BY o_orderstatus")
+def status_counts(spark, sf_dir):
+    return inventory.status_counts(_read(spark, sf_dir, "orders").withColumnRenamed("o_orderstatus", "status"))
+
+
+# ---------------------------------------------------------------- periods, shards, resume
+
+
+def _periods(spark, sf_dir, unit):
+    t = F.timestamp_seconds(times.floor_div(F.col("time_ns"), times.SECOND))
+    start = F.unix_seconds(times.floor_period(t, unit)) * times.SECOND
+    return events(spark, sf_dir).groupBy(F.greatest(start, F.lit(START_NS + 5_400 * times.SECOND)).alias("period_start_ns")).agg(F.count("*").alias("n"), F.max("time_ns").alias("last_ns"))
+
+
+def _period_sql(unit):
+    return sql(f"SELECT greatest(epoch_us(date_trunc('{unit}', make_timestamp(time_ns // 1000))) * 1000, {START_NS + 5_400 * times.SECOND}) AS period_start_ns, count(*) AS n, max(time_ns) AS last_ns FROM ev GROUP BY ALL")
+
+
+@query(_period_sql("hour"))
+def period_split_hour(spark, sf_dir):
+    return _periods(spark, sf_dir, "1h")
+
+
+@query(_period_sql("day"))
+def period_split_day(spark, sf_dir):
+    return _periods(spark, sf_dir, "1d")
+
+
+@query(_period_sql("month"))
+def period_split_month(spark, sf_dir):
+    return _periods(spark, sf_dir, "1month")
+
+
+@query(_period_sql("year"))
+def period_split_year(spark, sf_dir):
+    return _periods(spark, sf_dir, "1year")
+
+
+_SHARDS = "s AS (SELECT o_orderkey AS shard, o_orderdate::DATE AS d0, (o_orderdate::DATE + (o_orderkey % 5 + 1)::INT)::DATE AS d1 FROM orders WHERE o_orderkey % 10 = 3)"
+
+
+def _shards(spark, sf_dir):
+    o = _read(spark, sf_dir, "orders").filter("o_orderkey % 10 = 3")
+    d = F.col("o_orderdate").cast("date")
+    return o.select(F.col("o_orderkey").alias("shard"), d.alias("d0"), F.date_add(d, (F.col("o_orderkey") % 5 + 1).cast("int")).alias("d1"))
+
+
+@query(f"WITH {_SHARDS} SELECT shard, strftime(unnest(generate_series(d0, d1 - 1, INTERVAL 1 DAY)), '%Y-%m-%d') AS day FROM s")
+def day_expansion(spark, sf_dir):
+    """The days of half-open ranges."""
+    days = F.explode(F.sequence("d0", F.date_sub("d1", 1)))
+    return _shards(spark, sf_dir).select("shard", days.alias("d")).select("shard", F.date_format("d", "yyyy-MM-dd").alias("day"))
+
+
+@query(f"WITH {_SHARDS} SELECT shard, strftime(greatest(d0, DATE '1996-03-01'), '%Y-%m-%d') AS first, strftime(least(d1, DATE '1997-02-01'), '%Y-%m-%d') AS past FROM s WHERE greatest(d0, DATE '1996-03-01') < least(d1, DATE '1997-02-01')")
+def shard_overlap(spark, sf_dir):
+    """Shards clipped to a range, without those outside it."""
+    low, high = F.greatest("d0", F.lit("1996-03-01").cast("date")), F.least("d1", F.lit("1997-02-01").cast("date"))
+    return _shards(spark, sf_dir).filter(low < high).select("shard", F.date_format(low, "yyyy-MM-dd").alias("first"), F.date_format(high, "yyyy-MM-dd").alias("past"))
+
+
+@query(sql("SELECT DISTINCT vsn, day FROM f WHERE NOT (event_id % 1 = 0 AND ascii(substr(vsn, 4, 1)) % 2 = 0 AND day < '2024-01-10')", _NAMED))
+def resume_pending(spark, sf_dir):
+    """Work (node and day) without a marker."""
+    work = _named(spark, sf_dir).select("vsn", "day").distinct()
+    done = work.filter("ascii(substr(vsn, 4, 1)) % 2 = 0 and day < '2024-01-10'")
+    return inventory.pending(work, done, "vsn", "day")
+
+
+@query(sql("SELECT strftime(d, '%Y-%m-%d') AS day FROM (SELECT unnest(generate_series(DATE '2023-12-25', DATE '2024-02-10', INTERVAL 1 DAY)) AS d) WHERE strftime(d, '%Y-%m-%d') NOT IN (SELECT day FROM ev)"))
+def missing_dates(spark, sf_dir):
+    wanted = spark.range(1).select(F.explode(F.expr("sequence(date'2023-12-25', date'2024-02-10')")).alias("d")).select(F.date_format("d", "yyyy-MM-dd").alias("day"))
+    return inventory.pending(wanted, facts(spark, sf_dir).select("day").distinct(), "day")
+
+
+@query("SELECT n_name AS name, n_regionkey::DOUBLE AS region, NULL::DOUBLE AS balance FROM nation UNION ALL SELECT s_name, NULL, s_acctbal FROM supplier")
+def union_by_name(spark, sf_dir):
+    a = _read(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").cast("double").alias("region"))
+    b = _read(spark, sf_dir, "supplier").select(F.col("s_acctbal").alias("balance"), F.col("s_name").alias("name"))
+    return a.unionByName(b, allowMissingColumns=True)
