@@ -8,7 +8,8 @@ lines or more start earlier, in a smaller doc_id or further up in the document
 itself; each line of a later run is deleted, the earliest run stays.
 
 Lines are what newlines separate, unchanged. Defined results: a null text is one
-empty line, like an empty one; a null doc_id is smaller than any other; of rows
+empty line, like an empty one; a null doc_id is smaller than any other (and the
+least long counts as null); of rows
 of one doc_id, equal runs at equal places don't repeat each other. Each row gets
 a row. An empty table gives an empty result.
 """
@@ -32,9 +33,9 @@ def _lines(text: bytes) -> list[bytes]:
 def _delete(batches, run: int):
     for batch in batches:
         sizes, deleted, kept = [], [], []
-        for text, parts in zip(batch.column("text").to_pylist(), batch.column("pieces").to_pylist()):
+        for text, mark, data in zip(*(batch.column(k).to_pylist() for k in ("text", "mark", "data"))):
             lines = _lines(text)
-            found = repeats.factors(parts)
+            found = repeats.factors(data, mark)
             keep = np.ones(len(lines), bool)
             for start, count, _, _ in found:
                 keep[start : start + count + run - 1] = False

@@ -136,12 +136,6 @@ def _unpack(data: bytes, kinds: list[str]) -> list[np.ndarray]:
     return out
 
 
-def _binaries(ends: np.ndarray, data: bytes) -> pa.Array:
-    """Consecutive parts of ``data``, which end at the given bytes."""
-    offsets = np.concatenate([[0], ends]).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(data)])
-
-
 def _groups(*keys: np.ndarray) -> np.ndarray:
     """Where groups of equal keys begin, in arrays that are sorted by them."""
     if not len(keys[0]):
@@ -157,13 +151,58 @@ def _sizes(starts: np.ndarray, n: int) -> np.ndarray:
     return np.diff(np.append(starts, n))
 
 
-_SENT = "slot int, doc_id long, mark long, data binary"
+_SENT = "slot int, dest int, data binary"
+
+
+def _sent(slot, dest, data: list[bytes]) -> pa.RecordBatch:
+    column = lambda x: pa.nulls(len(data), pa.int32()) if x is None else pa.array(x, pa.int32())
+    return pa.RecordBatch.from_arrays([column(slot), column(dest), pa.array(data, pa.binary())], names=["slot", "dest", "data"])
+
 
+def _to_documents(docs: np.ndarray, marks: np.ndarray, values: np.ndarray, slots: int) -> pa.RecordBatch:
+    """Values for documents, packed for each destination; sorted by document, mark and value already."""
+    dest = (_mix(docs.astype(np.uint64), 3) % np.uint64(slots)).astype(np.int32)
+    order = np.argsort(dest, kind="stable")
+    dest, docs, marks, values = dest[order], docs[order], marks[order], values[order]
+    starts = _groups(dest)
+    parts = []
+    for a, n in zip(starts.tolist(), _sizes(starts, len(dest)).tolist()):
+        d, m = docs[a : a + n], marks[a : a + n]
+        heads = _groups(d, m)
+        parts.append(_pack([d[heads], m[heads], _sizes(heads, n).astype(np.uint32)]) + values[a : a + n].tobytes())
+    return _sent(None, dest[starts], parts)
 
-def _sent(slot, doc_id, mark, data) -> pa.RecordBatch:
-    n = len(data)
-    column = lambda x, kind: pa.nulls(n, kind) if x is None else pa.array(x, kind)
-    return pa.RecordBatch.from_arrays([column(slot, pa.int32()), column(doc_id, pa.int64()), column(mark, pa.int64()), data], names=["slot", "doc_id", "mark", "data"])
+
+def _gather(batches, kind: np.dtype):
+    """What documents were sent, as one row for each: key, and marks, counts and values packed."""
+    found = []
+    for batch in batches:
+        for data in batch.column("data").to_pylist():
+            docs, marks, counts = _unpack(data, ["<i8", "<i8", "<u4"])
+            values = np.frombuffer(data, kind, -1, 8 + 20 * len(docs))
+            found.append((np.repeat(docs, counts), np.repeat(marks, counts), values))
+    if not found:
+        return
+    docs, marks, values = (np.concatenate(c) for c in zip(*found))
+    order = np.lexsort((values["start"] if kind.names else values, marks, docs))
+    docs, marks, values = docs[order], marks[order], values[order]
+    starts = _groups(docs)
+    for first in range(0, len(starts), 10_000):
+        keys, parts = [], []
+        for a, b in zip(starts[first : first + 10_000].tolist(), np.append(starts[1:], len(docs))[first : first + 10_000].tolist()):
+            heads = _groups(marks[a:b])
+            keys.append(docs[a])
+            parts.append(_pack([marks[a:b][heads], _sizes(heads, b - a).astype(np.uint32)]) + values[a:b].tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(parts, pa.binary())], names=["key", "data"])
+
+
+def _values_of(data: bytes | None, kind, mark: int | None = None) -> np.ndarray:
+    """The values that a document was sent; those of one mark, if one is given."""
+    if data is None:
+        return np.zeros(0, kind)
+    marks, counts = _unpack(data, ["<i8", "<u4"])
+    values = np.frombuffer(data, kind, -1, 8 + 12 * len(marks))
+    return values if mark is None else values[np.repeat(marks, counts) == mark]
 
 
 def _send_anchors(batches, rule: Rule, slots: int):
@@ -207,7 +246,7 @@ def _by_slot(slot: np.ndarray, slots: int, pack):
     starts = _groups(slot[order])
     if len(starts):
         parts = [pack(order[a : a + n]) for a, n in zip(starts.tolist(), _sizes(starts, len(order)).tolist())]
-        yield _sent(slot[order][starts], None, None, pa.array(parts, pa.binary()))
+        yield _sent(slot[order][starts], None, parts)
 
 
 def _anchor_bytes(grams, docs, pos) -> bytes:
@@ -223,19 +262,15 @@ def _read_anchors(data: bytes):
 
 
 def _places(docs: np.ndarray, pos: np.ndarray, slots: int) -> pa.RecordBatch:
-    """Places as a row for each document."""
     order = np.lexsort((pos, docs))
-    docs, pos = docs[order], pos[order].astype("<i4")
-    starts = _groups(docs)
-    ends = np.append(starts[1:], len(docs)) * 4
-    return _sent((docs[starts] % slots).astype(np.int32), docs[starts], None, _binaries(ends, pos.tobytes()))
+    return _to_documents(docs[order], np.zeros(len(docs), np.int64), pos[order].astype("<i4"), slots)
 
 
 def _settle(batches, finish):
     """Rows sorted by slot: those for documents pass, those for a slot meet in ``finish``."""
     slot, held = None, []
     for batch in batches:
-        direct = batch.column("doc_id").is_valid()
+        direct = batch.column("dest").is_valid()
         if direct.true_count:
             yield batch.filter(direct)
         rest = batch.filter(pa.array(~direct.to_numpy(zero_copy_only=False)))
@@ -264,17 +299,14 @@ def _live_anchors(parts: list[bytes], rule: Rule, slots: int):
 
 
 def _pieces(docs, marks, pos, ref_docs, ref_pos, slots: int) -> pa.RecordBatch:
-    """Windows with their references, joined to pieces: a row for each document."""
+    """Windows with their references, joined to pieces."""
     order = np.lexsort((pos, marks, docs))
     docs, marks, pos, ref_docs, ref_pos = (x[order] for x in (docs, marks, pos, ref_docs, ref_pos))
     starts = _groups(docs, marks, ref_docs, pos - np.arange(len(pos)), ref_pos - np.arange(len(pos)))
     piece = np.zeros(len(starts), PIECE)
     piece["start"], piece["count"] = pos[starts], _sizes(starts, len(pos))
     piece["ref_doc"], piece["ref_start"] = ref_docs[starts], ref_pos[starts]
-    docs, marks = docs[starts], marks[starts]
-    heads = _groups(docs, marks)
-    ends = np.append(heads[1:], len(piece)) * PIECE.itemsize
-    return _sent((docs[heads] % slots).astype(np.int32), docs[heads], marks[heads], _binaries(ends, piece.tobytes()))
+    return _to_documents(docs[starts], marks[starts], piece, slots)
 
 
 def _references(keys: tuple[np.ndarray, ...], docs, pos, rule: Rule):
@@ -315,10 +347,9 @@ def _send_windows(batches, rule: Rule, slots: int):
             continue
         b = _Batch(rule, [t.as_py() for t in batch.column("text")])
         live = np.zeros(len(b.tokens), bool)
-        for i, parts in enumerate(batch.column("places")):
-            for part in parts.values:
-                at = np.frombuffer(part.as_py(), "<i4")
-                live[b.first[i] + at[at < b.lengths[i]]] = True
+        for i, data in enumerate(batch.column("data").to_pylist()):
+            at = _values_of(data, "<i4")
+            live[b.first[i] + at[at < b.lengths[i]]] = True
         mine = live[b.anchors]
         windows, anchors = b.windows[mine], b.grams[b.anchors[mine]]
         row = b.row[windows]
@@ -347,32 +378,28 @@ def _match_windows(parts: list[bytes], rule: Rule, slots: int):
 
 
 def with_pieces(docs: DataFrame, rule: Rule) -> DataFrame:
-    """Each document (key, doc_id, text as binary) with ``pieces``, an array of packed pieces or null.
-
-    ``key`` is doc_id with its nulls below all others.
-    """
+    """Each document (doc_id, mark, text as binary) with ``data``, its packed pieces or null."""
     spark = docs.sparkSession
     small_batches(spark)
     n = partitions(spark)
-    doc_id = F.col("doc_id").cast("long")
-    dealt = docs.select(F.coalesce(doc_id, F.lit(NO_ID)).alias("key"), doc_id.alias("doc_id"), text_of().cast("binary").alias("text")).repartition(n, "key")
-    settled = lambda sent, finish: sent.repartition(n, "slot").sortWithinPartitions("slot").mapInArrow(lambda it: _settle(it, lambda parts: finish(parts, rule, n)), _SENT)
-
-    anchors = settled(dealt.mapInArrow(lambda it: _send_anchors(it, rule, n), _SENT), _live_anchors)
-    places = anchors.groupBy(F.col("doc_id").alias("key")).agg(F.collect_list("data").alias("places"))
-    live = dealt.join(places, "key").select("key", F.xxhash64("text").alias("mark"), "text", "places")
-    windows = settled(live.mapInArrow(lambda it: _send_windows(it, rule, n), _SENT), _match_windows)
-    by_mark = windows.groupBy(F.col("doc_id").alias("key"), "mark").agg(F.collect_list("data").alias("data"))
-    pieces = by_mark.groupBy("key").agg(F.collect_list(F.struct("mark", "data")).alias("found"))
-    mine = F.filter("found", lambda x: x["mark"] == F.xxhash64("text"))
-    return dealt.join(pieces, "key", "left").select("doc_id", "text", F.flatten(F.transform(mine, lambda x: x["data"])).alias("pieces"))
-
-
-def factors(parts: list[bytes] | None) -> list[tuple[int, int, int, int]]:
-    """Pieces parsed greedily: at each place that which reaches furthest; (start, count, ref_doc, ref_start)."""
-    if not parts:
+    # the same two columns each time, so that the exchange is reused
+    dealt = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), text_of().cast("binary").alias("text")).repartition(n, "key")
+
+    def settled(sent: DataFrame, finish, kind) -> DataFrame:
+        met = sent.repartition(n, "slot", "dest").sortWithinPartitions("slot").mapInArrow(lambda it: _settle(it, lambda parts: finish(parts, rule, n)), _SENT)
+        return met.repartition(n, "dest").mapInArrow(lambda it: _gather(it, np.dtype(kind)), "key long, data binary")
+
+    places = settled(dealt.mapInArrow(lambda it: _send_anchors(it, rule, n), _SENT), _live_anchors, "<i4")
+    live = dealt.join(places, "key").select("key", F.xxhash64("text").alias("mark"), "text", "data")
+    pieces = settled(live.mapInArrow(lambda it: _send_windows(it, rule, n), _SENT), _match_windows, PIECE)
+    return dealt.join(pieces, "key", "left").select(F.expr(f"nullif(key, {NO_ID + 1} - 1)").alias("doc_id"), F.xxhash64("text").alias("mark"), "text", "data")
+
+
+def factors(data: bytes | None, mark: int) -> list[tuple[int, int, int, int]]:
+    """A document's pieces parsed greedily: at each place that which reaches furthest; (start, count, ref_doc, ref_start)."""
+    piece = _values_of(data, PIECE, mark)
+    if not len(piece):
         return []
-    piece = np.frombuffer(b"".join(parts), PIECE)
     piece = piece[np.lexsort((-piece["count"], piece["start"]))]
     out, reach = [], -1
     for start, count, ref_doc, ref_start in piece.tolist():

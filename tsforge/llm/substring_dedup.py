@@ -13,7 +13,7 @@ word is removed exactly if some window that covers it also starts in a document
 of a smaller doc_id. Windows are judged on the input, not on what is left.
 
 Defined results: a null text has no words; a null doc_id is smaller than any
-other; rows of one doc_id never repeat each other, and each gets a row. An empty
+other (and the least long counts as null); rows of one doc_id never repeat each other, and each gets a row. An empty
 table gives an empty result.
 """
 
@@ -34,9 +34,9 @@ _SPAN = pa.list_(pa.struct([("start", pa.int32()), ("words", pa.int32()), ("ref_
 def _remove(batches, window: int):
     for batch in batches:
         sizes, removed, kept, spans = [], [], [], []
-        for text, parts in zip(batch.column("text").to_pylist(), batch.column("pieces").to_pylist()):
+        for text, mark, data in zip(*(batch.column(k).to_pylist() for k in ("text", "mark", "data"))):
             words = text.split()
-            found = repeats.factors(parts)
+            found = repeats.factors(data, mark)
             keep = np.ones(len(words), bool)
             for start, count, _, _ in found:
                 keep[start : start + count + window - 1] = False
