@@ -108,3 +108,14 @@ def test_words_may_be_tokenised_alone():
     for first in range(0, 0x20000, 0x200):
         text = "".join(f"a{c} {c}b\n{c}" for c in (chr(x) for x in range(first, first + 0x200) if not 0xD800 <= x < 0xE000))
         assert mine.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, hex(first)
+
+
+def test_latin_words_skip_the_normaliser():
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.encode_special_tokens = True
+    mine = token_files.WordTokenizer()
+    letters = [chr(c) for c in range(0x30, 0x260) if chr(c).isalnum()]
+    rng = random.Random(8)
+    for _ in range(3000):
+        word = "".join(rng.choices(letters, k=rng.randrange(1, 9))) + "".join(rng.choices(".,!?'*#$%&_-", k=rng.randrange(4)))
+        assert mine.ids(word).tolist() == library.encode(word, add_special_tokens=False).ids, word

@@ -21,12 +21,22 @@ _ESCAPE_AT = np.uint64(1) << np.uint64(60)
 
 def _widths(values: np.ndarray) -> np.ndarray:
     """The least of BITS that holds each value; 61 for those that need an escape."""
+    if len(values) and values.max() < len(_NARROW):
+        return _NARROW[values.astype(np.uint16)]
+    return _compared(values)
+
+
+def _compared(values: np.ndarray) -> np.ndarray:
     needed = np.full(len(values), 61, np.uint8)
     for b in reversed(BITS):
         needed[values < (np.uint64(1) << np.uint64(b))] = b
     return needed
 
 
+#: The widths of small values, by value.
+_NARROW = _compared(np.arange(1 << 16, dtype=np.uint64))
+
+
 def _choices(values: np.ndarray) -> np.ndarray:
     """For each position the selector that packs most values from there on."""
     n = len(values)
@@ -53,8 +63,8 @@ def encode(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not n:
         return np.zeros(0, np.uint64), np.zeros(1, np.int64)
     chosen = _choices(values)
-    step = np.array((1, *COUNTS), np.int64)[chosen].tolist()
-    starts, i, put = [], 0, None
+    step = np.array((1, *COUNTS), np.uint8)[chosen].tobytes()
+    starts, i = [], 0
     put = starts.append
     while i < n:
         put(i)

@@ -26,7 +26,8 @@ from __future__ import annotations
 
 import json
 import zlib
-from itertools import chain
+from array import array
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -43,14 +44,28 @@ END = 1
 MAGIC = 0x3130534449534654
 #: Ids after which a blob ends.
 BLOB_IDS = 1 << 20
-#: Words whose ids a worker keeps.
-KEPT = 300_000
+#: Words, and stems of words, whose ids a worker keeps.
+KEPT = 400_000
+#: Letters before this character have no decompositions that a normaliser would join.
+LATIN_END = "\u0250"
 
 BLOBS = "shard int, seq int, n_docs long, n_ids long, blob binary"
 
 
+def _byte_characters() -> str:
+    """The characters that stand for the 256 bytes in byte-level vocabularies."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return "".join(chr(b if b in shown else next(rest)) for b in range(256))
+
+
 class WordTokenizer:
-    """A tokenizer for each worker; the file's text comes from the driver."""
+    """A tokenizer for each worker; the file's text comes from the driver.
+
+    ``encode`` gives a text's ids as packed integers. A word that is Latin
+    letters and then punctuation needs neither normaliser nor splitter: it is
+    lower-cased, and the model gets its letters and its punctuation apart.
+    """
 
     def __init__(self, path: str = VOCABULARY):
         with open(path, encoding="utf-8") as f:
@@ -60,28 +75,62 @@ class WordTokenizer:
     def __getstate__(self):
         return {"data": self.data, "_tokenizer": None}
 
-    def ids(self, text: str) -> np.ndarray:
-        if self._tokenizer is None:
-            self._tokenizer = Tokenizer.from_str(self.data)
-            self._tokenizer.encode_special_tokens = True
-            self.kept: dict[str, list[int]] = {}
-        words = text.replace("\n", " ").replace("\t", " ").split(" ")
-        kept = self.kept
-        if len(kept) > KEPT:
-            kept.clear()
-        if new := list(set(words).difference(kept)):
-            kept.update(zip(new, (e.ids for e in self._tokenizer.encode_batch_fast(new, add_special_tokens=False))))
-        return np.fromiter(chain.from_iterable(map(kept.__getitem__, words)), np.int64)
-
     def size(self) -> int:
         return 1 + max(json.loads(self.data)["model"]["vocab"].values())
 
+    def _open(self, code: str):
+        tokenizer = self._tokenizer = Tokenizer.from_str(self.data)
+        tokenizer.encode_special_tokens = True
+        self.code = code
+        characters = _byte_characters()
+        model, stems, tails = tokenizer.model.tokenize, {}, {}
+        self.stems = stems
+
+        def whole(text: str) -> bytes:
+            return array(code, tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+        class Words(dict):
+            def __missing__(self, word: str) -> bytes:
+                stem = word.rstrip(punctuation)
+                if stem.isalpha() and (stem.isascii() or max(stem) < LATIN_END and "\u0130" not in stem):
+                    stem_lower = stem.lower()
+                    found = stems.get(stem_lower)
+                    if found is None:
+                        units = stem_lower if stem_lower.isascii() else stem_lower.encode().decode("latin-1").translate(characters)
+                        found = stems[stem_lower] = array(code, [t.id for t in model(units)]).tobytes()
+                    if len(stem) < len(word):
+                        tail = word[len(stem) :]
+                        if tail not in tails:
+                            if len(tails) > KEPT:
+                                tails.clear()
+                            tails[tail] = whole(tail)
+                        found += tails[tail]
+                else:
+                    found = whole(word)
+                self[word] = found
+                return found
+
+        self.words = Words()
+
+    def encode(self, text: str, code: str = "H") -> bytes:
+        if self._tokenizer is None or self.code != code:
+            self._open(code)
+        if len(self.words) > KEPT:
+            self.words.clear()
+        if len(self.stems) > KEPT:
+            self.stems.clear()
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.frombuffer(self.encode(text, "I"), np.uint32)
+
 
 def _tokenise(batches, tokenizer: WordTokenizer, bounds: np.ndarray, end: int, kind: str):
     for batch in batches:
         keys = batch.column("doc_id")
         shard = np.searchsorted(bounds, keys.fill_null(np.iinfo(np.int64).min).to_numpy(), "left")
-        ids = [np.append(tokenizer.ids(t or ""), end).astype(kind).tobytes() for t in batch.column("text").to_pylist()]
+        code, last = ("H" if kind == "<u2" else "I"), np.array([end], kind).tobytes()
+        ids = [tokenizer.encode(t or "", code) + last for t in batch.column("text").to_pylist()]
         yield pa.RecordBatch.from_arrays([pa.array(shard, pa.int32()), keys, pa.array(ids, pa.binary())], names=["shard", "doc_id", "ids"])
 
 
