@@ -8,6 +8,8 @@
    hashes that occur more than once, in whatever run.
 3. The bitmaps meet the runs again; documents whose bit is unset are unique and
    their texts never move.
+   An owner also says which hashes occur in ``HOT`` rows or more; their rows are
+   salted where they meet their group's verdict.
 4. The texts of the suspects alone are shuffled, grouped by their very bytes.
    That group-by combines before it shuffles, so a group of copies sends one
    row from each task at most, however many rows it has.
@@ -31,11 +33,14 @@ from tsforge.llm.common import partitions, text_of, written
 
 #: Hashes in a run at most: what a task holds at a time.
 RUN_ROWS = 1 << 20
+#: Rows of one hash from which they are salted, and the salts.
+HOT, SALTS = 256, 64
 #: Suspects up to which their ids are sent to every task (16 bytes each).
 BROADCAST_ROWS = 500_000
 
 _RUNS = "run long, first int, owner int, n int, rice int, codes binary, doc_ids array<long>, digests array<binary>"
-_MARKED = "row long, doc_id long, digest binary, suspect boolean"
+_ANSWERS = "run long, owner int, bitmap binary, hot binary"
+_MARKED = "row long, doc_id long, digest binary, suspect boolean, hot boolean"
 
 
 def _pack(batches, owner_bits: int, run_rows: int):
@@ -86,23 +91,22 @@ def _answer(lists: pa.Table) -> pa.Table:
     parts = [golomb.decode(c, int(n), int(r)) for c, n, r in zip(lists.column("codes").to_pylist(), counts, lists.column("rice").to_pylist())]
     hashes = np.concatenate(parts)
     order = np.argsort(hashes, kind="stable")
-    ranked = hashes[order]
-    same = ranked[1:] == ranked[:-1]
-    repeated = np.zeros(len(hashes), bool)
-    repeated[order] = np.r_[same, False] | np.r_[False, same]
+    _, copies = np.unique(hashes[order], return_counts=True)
+    rows = np.zeros(len(hashes), np.int64)
+    rows[order] = np.repeat(copies, copies)
     ends = np.cumsum(counts)
-    bitmaps = [np.packbits(repeated[e - n : e]).tobytes() for e, n in zip(ends, counts)]
-    return pa.table({"run": lists.column("run"), "owner": lists.column("owner"), "bitmap": pa.array(bitmaps, pa.binary())})
+    bitmaps = [[np.packbits(rows[e - n : e] >= least).tobytes() for e, n in zip(ends, counts)] for least in (2, HOT)]
+    return pa.table({"run": lists.column("run"), "owner": lists.column("owner"), "bitmap": pa.array(bitmaps[0], pa.binary()), "hot": pa.array(bitmaps[1], pa.binary())})
 
 
 def _mark(batches):
     """Lists with their bitmaps to one row for each document; ``row`` is unique."""
     for batch in batches:
         ids, digests = batch.column("doc_ids"), batch.column("digests")
-        for i, x in enumerate(batch.select(["run", "first", "n", "bitmap"]).to_pylist()):
-            bits = np.unpackbits(np.frombuffer(x["bitmap"], np.uint8))[: x["n"]].astype(bool)
+        for i, x in enumerate(batch.select(["run", "first", "n", "bitmap", "hot"]).to_pylist()):
+            bits, hot = (np.unpackbits(np.frombuffer(x[k], np.uint8))[: x["n"]].astype(bool) for k in ("bitmap", "hot"))
             numbers = (x["run"] << 20) + x["first"] + np.arange(x["n"])
-            yield pa.RecordBatch.from_arrays([pa.array(numbers), ids[i].values, digests[i].values, pa.array(bits)], names=["row", "doc_id", "digest", "suspect"])
+            yield pa.RecordBatch.from_arrays([pa.array(numbers), ids[i].values, digests[i].values, pa.array(bits), pa.array(hot)], names=["row", "doc_id", "digest", "suspect", "hot"])
 
 
 def mark_suspects(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
@@ -111,7 +115,7 @@ def mark_suspects(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     text = text_of()
     hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.unhex(F.sha2(text, 256)).alias("digest"))
     runs = written(hashed.mapInArrow(lambda batches: _pack(batches, owner_bits, run_rows), _RUNS), "runs")
-    answers = runs.select("run", "owner", "n", "rice", "codes").groupBy("owner").applyInArrow(_answer, "run long, owner int, bitmap binary")
+    answers = runs.select("run", "owner", "n", "rice", "codes").groupBy("owner").applyInArrow(_answer, _ANSWERS)
     return written(runs.drop("codes", "rice").join(answers, ["run", "owner"]).mapInArrow(_mark, _MARKED), "marked")
 
 
@@ -126,9 +130,11 @@ def classes(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     by_bytes = texts.groupBy("text").agg(F.count("*").alias("size")).select(F.unhex(F.sha2("text", 256)).alias("digest"), "size")
     verified = by_bytes.groupBy("digest").agg(F.sum("size").alias("group_size"), F.count("*").alias("texts"))
     verified = verified.withColumn("digest", F.when(F.col("texts") == 1, F.col("digest")).otherwise(F.raise_error(F.lit("two texts share a SHA-256 digest"))))
-    stays = suspects.groupBy("digest").agg(F.max(F.struct("doc_id", "row")).alias("top"), F.count("*").alias("n"))
-    groups = stays.join(verified, "digest").select("digest", "group_size", F.col("top.doc_id").alias("keep_id"), F.col("top.row").alias("keep_row"))
-    copies = suspects.join(groups, "digest").select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "digest")
+    stays = suspects.groupBy("digest").agg(F.max(F.struct("doc_id", "row")).alias("top"), F.max("hot").alias("hot"))
+    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    groups = stays.join(verified, "digest").select("digest", F.explode(salts).alias("salt"), "group_size", F.col("top.doc_id").alias("keep_id"), F.col("top.row").alias("keep_row"))
+    salted = suspects.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("row"), F.lit(SALTS))).otherwise(0).cast("int"))
+    copies = salted.join(groups, ["digest", "salt"]).select("doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), "digest")
     alone = marked.filter("not suspect").select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), "digest")
     return alone.unionByName(copies)
 
