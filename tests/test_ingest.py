@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tsforge import cli
 from tsforge.operators import catalog, ingest, inventory, store
 from tsforge.operators.selection import Selection
+from tsforge.plans import export
 from tsforge.sources import line_protocol, tables
 from tsforge.streaming import landing
 
@@ -139,7 +140,34 @@ def test_streaming_takes_each_file_once(spark, tmp_path):
         assert facts.count() == 2 * (i + 1)
 
 
-def test_command_line(spark, tmp_path, capsys, monkeypatch):
+def test_exports_resume_and_reconcile(spark, tmp_path):
+    records = spark.createDataFrame([(x,) for x in LINES], "record string")
+    points, root = line_protocol.decode(records), str(tmp_path / "out")
+    start, end = export.day_range("2025-01-01")
+    first = export.export_days(points, root, "r1", start, end)
+    assert first["status"] == "complete" and first["output_rows"] == first["published_rows"] == 4 and first["quarantined_rows"] == 2
+    with pytest.raises(FileExistsError):
+        export.export_days(points, root, "r2", start, end)
+    again = export.export_days(points, root, "r3", start, end, on_existing="skip")
+    assert again["published_rows"] == 0 and again["skipped_existing_rows"] == 4
+    both = export.export_days(points, root, "r4", *export.day_range("2025-01-01", "2025-01-02"), on_existing="skip")
+    assert both["published_rows"] == 1 and both["requested_days"] == 2
+    n = spark.read.parquet(f"{root}/facts").count()
+    assert n == 5 == sum(int(r["rows"]) for r in spark.read.option("header", "true").csv(f"{root}/catalogs/variables").collect())
+    with pytest.raises(ValueError):
+        export.export_days(points, root, "r5", start, end, Selection.from_document(SELECTION))
+
+
+def test_a_broken_dump_stops_no_other(spark, tmp_path):
+    row = "0\t2025-01-01T00:00:00Z\t2025-01-01T01:00:00Z\t5\t9\tm,node=n,vsn=W1\tvalue\n"
+    (tmp_path / "a.txt").write_text("Header\n" + row + row)
+    (tmp_path / "b.txt").write_text(row + "1\tbroken\n")
+    entries, sources = inventory.load(spark, str(tmp_path))
+    assert entries.count() == 2 and {r.status for r in sources.collect()} == {"complete", "error"}
+    assert cli.main(["inventory", "--input", str(tmp_path), "--output", str(tmp_path / "out")]) == 0
+
+
+def test_command_line(spark, tmp_path, capsys):
     (tmp_path / "in.lp").write_text("\n".join(LINES) + "\n")
     (tmp_path / "sel.json").write_text(json.dumps(SELECTION))
     arguments = ["convert", "--input", str(tmp_path / "in.lp"), "--output", str(tmp_path / "out"), "--run-id", "r1", "--date", "2025-01-01", "--selection", str(tmp_path / "sel.json")]

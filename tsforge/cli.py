@@ -5,16 +5,13 @@ from __future__ import annotations
 import argparse
 import json
 import sys
-from datetime import datetime
-
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tsforge.functions import times
 from tsforge.functions.identity import Registry
-from tsforge.operators import catalog, ingest, inventory, store
+from tsforge.operators import inventory, store
 from tsforge.operators.selection import Selection
-from tsforge.plans import runner
+from tsforge.plans import export, runner
 from tsforge.plans.qc_config import Rules, Run
 from tsforge.sources import line_protocol, tables
 
@@ -27,32 +24,23 @@ def _json(path: str | None):
 
 
 def convert(spark: SparkSession, a) -> int:
-    """One UTC day of line protocol to facts, quarantine, series and catalogs."""
-    start = times.to_ns(datetime.fromisoformat(f"{a.date}T00:00:00+00:00")) if a.date else None
+    """UTC days of line protocol to facts, quarantine, series and catalogs."""
     selection = Selection.from_document(d) if (d := _json(a.selection)) else None
     registry = Registry.from_document(d, a.require_registry) if (d := _json(a.registry)) else Registry()
-    store.guard_identity(spark, a.output, {"selection": selection.fingerprint if selection else "", "registry": registry.fingerprint, "storage": 4})
-    points = ingest.identified(line_protocol.read_files(spark, a.input), registry)
     allowed = tables.read_list(a.allow) if a.allow else None
-    done = ingest.classify(points, start, start + times.DAY if start is not None else None, selection, allowed).persist()
-    facts = ingest.facts_of(done)
-    store.write_facts(facts, a.output)
-    store.write_quarantine(ingest.quarantine_of(done), a.output, a.run_id)
-    kept = done.filter(F.col("disposition") == ingest.OUTPUT)
-    tags = kept.groupBy("series_id").agg(F.first("tags").alias("tags"))
-    store.write_series(catalog.series(kept, "measurement", "sensor", "vsn", "instrument_id", "identity_source").join(tags, "series_id"), a.output, a.run_id)
-    stats = catalog.partition_variables(facts).persist()
-    for name, table in (("sensors", catalog.sensors(stats)), ("instruments", catalog.instruments(stats)), ("variables", catalog.variables(stats)), ("instrument_variables", catalog.instrument_variables(stats))):
-        store.write_csv(table, f"{a.output}/catalogs/{name}", *[c for c in ("sensor", "vsn", "instrument_id", "measurement", "field") if c in table.columns])
-    print(json.dumps([r.asDict() for r in ingest.summary(done).orderBy("date").collect()], default=str))
+    start, end = export.day_range(a.date, a.last_date)
+    points = line_protocol.read_files(spark, a.input)
+    print(json.dumps(export.export_days(points, a.output, a.run_id, start, end, selection, registry, allowed, a.on_existing), default=str))
     return 0
 
 
 def index(spark: SparkSession, a) -> int:
-    """An index dump to an inventory of series."""
-    entries = tables.parse_index(spark.read.text(a.input)).withColumns({"source": F.lit(a.input), "ordinal": F.lit(0)})
+    """Index dumps to an inventory of series and of sources; a broken dump is an error row."""
+    entries, sources = inventory.load(spark, a.input)
     key = F.to_json(F.array_sort(F.map_entries("tags"))).alias("tags")
-    store.write_csv(inventory.rollup(entries.select("measurement", "field", key, "minimum_time", "maximum_time", "source", "ordinal")), f"{a.output}/series", "measurement", "field", "tags")
+    rows = entries.select("measurement", "field", key, "minimum_time", "maximum_time", "source", F.col("source").alias("ordinal"))
+    store.write_csv(inventory.rollup(rows), f"{a.output}/series", "measurement", "field", "tags")
+    store.write_csv(sources, f"{a.output}/sources", "source")
     return 0
 
 
@@ -62,7 +50,7 @@ def quality(spark: SparkSession, a) -> int:
     if a.action == "validate":
         runner.validate(spark, rules, run)
     elif a.action in ("run", "resume"):
-        made = (runner.run_new if a.action == "run" else runner.resume)(spark, rules, run, a.run_id)
+        made = runner.run_new(spark, rules, run, a.run_id, [a.run, run.rules]) if a.action == "run" else runner.resume(spark, rules, run, a.run_id)
         print(json.dumps(runner.totals(made, run)))
     else:
         made = runner.Store(spark, run.output, a.run_id)
@@ -77,10 +65,11 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tsforge")
     sub = p.add_subparsers(required=True)
     c = sub.add_parser("convert")
-    for name in ("--input", "--output", "--run-id"):
+    for name in ("--input", "--output", "--run-id", "--date"):
         c.add_argument(name, required=True)
-    for name in ("--date", "--selection", "--registry", "--allow"):
+    for name in ("--last-date", "--selection", "--registry", "--allow"):
         c.add_argument(name)
+    c.add_argument("--on-existing", choices=("error", "skip"), default="error")
     c.add_argument("--require-registry", action="store_true")
     c.set_defaults(call=convert)
     i = sub.add_parser("inventory")

@@ -2,9 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tsforge.sources import tables
+
+
+def load(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Entries of the dumps at a path, and their sources with status, rows and first bad line.
+
+    A source with a bad line gives no entries at all, and stops no other source.
+    """
+    lines = spark.read.text(path).withColumn("source", F.col("_metadata.file_path"))
+    rows = tables.index_rows(lines, "value", "source")
+    bad = F.when(~F.col("fits"), F.col("_line"))
+    sources = rows.groupBy("source").agg(F.count("*").alias("rows"), F.min(bad).alias("error")).withColumn("status", F.when(F.col("error").isNull(), "complete").otherwise("error"))
+    good = rows.join(sources.filter("error is null").select("source"), "source", "left_semi")
+    return tables.with_tags(good).select("measurement", "tags", "field", "minimum_time", "maximum_time", "source"), sources
+
 
 def rollup(entries: DataFrame, *series_keys: str) -> DataFrame:
     """One row for each series: times, blocks, and the first and last source by ordinal."""

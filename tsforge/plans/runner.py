@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,11 +63,14 @@ def validate(spark: SparkSession, rules: Rules, run: Run) -> None:
         qc.validate_source(facts, rules.profiles[u.profile], keys, u.filters)
 
 
-def run_new(spark: SparkSession, rules: Rules, run: Run, run_id: str) -> Store:
+def run_new(spark: SparkSession, rules: Rules, run: Run, run_id: str, documents: list[str] = ()) -> Store:
+    """A run of its own id; ``documents`` are local files to keep beside it as they were."""
     validate(spark, rules, run)
     store = Store(spark, run.output, run_id)
     if store.files.exists(f"{store.path}/run.json"):
         raise FileExistsError(f"the run {run_id} exists")
+    for path in documents:
+        store.files.write_text(f"{store.path}/config/{Path(path).name}", Path(path).read_text(encoding="utf-8"))
     store.files.write_text(f"{store.path}/run.json", json.dumps(_identity(rules, run), sort_keys=True))
     return resume(spark, rules, run, run_id)
 

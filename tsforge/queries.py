@@ -17,7 +17,7 @@ from tsforge.functions import identity, times
 from tsforge.functions.globs import matches
 from tsforge.operators import catalog, ingest, inventory
 from tsforge.operators.selection import Selection
-from tsforge.plans import level1, qc
+from tsforge.plans import export, level1, qc
 from tsforge.plans.qc_config import Rules
 from tsforge.sources import line_protocol
 
@@ -386,6 +386,13 @@ def disposition_summary(spark, sf_dir):
     return ingest.summary(classified(spark, sf_dir)).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
+@query(sql(f"""SELECT count(DISTINCT day) FILTER (day BETWEEN '2024-01-01' AND '2024-01-20' AND (disposition = 'output' OR disposition LIKE 'missing-%')) AS completed_days, {_COUNTS}, 20::BIGINT AS requested_days,
+    CASE WHEN count(DISTINCT day) FILTER (day BETWEEN '2024-01-01' AND '2024-01-20' AND (disposition = 'output' OR disposition LIKE 'missing-%')) = 20 THEN 'complete' ELSE 'incomplete' END AS status FROM fate""", _FATE))
+def export_manifest(spark, sf_dir):
+    """An export's manifest: the days' counts summed, and whether all days are there."""
+    return export.rollup(ingest.summary(classified(spark, sf_dir)), datetime(2024, 1, 1, tzinfo=UTC), datetime(2024, 1, 21, tzinfo=UTC))
+
+
 @query(sql("SELECT measurement, count(*) AS rows FROM fate WHERE disposition = 'output' GROUP BY measurement", _FATE))
 def kept_measurements(spark, sf_dir):
     return ingest.kept_counts(classified(spark, sf_dir), "measurement", by_day=False)

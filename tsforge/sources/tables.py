@@ -38,22 +38,32 @@ def source_files(facts: DataFrame) -> DataFrame:
 INDEX_ROW = r"^\s*\d+\t(\S+Z)\t(\S+Z)\t(\d+)\t(\d+)\t([^\t]*)\t(.*)$"
 
 
+def index_rows(lines: DataFrame, column: str = "value", *more: str) -> DataFrame:
+    """Index rows with ``fits``: whether a line that begins with a number and a tab is one."""
+    text = F.col(column)
+    part = lambda i: F.regexp_extract(text, INDEX_ROW, i)
+    low, high = times.parse_rfc3339(part(1)), times.parse_rfc3339(part(2))
+    fits = text.rlike(INDEX_ROW) & low.isNotNull() & high.isNotNull()
+    return lines.filter(text.rlike(r"^\s*\d+\t")).select(*more, text.alias("_line"), fits.alias("fits"), part(5).alias("series_key"), part(6).alias("field"), low.alias("minimum_time"), high.alias("maximum_time"))
+
+
+def with_tags(rows: DataFrame) -> DataFrame:
+    """Index rows with measurement and tags: each distinct series key is parsed once."""
+    parsed = F.udf(parse_series, "struct<measurement:string,tags:map<string,string>>")
+    keys = rows.select("series_key").distinct().withColumn("s", parsed("series_key"))
+    named = rows.join(keys, "series_key").withColumns({"measurement": F.col("s.measurement"), "tags": retained(F.col("s.tags"))})
+    return named.drop("s", "series_key", "fits", "_line")
+
+
 def parse_index(lines: DataFrame, column: str = "value") -> DataFrame:
     """Index rows of a storage dump: measurement, tags, field and times of each block.
 
     Lines that don't begin with a number and a tab are left out; others that
     don't fit are errors.
     """
-    text = F.col(column)
-    rows = lines.filter(text.rlike(r"^\s*\d+\t"))
-    part = lambda i: F.regexp_extract(text, INDEX_ROW, i)
-    low, high = times.parse_rfc3339(part(1)), times.parse_rfc3339(part(2))
-    checked = F.when(text.rlike(INDEX_ROW) & low.isNotNull() & high.isNotNull(), part(5)).otherwise(F.raise_error(F.concat(F.lit("not an index row: "), text)).cast("string"))
-    parsed = F.udf(lambda key: parse_series(key), "struct<measurement:string,tags:map<string,string>>")
-    found = rows.select(checked.alias("series_key"), part(6).alias("field"), low.alias("minimum_time"), high.alias("maximum_time"))
-    keys = found.select("series_key").distinct().withColumn("s", parsed("series_key"))
-    out = found.join(keys, "series_key")
-    return out.select(F.col("s.measurement").alias("measurement"), retained(F.col("s.tags")).alias("tags"), "field", "minimum_time", "maximum_time")
+    rows = index_rows(lines, column)
+    checked = F.when(F.col("fits"), F.col("series_key")).otherwise(F.raise_error(F.concat(F.lit("not an index row: "), F.col("_line"))).cast("string"))
+    return with_tags(rows.withColumn("series_key", checked)).select("measurement", "tags", "field", "minimum_time", "maximum_time")
 
 
 def load_backup(directory: str, bucket_id: str) -> dict:
