@@ -1,4 +1,6 @@
+import io
 import json
+import tarfile
 from datetime import UTC, datetime
 
 import pytest
@@ -109,6 +111,22 @@ def test_backup_manifest(spark, tmp_path):
     assert command.count("--measurement") == 2 and "2025-01-01T00:00:00Z" in command
 
 
+def test_archives_are_staged_safely(tmp_path):
+    def make(name, members):
+        with tarfile.open(tmp_path / name, "w:gz") as t:
+            for path, data in members:
+                info = tarfile.TarInfo(path)
+                info.size = len(data)
+                t.addfile(info, io.BytesIO(data))
+        return str(tmp_path / name)
+
+    good = make("a.tgz", [("b1/x/1.tsm", b"abc"), ("b1/x/fields.idx", b"z"), ("b2/2.tsm", b"d")])
+    assert [p.removeprefix(str(tmp_path)) for p in tables.stage_archive(good, str(tmp_path / "out"), "b1/")] == ["/out/b1/x/1.tsm"]
+    for name, members in (("b.tgz", [("../1.tsm", b"a")]), ("c.tgz", [("/1.tsm", b"a")]), ("d.tgz", [("1.tsm", b"a"), ("1.tsm", b"b")]), ("e.tgz", [("1.txt", b"a")])):
+        with pytest.raises(ValueError):
+            tables.stage_archive(make(name, members), str(tmp_path / name[0]))
+
+
 def test_stores(spark, points, tmp_path):
     facts = ingest.facts_of(ingest.classify(points, DAY, NEXT))
     store.write_facts(facts, str(tmp_path))
@@ -165,6 +183,7 @@ def test_a_broken_dump_stops_no_other(spark, tmp_path):
     entries, sources = inventory.load(spark, str(tmp_path))
     assert entries.count() == 2 and {r.status for r in sources.collect()} == {"complete", "error"}
     assert cli.main(["inventory", "--input", str(tmp_path), "--output", str(tmp_path / "out")]) == 0
+    assert [r.value for r in spark.read.text(f"{tmp_path}/out/measurements").collect()] == ["m"]
 
 
 def test_command_line(spark, tmp_path, capsys):

@@ -41,6 +41,7 @@ def index(spark: SparkSession, a) -> int:
     rows = entries.select("measurement", "field", key, "minimum_time", "maximum_time", "source", F.col("source").alias("ordinal"))
     store.write_csv(inventory.rollup(rows), f"{a.output}/series", "measurement", "field", "tags")
     store.write_csv(sources, f"{a.output}/sources", "source")
+    store.write_lines(entries.select("measurement"), f"{a.output}/measurements")
     return 0
 
 

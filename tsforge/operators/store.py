@@ -94,6 +94,12 @@ def write_csv(table: DataFrame, path: str, *order: str) -> None:
     table.orderBy(*order).coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
 
 
+def write_lines(table: DataFrame, path: str) -> None:
+    """The distinct values of a one-column table, sorted, one on each line."""
+    (name,) = table.columns
+    table.distinct().orderBy(name).coalesce(1).write.mode("overwrite").text(path)
+
+
 def unfinished(rows: DataFrame, done: DataFrame, identity: dict[str, str], policy: str = "error") -> DataFrame:
     """Rows of partitions that are not complete yet.
 

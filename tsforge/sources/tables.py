@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import json
 import re
+import shutil
+import tarfile
 from datetime import datetime
 from pathlib import Path, PurePosixPath
 
@@ -110,6 +112,29 @@ def staged_members(names: list[tuple[str, int]], prefix: str, archive_size: int)
     return chosen
 
 
+def stage_archive(archive: str, target: str, prefix: str = "") -> list[str]:
+    """Takes an archive's storage files out of it, streaming; the paths that were written.
+
+    Members are read once and in order, so the archive is never held or seeked.
+    """
+    names: list[tuple[str, int]] = []
+    written: list[str] = []
+    with tarfile.open(archive, "r|*") as members:
+        for member in members:
+            names.append((member.name, member.size))
+            if not staged_members(names[-1:], prefix, 0) or not member.isfile():
+                continue
+            path = Path(target) / PurePosixPath(member.name)
+            if path.exists():
+                raise ValueError(f"a file comes twice: {member.name}")
+            path.parent.mkdir(parents=True, exist_ok=True)
+            with members.extractfile(member) as source, open(path, "wb") as out:
+                shutil.copyfileobj(source, out, 1 << 20)
+            written.append(str(path))
+    staged_members(names, prefix, Path(archive).stat().st_size)
+    return written
+
+
 def read_list(path: str) -> set[str]:
     """Ids of an allow-list: one on each line, comments after ``#``."""
     lines = (line.split("#", 1)[0].strip() for line in Path(path).read_text().splitlines())
