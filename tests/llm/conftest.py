@@ -14,7 +14,7 @@ def documents(spark):
             full.append((doc_id, text, "en", source, None if text is None else len(text)))
         df = spark.createDataFrame(full, DOCUMENTS).repartition(3)
         if extra:
-            for name in ("key", "hash", "digest", "fp", "row", "size", "run"):
+            for name in ("key", "hash", "digest", "fp", "row", "size", "run", "suspect_id", "_id", "_mark", "salt", "pass", "shard", "ids", "score", "component_id"):
                 df = df.selectExpr("*", f"'x' as {name}")
         return df
 

@@ -90,3 +90,20 @@ def test_token_stage(stages):
 def test_run_is_the_stages(spark, stages):
     rows = corpus_pipeline.run(spark, SF).collect()
     assert Counter(map(tuple, rows)) == Counter(map(tuple, stages[-1][1]))
+
+
+ODD = [(None, "no id", None), (3, None, "s"), (4, "", "s"), (5, "a b c " * 9000, None), (5, "a b c " * 9000, None), (6, "one, two three.", "é"), (7, "one, two three.", "t")]
+
+
+@pytest.mark.parametrize("number", range(5))
+@pytest.mark.parametrize("rows", [ODD, []])
+def test_each_stage_takes_odd_rows_and_extra_columns(spark, documents, number, rows):
+    docs = documents(rows, extra=True)
+    out = corpus_pipeline.STAGES[number][1](spark, docs, SF)
+    if number < 4:
+        assert out.columns == docs.columns
+        assert all(r["_id"] == r["row"] == r["salt"] == "x" for r in out.collect())
+    else:
+        assert out.count() == len(rows)
+    if number == 1:
+        assert sorted((r.text or "") for r in out.collect()) == sorted({t or "" for _, t, _ in rows})

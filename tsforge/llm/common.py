@@ -60,6 +60,15 @@ def written(df: DataFrame, name: str, sort: list[str] | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a few short columns up to which a table is sent to every task.
+BROADCAST_ROWS = 500_000
+
+
+def sent_if_small(df: DataFrame) -> DataFrame:
+    """A narrow, written table marked for broadcast if its rows are few enough; beyond that it is shuffled."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def clear_scratch(spark: SparkSession) -> None:
     """Delete the tables that this application has written in the shared folder."""
     jvm = spark.sparkContext._jvm

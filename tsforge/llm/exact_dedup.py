@@ -29,14 +29,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tsforge.llm import golomb
-from tsforge.llm.common import partitions, text_of, written
+from tsforge.llm.common import partitions, sent_if_small, text_of, written
 
 #: Hashes in a run at most: what a task holds at a time.
 RUN_ROWS = 1 << 20
 #: Rows of one hash from which they are salted, and the salts.
 HOT, SALTS = 256, 64
-#: Suspects up to which their ids are sent to every task (16 bytes each).
-BROADCAST_ROWS = 500_000
+
+#: Names that no column of the input has.
+_KEY = ("__tsforge_id", "__tsforge_digest")
 
 _RUNS = "run long, first int, owner int, n int, rice int, codes binary, doc_ids array<long>, digests array<binary>"
 _ANSWERS = "run long, owner int, bitmap binary, hot binary"
@@ -123,10 +124,8 @@ def classes(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     """One row for each document: doc_id, keep_id, group_size, kept, digest (binary SHA-256)."""
     marked = mark_suspects(docs, run_rows)
     suspects = marked.filter("suspect")
-    ids = suspects.select(F.col("doc_id").alias("suspect_id")).distinct()
-    if suspects.count() <= BROADCAST_ROWS:
-        ids = F.broadcast(ids)
-    texts = docs.join(ids, F.col("doc_id").eqNullSafe(F.col("suspect_id")), "left_semi").select(text_of().alias("text"))
+    ids = sent_if_small(suspects.select(F.col("doc_id").alias("suspect_id")).distinct())
+    texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("suspect_id")), "left_semi").select(text_of().alias("text"))
     by_bytes = texts.groupBy("text").agg(F.count("*").alias("size")).select(F.unhex(F.sha2("text", 256)).alias("digest"), "size")
     verified = by_bytes.groupBy("digest").agg(F.sum("size").alias("group_size"), F.count("*").alias("texts"))
     verified = verified.withColumn("digest", F.when(F.col("texts") == 1, F.col("digest")).otherwise(F.raise_error(F.lit("two texts share a SHA-256 digest"))))
@@ -142,15 +141,16 @@ def classes(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
 def dedup(docs: DataFrame) -> DataFrame:
     """The documents without their copies: of equal texts the row with the largest doc_id."""
     verdict = written(classes(docs), "classes")
-    key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("_id"), F.col("digest").alias("_digest")]
+    key = [F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias(_KEY[0]), F.col("digest").alias(_KEY[1])]
     kept, dropped = (verdict.filter(F.col("kept") == flag).select(*key) for flag in (True, False))
     gone = dropped.distinct()
     # rows repeated under one doc_id: one of them stays, so the key alone can't decide
-    twice = gone.join(kept, ["_id", "_digest"], "left_semi")
-    left = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "_digest": F.unhex(F.sha2(text_of(), 256))})
+    twice = gone.join(kept, [*_KEY], "left_semi")
+    left = docs.withColumns({_KEY[0]: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), _KEY[1]: F.unhex(F.sha2(text_of(), 256))})
     some_twice = bool(twice.take(1))
-    stay = left.join(gone.join(twice, ["_id", "_digest"], "left_anti") if some_twice else gone, ["_id", "_digest"], "left_anti")
+    gone = sent_if_small(gone.join(twice, [*_KEY], "left_anti") if some_twice else gone)
+    stay = left.join(gone, [*_KEY], "left_anti")
     if some_twice:
-        again = stay.join(twice, ["_id", "_digest"], "left_semi").dropDuplicates(["_id", "_digest"])
-        stay = stay.join(twice, ["_id", "_digest"], "left_anti").unionByName(again)
+        again = stay.join(twice, [*_KEY], "left_semi").dropDuplicates([*_KEY])
+        stay = stay.join(twice, [*_KEY], "left_anti").unionByName(again)
     return stay.select(*docs.columns)

@@ -40,6 +40,8 @@ PASSES = 3
 SEED = 20_240_101
 #: Documents in a bucket of a permutation, about.
 BUCKET = 10_000
+#: Sources up to which their rows are sent to every task (some 100 bytes each).
+SOURCES = 50_000
 #: Numbers in the shards' quotas at most.
 QUOTAS = 4_000_000
 
@@ -116,13 +118,19 @@ class Mix:
             words = round(t)
             full = words // r.words if r.words else 0
             rows.append((r.source, r.words, t, full, words - full * r.words, max(1, (r.blocks // bucket).bit_length())))
+        self.n_sources = len(rows)
         self.sources = spark.createDataFrame(rows, "source string, source_size long, target double, full int, rest long, bits int")
         self.shards = max(1, min(shards or partitions(spark), QUOTAS // max(1, len(rows) * (most + 1))))
         self.draws = written(self._draws(), "draws")
 
+    def _sources(self) -> DataFrame:
+        """The sources' rows, sent to each task while there are at most ``SOURCES`` of them."""
+        here = self.sources.withColumnRenamed("source", "of")
+        return F.broadcast(here) if self.n_sources <= SOURCES else here
+
     def _draws(self) -> DataFrame:
         """Rows of (row, doc_id, mark, source, size, pass, rank, take)."""
-        here = self.sources.withColumnRenamed("source", "of")
+        here = self._sources()
         passes = F.expr("sequence(0, full - if(rest > 0, 0, 1))")
         dealt = (
             self.sizes.filter("size > 0").join(here, F.col("source").eqNullSafe(F.col("of")))
@@ -144,7 +152,7 @@ class Mix:
     def taken(self) -> DataFrame:
         """For each document: doc_id, source, size, source_size, target, taken."""
         sums = self.draws.groupBy("row").agg(F.sum("take").alias("taken"))
-        here = self.sources.withColumnRenamed("source", "of").select("of", "source_size", "target")
+        here = self._sources().select("of", "source_size", "target")
         found = self.sizes.join(sums, "row", "left").join(here, F.col("source").eqNullSafe(F.col("of")))
         return found.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
 
@@ -176,15 +184,15 @@ class Mix:
         its ``n_chars``, if there is such a column, is that of what is kept.
         """
         docs, columns = self.docs, self.docs.columns
-        key = ["_id", "_mark", "_source"]
+        key = ["__tsforge_id", "__tsforge_mark", "__tsforge_source"]
         name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-        draws = self.dealt().select(name.alias("_id"), F.col("mark").alias("_mark"), F.coalesce("source", F.lit("")).alias("_source"), F.col("take").alias("_take"), F.col("size").alias("_size"), F.col("shard").alias("_shard"), F.col("order").alias("_order"))
-        keyed = docs.withColumns({"_id": name, "_mark": F.xxhash64(text_of()), "_source": F.coalesce("source", F.lit(""))})
+        draws = self.dealt().select(name.alias("__tsforge_id"), F.col("mark").alias("__tsforge_mark"), F.coalesce("source", F.lit("")).alias("__tsforge_source"), F.col("take").alias("__tsforge_take"), F.col("size").alias("__tsforge_size"), F.col("shard").alias("__tsforge_shard"), F.col("order").alias("__tsforge_order"))
+        keyed = docs.withColumns({"__tsforge_id": name, "__tsforge_mark": F.xxhash64(text_of()), "__tsforge_source": F.coalesce("source", F.lit(""))})
         if self.sizes.groupBy("doc_id", "mark", "source").count().filter("count > 1").take(1):
             keyed = keyed.dropDuplicates(key)  # the draws have a row for each repeated row
         words = F.filter(F.split(text_of(), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-        cut = F.col("_take") < F.col("_size")
-        mixed = keyed.join(draws, key).withColumn("text", F.when(cut, F.array_join(F.slice(words, 1, F.col("_take").cast("int")), " ")).otherwise(F.col("text")))
+        cut = F.col("__tsforge_take") < F.col("__tsforge_size")
+        mixed = keyed.join(draws, key).withColumn("text", F.when(cut, F.array_join(F.slice(words, 1, F.col("__tsforge_take").cast("int")), " ")).otherwise(F.col("text")))
         if "n_chars" in columns:
             mixed = mixed.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-        return mixed.repartition(self.shards, "_shard").sortWithinPartitions("_shard", "_order").select(*columns)
+        return mixed.repartition(self.shards, "__tsforge_shard").sortWithinPartitions("__tsforge_shard", "__tsforge_order").select(*columns)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import partitions, small_batches, written
+from tsforge.llm.common import partitions, sent_if_small, small_batches, written
 
 SHINGLE = 3
 DISTANCE = 3
@@ -184,7 +184,10 @@ def groups(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """The documents of which one of each group of near copies stays: that with the smallest doc_id."""
+    """The documents of which one of each group of near copies stays: that with the smallest doc_id.
+
+    Rows without a doc_id can't be told apart and stay.
+    """
     found = written(groups(docs), "components")
     gone = found.filter("doc_id is not null and doc_id != component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return docs.join(sent_if_small(gone), "doc_id", "left_anti").select(*docs.columns)
