@@ -1,13 +1,13 @@
 import io
 import json
 import tarfile
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from tsforge import cli
-from tsforge.operators import catalog, ingest, inventory, store
+from tsforge.operators import catalog, ingest, inventory, ranges, store
 from tsforge.operators.selection import Selection
 from tsforge.plans import export
 from tsforge.sources import line_protocol, tables
@@ -182,8 +182,22 @@ def test_a_broken_dump_stops_no_other(spark, tmp_path):
     (tmp_path / "b.txt").write_text(row + "1\tbroken\n")
     entries, sources = inventory.load(spark, str(tmp_path))
     assert entries.count() == 2 and {r.status for r in sources.collect()} == {"complete", "error"}
-    assert cli.main(["inventory", "--input", str(tmp_path), "--output", str(tmp_path / "out")]) == 0
-    assert [r.value for r in spark.read.text(f"{tmp_path}/out/measurements").collect()] == ["m"]
+    out = tmp_path.with_name(tmp_path.name + "-out")
+    assert cli.main(["inventory", "--input", str(tmp_path), "--output", str(out), "--family", "M"]) == 0
+    assert [r.value for r in spark.read.text(f"{out}/family_measurements").collect()] == ["m"]
+    read = lambda name: spark.read.option("header", "true").csv(f"{out}/{name}").collect()
+    assert [(r.vsn, r.variables) for r in read("instruments")] == [("W1", "1")] and read("measurements")[0].series == "1"
+    assert read("instrument_variables")[0].blocks == "2" and {r.status for r in read("status")} == {"complete", "error"}
+
+
+def test_ranges(spark):
+    rows = [(1, date(2025, 1, 1), date(2025, 1, 4)), (2, date(2025, 1, 5), date(2025, 1, 5)), (3, date(2024, 1, 1), date(2024, 2, 1))]
+    df = spark.createDataFrame(rows, "id int, a date, b date")
+    clipped = ranges.overlapping(df, "a", "b", date(2025, 1, 2), date(2025, 2, 1))
+    assert [tuple(r) for r in clipped.collect()] == [(1, date(2025, 1, 2), date(2025, 1, 4))]
+    days = ranges.expanded(df, "a", "b")
+    assert days.filter("id = 1").count() == 3 and days.filter("id = 2").count() == 0
+    assert ranges.missing_days(days.filter("id = 1").select("day"), days.filter("day < '2025-01-02'")).count() == 2
 
 
 def test_command_line(spark, tmp_path, capsys):

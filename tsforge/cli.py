@@ -37,11 +37,21 @@ def convert(spark: SparkSession, a) -> int:
 def index(spark: SparkSession, a) -> int:
     """Index dumps to an inventory of series and of sources; a broken dump is an error row."""
     entries, sources = inventory.load(spark, a.input)
-    key = F.to_json(F.array_sort(F.map_entries("tags"))).alias("tags")
-    rows = entries.select("measurement", "field", key, "minimum_time", "maximum_time", "source", F.col("source").alias("ordinal"))
-    store.write_csv(inventory.rollup(rows), f"{a.output}/series", "measurement", "field", "tags")
+    registry = Registry.from_document(d) if (d := _json(a.registry)) else Registry()
+    keyed = entries.withColumns({"key": F.to_json(F.array_sort(F.map_entries("tags"))), "ordinal": F.col("source")})
+    rolled = inventory.rollup(keyed, "measurement", "field", "key")
+    tags = keyed.groupBy("key").agg(F.first("tags").alias("tags"))
+    resolved = inventory.resolve(rolled.join(tags, "key"), registry).persist()
+    who = ("instrument_id", "source", "confidence", "review_required", "vsn", "kind", "zone")
+    store.write_csv(resolved.withColumn("tags", F.to_json("tags")).drop("key"), f"{a.output}/series", "measurement", "field", "tags")
+    store.write_csv(inventory.instruments(resolved, *who), f"{a.output}/instruments", "instrument_id")
+    store.write_csv(inventory.instrument_variables(resolved, "instrument_id"), f"{a.output}/instrument_variables", "instrument_id", "measurement", "field")
+    store.write_csv(inventory.measurements(resolved), f"{a.output}/measurements", "measurement", "field")
+    store.write_csv(inventory.status_counts(sources), f"{a.output}/status", "status")
     store.write_csv(sources, f"{a.output}/sources", "source")
-    store.write_lines(entries.select("measurement"), f"{a.output}/measurements")
+    for name, column in (("family_measurements", "measurement"), ("family_instruments", "instrument_id")):
+        store.write_lines(inventory.family(resolved, a.family, a.family_sensor, column), f"{a.output}/{name}")
+    resolved.unpersist()
     return 0
 
 
@@ -76,6 +86,9 @@ def parser() -> argparse.ArgumentParser:
     i = sub.add_parser("inventory")
     for name in ("--input", "--output"):
         i.add_argument(name, required=True)
+    i.add_argument("--registry")
+    i.add_argument("--family", default="wxt.", help="prefix of the measurements to list")
+    i.add_argument("--family-sensor", default="vaisala-wxt536", help="sensor whose rows belong to the family as well")
     i.set_defaults(call=index)
     q = sub.add_parser("qc")
     q.add_argument("action", choices=("validate", "run", "resume", "compile", "report"))

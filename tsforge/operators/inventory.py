@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tsforge.functions.identity import Registry, instrument
 from tsforge.sources import tables
 
 
@@ -21,6 +22,13 @@ def load(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return tables.with_tags(good).select("measurement", "tags", "field", "minimum_time", "maximum_time", "source"), sources
 
 
+def resolve(series: DataFrame, registry: Registry | None = None) -> DataFrame:
+    """Rolled-up series (with ``tags`` as a map) with the identity of their instrument and what their tags say."""
+    tag = lambda k: F.nullif(F.try_element_at("tags", F.lit(k)), F.lit(""))
+    named = series.withColumn("i", instrument(F.col("measurement"), F.col("tags"), registry))
+    return named.select("*", tag("sensor").alias("sensor"), tag("units").alias("units"), tag("missing").alias("missing"), *[F.col(f"i.{c}").alias(c) for c in ("instrument_id", "source", "confidence", "review_required", "vsn", "kind", "zone")]).drop("i")
+
+
 def rollup(entries: DataFrame, *series_keys: str) -> DataFrame:
     """One row for each series: times, blocks, and the first and last source by ordinal."""
     keys = list(series_keys) or ["measurement", "field", "tags"]

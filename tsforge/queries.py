@@ -7,7 +7,7 @@ fields). Each query is an operator of the engine over those facts.
 
 from __future__ import annotations
 
-from datetime import UTC, datetime
+from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from tsforge import schema
 from tsforge.functions import identity, times
 from tsforge.functions.globs import matches
-from tsforge.operators import catalog, ingest, inventory
+from tsforge.operators import catalog, ingest, inventory, ranges
 from tsforge.operators.selection import Selection
 from tsforge.plans import export, level1, qc
 from tsforge.plans.qc_config import Rules
@@ -565,15 +565,14 @@ def _shards(spark, sf_dir):
 @query(f"WITH {_SHARDS} SELECT shard, strftime(unnest(generate_series(d0, d1 - 1, INTERVAL 1 DAY)), '%Y-%m-%d') AS day FROM s")
 def day_expansion(spark, sf_dir):
     """The days of half-open ranges."""
-    days = F.explode(F.sequence("d0", F.date_sub("d1", 1)))
-    return _shards(spark, sf_dir).select("shard", days.alias("d")).select("shard", F.date_format("d", "yyyy-MM-dd").alias("day"))
+    return ranges.expanded(_shards(spark, sf_dir), "d0", "d1").select("shard", F.date_format("day", "yyyy-MM-dd").alias("day"))
 
 
 @query(f"WITH {_SHARDS} SELECT shard, strftime(greatest(d0, DATE '1996-03-01'), '%Y-%m-%d') AS first, strftime(least(d1, DATE '1997-02-01'), '%Y-%m-%d') AS past FROM s WHERE greatest(d0, DATE '1996-03-01') < least(d1, DATE '1997-02-01')")
 def shard_overlap(spark, sf_dir):
     """Shards clipped to a range, without those outside it."""
-    low, high = F.greatest("d0", F.lit("1996-03-01").cast("date")), F.least("d1", F.lit("1997-02-01").cast("date"))
-    return _shards(spark, sf_dir).filter(low < high).select("shard", F.date_format(low, "yyyy-MM-dd").alias("first"), F.date_format(high, "yyyy-MM-dd").alias("past"))
+    found = ranges.overlapping(_shards(spark, sf_dir), "d0", "d1", date(1996, 3, 1), date(1997, 2, 1))
+    return found.select("shard", F.date_format("d0", "yyyy-MM-dd").alias("first"), F.date_format("d1", "yyyy-MM-dd").alias("past"))
 
 
 @query(sql("SELECT DISTINCT vsn, day FROM f WHERE NOT (event_id % 1 = 0 AND ascii(substr(vsn, 4, 1)) % 2 = 0 AND day < '2024-01-10')", _NAMED))
@@ -587,7 +586,7 @@ def resume_pending(spark, sf_dir):
 @query(sql("SELECT strftime(d, '%Y-%m-%d') AS day FROM (SELECT unnest(generate_series(DATE '2023-12-25', DATE '2024-02-10', INTERVAL 1 DAY)) AS d) WHERE strftime(d, '%Y-%m-%d') NOT IN (SELECT day FROM ev)"))
 def missing_dates(spark, sf_dir):
     wanted = spark.range(1).select(F.explode(F.expr("sequence(date'2023-12-25', date'2024-02-10')")).alias("d")).select(F.date_format("d", "yyyy-MM-dd").alias("day"))
-    return inventory.pending(wanted, facts(spark, sf_dir).select("day").distinct(), "day")
+    return ranges.missing_days(wanted, facts(spark, sf_dir))
 
 
 @query("SELECT n_name AS name, n_regionkey::DOUBLE AS region, NULL::DOUBLE AS balance FROM nation UNION ALL SELECT s_name, NULL, s_acctbal FROM supplier")

@@ -51,7 +51,8 @@ def index_rows(lines: DataFrame, column: str = "value", *more: str) -> DataFrame
 
 def with_tags(rows: DataFrame) -> DataFrame:
     """Index rows with measurement and tags: each distinct series key is parsed once."""
-    parsed = F.udf(parse_series, "struct<measurement:string,tags:map<string,string>>")
+    # the optimizer may parse keys before it drops the lines that gave none
+    parsed = F.udf(lambda key: parse_series(key) if key else None, "struct<measurement:string,tags:map<string,string>>")
     keys = rows.select("series_key").distinct().withColumn("s", parsed("series_key"))
     named = rows.join(keys, "series_key").withColumns({"measurement": F.col("s.measurement"), "tags": retained(F.col("s.tags"))})
     return named.drop("s", "series_key", "fits", "_line")
