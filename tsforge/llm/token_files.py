@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tsforge.llm import simple8b
-from tsforge.llm.common import partitions, small_batches, written
+from tsforge.llm.common import deal_exactly, partitions, sent_if_small, small_batches, written
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END = 1
@@ -201,7 +201,7 @@ def write(docs: DataFrame, path: str = VOCABULARY, end: int = END, blob_ids: int
     cuts = base.agg(F.percentile_approx("doc_id", [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0]
     bounds = np.unique(np.array(cuts or [], np.int64))
     tokens = base.mapInArrow(lambda it: _tokenise(it, tokenizer, bounds, end, kind), "shard int, doc_id long, ids binary")
-    in_order = tokens.repartition(n, "shard").sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "ids")
+    in_order = deal_exactly(tokens, F.col("shard"), n).sortWithinPartitions("shard", F.asc_nulls_first("doc_id"), "ids")
     return written(in_order.mapInArrow(lambda it: _pack_sorted(it, kind, blob_ids), BLOBS), "token-blobs")
 
 
@@ -223,4 +223,4 @@ def read_index(blobs: DataFrame) -> DataFrame:
     shards = sizes.groupBy("shard").agg(F.sum("n_ids").alias("n_ids")).select("shard", before(Window.orderBy("shard")).alias("shard_base"))
     inner = sizes.select("shard", "seq", before(Window.partitionBy("shard").orderBy("seq")).alias("inner_base"))
     bases = inner.join(shards, "shard").select("shard", "seq", (F.col("shard_base") + F.col("inner_base")).alias("base"))
-    return blobs.join(bases, ["shard", "seq"]).select("base", "blob").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return blobs.join(sent_if_small(bases), ["shard", "seq"]).select("base", "blob").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
