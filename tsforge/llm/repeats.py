@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import partitions, small_batches, text_of
+from tsforge.llm.common import deal_exactly, partitions, small_batches, text_of
 
 #: Entries that a task holds before it sends them.
 RUN = 1 << 21
@@ -386,8 +386,8 @@ def with_pieces(docs: DataFrame, rule: Rule) -> DataFrame:
     dealt = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), text_of().cast("binary").alias("text")).repartition(n, "key")
 
     def settled(sent: DataFrame, finish, kind) -> DataFrame:
-        met = sent.repartition(n, "slot", "dest").sortWithinPartitions("slot").mapInArrow(lambda it: _settle(it, lambda parts: finish(parts, rule, n)), _SENT)
-        return met.repartition(n, "dest").mapInArrow(lambda it: _gather(it, np.dtype(kind)), "key long, data binary")
+        met = deal_exactly(sent, F.coalesce("slot", "dest"), n).sortWithinPartitions("slot").mapInArrow(lambda it: _settle(it, lambda parts: finish(parts, rule, n)), _SENT)
+        return deal_exactly(met, F.col("dest"), n).mapInArrow(lambda it: _gather(it, np.dtype(kind)), "key long, data binary")
 
     places = settled(dealt.mapInArrow(lambda it: _send_anchors(it, rule, n), _SENT), _live_anchors, "<i4")
     live = dealt.join(places, "key").select("key", F.xxhash64("text").alias("mark"), "text", "data")
