@@ -76,13 +76,18 @@ def test_against_the_slow_parser():
         if len(names) < len(tags):
             continue
         text = ",".join([key(), *(f"{k}={v}" for k, v in tags.items())]) + " " + ",".join(f"{key()}={value()}" for _ in range(rng.randrange(1, 4))) + f" {rng.randrange(-10**18, 10**18)}"
-        assert lp.parse_record(text) == slow_parse(text), text
+        want = slow_parse(text)
+        assert lp.parse_record(text) == want, text
+        rows = [r for b in lp.batches_of([text]) for r in b.to_pylist()]
+        assert [(r["measurement"], dict(r["tags"]), r["time_ns"], r["field"], r["value_type"], r[f"value_{r['value_type']}"]) for r in rows] == [(*want[:3], *f) for f in want[3]]
 
 
 @pytest.mark.parametrize("bad", ['m value="broken', "m value=9223372036854775808i 1", "m value=18446744073709551616u 1", "m value=-1u 1", "m v=1", "m", ",a=b v=1 1", "m,a=1,a=2 v=1 2", "m,a= v=1 2", "m v=1, 2", "m v= 1", "m =1 1", "m v=1d 1", "m v=1 x"])
 def test_what_is_no_record(bad):
     with pytest.raises(lp.LineProtocolError):
         lp.parse_record(bad)
+    with pytest.raises(lp.LineProtocolError):
+        list(lp.batches_of([bad]))
 
 
 def test_records_of_a_stream():

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
-from tsforge.schema import POINTS
+from tsforge.schema import POINTS, VALUE_TYPES
 
 #: Points in an Arrow batch, and series that a worker keeps.
 BATCH, KEPT = 20_000, 100_000
@@ -32,7 +32,6 @@ _FIELD = re.compile(r'((?:\\.|"(?:\\.|[^"\\])*+"|[^,"\\])++\\?)(?:,|\Z)', re.S)
 _KEY = re.compile(r"(?:[^=]|(?<=\\)=)*+(?<!\\)=", re.S)
 _TAG_PARTS = re.compile(r"(?:\\.|[^\\,])*+\\?", re.S)
 _EQUALS = re.compile(r"((?:\\.|[^\\=])*+)=(.*)", re.S)
-_INTEGER = re.compile(r"(.+)([iu])\Z", re.S)
 _RANGE = {"i": ("int64", -(1 << 63), (1 << 63) - 1), "u": ("uint64", 0, (1 << 64) - 1)}
 
 SCHEMA = pa.schema(
@@ -83,9 +82,9 @@ def parse_value(text: str) -> tuple[str, object]:
     if text in ("true", "false"):
         return "bool", text == "true"
     try:
-        if m := _INTEGER.match(text):
-            kind, low, high = _RANGE[m[2]]
-            number = int(m[1])
+        if text[-1] in _RANGE:
+            kind, low, high = _RANGE[text[-1]]
+            number = int(text[:-1])
             if not low <= number <= high:
                 raise LineProtocolError(f"out of range: {text}")
             return kind, number
@@ -156,12 +155,20 @@ def records(lines: Iterable[bytes]) -> Iterator[str]:
 
 
 class _Columns:
+    """Points gathered by column; a batch of one value type needs no look at each value."""
+
     def __init__(self):
-        self.rows: list[list] = [[] for _ in SCHEMA]
         self.series: dict[str, tuple[str, list]] = {}
+        self._clear()
+
+    def _clear(self):
+        self.measurements, self.tags, self.times, self.names, self.kinds, self.values = [], [], [], [], [], []
+
+    def __len__(self) -> int:
+        return len(self.times)
 
     def add(self, record: str):
-        key, rest = split_series(record)
+        key, rest = split_series(record) if "\\" in record else record.split(" ", 1) if " " in record else (record, "")
         known = self.series.get(key)
         if known is None:
             if len(self.series) > KEPT:
@@ -173,28 +180,43 @@ class _Columns:
             time_ns = int(stamp)
         except ValueError as e:
             raise LineProtocolError(f"not a timestamp: {stamp!r}") from e
-        for name, kind, value in parse_fields(body):
-            for column, x in zip(self.rows, (*known, time_ns, name, kind)):
-                column.append(x)
-            for column, k in zip(self.rows[5:], _RANGE_ORDER):
-                column.append((Decimal(value) if k == "uint64" else value) if k == kind else None)
+        for name, kind, value in parse_fields(body) if '"' in body or "\\" in body else _plain_fields(body):
+            self.measurements.append(known[0])
+            self.tags.append(known[1])
+            self.times.append(time_ns)
+            self.names.append(name)
+            self.kinds.append(kind)
+            self.values.append(value)
 
     def batch(self) -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(self.rows, SCHEMA)], schema=SCHEMA)
-        self.rows = [[] for _ in SCHEMA]
-        return out
-
-
-_RANGE_ORDER = ("float64", "int64", "uint64", "bool", "string")
+        n, present = len(self), set(self.kinds)
+        columns = [pa.array(c, f.type) for c, f in zip((self.measurements, self.tags, self.times, self.names, self.kinds), SCHEMA)]
+        for kind, f in zip(VALUE_TYPES, list(SCHEMA)[5:]):
+            if kind not in present:
+                columns.append(pa.nulls(n, f.type))
+                continue
+            mine = self.values if len(present) == 1 else [v if k == kind else None for v, k in zip(self.values, self.kinds)]
+            columns.append(pa.array([None if v is None else Decimal(v) for v in mine] if kind == "uint64" else mine, f.type))
+        self._clear()
+        return pa.RecordBatch.from_arrays(columns, schema=SCHEMA)
+
+
+def _plain_fields(body: str):
+    """The fields of a record without quotes and escapes."""
+    for part in body.split(","):
+        name, equals, text = part.partition("=")
+        if not name or not equals:
+            raise LineProtocolError(f"not a field: {part[:80]!r}")
+        yield (name, *parse_value(text))
 
 
 def batches_of(texts: Iterable[str]) -> Iterator[pa.RecordBatch]:
     columns = _Columns()
     for text in texts:
         columns.add(text)
-        if len(columns.rows[0]) >= BATCH:
+        if len(columns) >= BATCH:
             yield columns.batch()
-    if columns.rows[0]:
+    if len(columns):
         yield columns.batch()
 
 
@@ -207,7 +229,7 @@ def decode(df: DataFrame, column: str = "record") -> DataFrame:
             for text in batch.column(0).to_pylist():
                 if text is not None:
                     columns.add(text)
-            if columns.rows[0]:
+            if len(columns):
                 yield columns.batch()
 
     return df.select(column).mapInArrow(run, POINTS)
