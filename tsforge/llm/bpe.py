@@ -20,7 +20,8 @@ null doc_id stays null. An empty table gives an empty result.
 from __future__ import annotations
 
 import base64
-from itertools import accumulate, chain
+from array import array
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -60,7 +61,14 @@ class Codec:
             for token, rank in ranks.items():
                 self.tokens[rank] = token
             self.split = regex.compile(self.pattern).findall
-            self.kept: dict[str, list[int]] = {}
+            encode = self.encoding.encode_ordinary
+
+            class Pieces(dict):
+                def __missing__(self, piece: str) -> bytes:
+                    found = self[piece] = array("i", encode(piece)).tobytes()
+                    return found
+
+            self.kept = Pieces()
             self._ready = True
 
     def pieces(self, text: str) -> list[str]:
@@ -70,12 +78,9 @@ class Codec:
     def ids(self, text: str) -> np.ndarray:
         """The ids of a text that begins and ends at pre-token boundaries."""
         pieces = self.pieces(text)
-        kept = self.kept
-        if len(kept) > KEPT:
-            kept.clear()
-        for piece in set(pieces).difference(kept):
-            kept[piece] = self.encoding.encode_ordinary(piece)
-        return np.fromiter(chain.from_iterable(map(kept.__getitem__, pieces)), np.int32)
+        if len(self.kept) > KEPT:
+            self.kept.clear()
+        return np.frombuffer(b"".join(map(self.kept.__getitem__, pieces)), np.int32)
 
     def bytes(self, ids) -> bytes:
         self._open()
