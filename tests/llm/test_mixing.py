@@ -37,8 +37,9 @@ def corpus(rng):
     return ODD + [(100 + i, " ".join("w" for _ in range(rng.randrange(40))), rng.choice("aaaaaaaabcd")) for i in range(400)]
 
 
-@pytest.mark.parametrize("bucket", [mixing.BUCKET, 8])
-def test_taken_against_brute_force(documents, bucket):
+@pytest.mark.parametrize("bucket,run", [(mixing.BUCKET, mixing.RUN), (8, 3)])
+def test_taken_against_brute_force(documents, monkeypatch, bucket, run):
+    monkeypatch.setattr(mixing, "RUN", run)
     rows = corpus(random.Random(3))
     mix = mixing.Mix(documents(rows, extra=True), bucket=bucket)
     found = mix.taken().collect()
@@ -92,3 +93,13 @@ def test_mix_of_nothing(documents):
     assert mix.taken().count() == 0 and mix.documents().count() == 0
     empty = mixing.Mix(documents(["", None, " \t"]))
     assert [r.taken for r in empty.taken().collect()] == [0, 0, 0] and empty.documents().count() == 0
+
+
+@pytest.mark.parametrize("n", [1, 7, 51, 211])
+def test_numbers_are_dealt_exactly(spark, n):
+    from pyspark.sql import functions as F
+
+    from tsforge.llm.common import deal_exactly
+
+    rows = deal_exactly(spark.range(0, 5 * n).withColumn("k", F.col("id") % n), F.col("k"), n).select("k", F.spark_partition_id().alias("p")).distinct().collect()
+    assert len(rows) == n and sorted(r.k for r in rows) == sorted(r.p for r in rows) == list(range(n))

@@ -6,7 +6,7 @@ documents, which are the blocks that are drawn. Where a partial pass ends, the
 last document is cut, so the words taken are the rounded target exactly.
 
 A permutation is ranked without sorting a source in one task: the top bits of
-the hash deal it in buckets of some ten thousand documents, a bucket's offset
+the hash deal it in buckets of some thousand documents, a bucket's offset
 comes from the counts of those before it, and only buckets are sorted.
 
 Output shards get their quotas from a tree. Its root holds how many blocks each
@@ -31,15 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import WORD, partitions, text_of, written
+from tsforge.llm.common import WORD, deal_exactly, partitions, text_of, written
 
 #: Weights of the sources in order, repeating.
 WEIGHTS = (1.0, 2.0, 3.0)
 #: Passes over a source at most.
 PASSES = 3
 SEED = 20_240_101
-#: Documents in a bucket of a permutation, about.
-BUCKET = 10_000
+#: Documents in a bucket of a permutation, about, and buckets in a run of them.
+BUCKET, RUN = 1_000, 4_096
 #: Sources up to which their rows are sent to every task (some 100 bytes each).
 SOURCES = 50_000
 #: Numbers in the shards' quotas at most.
@@ -104,6 +104,21 @@ def sized(docs: DataFrame) -> DataFrame:
     )
 
 
+def _offsets(counts: DataFrame, key: list[str]) -> DataFrame:
+    """What stands before each bucket of a pass: n0 blocks and w0 words.
+
+    Two levels: buckets within a run of buckets, and runs, so that no task sums
+    a hot source's buckets one by one.
+    """
+    runs = counts.withColumn("run", F.expr(f"bucket div {RUN}"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    within, across = before(Window.partitionBy(*key, "run").orderBy("bucket")), before(Window.partitionBy(*key).orderBy("run"))
+    upper = runs.groupBy(*key, "run").agg(F.sum("n").alias("n"), F.sum("words").alias("words"))
+    tops = upper.select(*key, "run", *(F.coalesce(F.sum(c).over(across), F.lit(0)).alias(f"{c}_top") for c in ("n", "words")))
+    inner = runs.select(*key, "run", "bucket", *(F.coalesce(F.sum(c).over(within), F.lit(0)).alias(c) for c in ("n", "words")))
+    return inner.join(tops, [*key, "run"]).select(*key, "bucket", (F.col("n") + F.col("n_top")).alias("n0"), (F.col("words") + F.col("words_top")).alias("w0"))
+
+
 class Mix:
     """The draws of a mix: what each shard takes of each document in each pass."""
 
@@ -132,7 +147,7 @@ class Mix:
         """Rows of (row, doc_id, mark, source, size, pass, rank, take)."""
         here = self._sources()
         passes = F.expr("sequence(0, full - if(rest > 0, 0, 1))")
-        dealt = (
+        rows = (
             self.sizes.filter("size > 0").join(here, F.col("source").eqNullSafe(F.col("of")))
             .filter("full > 0 or rest > 0").withColumn("pass", F.explode(passes))
             .withColumn("h", F.xxhash64(F.lit(self.seed), "pass", "source", "doc_id", "mark"))
@@ -140,11 +155,10 @@ class Mix:
             .select("row", "doc_id", "mark", "source", "size", "full", "rest", "pass", "h", "bucket", F.coalesce("source", F.lit("")).alias("name"), F.col("source").isNull().alias("none"))
         )
         key = ["none", "name", "pass"]
-        counts = dealt.groupBy(*key, "bucket").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
-        before = Window.partitionBy(*key).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = counts.select(*key, "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"), F.coalesce(F.sum("words").over(before), F.lit(0)).alias("w0"))
+        counts = rows.groupBy(*key, "bucket").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
+        offsets = _offsets(counts, key)
         inside = Window.partitionBy(*key, "bucket").orderBy("h", "doc_id", "mark", "row")
-        ranked = dealt.withColumns({"rank": F.row_number().over(inside) - 1, "ahead": F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")})
+        ranked = rows.withColumns({"rank": F.row_number().over(inside) - 1, "ahead": F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("size")})
         placed = ranked.join(offsets, [*key, "bucket"])
         take = F.when(F.col("pass") < F.col("full"), F.col("size")).otherwise(F.least("size", F.col("rest") - F.col("w0") - F.col("ahead")))
         return placed.select("row", "doc_id", "mark", "source", "size", "pass", (F.col("rank") + F.col("n0")).alias("rank"), take.alias("take")).filter("take > 0")
@@ -195,4 +209,4 @@ class Mix:
         mixed = keyed.join(draws, key).withColumn("text", F.when(cut, F.array_join(F.slice(words, 1, F.col("__tsforge_take").cast("int")), " ")).otherwise(F.col("text")))
         if "n_chars" in columns:
             mixed = mixed.withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-        return mixed.repartition(self.shards, "__tsforge_shard").sortWithinPartitions("__tsforge_shard", "__tsforge_order").select(*columns)
+        return deal_exactly(mixed, F.col("__tsforge_shard"), self.shards).sortWithinPartitions("__tsforge_shard", "__tsforge_order").select(*columns)
