@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from tsforge.llm import golomb
 from tsforge.llm.common import partitions, sent_if_small, text_of, written
 
-#: Hashes in a run at most: what a task holds at a time.
+#: Hashes in a run, and a batch more at most: what a task holds at a time. Rows are numbered by 21 bits in a run.
 RUN_ROWS = 1 << 20
 #: Rows of one hash from which they are salted, and the salts.
 HOT, SALTS = 256, 64
@@ -46,7 +46,7 @@ _MARKED = "row long, doc_id long, digest binary, suspect boolean, hot boolean"
 
 def _pack(batches, owner_bits: int, run_rows: int):
     """Rows of (doc_id, hash, digest) to one row for each run and owner."""
-    base, number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 24, 0
+    base, number = (TaskContext.get().partitionId() if TaskContext.get() else 0) << 16, 0
     held: list[pa.RecordBatch] = []
 
     def flush():
@@ -106,7 +106,7 @@ def _mark(batches):
         ids, digests = batch.column("doc_ids"), batch.column("digests")
         for i, x in enumerate(batch.select(["run", "first", "n", "bitmap", "hot"]).to_pylist()):
             bits, hot = (np.unpackbits(np.frombuffer(x[k], np.uint8))[: x["n"]].astype(bool) for k in ("bitmap", "hot"))
-            numbers = (x["run"] << 20) + x["first"] + np.arange(x["n"])
+            numbers = (x["run"] << 21) + x["first"] + np.arange(x["n"])
             yield pa.RecordBatch.from_arrays([pa.array(numbers), ids[i].values, digests[i].values, pa.array(bits), pa.array(hot)], names=["row", "doc_id", "digest", "suspect", "hot"])
 
 
