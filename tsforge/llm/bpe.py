@@ -39,7 +39,7 @@ PATTERN = public_tokenizers.PATTERN
 CHUNK = 32_768
 OVERLAP = 1_024
 #: Pre-tokens whose ids a worker keeps.
-KEPT = 300_000
+KEPT = 150_000
 
 
 class Codec:
@@ -93,10 +93,14 @@ def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int32), pa.int32()))
 
 
-def _encode_texts(batches, codec: Codec):
+def _encode_texts(batches, codec: Codec, decoded: bool):
     for batch in batches:
         found = [codec.ids(t or "") for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(found)], names=["doc_id", "ids"])
+        columns, names = [batch.column("doc_id"), _lists(found)], ["doc_id", "ids"]
+        if decoded:
+            columns.append(pa.array([codec.bytes(x.tolist()) for x in found], pa.binary()))
+            names.append("bytes")
+        yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _chunks(batches, chunk: int, overlap: int):
@@ -129,6 +133,12 @@ def _encode_spans(batches, codec: Codec):
 
 def encode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """doc_id and ids (array<int>) for each document."""
+    direct, stitched = _encoded(docs, path, pattern, chunk, overlap, decoded=False)
+    return direct.unionByName(stitched)
+
+
+def _encoded(docs: DataFrame, path: str, pattern: str, chunk: int, overlap: int, decoded: bool) -> tuple[DataFrame, DataFrame]:
+    """Documents that one task encoded, on request with their decoded ``bytes``, and those that were stitched."""
     spark = docs.sparkSession
     small_batches(spark)
     codec = Codec(path, pattern)
@@ -153,8 +163,9 @@ def encode(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN, chun
     unsynchronised = chunks.join(seams.filter("lost").select("row").distinct(), "row", "left_semi")
     own = F.struct("i", F.substring("text", 1, chunk).alias("text"))
     whole = unsynchronised.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.sort_array(F.collect_list(own)).alias("parts")).select("doc_id", F.array_join("parts.text", "").alias("text"))
-    encoded = [x.mapInArrow(lambda it: _encode_texts(it, codec), "doc_id long, ids array<int>") for x in (short, whole)]
-    return encoded[0].unionByName(encoded[1]).unionByName(stitched)
+    schema = "doc_id long, ids array<int>" + ", bytes binary" * decoded
+    direct = [x.mapInArrow(lambda it: _encode_texts(it, codec, decoded), schema) for x in (short, whole)]
+    return direct[0].unionByName(direct[1]), stitched
 
 
 def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
@@ -172,8 +183,13 @@ def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
     return encoded.mapInArrow(run, schema)
 
 
-def round_trip(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, n_tokens and the digests of the ids as text and of what they decode to."""
-    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
-    encoded = encode(docs, **options).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"), "ids")
-    return decode(encoded).select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))
+def round_trip(docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """doc_id, n_tokens and the digests of the ids as text and of what they decode to.
+
+    A task that encodes a text decodes its ids as well, so that each needs one Python worker.
+    """
+    direct, stitched = _encoded(docs, path, pattern, chunk, overlap, decoded=True)
+    ids_sha256 = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256")
+    digested = ["doc_id", F.size("ids").cast("long").alias("n_tokens"), ids_sha256]
+    both = direct.select(*digested, "bytes").unionByName(decode(stitched.select(*digested, "ids"), path))
+    return both.select("doc_id", "n_tokens", "ids_sha256", F.sha2("bytes", 256).alias("decoded_sha256"))

@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 WORD = r"[^\x20\x09-\x0D]+"
 
 #: Rows per Arrow batch; texts can be long, so batches stay small.
-BATCH_ROWS = 1000
-BATCH_BYTES = "16m"
+BATCH_ROWS = 512
+BATCH_BYTES = "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +27,8 @@ def text_of(name: str = "text") -> Column:
 
 
 def small_batches(spark: SparkSession) -> None:
+    """Few rows at a time, from the scan to Python: a batch of long texts is held several times over."""
+    spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", str(2 * BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
@@ -53,6 +55,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     without running the stages before it again, and has real statistics.
     """
     spark = df.sparkSession
+    small_batches(spark)
     path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
