@@ -119,3 +119,16 @@ def test_latin_words_skip_the_normaliser():
     for _ in range(3000):
         word = "".join(rng.choices(letters, k=rng.randrange(1, 9))) + "".join(rng.choices(".,!?'*#$%&_-", k=rng.randrange(4)))
         assert mine.ids(word).tolist() == library.encode(word, add_special_tokens=False).ids, word
+
+
+def test_latin_texts_are_split_as_the_library_splits_them():
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    library.encode_special_tokens = True
+    mine = token_files.WordTokenizer()
+    rng = random.Random(9)
+    every = [chr(c) for c in range(256)]
+    common = list("ab'sStTrReElL  \n12½²ªµ.,!_")
+    for i in range(6000):
+        text = "".join(rng.choices(every if i % 2 else common, k=rng.randrange(30)))
+        assert mine.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
+    assert mine.ids("".join(c + "a" for c in every)).tolist() == library.encode("".join(c + "a" for c in every), add_special_tokens=False).ids

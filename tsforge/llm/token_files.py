@@ -14,7 +14,7 @@ all little-endian. Blobs are rows of a Parquet table, so that any store that
 Spark writes to will do and a lost task leaves no half file; the columns beside
 a blob say how many ids it holds. A reader needs one blob at a time.
 
-Words are tokenised once while they stay in a bounded table: the tokenizer's
+Pre-tokens are encoded once while they stay in a bounded table: the tokenizer's
 normaliser and splitter never look across white space.
 
 Defined results: a null or empty text has the end id alone; a null doc_id comes
@@ -25,6 +25,8 @@ are all written. An empty table gives an empty result.
 from __future__ import annotations
 
 import json
+import re
+import unicodedata
 import zlib
 from array import array
 from string import punctuation
@@ -44,7 +46,7 @@ END = 1
 MAGIC = 0x3130534449534654
 #: Ids after which a blob ends.
 BLOB_IDS = 1 << 20
-#: Words, and stems of words, whose ids a worker keeps.
+#: Pre-tokens, and words, whose ids a worker keeps.
 KEPT = 400_000
 #: Letters before this character have no decompositions that a normaliser would join.
 LATIN_END = "\u0250"
@@ -59,12 +61,22 @@ def _byte_characters() -> str:
     return "".join(chr(b if b in shown else next(rest)) for b in range(256))
 
 
+def _latin_pieces() -> re.Pattern:
+    """The vocabulary's splitter for lower-case texts of the first 256 characters."""
+    of = lambda kind: "".join(re.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == kind)
+    letters, numbers, spaces = of("L"), of("N"), r"\t\n\x0b\x0c\r \x85\xa0"
+    # letters come first, as most pieces are; what begins with an apostrophe is no letter
+    return re.compile(f"[{letters}]+|'s|'t|'re|'ve|'m|'ll|'d|[{numbers}]|[^{spaces}{letters}{numbers}]+")
+
+
 class WordTokenizer:
     """A tokenizer for each worker; the file's text comes from the driver.
 
-    ``encode`` gives a text's ids as packed integers. A word that is Latin
-    letters and then punctuation needs neither normaliser nor splitter: it is
-    lower-cased, and the model gets its letters and its punctuation apart.
+    ``encode`` gives a text's ids as packed integers. Texts of the first 256
+    characters need no normaliser but lower case; their pre-tokens are found by
+    one expression and given to the tokenizer's model once each. In other texts
+    words go through the whole tokenizer, once each, unless they are Latin
+    letters and then punctuation, which the model gets apart.
     """
 
     def __init__(self, path: str = VOCABULARY):
@@ -83,28 +95,31 @@ class WordTokenizer:
         tokenizer.encode_special_tokens = True
         self.code = code
         characters = _byte_characters()
-        model, stems, tails = tokenizer.model.tokenize, {}, {}
-        self.stems = stems
+        model = tokenizer.model.tokenize
 
         def whole(text: str) -> bytes:
             return array(code, tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+        class Pieces(dict):
+            """Ids of pre-tokens in lower case."""
+
+            def __missing__(self, piece: str) -> bytes:
+                units = piece if piece.isascii() and piece.isalpha() else piece.encode().decode("latin-1").translate(characters)
+                found = self[piece] = array(code, [t.id for t in model(units)]).tobytes()
+                return found
+
+        self.pieces = pieces = Pieces()
+        self.split = _latin_pieces().findall
+
         class Words(dict):
+            """Ids of words of texts that hold other characters."""
+
             def __missing__(self, word: str) -> bytes:
                 stem = word.rstrip(punctuation)
                 if stem.isalpha() and (stem.isascii() or max(stem) < LATIN_END and "\u0130" not in stem):
-                    stem_lower = stem.lower()
-                    found = stems.get(stem_lower)
-                    if found is None:
-                        units = stem_lower if stem_lower.isascii() else stem_lower.encode().decode("latin-1").translate(characters)
-                        found = stems[stem_lower] = array(code, [t.id for t in model(units)]).tobytes()
+                    found = pieces[stem.lower()]
                     if len(stem) < len(word):
-                        tail = word[len(stem) :]
-                        if tail not in tails:
-                            if len(tails) > KEPT:
-                                tails.clear()
-                            tails[tail] = whole(tail)
-                        found += tails[tail]
+                        found += pieces[word[len(stem) :]]
                 else:
                     found = whole(word)
                 self[word] = found
@@ -115,11 +130,14 @@ class WordTokenizer:
     def encode(self, text: str, code: str = "H") -> bytes:
         if self._tokenizer is None or self.code != code:
             self._open(code)
-        if len(self.words) > KEPT:
-            self.words.clear()
-        if len(self.stems) > KEPT:
-            self.stems.clear()
-        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
+        for kept in (self.words, self.pieces):
+            if len(kept) > KEPT:
+                kept.clear()
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return b"".join(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
+        return b"".join(map(self.pieces.__getitem__, self.split(text.lower())))
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode(text, "I"), np.uint32)
