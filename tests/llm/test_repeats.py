@@ -78,6 +78,7 @@ def test_anchors_are_guaranteed():
     rng = np.random.default_rng(1)
     grams = rng.integers(0, 50, 500).astype(np.uint64)
     at = repeats.anchors_of(grams, 9)
+    assert (np.diff(at) >= 0).all()
     for i, a in enumerate(at):
         assert i <= a < i + 9 and grams[a] == grams[i : i + 9].min()
 

@@ -56,16 +56,21 @@ class Rule:
     run: int = RUN
 
 
-_kept: dict[bytes, int] = {}
+class _Hashes(dict):
+    """Hashes of tokens that a worker has met."""
+
+    def __missing__(self, token: bytes) -> int:
+        found = self[token] = xxhash.xxh3_64_intdigest(token)
+        return found
+
+
+_hashes = _Hashes()
 
 
 def token_hashes(tokens: list[bytes]) -> np.ndarray:
-    if len(_kept) > KEPT:
-        _kept.clear()
-    digest = xxhash.xxh3_64_intdigest
-    for token in set(tokens).difference(_kept):
-        _kept[token] = digest(token)
-    return np.fromiter(map(_kept.__getitem__, tokens), np.uint64, len(tokens))
+    if len(_hashes) > KEPT:
+        _hashes.clear()
+    return np.fromiter(map(_hashes.__getitem__, tokens), np.uint64, len(tokens))
 
 
 def _mix(x: np.ndarray, salt: int) -> np.ndarray:
@@ -93,9 +98,10 @@ def anchors_of(grams: np.ndarray, span: int) -> np.ndarray:
         return np.zeros(0, np.int64)
     least, at = grams[:n].copy(), np.zeros(n, np.int64)
     for j in range(1, span):
-        lower = grams[j : n + j] <= least
-        least[lower] = grams[j : n + j][lower]
-        at[lower] = j
+        here = grams[j : n + j]
+        lower = here <= least
+        np.copyto(least, here, where=lower)
+        np.copyto(at, j, where=lower)
     return np.arange(n) + at
 
 
@@ -230,7 +236,7 @@ def _send_anchors(batches, rule: Rule, slots: int):
         if not batch.num_rows:
             continue
         b = _Batch(rule, [t.as_py() for t in batch.column("text")])
-        at = np.unique(b.anchors)
+        at = b.anchors[_groups(b.anchors)]  # the least of a sliding span only moves on
         docs = batch.column("key").to_numpy()
         held.append((b.grams[at], docs[b.row[at]], b.positions(at)))
         size += len(at)
