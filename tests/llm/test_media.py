@@ -68,3 +68,20 @@ def test_tiles_of_a_column(spark):
     df = spark.createDataFrame([(1, media.encode_pgm(image)), (2, None), (3, b"junk")], "id long, media binary")
     rows = {r.id: r for r in media.with_tiles(df, errors="null").collect()}
     assert (rows[1].height, rows[1].channels, len(rows[1].tiles)) == (24, 1, 1) and rows[2].tiles is None and rows[3].dhash is None
+
+
+def test_the_query_reads_the_tiles(spark, documents, monkeypatch):
+    from tsforge.llm import queries
+
+    docs = documents(ODD)
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    found = queries.op10_media_columns(spark, "").collect()
+    assert len(found) == len(ODD)
+    texts = {d: (t or "").encode() for d, t, _ in ODD}
+    for r in found:
+        data = texts[r.doc_id]
+        payload = data.ljust(max(1, -(-len(data) // 576)) * 576, b"\xff")
+        image = np.frombuffer(payload, np.uint8).reshape(-1, 24)
+        stored = b"".join(media.npy_tiles(image))
+        assert (r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
+        assert (r.media_bytes, r.media_sha256, r.feature) == (len(stored), hashlib.sha256(stored).hexdigest(), media.difference_hash(image))

@@ -17,6 +17,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 import struct
@@ -221,3 +222,25 @@ def payload_features(stored: DataFrame) -> DataFrame:
     small_batches(stored.sparkSession)
     read = stored.mapInArrow(_read, "doc_id long, n_bytes long, media binary, payload_bytes long, payload binary, tail_crc32 long, feature string")
     return read.select("doc_id", "n_bytes", "payload_bytes", F.sha2("payload", 256).alias("payload_sha256"), "tail_crc32", F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature")
+
+
+def store_tiles(stored: DataFrame) -> DataFrame:
+    """The stored images' tiles, each an NPY file, in a written table: doc_id, n_bytes, tiles."""
+    return written(with_tiles(stored).select("doc_id", "n_bytes", "tiles"), "tiles")
+
+
+def _read_tiles(batches):
+    for batch in batches:
+        found = []
+        for tiles in batch.column("tiles").to_pylist():
+            image = np.concatenate([np.load(io.BytesIO(t)) for t in tiles])
+            payload, media = image.tobytes(), b"".join(tiles)
+            found.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), difference_hash(image)))
+        added = [("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())]
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *(pa.array([f[i] for f in found], t) for i, (_, t) in enumerate(added))], names=["doc_id", "n_bytes", *(k for k, _ in added)])
+
+
+def tile_features(tiled: DataFrame) -> DataFrame:
+    """What ``payload_features`` gives, read back from tiles of payloads (one tile wide, from top to bottom)."""
+    small_batches(tiled.sparkSession)
+    return tiled.mapInArrow(_read_tiles, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")

@@ -50,7 +50,7 @@ def op9_html_extraction(spark, sf_dir):
 
 
 def op10_media_columns(spark, sf_dir):
-    return media.payload_features(media.store_texts(table(spark, sf_dir, "documents")))
+    return media.tile_features(media.store_tiles(media.store_texts(table(spark, sf_dir, "documents"))))
 
 
 QUERIES = {
