@@ -5,9 +5,12 @@ read. A longer one is cut in chunks that overlap, and each chunk becomes a task
 row of its own: its pre-tokens are found in parallel, and neighbours are
 stitched at the first pre-token boundary that both of them see in the overlap.
 From a common boundary on they agree, as a pre-token depends on nothing before
-it. The pieces between the stitches are then encoded in parallel again, and
-their ids meet once, for each document. Texts whose chunks never resynchronise
-(one pre-token as long as the overlap) are encoded whole, in one task.
+it. It does depend on what follows (white space before a word gives its last
+character to the word), so a piece between two stitches is cut into pre-tokens
+with the rest of its chunk behind it, and those that begin past its end are
+left out. The pieces are encoded in parallel again, and their ids meet once,
+for each document. Texts whose chunks never resynchronise (one pre-token as
+long as the overlap) are encoded whole, in one task.
 
 A pre-token's ids are kept in a bounded table, as most of them come again.
 Decoding joins the bytes of the ids' tokens.
@@ -21,6 +24,7 @@ from __future__ import annotations
 
 import base64
 from array import array
+from bisect import bisect_left
 from itertools import accumulate
 
 import numpy as np
@@ -75,9 +79,11 @@ class Codec:
         self._open()
         return self.split(text)
 
-    def ids(self, text: str) -> np.ndarray:
-        """The ids of a text that begins and ends at pre-token boundaries."""
+    def ids(self, text: str, end: int | None = None) -> np.ndarray:
+        """The ids of a text that begins at a pre-token boundary: of its pre-tokens before ``end``, which is a boundary as well."""
         pieces = self.pieces(text)
+        if end is not None:
+            pieces = pieces[: bisect_left(list(accumulate(map(len, pieces))), end) + 1] if end else []
         if len(self.kept) > KEPT:
             self.kept.clear()
         return np.frombuffer(b"".join(map(self.kept.__getitem__, pieces)), np.int32)
@@ -127,7 +133,7 @@ def _boundaries(batches, codec: Codec, chunk: int, overlap: int):
 def _encode_spans(batches, codec: Codec):
     for batch in batches:
         cols = (batch.column(k).to_pylist() for k in ("text", "start", "from", "to"))
-        found = [codec.ids(text[a - start : None if b is None else b - start]) for text, start, a, b in zip(*cols)]
+        found = [codec.ids(text[a - start :], None if b is None else b - a) for text, start, a, b in zip(*cols)]
         yield pa.RecordBatch.from_arrays([batch.column(k) for k in ("row", "doc_id", "i")] + [_lists(found)], names=["row", "doc_id", "i", "ids"])
 
 
@@ -169,9 +175,9 @@ def _encoded(docs: DataFrame, path: str, pattern: str, chunk: int, overlap: int,
 
 
 def decode(encoded: DataFrame, path: str = VOCABULARY) -> DataFrame:
-    """The input without ``ids`` and with ``bytes``, what the ids stand for."""
+    """The input without ``ids`` and with ``bytes``, what the ids stand for, in place of a column of that name."""
     codec = Codec(path)
-    keep = [f for f in encoded.schema.fields if f.name != "ids"]
+    keep = [f for f in encoded.schema.fields if f.name not in ("ids", "bytes")]
     names = [f.name for f in keep]
 
     def run(batches):
