@@ -37,6 +37,26 @@ def test_bpe_equals_the_library(documents, reference, chunk, overlap):
     assert got == want
 
 
+def test_seams_after_white_space(documents, reference):
+    """A cut must not change what white space before a word becomes; the default chunk and small ones."""
+    rng = random.Random(11)
+    gaps = ["\n\n", "  ", " \n", "\n \t", "\t\t\t", " ", "\n", "\r\n\r\n", "\u3000\u3000"]
+    words = lambda n: "".join("".join(rng.choices("abcé1!'", k=rng.randrange(1, 6))) + rng.choice(gaps) for _ in range(n))
+    fixed = "ab " * 10_922 + "\n\nword and more " * 3_000
+    assert fixed[32_766:32_768] == "\n\n"
+    for chunk, overlap in ((20, 10), (37, 16), (200, 50), (bpe.CHUNK, bpe.OVERLAP)):
+        texts = [words(rng.randrange(5, 150)) for _ in range(60)] + [fixed, "x" + fixed] * (chunk == bpe.CHUNK) + [words(30_000)] * (chunk == bpe.CHUNK)
+        found = {r.doc_id: (r.n_tokens, r.ids_sha256) for r in bpe.round_trip(documents(texts), chunk=chunk, overlap=overlap).collect()}
+        for i, t in enumerate(texts):
+            ids = reference.encode_ordinary(t)
+            assert found[i] == (len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()), (chunk, t[:200])
+
+
+def test_decode_takes_the_place_of_a_column(documents):
+    rows = bpe.decode(bpe.encode(documents(["a b"])).selectExpr("*", "'x' as bytes")).collect()
+    assert rows[0].asDict() == {"doc_id": 0, "bytes": bytearray(b"a b")}
+
+
 def test_pieces_of_every_character(reference):
     codec = bpe.Codec()
     for first in range(0, 0x30000, 0x400):
@@ -81,7 +101,6 @@ def test_blob_round_trip():
 @pytest.mark.parametrize("blob_ids", [1 << 20, 64])
 def test_token_files_equal_the_library(documents, blob_ids):
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
     rng = random.Random(7)
     rows = ODD + [(100 + i, prose(rng, rng.randrange(60)), "s") for i in range(80)]
     blobs = token_files.write(documents(rows, extra=True), blob_ids=blob_ids)
@@ -103,16 +122,23 @@ def test_token_files_of_nothing(documents):
 
 def test_words_may_be_tokenised_alone():
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
     mine = token_files.WordTokenizer()
     for first in range(0, 0x20000, 0x200):
         text = "".join(f"a{c} {c}b\n{c}" for c in (chr(x) for x in range(first, first + 0x200) if not 0xD800 <= x < 0xE000))
         assert mine.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, hex(first)
 
 
+def test_added_tokens_in_texts():
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    mine = token_files.WordTokenizer()
+    rng = random.Random(10)
+    parts = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "|>", "<", "|", ">", "endoftext", "hi", "Word's", " ", "\n", "é", "é\u0301", "Ω", "1", "!"]
+    for text in ["hi <|endoftext|> there", "<|endoftext|>", "<|endoftext|>" * 3, "a<|startoftext|>b", "Ω <|endoftext|>\u0301"] + ["".join(rng.choices(parts, k=rng.randrange(1, 12))) for _ in range(4000)]:
+        assert mine.ids(text).tolist() == library.encode(text, add_special_tokens=False).ids, text
+
+
 def test_latin_words_skip_the_normaliser():
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
     mine = token_files.WordTokenizer()
     letters = [chr(c) for c in range(0x30, 0x260) if chr(c).isalnum()]
     rng = random.Random(8)
@@ -123,7 +149,6 @@ def test_latin_words_skip_the_normaliser():
 
 def test_latin_texts_are_split_as_the_library_splits_them():
     library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
-    library.encode_special_tokens = True
     mine = token_files.WordTokenizer()
     rng = random.Random(9)
     every = [chr(c) for c in range(256)]

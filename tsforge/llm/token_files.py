@@ -17,7 +17,8 @@ a blob say how many ids it holds. A reader needs one blob at a time.
 Pre-tokens are encoded once while they stay in a bounded table: the tokenizer's
 normaliser and splitter never look across white space.
 
-Defined results: a null or empty text has the end id alone; a null doc_id comes
+Defined results: the tokenizer's added tokens (``<|endoftext|>``) in a text give
+their own ids, as in the library; a null or empty text has the end id alone; a null doc_id comes
 first; rows of equal doc_id come in the order of their ids' bytes; repeated rows
 are all written. An empty table gives an empty result.
 """
@@ -74,9 +75,11 @@ class WordTokenizer:
 
     ``encode`` gives a text's ids as packed integers. Texts of the first 256
     characters need no normaliser but lower case; their pre-tokens are found by
-    one expression and given to the tokenizer's model once each. In other texts
-    words go through the whole tokenizer, once each, unless they are Latin
-    letters and then punctuation, which the model gets apart.
+    one expression and given to the tokenizer's model once each. In other texts,
+    and in those that may hold an added token, words go through the whole
+    tokenizer, once each, unless they are Latin letters and then punctuation,
+    which the model gets apart. No added token holds white space or begins with
+    letters, so none is lost there.
     """
 
     def __init__(self, path: str = VOCABULARY):
@@ -92,7 +95,10 @@ class WordTokenizer:
 
     def _open(self, code: str):
         tokenizer = self._tokenizer = Tokenizer.from_str(self.data)
-        tokenizer.encode_special_tokens = True
+        added = [t["content"] for t in json.loads(self.data)["added_tokens"]]
+        if any(not t or t[0].isalnum() or t.split() != [t] for t in added):
+            raise ValueError("an added token begins with a letter or holds white space")
+        self.added = re.compile("|".join(map(re.escape, added)) or r"(?!)").search
         self.code = code
         characters = _byte_characters()
         model = tokenizer.model.tokenize
@@ -135,9 +141,12 @@ class WordTokenizer:
                 kept.clear()
         try:
             text.encode("latin-1")
+            plain = not self.added(text)
         except UnicodeEncodeError:
-            return b"".join(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
-        return b"".join(map(self.pieces.__getitem__, self.split(text.lower())))
+            plain = False
+        if plain:
+            return b"".join(map(self.pieces.__getitem__, self.split(text.lower())))
+        return b"".join(map(self.words.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
 
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(self.encode(text, "I"), np.uint32)
