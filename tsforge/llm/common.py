@@ -43,8 +43,12 @@ def _own_root() -> str:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster; a temporary one only where none is configured."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or _own_root()
+    """The shared folder of the cluster; a temporary one only on a local master that names none."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = _own_root()
     return f"{root.rstrip('/')}/tsforge-llm-{spark.sparkContext.applicationId}"
 
 

@@ -64,10 +64,15 @@ def statistics(text: str) -> np.ndarray:
 
 def _described(batches):
     for batch in batches:
-        found = np.array([statistics(t or "") for t in batch.column("text").to_pylist()]).reshape(-1, WIDTH).astype(np.float32)
+        found = measured(batch.column("text").to_pylist())
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(found)], names=["doc_id", "x"])
 
 
+def measured(texts: list[str | None]) -> np.ndarray:
+    """The statistics of texts, a row each, in the width that all scores are made of."""
+    return np.array([statistics(t or "") for t in texts]).reshape(-1, WIDTH).astype(np.float32)
+
+
 def _lists(rows: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.arange(0, rows.size + 1, rows.shape[1], dtype=np.int32)), pa.array(rows.reshape(-1)))
 
@@ -195,8 +200,7 @@ def accepted(docs: DataFrame, model: Model, least: float = 0.5) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            texts = batch.column("text").to_pylist()
-            keep = model.scores(np.array([statistics(t or "") for t in texts])) >= least
+            keep = model.scores(measured(batch.column("text").to_pylist()).astype(np.float64)) >= least
             yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(run, docs.schema)
