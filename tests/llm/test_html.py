@@ -1,6 +1,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 
@@ -32,6 +33,50 @@ def test_layouts(page):
     assert main_text(page) == WANT
 
 
+@pytest.mark.parametrize(
+    "start,end",
+    [
+        ('<article class="post category-legal tag-alert">', "</article>"), ('<div class="has-sidebar">', "</div>"), ('<div class="wrap no-comments">', "</div>"),
+        ('<div class="social-science-article">', "</div>"), ('<body class="no-sidebar widget"><div id="page" class="with-header">', "</div></body>"), ('<div class="notice-page"><div class="ad-free">', "</div></div>"),
+        ('<form id="aspnet"><div role="main">', "</div></form>"), ('<div class="overlay"><article>', "</article></div>"), ('<div class="widget">', "</div>"),
+    ],
+)
+def test_names_alone_lose_no_article(start, end):
+    assert main_text(f"<nav>{MENU}</nav>{start}<h1>Title</h1>{BODY}{end}<div class='cookie-notice'>Cookies, we use.</div><div class='comments'><p>Nice, really, well, done.</p></div>") == WANT
+
+
+def test_comments_never_outweigh_the_article():
+    many = "<article class='comment-body'><p>Well, said, I agree, with all of this, as often before, and at length.</p></article>" * 30
+    assert main_text(f"<article><h1>Title</h1>{BODY}</article><div id='comments'>{many}</div>") == WANT
+    assert main_text(f"<div class='post'><h1>Title</h1>{BODY}</div><ol class='comment-list'>{many}</ol>") == WANT
+
+
+def test_lists_of_links_belong_to_a_marked_article():
+    sources = "<h2>Sources</h2><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li><a href=3>Three</a></li></ul><p><a href=4>A</a>, <a href=5>B</a>, <a href=6>C</a></p>"
+    assert main_text(f"<main><article><h1>Title</h1>{BODY}{sources}</article></main>") == WANT + "\nSources\nOne\nTwo\nThree\nA, B, C"
+    assert main_text(f"<div><h1>Title</h1>{BODY}</div><ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li><a href=3>Three</a></li></ul>") == WANT
+
+
+def test_a_short_last_section_stays():
+    parts = "".join(f"<div>{BODY * 4}</div>" for _ in range(3))
+    assert main_text(f"<body><div>{parts}<div><p>And so it ended.</p></div><div>That is all there is.</div></div></body>").endswith("And so it ended.\nThat is all there is.")
+
+
+@pytest.mark.parametrize(
+    "piece",
+    ["<ul><li><a href=1>a</a></li><li><a href=2>b</a></li><li><a href=3>c</a></li></ul>", "</b></x>", "<p>text, here<div class=ad>x</div>", "<div class='ad-slot'>y</div><span>", "<a href=x>q</a></article>", "<li><td><b>z", "<i>"],
+)
+def test_long_pages_take_linear_time(piece):
+    def seconds(n):
+        page = "<article>" + piece * n
+        began = time.process_time()
+        main_text(page)
+        return time.process_time() - began
+
+    seconds(100)
+    assert seconds(60_000) < 12 * max(seconds(10_000), 0.02)
+
+
 def test_references_white_space_and_breaks():
     assert main_text("<p> a&amp;b &lt;i&gt;\n\n &#233;&#x41;&nbsp;z </p><p>c<br>d</p>") == "a&b <i> éA z\nc d"
     assert main_text("<p>one <em>t</em>wo</p>") == "one two"

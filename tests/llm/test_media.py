@@ -46,6 +46,21 @@ def test_tiles_hold_the_image():
     image = np.arange(30 * 50, dtype=np.uint8).reshape(30, 50)
     tiles = [np.load(io.BytesIO(t)) for t in media.npy_tiles(image)]
     assert len(tiles) == 6 and (tiles[0] == image[:24, :24]).all() and (tiles[5][:6, :2] == image[24:, 48:]).all()
+    for kind, shape in ((np.uint8, (48, 24)), (np.uint16, (24, 24)), (np.uint8, (24, 48, 3))):
+        image = (np.arange(np.prod(shape)) * 7).astype(kind).reshape(shape)
+        for data in media.npy_tiles(image):
+            assert (media.read_tile(data) == np.load(io.BytesIO(data))).all()
+            np.save(same := io.BytesIO(), np.load(io.BytesIO(data)))
+            assert same.getvalue() == data
+
+
+def saved(payload):
+    """The tiles of a payload, as numpy writes them."""
+    out = []
+    for i in range(0, len(payload), 576):
+        np.save(buffer := io.BytesIO(), np.frombuffer(payload[i : i + 576], np.uint8).reshape(24, 24))
+        out.append(buffer.getvalue())
+    return b"".join(out)
 
 
 def test_payloads(documents):
@@ -57,16 +72,16 @@ def test_payloads(documents):
         payload = data.ljust(max(1, -(-len(data) // 576)) * 576, b"\xff")
         assert (r.n_bytes, r.payload_bytes) == (len(data), len(payload))
         assert r.payload_sha256 == hashlib.sha256(payload).hexdigest() and r.tail_crc32 == zlib.crc32(payload[-32:])
-        stored = media.encode_pgm(np.frombuffer(payload, np.uint8).reshape(-1, 24))
+        stored = saved(payload)
         assert (r.media_bytes, r.media_sha256) == (len(stored), hashlib.sha256(stored).hexdigest())
-        assert r.feature == media.difference_hash(media.decode(stored))
+        assert r.feature == media.difference_hash(np.frombuffer(payload, np.uint8).reshape(-1, 24))
     assert media.payload_features(media.store_texts(documents([]))).count() == 0
 
 
 def test_tiles_of_a_column(spark):
     image = np.arange(24 * 24, dtype=np.uint8).reshape(24, 24)
     df = spark.createDataFrame([(1, media.encode_pgm(image)), (2, None), (3, b"junk")], "id long, media binary")
-    rows = {r.id: r for r in media.with_tiles(df, errors="null").collect()}
+    rows = {r.id: r for r in media.with_tiles(df.selectExpr("*", "'x' as height", "'y' as tiles"), errors="null").collect()}
     assert (rows[1].height, rows[1].channels, len(rows[1].tiles)) == (24, 1, 1) and rows[2].tiles is None and rows[3].dhash is None
 
 
@@ -82,6 +97,6 @@ def test_the_query_reads_the_tiles(spark, documents, monkeypatch):
         data = texts[r.doc_id]
         payload = data.ljust(max(1, -(-len(data) // 576)) * 576, b"\xff")
         image = np.frombuffer(payload, np.uint8).reshape(-1, 24)
-        stored = b"".join(media.npy_tiles(image))
+        stored = saved(payload)
         assert (r.payload_bytes, r.payload_sha256, r.tail_crc32) == (len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]))
         assert (r.media_bytes, r.media_sha256, r.feature) == (len(stored), hashlib.sha256(stored).hexdigest(), media.difference_hash(image))

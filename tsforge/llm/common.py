@@ -52,26 +52,56 @@ def scratch_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/tsforge-llm-{spark.sparkContext.applicationId}"
 
 
+@functools.cache
+def _kept_until_exit(spark: SparkSession, root: str) -> str:
+    """The application's folder, that goes when the driver's JVM does."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return root
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write a table in the shared folder and read it again.
 
     This cuts the lineage: what follows survives the loss of any executor
-    without running the stages before it again, and has real statistics.
+    without running the stages before it again, and has real statistics. Tables
+    go at the end of the application, or when ``discard`` is told so.
     """
     spark = df.sparkSession
     small_batches(spark)
-    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{_kept_until_exit(spark, scratch_root(spark))}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _paths.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Rows of a few short columns up to which a table is sent to every task.
-BROADCAST_ROWS = 500_000
+#: Tables written by this driver, in order.
+_paths: list[str] = []
+
+
+def tables_written() -> list[str]:
+    return list(_paths)
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that nothing reads any more."""
+    jvm = spark.sparkContext._jvm
+    for name in paths:
+        path = jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _paths.remove(name)
+
+
+#: Bytes, by the widths that the planner gives to types, up to which a table is sent to every task.
+BROADCAST_BYTES = 24 << 20
 
 
 def sent_if_small(df: DataFrame) -> DataFrame:
-    """A narrow, written table marked for broadcast if its rows are few enough; beyond that it is shuffled."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """A narrow, written table (counting it reads no more than its footers) marked for broadcast if it is small; beyond that it is shuffled."""
+    return F.broadcast(df) if df.count() * df._jdf.schema().defaultSize() <= BROADCAST_BYTES else df
 
 
 #: Partitions up to which numbers are dealt exactly; beyond, chance levels them well enough.
@@ -97,10 +127,3 @@ def deal_exactly(df: DataFrame, number: Column, n: int) -> DataFrame:
         return df.repartition(n, number)
     keys = F.array(*map(F.lit, _keys(n)))
     return df.repartition(n, F.element_at(keys, number.cast("int") + 1))
-
-
-def clear_scratch(spark: SparkSession) -> None:
-    """Delete the tables that this application has written in the shared folder."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

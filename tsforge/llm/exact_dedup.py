@@ -33,6 +33,8 @@ from tsforge.llm.common import partitions, sent_if_small, text_of, written
 
 #: Hashes in a run, and a batch more at most: what a task holds at a time. Rows are numbered by 21 bits in a run.
 RUN_ROWS = 1 << 20
+#: Owners to a partition: what one of them merges is held in memory.
+OWNERS = 8
 #: Rows of one hash from which they are salted, and the salts.
 HOT, SALTS = 256, 64
 
@@ -112,7 +114,7 @@ def _mark(batches):
 
 def mark_suspects(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     """One row for each document: row, doc_id, SHA-256 digest, and whether its hash occurs again."""
-    owner_bits = (partitions(docs.sparkSession) - 1).bit_length()
+    owner_bits = (partitions(docs.sparkSession) * OWNERS - 1).bit_length()
     text = text_of()
     hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("hash"), F.unhex(F.sha2(text, 256)).alias("digest"))
     runs = written(hashed.mapInArrow(lambda batches: _pack(batches, owner_bits, run_rows), _RUNS), "runs")
@@ -124,7 +126,7 @@ def classes(docs: DataFrame, run_rows: int = RUN_ROWS) -> DataFrame:
     """One row for each document: doc_id, keep_id, group_size, kept, digest (binary SHA-256)."""
     marked = mark_suspects(docs, run_rows)
     suspects = marked.filter("suspect")
-    ids = sent_if_small(suspects.select(F.col("doc_id").alias("suspect_id")).distinct())
+    ids = sent_if_small(written(suspects.select(F.col("doc_id").alias("suspect_id")).distinct(), "suspects"))
     texts = docs.select("doc_id", "text").join(ids, F.col("doc_id").eqNullSafe(F.col("suspect_id")), "left_semi").select(text_of().alias("text"))
     by_bytes = texts.groupBy("text").agg(F.count("*").alias("size")).select(F.unhex(F.sha2("text", 256)).alias("digest"), "size")
     verified = by_bytes.groupBy("digest").agg(F.sum("size").alias("group_size"), F.count("*").alias("texts"))
@@ -148,7 +150,7 @@ def dedup(docs: DataFrame) -> DataFrame:
     twice = gone.join(kept, [*_KEY], "left_semi")
     left = docs.withColumns({_KEY[0]: F.coalesce(F.col("doc_id").cast("string"), F.lit("")), _KEY[1]: F.unhex(F.sha2(text_of(), 256))})
     some_twice = bool(twice.take(1))
-    gone = sent_if_small(gone.join(twice, [*_KEY], "left_anti") if some_twice else gone)
+    gone = sent_if_small(written(gone.join(twice, [*_KEY], "left_anti") if some_twice else gone, "dropped"))
     stay = left.join(gone, [*_KEY], "left_anti")
     if some_twice:
         again = stay.join(twice, [*_KEY], "left_semi").dropDuplicates([*_KEY])

@@ -1,18 +1,25 @@
 """Main text of HTML pages by tree scoring.
 
 A page is read once by a tolerant tokeniser into a tree, with the elements that
-HTML closes implicitly. Subtrees that are never the article (menus, page headers
-and footers, sidebars, notices, adverts, forms, scripts, styles, comments of
-readers, what is hidden) are known by element, role, or a word of their class
-or id, and give no text. What is left is cut in blocks at block elements.
-
-Each block is a paragraph that passes points to the element that holds it, and
-fewer to each ancestor: for being there, for its commas, and for its length,
-discounted by the share of its characters that are links. An element's score is
-discounted once more by the link density of its whole subtree. The best element,
-or the article or main element around it, is the container; siblings of it that
-score well or are headings or prose with few links are kept as well. All blocks
-of the kept subtrees are returned in page order, but for lists of links.
+HTML closes implicitly. Elements that are never the article (menus, page headers
+and footers, sidebars, scripts, what is hidden) give no text. What is left is
+cut in blocks at block elements.
+
+Each block is a paragraph that has points: for being there, for its commas, and
+for its length, discounted by the share of its characters that are links. Names
+of classes and ids are evidence only. A whole name such as "sidebar" drops its
+subtree, unless the marked article is in it with most of the points; a part of a
+name ("cookie-notice", "ad-slot") does unless most points of the page are there;
+parts that say how a page looks ("has-sidebar", "category-legal") say nothing.
+Comments of readers never count as the page's points.
+
+A block passes its points to the element that holds it, and fewer to each
+ancestor. An element's score is discounted once more by the link density of its
+whole subtree. The best element, or the article or main element around it, is
+the container; siblings of it that score well, or hold prose with few links, are
+kept as well. All blocks of the kept subtrees are returned in page order. Lists
+of links are left out where no element marks the article; in a marked one they
+are part of it. All steps are linear in the page.
 
 Defined results: a null page counts as empty; a page without text gives an empty
 text; repeated rows each get a row; null ids and urls stay null; broken markup,
@@ -23,6 +30,7 @@ An empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
 import pyarrow as pa
@@ -34,7 +42,7 @@ from tsforge.llm.common import small_batches
 # Elements of HTML by their role here, and words of class and id names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea xmp noembed noframes title".split())
-DROPPED = frozenset("head nav footer aside form button select option dialog menu svg math object canvas audio video map datalist progress meter".split()) | RAW
+DROPPED = frozenset("head nav footer aside button select option dialog menu svg math object canvas audio video map datalist progress meter".split()) | RAW
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split()
@@ -56,43 +64,72 @@ UNLIKELY = frozenset(
     "disclaimer hidden offscreen sitemap topbar tags outbrain taboola".split()
 )
 LIKELY = frozenset("article post entry content main story text body".split())
-ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog form menu menubar toolbar".split())
-KEEP_ALWAYS = frozenset("html body article main".split())
+#: Parts of an article whose names sound unlikely.
+OWN_PARTS = frozenset("header tags side banner".split())
+#: First parts of names that say how a page looks or is filed.
+STATES = frozenset("has no not with without is hide show category tag type format status".split())
+READERS = frozenset("comment comments respond replies disqus discussion".split())
+ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
+MARKED = {"article": 2, "main": 1}
+ENDS = tuple(".!?…:;\"'”’»)。！？")
 
 _TAG = re.compile(r"""<!--(?:.*?-->|[^\0]*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+|[^>]*)(?:>|\Z)""", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|\Z)""", re.I)
-_WORDS = re.compile(r"[a-z0-9]+")
+_PARTS = re.compile(r"[a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _COMMA = re.compile("[,،、，;；]")
 _CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 
 
-def _unwanted(tag: str, attributes: str, in_article: bool) -> bool:
+#: What names say of an element: nothing, a part of one is unlikely, a whole one is, its readers speak there; or it is no text at all.
+NOTHING, PART, WHOLE, COMMENTS, NEVER = range(5)
+
+
+def _named(names: str, in_article: bool) -> int:
+    found = NOTHING
+    for name in names.split():
+        parts = _PARTS.findall(name)
+        if not parts or len(parts) > 1 and parts[0] in STATES:
+            continue
+        first, last = parts[0], parts[-1]
+        if first in READERS or last in READERS:
+            return COMMENTS
+        if len(parts) == 1:
+            found = max(found, WHOLE * (first in UNLIKELY))
+        elif (first in UNLIKELY or last in UNLIKELY) and not (in_article and first in LIKELY and last in OWN_PARTS):
+            found = max(found, PART)
+    return found
+
+
+def _evidence(tag: str, attributes: str, in_article: bool) -> tuple[int, int]:
+    """What speaks against an element, and whether it marks the article (2) or the main part (1)."""
+    marked = MARKED.get(tag, 0)
     if tag in DROPPED or tag == "header" and not in_article:
-        return True
-    if not attributes or tag in KEEP_ALWAYS and tag != "article":
-        return False
+        return NEVER, 0
+    found = WHOLE if tag == "form" else NOTHING
+    if not attributes or tag in ("html", "body"):
+        return found, marked
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDDEN.search(value) or name == "role" and value in ROLES:
-            return True
+            return NEVER, 0
+        if name == "role":
+            marked = max(marked, MARKED.get(value, 0))
         if name in ("class", "id"):
-            words = set(_WORDS.findall(value))
-            bad = words & UNLIKELY
-            # "post-header" or "article-tags" name a part of the article, if within it
-            if bad and not (words & LIKELY and (in_article or tag == "article") and bad <= {"header", "tags", "side", "banner"}):
-                return True
-    return False
+            found = max(found, _named(value, in_article))
+    return (found if found == COMMENTS or not marked else NOTHING), marked
 
 
 class _Page:
-    """The tree of a page: for each node its element, parent and end, and the blocks of text."""
+    """The tree of a page: for each node its element, parent, end and evidence, and the blocks of text."""
 
     def __init__(self, html: str):
         self.tags, self.parents, self.ends = ["#"], [0], [0]
+        self.against, self.marks = [NOTHING], [0]
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         self.links: list[int] = [0]  # links in each node itself
         self._open, self._dropped, self._articles, self._anchors = [0], 0, 0, 0
+        self._holders, self._count = [0], Counter()  # open block elements; open elements by name
         self._text: list[str] = []
         self._linked: list[str] = []
         self._holder = 0
@@ -110,7 +147,7 @@ class _Page:
         if self._dropped or not text:
             return
         if not self._text:
-            self._holder = next(i for i in reversed(self._open) if self.tags[i] in BLOCKS or i == 0)
+            self._holder = self._holders[-1]
         self._text.append(text)
         if self._anchors:
             self._linked.append(text)
@@ -120,14 +157,18 @@ class _Page:
         for i in reversed(self._open[depth:]):
             if self.tags[i] in BLOCKS:
                 self._flush()
+                self._holders.pop()
             self.ends[i] = len(self.tags)
             if self._dropped == i:
                 self._dropped = 0
-            self._articles -= self.tags[i] in ("article", "main")
+            self._count[self.tags[i]] -= 1
+            self._articles -= self.marks[i] > 0
             self._anchors -= self.tags[i] == "a"
         del self._open[depth:]
 
     def _find(self, wanted, bounds) -> int:
+        if not any(self._count[t] for t in wanted):
+            return 0
         for depth in range(len(self._open) - 1, 0, -1):
             tag = self.tags[self._open[depth]]
             if tag in wanted:
@@ -158,9 +199,15 @@ class _Page:
         if tag == "a":
             self.links[self._open[-1]] += 1
         self._open.append(node)
-        if not self._dropped and _unwanted(tag, attributes, self._articles > 0):
+        self._count[tag] += 1
+        if tag in BLOCKS:
+            self._holders.append(node)
+        against, marked = _evidence(tag, attributes, self._articles > 0)
+        self.against.append(against)
+        self.marks.append(marked)
+        if against == NEVER and not self._dropped:
             self._dropped = node
-        self._articles += tag in ("article", "main")
+        self._articles += marked > 0
         self._anchors += tag == "a"
 
     def _read(self, html: str):
@@ -193,53 +240,99 @@ class _Page:
         self.ends[0] = len(self.tags)
 
 
+def _up(values: list, parents: list[int]) -> list:
+    """Sums over subtrees; a node comes after its parent."""
+    out = list(values)
+    for i in range(len(out) - 1, 0, -1):
+        out[parents[i]] += out[i]
+    return out
+
+
+def _down(own: list[bool], parents: list[int]) -> list[bool]:
+    """Whether a node or an ancestor of it is marked."""
+    out = list(own)
+    for i in range(1, len(out)):
+        out[i] = out[i] or out[parents[i]]
+    return out
+
+
+def _points(page: _Page, blocks) -> list[float]:
+    out = []
+    for node, text, link in blocks:
+        plain = 0.1 if page.tags[node] in HEADINGS else 1 + len(_COMMA.findall(text)) + min(len(text) / 100, 3)
+        out.append(plain * (1 - link / len(text)))
+    return out
+
+
+def _dead(page: _Page) -> list[bool]:
+    """The nodes that names speak against, when points are asked, and all within them."""
+    n, against, parents = len(page.tags), page.against, page.parents
+    if not any(against):
+        return [False] * n
+    readers = _down([a == COMMENTS for a in against], parents)
+    own = [0.0] * n
+    for (node, _, _), gain in zip(page.blocks, _points(page, page.blocks)):
+        own[node] += gain * (not readers[node])
+    points, marked = _up(own, parents), _up([int(m > 0) for m in page.marks], parents)
+    unlikely = _down([a >= PART for a in against], parents)
+    rest = sum(p for p, u in zip(own, unlikely) if not u)
+    dead = [False] * n
+    for i in range(1, n):
+        most = 2 * points[i] > points[0]
+        if dead[parents[i]] or against[i] == COMMENTS:
+            dead[i] = dead[parents[i]] or points[0] > 0
+        elif against[i] == WHOLE:
+            dead[i] = not (most and (marked[i] or not rest))
+        elif against[i] == PART:
+            dead[i] = not most
+    return dead
+
+
 def main_text(html: str) -> str:
     """The main text of a page, its blocks joined by newlines."""
     page = _Page(html)
-    if not page.blocks:
+    dead = _dead(page)
+    blocks = [b for b in page.blocks if not dead[b[0]]]
+    if not blocks:
         return ""
-    n = len(page.tags)
-    points, sizes, linked, links = [0.0] * n, [0] * n, [0] * n, list(page.links)
-    for node, text, link in page.blocks:
-        size = len(text)
-        sizes[node] += size
+    n, tags, parents, marks = len(page.tags), page.tags, page.parents, page.marks
+    points, sizes, linked, prose = [0.0] * n, [0] * n, [0] * n, [0] * n
+    for (node, text, link), gain in zip(blocks, _points(page, blocks)):
+        sizes[node] += len(text)
         linked[node] += link
-        tag = page.tags[node]
-        gain = (0.1 if tag in HEADINGS else 1 + len(_COMMA.findall(text)) + min(size / 100, 3)) * (1 - link / size)
-        holder = page.parents[node] if tag in PARAGRAPHS else node
+        prose[node] += tags[node] not in HEADINGS and (tags[node] in ("p", "pre", "blockquote") or text.endswith(ENDS) and text.count(" ") > 1)
+        holder = parents[node] if tags[node] in PARAGRAPHS else node
         for level in range(5):
             points[holder] += gain if not level else gain / (2 if level == 1 else 3 * level)
             if not holder:
                 break
-            holder = page.parents[holder]
-    for i in range(n - 1, 0, -1):
-        parent = page.parents[i]
-        sizes[parent] += sizes[i]
-        linked[parent] += linked[i]
-        links[parent] += links[i]
+            holder = parents[holder]
+    sizes, linked, prose, links = (_up(x, parents) for x in (sizes, linked, prose, page.links))
     density = [a / b if b else 0.0 for a, b in zip(linked, sizes)]
     scores = [p * (1 - d) for p, d in zip(points, density)]
     best = max(range(n), key=lambda i: (scores[i], -i))
     container, i = best, best
     while i:  # the outermost article, or else main, around it
-        if page.tags[i] == "article" or page.tags[i] == "main" and page.tags[container] != "article":
+        if marks[i] == 2 or marks[i] == 1 and marks[container] != 2:
             container = i
-        i = page.parents[i]
-    least = max(2.0, 0.2 * scores[best])
-    kept = [container]
+        i = parents[i]
+    least, loose = max(2.0, 0.2 * scores[best]), parents[container]
+    kept = [False] * n
+    kept[container] = True
     if container:
-        for i in range(page.parents[container] + 1, page.ends[page.parents[container]]):
-            if i == container or page.parents[i] != page.parents[container] or not sizes[i]:
+        for i in range(loose + 1, page.ends[loose]):
+            if i == container or parents[i] != loose or not sizes[i]:
                 continue
-            tag = page.tags[i]
-            prose = tag in PARAGRAPHS and tag not in ("li", "td", "th") and density[i] < 0.25
-            if scores[i] >= least and density[i] < 0.5 or prose:
-                kept.append(i)
-    spans = sorted((i, page.ends[i]) for i in kept)
-    menus = [(i, page.ends[i]) for i in range(n) if page.tags[i] in ("ul", "ol", "dl", "div", "table", "p") and links[i] >= 3 and density[i] >= 0.8]
-    inside = lambda node, ranges: any(a <= node < b for a, b in ranges)
-    loose = page.parents[container] if container else 0
-    return "\n".join(text for node, text, link in page.blocks if (inside(node, spans) or node == loose and container and link < 0.25 * len(text) and page.tags[loose] != "#") and not (menus and inside(node, menus)))
+            paragraph = tags[i] in PARAGRAPHS and tags[i] not in ("li", "td", "th")
+            few_links = density[i] < 0.25
+            if scores[i] >= least and density[i] < 0.5 or few_links and (paragraph or not marks[container] and prose[i]):
+                kept[i] = True
+    kept = _down(kept, parents)
+    menus = [False] * n
+    if not marks[container]:
+        menus = _down([tags[i] in ("ul", "ol", "dl", "div", "table", "p") and links[i] >= 3 and density[i] >= 0.8 for i in range(n)], parents)
+    beside = lambda node, text, link: container and node == loose and tags[loose] != "#" and 4 * link < len(text)
+    return "\n".join(text for node, text, link in blocks if (kept[node] or beside(node, text, link)) and not menus[node])
 
 
 def _extract(batches):

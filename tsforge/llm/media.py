@@ -6,8 +6,10 @@ integral image that is kept only at the rows where the output needs it.
 ``difference_hash`` compares neighbours of a 9 by 8 reduction. ``npy_tiles`` cuts
 an image in square tiles, each an NPY file, padded at the edges.
 
-``payload_features`` is for bytes that are no image: the payload is padded with
-255 to whole 24 by 24 tiles and stored as an 8-bit grey PGM, 24 wide.
+``store_texts`` is for bytes that are no image: a text's are padded with 255 to
+whole 24 by 24 tiles, made an 8-bit grey PGM, 24 wide, that is decoded, cut in NPY
+tiles and written. ``payload_features`` reads the tiles back: their checksums, and
+the hash of the image after its resize, are of what was stored.
 
 Defined results: a null text or image counts as empty bytes; an empty payload
 is one tile of padding; bytes that are no supported image raise ValueError, or
@@ -17,6 +19,7 @@ empty table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import io
 import re
@@ -148,24 +151,49 @@ def difference_hash(image: np.ndarray) -> str:
     return np.packbits(small[:, :-1] < small[:, 1:]).tobytes().hex()
 
 
+@functools.lru_cache(64)
+def _npy_head(shape: tuple[int, ...], kind: str) -> bytes:
+    """What stands before the values in an NPY file of this shape."""
+    np.lib.format.write_array_header_1_0(buffer := io.BytesIO(), {"descr": kind, "fortran_order": False, "shape": shape})
+    return buffer.getvalue()
+
+
+@functools.lru_cache(64)
+def _npy_meaning(head: bytes) -> tuple[tuple[int, ...], np.dtype]:
+    buffer = io.BytesIO(head)
+    if np.lib.format.read_magic(buffer) != (1, 0):
+        raise ValueError("an NPY file of another version")
+    shape, fortran, kind = np.lib.format.read_array_header_1_0(buffer)
+    if fortran:
+        raise ValueError("an NPY file in column order")
+    return shape, kind
+
+
 def npy_tiles(image: np.ndarray, tile: int = TILE) -> list[bytes]:
     """The image's tiles from left to right and top to bottom, each an NPY file."""
     h, w = image.shape[:2]
-    padded = np.pad(image, ((0, -h % tile), (0, -w % tile), *[(0, 0)] * (image.ndim - 2)), mode="edge")
-    out = []
-    for a in range(0, padded.shape[0], tile):
-        for b in range(0, padded.shape[1], tile):
-            np.save(buffer := io.BytesIO(), np.ascontiguousarray(padded[a : a + tile, b : b + tile]))
-            out.append(buffer.getvalue())
-    return out
+    rest = image.shape[2:]
+    padded = image if not (h % tile or w % tile) else np.pad(image, ((0, -h % tile), (0, -w % tile), *[(0, 0)] * len(rest)), mode="edge")
+    down, across = padded.shape[0] // tile, padded.shape[1] // tile
+    cut = padded.reshape(down, tile, across, tile, *rest).swapaxes(1, 2)
+    head, values = _npy_head((tile, tile, *rest), np.lib.format.dtype_to_descr(image.dtype)), cut.tobytes()
+    size = len(values) // (down * across)
+    return [head + values[i : i + size] for i in range(0, len(values), size)]
+
+
+def read_tile(data: bytes) -> np.ndarray:
+    """The array of an NPY file."""
+    past = 10 + int.from_bytes(data[8:10], "little")
+    shape, kind = _npy_meaning(data[:past])
+    return np.frombuffer(data, kind, -1, past).reshape(shape)
 
 
 def with_tiles(df: DataFrame, column: str = "media", tile: int = TILE, errors: str = "raise") -> DataFrame:
-    """The key columns and, for a column of images: height, width, channels, NPY tiles, hash."""
+    """The key columns and, for a column of images: height, width, channels, NPY tiles, hash, in place of columns of those names."""
     small_batches(df.sparkSession)
-    keep = [f for f in df.schema.fields if f.name != column]
-    names = [f.name for f in keep]
     added = [("height", pa.int32()), ("width", pa.int32()), ("channels", pa.int32()), ("tiles", pa.list_(pa.binary())), ("dhash", pa.string())]
+    keep = [f for f in df.schema.fields if f.name != column and f.name not in dict(added)]
+    names = [f.name for f in keep]
 
     def one(data):
         try:
@@ -185,62 +213,37 @@ def with_tiles(df: DataFrame, column: str = "media", tile: int = TILE, errors: s
     return df.mapInArrow(run, ", ".join(schema))
 
 
-def _store(batches):
+def _store(batches, tile: int):
     for batch in batches:
-        media, sizes = [], []
+        sizes, tiles = [], []
         for x in batch.column("data"):
             data = x.as_py()
-            size = max(1, -(-len(data) // TILE**2)) * TILE**2
-            padded = np.frombuffer(data.ljust(size, bytes([PAD])), np.uint8)
-            media.append(encode_pgm(padded.reshape(-1, TILE)))
+            size = max(1, -(-len(data) // tile**2)) * tile**2
+            samples = np.frombuffer(data.ljust(size, bytes([PAD])), np.uint8)
             sizes.append(len(data))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(media, pa.binary())], names=["doc_id", "n_bytes", "media"])
+            tiles.append(npy_tiles(decode(encode_pgm(samples.reshape(-1, tile))), tile))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(tiles, pa.list_(pa.binary()))], names=["doc_id", "n_bytes", "tiles"])
 
 
-def store_texts(docs: DataFrame) -> DataFrame:
-    """Each text's bytes as a PGM image in a written table: doc_id, n_bytes, media."""
+def store_texts(docs: DataFrame, tile: int = TILE) -> DataFrame:
+    """Each text's bytes as the samples of a grey PGM image, one tile wide, that is decoded and cut in NPY tiles; doc_id, n_bytes, tiles of a written table."""
     small_batches(docs.sparkSession)
     data = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().cast("binary").alias("data"))
-    return written(data.mapInArrow(_store, "doc_id long, n_bytes long, media binary"), "media")
+    return written(data.mapInArrow(lambda it: _store(it, tile), "doc_id long, n_bytes long, tiles array<binary>"), "tiles")
 
 
 def _read(batches):
-    for batch in batches:
-        sizes, sums, digests, features = [], [], [], []
-        for x in batch.column("media"):
-            image = decode(x.as_py())
-            payload = image.tobytes()
-            sizes.append(len(payload))
-            sums.append(zlib.crc32(payload[-32:]))
-            digests.append(payload)
-            features.append(difference_hash(image))
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), batch.column("media"), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(sums, pa.int64()), pa.array(features, pa.string())], names=["doc_id", "n_bytes", "media", "payload_bytes", "payload", "tail_crc32", "feature"])
-
-
-def payload_features(stored: DataFrame) -> DataFrame:
-    """What the stored images hold: payload size and digest, checksum of its end, stored size and digest, difference hash."""
-    small_batches(stored.sparkSession)
-    read = stored.mapInArrow(_read, "doc_id long, n_bytes long, media binary, payload_bytes long, payload binary, tail_crc32 long, feature string")
-    return read.select("doc_id", "n_bytes", "payload_bytes", F.sha2("payload", 256).alias("payload_sha256"), "tail_crc32", F.length("media").cast("long").alias("media_bytes"), F.sha2("media", 256).alias("media_sha256"), "feature")
-
-
-def store_tiles(stored: DataFrame) -> DataFrame:
-    """The stored images' tiles, each an NPY file, in a written table: doc_id, n_bytes, tiles."""
-    return written(with_tiles(stored).select("doc_id", "n_bytes", "tiles"), "tiles")
-
-
-def _read_tiles(batches):
+    added = [("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())]
     for batch in batches:
         found = []
         for tiles in batch.column("tiles").to_pylist():
-            image = np.concatenate([np.load(io.BytesIO(t)) for t in tiles])
+            image = np.concatenate(list(map(read_tile, tiles)))
             payload, media = image.tobytes(), b"".join(tiles)
             found.append((len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(media), hashlib.sha256(media).hexdigest(), difference_hash(image)))
-        added = [("payload_bytes", pa.int64()), ("payload_sha256", pa.string()), ("tail_crc32", pa.int64()), ("media_bytes", pa.int64()), ("media_sha256", pa.string()), ("feature", pa.string())]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("n_bytes"), *(pa.array([f[i] for f in found], t) for i, (_, t) in enumerate(added))], names=["doc_id", "n_bytes", *(k for k, _ in added)])
 
 
-def tile_features(tiled: DataFrame) -> DataFrame:
-    """What ``payload_features`` gives, read back from tiles of payloads (one tile wide, from top to bottom)."""
-    small_batches(tiled.sparkSession)
-    return tiled.mapInArrow(_read_tiles, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+def payload_features(stored: DataFrame) -> DataFrame:
+    """What the stored tiles hold, read back from top to bottom: payload size and digest, checksum of its end, stored size and digest, difference hash."""
+    small_batches(stored.sparkSession)
+    return stored.mapInArrow(_read, "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")

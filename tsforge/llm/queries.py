@@ -50,7 +50,7 @@ def op9_html_extraction(spark, sf_dir):
 
 
 def op10_media_columns(spark, sf_dir):
-    return media.tile_features(media.store_tiles(media.store_texts(table(spark, sf_dir, "documents"))))
+    return media.payload_features(media.store_texts(table(spark, sf_dir, "documents")))
 
 
 QUERIES = {
@@ -84,9 +84,11 @@ ORACLE_SQL = {
     """,
     "op6_line_dedup": r"""
         WITH w AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
-             p AS (SELECT doc_id, ls, unnest(range(len(ls) - 2)) AS i FROM w WHERE len(ls) >= 3),
-             g AS (SELECT doc_id, i, row_number() OVER (PARTITION BY md5(array_to_string(ls[i + 1:i + 3], chr(10))) ORDER BY doc_id, i) > 1 AS again FROM p),
-             c AS (SELECT DISTINCT doc_id, i + k AS pos FROM g, range(3) AS r(k) WHERE again),
+             p AS (SELECT doc_id, ls, unnest(range(len(ls))) AS i FROM w),
+             n AS (SELECT doc_id, i, k, array_to_string(ls[i + 1:i + k], chr(10)) AS run FROM p, range(1, 4) AS r(k) WHERE i + k <= len(ls)),
+             g AS (SELECT doc_id, i, k, row_number() OVER (PARTITION BY k, md5(run) ORDER BY doc_id, i) > 1 AS again FROM n
+                   WHERE k = 3 OR len(regexp_extract_all(run, '[^\x20\x09-\x0D]+')) >= 8),
+             c AS (SELECT DISTINCT doc_id, i + o AS pos FROM g, range(3) AS s(o) WHERE again AND o < k),
              e AS (SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS pos FROM w),
              k AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS kept, count(*) AS n FROM e ANTI JOIN c USING (doc_id, pos) GROUP BY doc_id)
         SELECT doc_id, len(ls) AS n_lines, len(ls) - coalesce(n, 0) AS n_deleted, sha256(coalesce(kept, '')) AS kept_sha256

@@ -1,21 +1,26 @@
-"""Repeated windows of tokens across a corpus, exactly, by winnowed anchors.
+"""The exchange that finds what repeats across a corpus: winnowed anchors, then what stands around them.
 
-A window is ``length`` consecutive tokens (words or lines) of one document. A
-window repeats if its tokens also start in an earlier place; the caller says
-what earlier is. All windows would be too many to exchange, so:
+All windows of all documents would be too many to exchange, so:
 
-1. Every k-gram of tokens is hashed, and of each ``length - k + 1`` consecutive
-   k-grams the least is kept as an anchor (winnowing). Each window holds one, and
-   equal windows hold it at the same place.
+1. Every k-gram of tokens is hashed, and of the k-grams of each window the least
+   is kept as an anchor (winnowing). Each window holds one, and equal windows
+   hold it at the same place.
 2. Anchors are exchanged by hash. Those that occur once need no more work.
-3. Windows whose anchor occurs again are exchanged by their anchor's hash, with
-   96 bits of their own. The earliest place of a window is the reference of all
-   others: neighbouring windows whose references advance together are one piece.
-4. The pieces of a document come back to it.
+3. Runs of documents are searched for what repeats in them around anchors that
+   occur again. How is up to the rule: ``substring_dedup`` parses texts against an
+   index of the run, ``line_dedup`` extends matches from their common line.
+4. Windows around such anchors that no earlier place of the run has are sent by
+   their own hash (96 bits) and meet those of all other runs; the earliest place
+   is the reference. Dealing them by anchor would bring all that stands around a
+   very common one to a single task.
+5. What was found to repeat (pieces: tokens and the place of their reference)
+   comes back to its document.
 
 Before either exchange a task settles what it can among its own documents: of
-places that it knows to repeat it sends one witness, so a window that a third of
-all documents hold costs each task one entry, and no task receives a group.
+places that it knows to repeat it sends one witness, so a passage that a third
+of all documents hold costs each task one entry, and no task receives a group.
+There are ``SPLIT`` slots to a partition, sorted by Spark and met one after the
+other, so what a task holds is a small part of its partition.
 
 Documents are dealt by their id once; the plan reuses that exchange each time
 their texts are needed.
@@ -23,8 +28,8 @@ their texts are needed.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from itertools import chain
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -34,8 +39,10 @@ from pyspark.sql import functions as F
 
 from tsforge.llm.common import deal_exactly, partitions, small_batches, text_of
 
-#: Entries that a task holds before it sends them.
-RUN = 1 << 21
+#: Entries that a task holds before it sends them, and bytes of texts that it compares with each other.
+RUN, RUN_BYTES = 1 << 21, 8 << 20
+#: Slots in a partition.
+SPLIT = 16
 #: Distinct tokens whose hashes a worker keeps.
 KEPT = 400_000
 
@@ -44,16 +51,24 @@ NO_ID = -(1 << 63)
 PIECE = np.dtype([("start", "<i4"), ("count", "<i4"), ("ref_doc", "<i8"), ("ref_start", "<i4")])
 
 
-@dataclass(frozen=True)
 class Rule:
-    """What is looked for: ``split`` gives a text's tokens; ``within`` lets a document's own earlier
-    windows count; ``run`` is what a task holds before it sends."""
+    """What is looked for; ``within`` lets a document's own earlier places count."""
 
-    split: object
-    length: int
-    gram: int
-    within: bool
-    run: int = RUN
+    within = False
+    #: Anchors that a task holds before it sends them, and bytes of texts whose surroundings it sends at a time.
+    run, run_bytes = RUN, RUN_BYTES
+
+    def anchors(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each anchor of the texts, in order: its hash, its text's number, its place in the text."""
+        raise NotImplementedError
+
+    def search(self, texts: list[bytes], docs: np.ndarray, marks: np.ndarray, live: list[np.ndarray]) -> tuple[tuple, tuple]:
+        """A run of texts with their live anchors: the pieces that repeat in it, and the windows that nothing earlier in it has.
+
+        Pieces are (docs, marks, start, count, docs and start of the reference),
+        windows are (hash, more bits of it, docs, marks, start, count), as arrays.
+        """
+        raise NotImplementedError
 
 
 class _Hashes(dict):
@@ -105,36 +120,12 @@ def anchors_of(grams: np.ndarray, span: int) -> np.ndarray:
     return np.arange(n) + at
 
 
-class _Batch:
-    """The tokens of a batch of texts, end to end, with what is computed from them."""
-
-    def __init__(self, rule: Rule, texts: list[bytes]):
-        lists = [rule.split(t) for t in texts]
-        self.lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-        self.first = np.cumsum(self.lengths) - self.lengths
-        self.tokens = list(chain.from_iterable(lists))
-        hashes = token_hashes(self.tokens)
-        self.hashes = hashes
-        self.row = np.repeat(np.arange(len(lists)), self.lengths)
-        self.grams = gram_hashes(hashes, rule.gram)
-        span = rule.length - rule.gram + 1
-        at = anchors_of(self.grams, span)
-        starts = np.arange(len(at))
-        # windows that lie in one document
-        whole = starts[self.row[starts] == self.row[np.minimum(starts + rule.length - 1, len(hashes) - 1)]] if len(hashes) >= rule.length else starts[:0]
-        whole = whole[whole + rule.length <= len(hashes)]
-        self.windows, self.anchors = whole, at[whole]
-
-    def positions(self, at: np.ndarray) -> np.ndarray:
-        return (at - self.first[self.row[at]]).astype(np.int32)
-
-
-def _pack(columns: list[np.ndarray]) -> bytes:
+def pack(columns: list[np.ndarray]) -> bytes:
     """Equally long arrays, one after the other (they compress better apart)."""
     return len(columns[0]).to_bytes(8, "little") + b"".join(np.ascontiguousarray(c).tobytes() for c in columns)
 
 
-def _unpack(data: bytes, kinds: list[str]) -> list[np.ndarray]:
+def unpack(data: bytes, kinds: list[str]) -> list[np.ndarray]:
     n, at, out = int.from_bytes(data[:8], "little"), 8, []
     for kind in kinds:
         out.append(np.frombuffer(data, kind, n, at))
@@ -142,7 +133,7 @@ def _unpack(data: bytes, kinds: list[str]) -> list[np.ndarray]:
     return out
 
 
-def _groups(*keys: np.ndarray) -> np.ndarray:
+def groups(*keys: np.ndarray) -> np.ndarray:
     """Where groups of equal keys begin, in arrays that are sorted by them."""
     if not len(keys[0]):
         return np.zeros(0, np.int64)
@@ -153,7 +144,7 @@ def _groups(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(change)
 
 
-def _sizes(starts: np.ndarray, n: int) -> np.ndarray:
+def sizes(starts: np.ndarray, n: int) -> np.ndarray:
     return np.diff(np.append(starts, n))
 
 
@@ -170,43 +161,47 @@ def _to_documents(docs: np.ndarray, marks: np.ndarray, values: np.ndarray, slots
     dest = (_mix(docs.astype(np.uint64), 3) % np.uint64(slots)).astype(np.int32)
     order = np.argsort(dest, kind="stable")
     dest, docs, marks, values = dest[order], docs[order], marks[order], values[order]
-    starts = _groups(dest)
+    starts = groups(dest)
     parts = []
-    for a, n in zip(starts.tolist(), _sizes(starts, len(dest)).tolist()):
+    for a, n in zip(starts.tolist(), sizes(starts, len(dest)).tolist()):
         d, m = docs[a : a + n], marks[a : a + n]
-        heads = _groups(d, m)
-        parts.append(_pack([d[heads], m[heads], _sizes(heads, n).astype(np.uint32)]) + values[a : a + n].tobytes())
+        heads = groups(d, m)
+        parts.append(pack([d[heads], m[heads], sizes(heads, n).astype(np.uint32)]) + values[a : a + n].tobytes())
     return _sent(None, dest[starts], parts)
 
 
+def _by_destination(batches):
+    """Rows sorted by destination: the data of each, together."""
+    rows = ((dest, data) for batch in batches for dest, data in zip(batch.column("dest").to_pylist(), batch.column("data").to_pylist()))
+    for _, held in groupby(rows, key=itemgetter(0)):
+        yield [data for _, data in held]
+
+
 def _gather(batches, kind: np.dtype):
-    """What documents were sent, as one row for each: key, and marks, counts and values packed."""
-    found = []
-    for batch in batches:
-        for data in batch.column("data").to_pylist():
-            docs, marks, counts = _unpack(data, ["<i8", "<i8", "<u4"])
-            values = np.frombuffer(data, kind, -1, 8 + 20 * len(docs))
-            found.append((np.repeat(docs, counts), np.repeat(marks, counts), values))
-    if not found:
-        return
-    docs, marks, values = (np.concatenate(c) for c in zip(*found))
-    order = np.lexsort((values["start"] if kind.names else values, marks, docs))
-    docs, marks, values = docs[order], marks[order], values[order]
-    starts = _groups(docs)
-    for first in range(0, len(starts), 10_000):
-        keys, parts = [], []
-        for a, b in zip(starts[first : first + 10_000].tolist(), np.append(starts[1:], len(docs))[first : first + 10_000].tolist()):
-            heads = _groups(marks[a:b])
-            keys.append(docs[a])
-            parts.append(_pack([marks[a:b][heads], _sizes(heads, b - a).astype(np.uint32)]) + values[a:b].tobytes())
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(parts, pa.binary())], names=["key", "data"])
+    """What documents were sent (rows sorted by destination), as one row for each: key, and marks, counts and values packed."""
+    for parts in _by_destination(batches):
+        found = []
+        for data in parts:
+            docs, marks, counts = unpack(data, ["<i8", "<i8", "<u4"])
+            found.append((np.repeat(docs, counts), np.repeat(marks, counts), np.frombuffer(data, kind, -1, 8 + 20 * len(docs))))
+        docs, marks, values = (np.concatenate(c) for c in zip(*found))
+        order = np.lexsort((values["start"] if kind.names else values, marks, docs))
+        docs, marks, values = docs[order], marks[order], values[order]
+        starts = groups(docs)
+        for first in range(0, len(starts), 10_000):
+            keys, packed = [], []
+            for a, b in zip(starts[first : first + 10_000].tolist(), np.append(starts[1:], len(docs))[first : first + 10_000].tolist()):
+                heads = groups(marks[a:b])
+                keys.append(docs[a])
+                packed.append(pack([marks[a:b][heads], sizes(heads, b - a).astype(np.uint32)]) + values[a:b].tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(packed, pa.binary())], names=["key", "data"])
 
 
 def _values_of(data: bytes | None, kind, mark: int | None = None) -> np.ndarray:
     """The values that a document was sent; those of one mark, if one is given."""
     if data is None:
         return np.zeros(0, kind)
-    marks, counts = _unpack(data, ["<i8", "<u4"])
+    marks, counts = unpack(data, ["<i8", "<u4"])
     values = np.frombuffer(data, kind, -1, 8 + 12 * len(marks))
     return values if mark is None else values[np.repeat(marks, counts) == mark]
 
@@ -219,8 +214,8 @@ def _send_anchors(batches, rule: Rule, slots: int):
         grams, docs, pos = (np.concatenate(c) for c in zip(*held))
         order = np.lexsort((docs, grams))
         grams, docs, pos = grams[order], docs[order], pos[order]
-        starts = _groups(grams)
-        counts = _sizes(starts, len(grams))
+        starts = groups(grams)
+        counts = sizes(starts, len(grams))
         last = docs[starts + counts - 1]
         repeats = (counts > 1) if rule.within else (docs[starts] != last)
         known = np.repeat(repeats, counts)
@@ -228,18 +223,16 @@ def _send_anchors(batches, rule: Rule, slots: int):
         send = ~known
         send[starts[repeats]] = True
         pos_sent = np.where(known, -1, pos)[send]
-        yield from _by_slot((grams[send] % np.uint64(slots)).astype(np.int32), slots, lambda at: _anchor_bytes(grams[send][at], docs[send][at], pos_sent[at]))
+        yield from by_slot((grams[send] % np.uint64(slots)).astype(np.int32), lambda at: _anchor_bytes(grams[send][at], docs[send][at], pos_sent[at]))
         if known.any():
             yield _places(docs[known], pos[known], slots)
 
     for batch in batches:
         if not batch.num_rows:
             continue
-        b = _Batch(rule, [t.as_py() for t in batch.column("text")])
-        at = b.anchors[_groups(b.anchors)]  # the least of a sliding span only moves on
-        docs = batch.column("key").to_numpy()
-        held.append((b.grams[at], docs[b.row[at]], b.positions(at)))
-        size += len(at)
+        grams, row, pos = rule.anchors([t.as_py() for t in batch.column("text")])
+        held.append((grams, batch.column("key").to_numpy()[row], pos.astype(np.int32)))
+        size += len(pos)
         if size >= rule.run:
             yield from flush()
             held, size = [], 0
@@ -247,23 +240,23 @@ def _send_anchors(batches, rule: Rule, slots: int):
         yield from flush()
 
 
-def _by_slot(slot: np.ndarray, slots: int, pack):
+def by_slot(slot: np.ndarray, packed):
     order = np.argsort(slot, kind="stable")
-    starts = _groups(slot[order])
+    starts = groups(slot[order])
     if len(starts):
-        parts = [pack(order[a : a + n]) for a, n in zip(starts.tolist(), _sizes(starts, len(order)).tolist())]
+        parts = [packed(order[a : a + n]) for a, n in zip(starts.tolist(), sizes(starts, len(order)).tolist())]
         yield _sent(slot[order][starts], None, parts)
 
 
 def _anchor_bytes(grams, docs, pos) -> bytes:
     names, index = np.unique(docs, return_inverse=True)
-    body = _pack([(grams >> np.uint64(16)).astype(np.uint32), (grams >> np.uint64(48)).astype(np.uint16), index.astype(np.uint32), pos.astype(np.int32)])
-    return _pack([names]) + body
+    body = pack([(grams >> np.uint64(16)).astype(np.uint32), (grams >> np.uint64(48)).astype(np.uint16), index.astype(np.uint32), pos.astype(np.int32)])
+    return pack([names]) + body
 
 
 def _read_anchors(data: bytes):
-    (names,) = _unpack(data, ["<i8"])
-    low, high, index, pos = _unpack(data[8 + names.nbytes :], ["<u4", "<u2", "<u4", "<i4"])
+    (names,) = unpack(data, ["<i8"])
+    low, high, index, pos = unpack(data[8 + names.nbytes :], ["<u4", "<u2", "<u4", "<i4"])
     return low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), names[index], pos
 
 
@@ -294,8 +287,8 @@ def _live_anchors(parts: list[bytes], rule: Rule, slots: int):
     grams, docs, pos = (np.concatenate(c) for c in zip(*map(_read_anchors, parts)))
     order = np.lexsort((docs, grams))
     grams, docs, pos = grams[order], docs[order], pos[order]
-    starts = _groups(grams)
-    counts = _sizes(starts, len(grams))
+    starts = groups(grams)
+    counts = sizes(starts, len(grams))
     # a witness stands for at least two places
     seen = np.logical_or.reduceat(pos < 0, starts)
     repeats = seen | ((counts > 1) if rule.within else (docs[starts] != docs[starts + counts - 1]))
@@ -304,83 +297,52 @@ def _live_anchors(parts: list[bytes], rule: Rule, slots: int):
         yield _places(docs[live], pos[live], slots)
 
 
-def _pieces(docs, marks, pos, ref_docs, ref_pos, slots: int) -> pa.RecordBatch:
-    """Windows with their references, joined to pieces."""
-    order = np.lexsort((pos, marks, docs))
-    docs, marks, pos, ref_docs, ref_pos = (x[order] for x in (docs, marks, pos, ref_docs, ref_pos))
-    starts = _groups(docs, marks, ref_docs, pos - np.arange(len(pos)), ref_pos - np.arange(len(pos)))
-    piece = np.zeros(len(starts), PIECE)
-    piece["start"], piece["count"] = pos[starts], _sizes(starts, len(pos))
-    piece["ref_doc"], piece["ref_start"] = ref_docs[starts], ref_pos[starts]
-    return _to_documents(docs[starts], marks[starts], piece, slots)
-
-
-def _references(keys: tuple[np.ndarray, ...], docs, pos, rule: Rule):
-    """Sorted by window, document and place: the order, each one's reference, and whether it repeats."""
-    order = np.lexsort((pos, docs, *keys))
-    sorted_keys = [k[order] for k in keys]
-    docs, pos = docs[order], pos[order]
-    starts = _groups(*sorted_keys)
-    counts = _sizes(starts, len(docs))
-    ref_docs, ref_pos = np.repeat(docs[starts], counts), np.repeat(pos[starts], counts)
-    repeats = docs != ref_docs
-    if rule.within:
-        repeats |= pos != ref_pos
-    return order, ref_docs, ref_pos, repeats
+def pieces(docs, marks, start, count, ref_docs, ref_start, slots: int) -> pa.RecordBatch:
+    """Repeated tokens with their references, for the documents that hold them."""
+    order = np.lexsort((start, marks, docs))
+    piece = np.zeros(len(order), PIECE)
+    for name, values in zip(PIECE.names, (start, count, ref_docs, ref_start)):
+        piece[name] = values[order]
+    return _to_documents(docs[order], marks[order], piece, slots)
 
 
-def _send_windows(batches, rule: Rule, slots: int):
-    """Texts with their live anchors to packed windows for each slot, and pieces already known."""
-    held, size = [], 0
+def _send(batches, rule: Rule, slots: int):
+    """Texts with their live anchors to pieces for documents and windows for slots, a run of texts at a time."""
+    texts, docs, marks, live, size = [], [], [], [], 0
 
     def flush():
-        slot, tag, window, docs, marks, pos = (np.concatenate(c) for c in zip(*held))
-        order, ref_docs, ref_pos, known = _references((tag, window), docs, pos, rule)
-        slot, tag, window, docs, marks, pos = (x[order] for x in (slot, tag, window, docs, marks, pos))
-        send = ~known
-
-        def pack(at):
-            at = np.flatnonzero(send)[at]
-            names, index = np.unique(np.stack([docs[at], marks[at]]), axis=1, return_inverse=True)
-            return _pack([names[0], names[1]]) + _pack([tag[at], window[at], index.reshape(-1).astype(np.uint32), pos[at]])
-
-        yield from _by_slot(slot[send], slots, pack)
-        if known.any():
-            yield _pieces(docs[known], marks[known], pos[known], ref_docs[known], ref_pos[known], slots)
+        found, (key, more, of, mark, start, count) = rule.search(texts, np.array(docs, np.int64), np.array(marks, np.int64), live)
+        if len(found[0]):
+            yield pieces(*found, slots)
+        columns = [key, more.astype("<u4"), of, mark.astype("<i8"), start.astype("<i4"), count.astype("<u1")]
+        yield from by_slot((key % np.uint64(slots)).astype(np.int32), lambda at: pack([c[at] for c in columns]))
 
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        b = _Batch(rule, [t.as_py() for t in batch.column("text")])
-        live = np.zeros(len(b.tokens), bool)
-        for i, data in enumerate(batch.column("data").to_pylist()):
-            at = _values_of(data, "<i4")
-            live[b.first[i] + at[at < b.lengths[i]]] = True
-        mine = live[b.anchors]
-        windows, anchors = b.windows[mine], b.grams[b.anchors[mine]]
-        row = b.row[windows]
-        hashes = gram_hashes(b.hashes, rule.length, 5)[windows]
-        keys, marks = batch.column("key").to_numpy(), batch.column("mark").to_numpy()
-        held.append(((anchors % np.uint64(slots)).astype(np.int32), (anchors >> np.uint64(32)).astype(np.uint32), hashes, keys[row], marks[row], b.positions(windows)))
-        size += len(windows)
-        if size >= rule.run:
-            yield from flush()
-            held, size = [], 0
-    if size:
+        for text, key, mark, data in zip(*(batch.column(k).to_pylist() for k in ("text", "key", "mark", "data"))):
+            texts.append(text)
+            docs.append(key)
+            marks.append(mark)
+            live.append(_values_of(data, "<i4"))
+            size += len(text)
+            if size >= rule.run_bytes:
+                yield from flush()
+                texts, docs, marks, live, size = [], [], [], [], 0
+    if texts:
         yield from flush()
 
 
-def _match_windows(parts: list[bytes], rule: Rule, slots: int):
-    found = []
-    for data in parts:
-        names, marks = _unpack(data, ["<i8", "<i8"])
-        tag, window, index, pos = _unpack(data[8 + 2 * names.nbytes :], ["<u4", "<u8", "<u4", "<i4"])
-        found.append((tag, window, names[index], marks[index], pos))
-    tag, window, docs, marks, pos = (np.concatenate(c) for c in zip(*found))
-    order, ref_docs, ref_pos, repeats = _references((tag, window), docs, pos, rule)
-    if repeats.any():
-        docs, marks, pos = (x[order][repeats] for x in (docs, marks, pos))
-        yield _pieces(docs, marks, pos, ref_docs[repeats], ref_pos[repeats], slots)
+def _match(parts: list[bytes], rule: Rule, slots: int):
+    """A slot's windows, from all runs, to the pieces that they make of what stands later than their earliest place."""
+    key, more, docs, marks, start, count = (np.concatenate(c) for c in zip(*(unpack(data, ["<u8", "<u4", "<i8", "<i8", "<i4", "<u1"]) for data in parts)))
+    order = np.lexsort((start, docs, more, key))
+    heads = groups(key[order], more[order])
+    first = np.repeat(order[heads], sizes(heads, len(order)))
+    repeats = docs[order] != docs[first]
+    if rule.within:
+        repeats |= start[order] != start[first]
+    at, ref = order[repeats], first[repeats]
+    if len(at):
+        yield pieces(docs[at], marks[at], start[at], count[at], docs[ref], start[ref], slots)
 
 
 def with_pieces(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -388,21 +350,25 @@ def with_pieces(docs: DataFrame, rule: Rule) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     n = partitions(spark)
+    slots = n * SPLIT
     # the same two columns each time, so that the exchange is reused
     dealt = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), text_of().cast("binary").alias("text")).repartition(n, "key")
 
+    def dealt_by(sent: DataFrame, number) -> DataFrame:
+        return deal_exactly(sent, F.pmod(number, F.lit(n)), n)
+
     def settled(sent: DataFrame, finish, kind) -> DataFrame:
-        met = deal_exactly(sent, F.coalesce("slot", "dest"), n).sortWithinPartitions("slot").mapInArrow(lambda it: _settle(it, lambda parts: finish(parts, rule, n)), _SENT)
-        return deal_exactly(met, F.col("dest"), n).mapInArrow(lambda it: _gather(it, np.dtype(kind)), "key long, data binary")
+        met = dealt_by(sent, F.coalesce("slot", "dest")).sortWithinPartitions("slot").mapInArrow(lambda it: _settle(it, finish), _SENT)
+        return dealt_by(met, F.col("dest")).sortWithinPartitions("dest").mapInArrow(lambda it: _gather(it, np.dtype(kind)), "key long, data binary")
 
-    places = settled(dealt.mapInArrow(lambda it: _send_anchors(it, rule, n), _SENT), _live_anchors, "<i4")
+    places = settled(dealt.mapInArrow(lambda it: _send_anchors(it, rule, slots), _SENT), lambda parts: _live_anchors(parts, rule, slots), "<i4")
     live = dealt.join(places, "key").select("key", F.xxhash64("text").alias("mark"), "text", "data")
-    pieces = settled(live.mapInArrow(lambda it: _send_windows(it, rule, n), _SENT), _match_windows, PIECE)
-    return dealt.join(pieces, "key", "left").select(F.expr(f"nullif(key, {NO_ID + 1} - 1)").alias("doc_id"), F.xxhash64("text").alias("mark"), "text", "data")
+    found = settled(live.mapInArrow(lambda it: _send(it, rule, slots), _SENT), lambda parts: _match(parts, rule, slots), PIECE)
+    return dealt.join(found, "key", "left").select(F.expr(f"nullif(key, {NO_ID + 1} - 1)").alias("doc_id"), F.xxhash64("text").alias("mark"), "text", "data")
 
 
 def factors(data: bytes | None, mark: int) -> list[tuple[int, int, int, int]]:
-    """A document's pieces parsed greedily: at each place that which reaches furthest; (start, count, ref_doc, ref_start)."""
+    """A document's pieces, each token in one of them: at each place that which reaches furthest; (start, count, ref_doc, ref_start)."""
     piece = _values_of(data, PIECE, mark)
     if not len(piece):
         return []
@@ -410,7 +376,7 @@ def factors(data: bytes | None, mark: int) -> list[tuple[int, int, int, int]]:
     out, reach = [], -1
     for start, count, ref_doc, ref_start in piece.tolist():
         if start + count > reach:
-            skip = max(0, reach - start)
+            skip = max(0, reach - start)  # the reference goes on as the piece does
             out.append((start + skip, count - skip, ref_doc, ref_start + skip))
             reach = start + count
     return out

@@ -250,4 +250,4 @@ def read_index(blobs: DataFrame) -> DataFrame:
     shards = sizes.groupBy("shard").agg(F.sum("n_ids").alias("n_ids")).select("shard", before(Window.orderBy("shard")).alias("shard_base"))
     inner = sizes.select("shard", "seq", before(Window.partitionBy("shard").orderBy("seq")).alias("inner_base"))
     bases = inner.join(shards, "shard").select("shard", "seq", (F.col("shard_base") + F.col("inner_base")).alias("base"))
-    return blobs.join(sent_if_small(bases), ["shard", "seq"]).select("base", "blob").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return blobs.join(sent_if_small(written(bases, "bases")), ["shard", "seq"]).select("base", "blob").mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
