@@ -100,6 +100,20 @@ def test_windows_that_share_a_hash_are_told_apart(monkeypatch):
     assert [(p, n, q) for p, n, q in block.factors().tolist()] == [(8, 4, 3)]
 
 
+def test_slots_are_met_in_passes(documents, monkeypatch):
+    monkeypatch.setattr(repeats, "HELD", 50)
+    rng = random.Random(12)
+    rows = [(i, t, "s") for i, t in enumerate(passages(rng, lambda: rng.choice("abcdefgh"), " "))]
+    for packed in ([np.arange(5), np.arange(5) % 2], [np.zeros(0), np.zeros(0)]):
+        assert [x.tolist() for x in repeats.unpack(repeats.pack(packed, ["<i8", "<u1"]), ["<i8", "<u1"])] == [x.tolist() for x in packed]
+    parts = [repeats.pack([np.arange(100) % 9, np.arange(100)], ["<u8", "<i4"])] * 2
+    found = list(repeats._passes(parts, ["<u8", "<i4"], lambda c: c[0]))
+    assert len(found) == 5 and sorted(x for _, c in found for x in c.tolist()) == sorted([*range(100)] * 2)
+    assert sum(len(set(k.tolist())) for k, _ in found) == 9
+    got = sorted(((r.doc_id, r.n_words, r.n_removed, bytes(r.kept)) for r in substring_dedup.dedup(documents(rows), 4, 2).collect()), key=str)
+    assert got == brute(rows, bytes.split, b" ".join, (4,), lambda w: True, False)
+
+
 def test_anchors_are_guaranteed():
     rng = np.random.default_rng(1)
     grams = rng.integers(0, 50, 500).astype(np.uint64)

@@ -19,8 +19,8 @@ All windows of all documents would be too many to exchange, so:
 Before either exchange a task settles what it can among its own documents: of
 places that it knows to repeat it sends one witness, so a passage that a third
 of all documents hold costs each task one entry, and no task receives a group.
-There are ``SPLIT`` slots to a partition, sorted by Spark and met one after the
-other, so what a task holds is a small part of its partition.
+There is a slot to a partition. A task holds its slot packed, and unpacks and
+sorts ``HELD`` entries of it at a time, by bits of their hash.
 
 Documents are dealt by their id once; the plan reuses that exchange each time
 their texts are needed.
@@ -28,9 +28,6 @@ their texts are needed.
 
 from __future__ import annotations
 
-from itertools import groupby
-from operator import itemgetter
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -40,15 +37,18 @@ from pyspark.sql import functions as F
 from tsforge.llm.common import deal_exactly, partitions, small_batches, text_of
 
 #: Entries that a task holds before it sends them, and bytes of texts that it compares with each other.
-RUN, RUN_BYTES = 1 << 21, 8 << 20
-#: Slots in a partition.
-SPLIT = 16
+RUN, RUN_BYTES = 1 << 21, 12 << 20
+#: Entries that a slot unpacks at a time, about.
+HELD = 1 << 21
 #: Distinct tokens whose hashes a worker keeps.
 KEPT = 400_000
 
 NO_ID = -(1 << 63)
 
-PIECE = np.dtype([("start", "<i4"), ("count", "<i4"), ("ref_doc", "<i8"), ("ref_start", "<i4")])
+# What is packed of an anchor (hash, more bits of it, document, place), of a window (hash, more bits of it, document, mark,
+# place, tokens), of a place for its document, and of a piece (mark, place, tokens, document and place of the reference).
+ANCHOR, WINDOW = ["<u4", "<u2", "<i8", "<i4"], ["<u8", "<u4", "<i8", "<i4", "<i4", "<u1"]
+PLACE, PIECE = ["<i4"], ["<i4", "<i4", "<i4", "<i8", "<i4"]
 
 
 class Rule:
@@ -120,19 +120,36 @@ def anchors_of(grams: np.ndarray, span: int) -> np.ndarray:
     return np.arange(n) + at
 
 
-def pack(columns: list[np.ndarray]) -> bytes:
-    """Equally long arrays, one after the other (they compress better apart)."""
-    return len(columns[0]).to_bytes(8, "little") + b"".join(np.ascontiguousarray(c).tobytes() for c in columns)
+def pack(columns: list[np.ndarray], kinds: list[str]) -> bytes:
+    """Equally long columns as planes of bytes, one after the other: the upper bytes of small numbers compress away."""
+    planes = [np.ascontiguousarray(c, kind).view(np.uint8).reshape(len(c), np.dtype(kind).itemsize).T.tobytes() for c, kind in zip(columns, kinds, strict=True)]
+    return len(columns[0]).to_bytes(8, "little") + b"".join(planes)
 
 
 def unpack(data: bytes, kinds: list[str]) -> list[np.ndarray]:
     n, at, out = int.from_bytes(data[:8], "little"), 8, []
     for kind in kinds:
-        out.append(np.frombuffer(data, kind, n, at))
-        at += n * np.dtype(kind).itemsize
+        width = np.dtype(kind).itemsize
+        planes = np.frombuffer(data, np.uint8, n * width, at).reshape(width, n)
+        out.append(np.ascontiguousarray(planes.T).view(kind).reshape(n))
+        at += n * width
     return out
 
 
+def _passes(parts: list[bytes], kinds: list[str], bits):
+    """All entries of the parts, ``HELD`` of them or so at a time; equal ones of ``bits`` (of the columns) come together."""
+    passes = 1 + sum(int.from_bytes(p[:8], "little") for p in parts) // HELD
+    for i in range(passes):
+        found = []
+        for data in parts:
+            columns = unpack(data, kinds)
+            if passes > 1:
+                mine = np.flatnonzero(_mix(bits(columns), 9) % np.uint64(passes) == i)
+                columns = [c[mine] for c in columns]
+            found.append(columns)
+        yield [np.concatenate(c) for c in zip(*found)]
+
+
 def groups(*keys: np.ndarray) -> np.ndarray:
     """Where groups of equal keys begin, in arrays that are sorted by them."""
     if not len(keys[0]):
@@ -156,54 +173,27 @@ def _sent(slot, dest, data: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([column(slot), column(dest), pa.array(data, pa.binary())], names=["slot", "dest", "data"])
 
 
-def _to_documents(docs: np.ndarray, marks: np.ndarray, values: np.ndarray, slots: int) -> pa.RecordBatch:
-    """Values for documents, packed for each destination; sorted by document, mark and value already."""
+def _to_documents(docs: np.ndarray, columns: list[np.ndarray], kinds: list[str], slots: int) -> pa.RecordBatch:
+    """Rows for documents, packed for each destination."""
     dest = (_mix(docs.astype(np.uint64), 3) % np.uint64(slots)).astype(np.int32)
     order = np.argsort(dest, kind="stable")
-    dest, docs, marks, values = dest[order], docs[order], marks[order], values[order]
-    starts = groups(dest)
-    parts = []
-    for a, n in zip(starts.tolist(), sizes(starts, len(dest)).tolist()):
-        d, m = docs[a : a + n], marks[a : a + n]
-        heads = groups(d, m)
-        parts.append(pack([d[heads], m[heads], sizes(heads, n).astype(np.uint32)]) + values[a : a + n].tobytes())
-    return _sent(None, dest[starts], parts)
-
-
-def _by_destination(batches):
-    """Rows sorted by destination: the data of each, together."""
-    rows = ((dest, data) for batch in batches for dest, data in zip(batch.column("dest").to_pylist(), batch.column("data").to_pylist()))
-    for _, held in groupby(rows, key=itemgetter(0)):
-        yield [data for _, data in held]
-
-
-def _gather(batches, kind: np.dtype):
-    """What documents were sent (rows sorted by destination), as one row for each: key, and marks, counts and values packed."""
-    for parts in _by_destination(batches):
-        found = []
-        for data in parts:
-            docs, marks, counts = unpack(data, ["<i8", "<i8", "<u4"])
-            found.append((np.repeat(docs, counts), np.repeat(marks, counts), np.frombuffer(data, kind, -1, 8 + 20 * len(docs))))
-        docs, marks, values = (np.concatenate(c) for c in zip(*found))
-        order = np.lexsort((values["start"] if kind.names else values, marks, docs))
-        docs, marks, values = docs[order], marks[order], values[order]
-        starts = groups(docs)
-        for first in range(0, len(starts), 10_000):
-            keys, packed = [], []
-            for a, b in zip(starts[first : first + 10_000].tolist(), np.append(starts[1:], len(docs))[first : first + 10_000].tolist()):
-                heads = groups(marks[a:b])
-                keys.append(docs[a])
-                packed.append(pack([marks[a:b][heads], sizes(heads, b - a).astype(np.uint32)]) + values[a:b].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(packed, pa.binary())], names=["key", "data"])
+    starts = groups(dest[order])
+    parts = [pack([c[order[a : a + n]] for c in (docs, *columns)], ["<i8", *kinds]) for a, n in zip(starts.tolist(), sizes(starts, len(dest)).tolist())]
+    return _sent(None, dest[order][starts], parts)
 
 
-def _values_of(data: bytes | None, kind, mark: int | None = None) -> np.ndarray:
-    """The values that a document was sent; those of one mark, if one is given."""
-    if data is None:
-        return np.zeros(0, kind)
-    marks, counts = unpack(data, ["<i8", "<u4"])
-    values = np.frombuffer(data, kind, -1, 8 + 12 * len(marks))
-    return values if mark is None else values[np.repeat(marks, counts) == mark]
+def _gather(batches, kinds: list[str]):
+    """What documents were sent, as one row for each: key, and its rows packed."""
+    parts = [data for batch in batches for data in batch.column("data").to_pylist()]
+    for docs, *columns in _passes(parts, ["<i8", *kinds], lambda c: c[0].view(np.uint64)) if parts else ():
+        order = np.argsort(docs, kind="stable")
+        docs, columns = docs[order], [c[order] for c in columns]
+        starts = groups(docs)
+        ends = np.append(starts[1:], len(docs))
+        for first in range(0, len(starts), 10_000):
+            some = list(zip(starts[first : first + 10_000].tolist(), ends[first : first + 10_000].tolist()))
+            packed = [pack([c[a:b] for c in columns], kinds) for a, b in some]
+            yield pa.RecordBatch.from_arrays([pa.array(docs[starts[first : first + 10_000]]), pa.array(packed, pa.binary())], names=["key", "data"])
 
 
 def _send_anchors(batches, rule: Rule, slots: int):
@@ -223,7 +213,8 @@ def _send_anchors(batches, rule: Rule, slots: int):
         send = ~known
         send[starts[repeats]] = True
         pos_sent = np.where(known, -1, pos)[send]
-        yield from by_slot((grams[send] % np.uint64(slots)).astype(np.int32), lambda at: _anchor_bytes(grams[send][at], docs[send][at], pos_sent[at]))
+        columns = _anchor_columns(grams[send], docs[send], pos_sent)
+        yield from by_slot((grams[send] % np.uint64(slots)).astype(np.int32), lambda at: pack([c[at] for c in columns], ANCHOR))
         if known.any():
             yield _places(docs[known], pos[known], slots)
 
@@ -248,62 +239,45 @@ def by_slot(slot: np.ndarray, packed):
         yield _sent(slot[order][starts], None, parts)
 
 
-def _anchor_bytes(grams, docs, pos) -> bytes:
-    names, index = np.unique(docs, return_inverse=True)
-    body = pack([(grams >> np.uint64(16)).astype(np.uint32), (grams >> np.uint64(48)).astype(np.uint16), index.astype(np.uint32), pos.astype(np.int32)])
-    return pack([names]) + body
-
-
-def _read_anchors(data: bytes):
-    (names,) = unpack(data, ["<i8"])
-    low, high, index, pos = unpack(data[8 + names.nbytes :], ["<u4", "<u2", "<u4", "<i4"])
-    return low.astype(np.uint64) | high.astype(np.uint64) << np.uint64(32), names[index], pos
+def _anchor_columns(grams, docs, pos) -> list[np.ndarray]:
+    return [(grams >> np.uint64(16)).astype(np.uint32), (grams >> np.uint64(48)).astype(np.uint16), docs, pos]
 
 
 def _places(docs: np.ndarray, pos: np.ndarray, slots: int) -> pa.RecordBatch:
-    order = np.lexsort((pos, docs))
-    return _to_documents(docs[order], np.zeros(len(docs), np.int64), pos[order].astype("<i4"), slots)
+    return _to_documents(docs, [pos], PLACE, slots)
 
 
 def _settle(batches, finish):
-    """Rows sorted by slot: those for documents pass, those for a slot meet in ``finish``."""
-    slot, held = None, []
+    """A slot's rows: those for documents pass, the others meet in ``finish``."""
+    held = []
     for batch in batches:
         direct = batch.column("dest").is_valid()
         if direct.true_count:
             yield batch.filter(direct)
-        rest = batch.filter(pa.array(~direct.to_numpy(zero_copy_only=False)))
-        for s, data in zip(rest.column("slot").to_pylist(), rest.column("data").to_pylist()):
-            if s != slot and held:
-                yield from finish(held)
-                held = []
-            slot = s
-            held.append(data)
+        held += batch.filter(pa.array(~direct.to_numpy(zero_copy_only=False))).column("data").to_pylist()
     if held:
         yield from finish(held)
 
 
 def _live_anchors(parts: list[bytes], rule: Rule, slots: int):
-    grams, docs, pos = (np.concatenate(c) for c in zip(*map(_read_anchors, parts)))
-    order = np.lexsort((docs, grams))
-    grams, docs, pos = grams[order], docs[order], pos[order]
-    starts = groups(grams)
-    counts = sizes(starts, len(grams))
-    # a witness stands for at least two places
-    seen = np.logical_or.reduceat(pos < 0, starts)
-    repeats = seen | ((counts > 1) if rule.within else (docs[starts] != docs[starts + counts - 1]))
-    live = np.repeat(repeats, counts) & (pos >= 0)
-    if live.any():
-        yield _places(docs[live], pos[live], slots)
+    for low, high, docs, pos in _passes(parts, ANCHOR, lambda c: c[0].astype(np.uint64)):
+        order = np.lexsort((docs, low, high))
+        low, high, docs, pos = low[order], high[order], docs[order], pos[order]
+        starts = groups(low, high)
+        counts = sizes(starts, len(low))
+        if not len(starts):
+            continue
+        # a witness stands for at least two places
+        seen = np.logical_or.reduceat(pos < 0, starts)
+        repeats = seen | ((counts > 1) if rule.within else (docs[starts] != docs[starts + counts - 1]))
+        live = np.repeat(repeats, counts) & (pos >= 0)
+        if live.any():
+            yield _places(docs[live], pos[live], slots)
 
 
 def pieces(docs, marks, start, count, ref_docs, ref_start, slots: int) -> pa.RecordBatch:
     """Repeated tokens with their references, for the documents that hold them."""
-    order = np.lexsort((start, marks, docs))
-    piece = np.zeros(len(order), PIECE)
-    for name, values in zip(PIECE.names, (start, count, ref_docs, ref_start)):
-        piece[name] = values[order]
-    return _to_documents(docs[order], marks[order], piece, slots)
+    return _to_documents(docs, [marks, start, count, ref_docs, ref_start], PIECE, slots)
 
 
 def _send(batches, rule: Rule, slots: int):
@@ -311,18 +285,18 @@ def _send(batches, rule: Rule, slots: int):
     texts, docs, marks, live, size = [], [], [], [], 0
 
     def flush():
-        found, (key, more, of, mark, start, count) = rule.search(texts, np.array(docs, np.int64), np.array(marks, np.int64), live)
+        found, (key, more, of, mark, start, count) = rule.search(texts, np.array(docs, np.int64), np.array(marks, np.int32), live)
         if len(found[0]):
             yield pieces(*found, slots)
-        columns = [key, more.astype("<u4"), of, mark.astype("<i8"), start.astype("<i4"), count.astype("<u1")]
-        yield from by_slot((key % np.uint64(slots)).astype(np.int32), lambda at: pack([c[at] for c in columns]))
+        columns = [key, more.astype(np.uint32), of, mark, start, count.astype(np.uint8)]
+        yield from by_slot((key % np.uint64(slots)).astype(np.int32), lambda at: pack([c[at] for c in columns], WINDOW))
 
     for batch in batches:
         for text, key, mark, data in zip(*(batch.column(k).to_pylist() for k in ("text", "key", "mark", "data"))):
             texts.append(text)
             docs.append(key)
             marks.append(mark)
-            live.append(_values_of(data, "<i4"))
+            live.append(unpack(data, PLACE)[0])
             size += len(text)
             if size >= rule.run_bytes:
                 yield from flush()
@@ -333,16 +307,16 @@ def _send(batches, rule: Rule, slots: int):
 
 def _match(parts: list[bytes], rule: Rule, slots: int):
     """A slot's windows, from all runs, to the pieces that they make of what stands later than their earliest place."""
-    key, more, docs, marks, start, count = (np.concatenate(c) for c in zip(*(unpack(data, ["<u8", "<u4", "<i8", "<i8", "<i4", "<u1"]) for data in parts)))
-    order = np.lexsort((start, docs, more, key))
-    heads = groups(key[order], more[order])
-    first = np.repeat(order[heads], sizes(heads, len(order)))
-    repeats = docs[order] != docs[first]
-    if rule.within:
-        repeats |= start[order] != start[first]
-    at, ref = order[repeats], first[repeats]
-    if len(at):
-        yield pieces(docs[at], marks[at], start[at], count[at], docs[ref], start[ref], slots)
+    for key, more, docs, marks, start, count in _passes(parts, WINDOW, lambda c: c[0]):
+        order = np.lexsort((start, docs, more, key))
+        heads = groups(key[order], more[order])
+        first = np.repeat(order[heads], sizes(heads, len(order)))
+        repeats = docs[order] != docs[first]
+        if rule.within:
+            repeats |= start[order] != start[first]
+        at, ref = order[repeats], first[repeats]
+        if len(at):
+            yield pieces(docs[at], marks[at], start[at], count[at], docs[ref], start[ref], slots)
 
 
 def with_pieces(docs: DataFrame, rule: Rule) -> DataFrame:
@@ -350,33 +324,31 @@ def with_pieces(docs: DataFrame, rule: Rule) -> DataFrame:
     spark = docs.sparkSession
     small_batches(spark)
     n = partitions(spark)
-    slots = n * SPLIT
     # the same two columns each time, so that the exchange is reused
     dealt = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("key"), text_of().cast("binary").alias("text")).repartition(n, "key")
+    # what tells rows of one doc_id apart
+    mark = F.shiftright(F.xxhash64("text"), 32).cast("int").alias("mark")
 
-    def dealt_by(sent: DataFrame, number) -> DataFrame:
-        return deal_exactly(sent, F.pmod(number, F.lit(n)), n)
+    def settled(sent: DataFrame, finish, kinds) -> DataFrame:
+        met = deal_exactly(sent, F.coalesce("slot", "dest"), n).mapInArrow(lambda it: _settle(it, finish), _SENT)
+        return deal_exactly(met, F.col("dest"), n).mapInArrow(lambda it: _gather(it, kinds), "key long, data binary")
 
-    def settled(sent: DataFrame, finish, kind) -> DataFrame:
-        met = dealt_by(sent, F.coalesce("slot", "dest")).sortWithinPartitions("slot").mapInArrow(lambda it: _settle(it, finish), _SENT)
-        return dealt_by(met, F.col("dest")).sortWithinPartitions("dest").mapInArrow(lambda it: _gather(it, np.dtype(kind)), "key long, data binary")
-
-    places = settled(dealt.mapInArrow(lambda it: _send_anchors(it, rule, slots), _SENT), lambda parts: _live_anchors(parts, rule, slots), "<i4")
-    live = dealt.join(places, "key").select("key", F.xxhash64("text").alias("mark"), "text", "data")
-    found = settled(live.mapInArrow(lambda it: _send(it, rule, slots), _SENT), lambda parts: _match(parts, rule, slots), PIECE)
-    return dealt.join(found, "key", "left").select(F.expr(f"nullif(key, {NO_ID + 1} - 1)").alias("doc_id"), F.xxhash64("text").alias("mark"), "text", "data")
+    places = settled(dealt.mapInArrow(lambda it: _send_anchors(it, rule, n), _SENT), lambda parts: _live_anchors(parts, rule, n), PLACE)
+    live = dealt.join(places, "key").select("key", mark, "text", "data")
+    found = settled(live.mapInArrow(lambda it: _send(it, rule, n), _SENT), lambda parts: _match(parts, rule, n), PIECE)
+    return dealt.join(found, "key", "left").select(F.expr(f"nullif(key, {NO_ID + 1} - 1)").alias("doc_id"), mark, "text", "data")
 
 
 def factors(data: bytes | None, mark: int) -> list[tuple[int, int, int, int]]:
     """A document's pieces, each token in one of them: at each place that which reaches furthest; (start, count, ref_doc, ref_start)."""
-    piece = _values_of(data, PIECE, mark)
-    if not len(piece):
+    if data is None:
         return []
-    piece = piece[np.lexsort((-piece["count"], piece["start"]))]
+    marks, start, count, ref_doc, ref_start = unpack(data, PIECE)
+    order = np.lexsort((-count, start))
     out, reach = [], -1
-    for start, count, ref_doc, ref_start in piece.tolist():
-        if start + count > reach:
-            skip = max(0, reach - start)  # the reference goes on as the piece does
-            out.append((start + skip, count - skip, ref_doc, ref_start + skip))
-            reach = start + count
+    for own, begin, n, doc, ref in zip(*(c[order].tolist() for c in (marks, start, count, ref_doc, ref_start))):
+        if own == mark and begin + n > reach:
+            skip = max(0, reach - begin)  # the reference goes on as the piece does
+            out.append((begin + skip, n - skip, doc, ref + skip))
+            reach = begin + n
     return out
