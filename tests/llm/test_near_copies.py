@@ -1,5 +1,6 @@
 import random
 
+import pyarrow as pa
 import pytest
 
 from tsforge.llm import near_copies, simhash
@@ -48,6 +49,24 @@ def test_near_copies_at_similarity_of_four_fifths(documents, chunk):
     assert found == brute(rows) and len(found) < len(rows) - 8
 
 
+def test_a_large_group_and_what_only_shares_a_key_with_it(documents, monkeypatch):
+    """One key for all texts: classes that are not similar to the hub are compared with each other, and with the largest."""
+
+
+    def one_key(batches):
+        for batch in batches:
+            keys = pa.array([[7]] * batch.num_rows, pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), keys], names=["doc_id", "mark", "keys"])
+
+    monkeypatch.setattr(near_copies, "_keys", one_key)
+    rng = random.Random(9)
+    base = [[f"w{rng.randrange(9000)}" for _ in range(100)] for _ in range(3)]
+    rows = [(i, " ".join(b[:k] + [f"x{i}"] + b[k + 1 :]), "s") for i, (b, k) in enumerate((base[i % 3 if i > 60 else 0], rng.randrange(100)) for i in range(90))]
+    rows += [(200 + i, " ".join(f"y{rng.randrange(9000)}" for _ in range(50)), "s") for i in range(10)]
+    found = sorted((r.doc_id, r.text) for r in near_copies.representatives(documents(rows), 16).collect())
+    assert found == brute(rows) and len(found) < 20
+
+
 def test_the_stage_takes_out_a_pair_that_simhash_leaves(spark, documents):
     import corpus_pipeline
 
