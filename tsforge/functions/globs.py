@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 
 from pyspark.sql import Column
@@ -31,6 +32,16 @@ def to_regex(pattern: str) -> str:
     return rf"(?s)\A(?:{''.join(out)})\z"
 
 
+@functools.cache
+def _compiled(pattern: str) -> re.Pattern:
+    return re.compile(to_regex(pattern).replace(r"\z", r"\Z"))
+
+
+def is_match(value: str, pattern: str) -> bool:
+    """As ``matches``, of a text."""
+    return bool(_compiled(pattern).match(value)) if is_glob(pattern) else value == pattern
+
+
 def matches(value: Column, pattern: str) -> Column:
     """Equality for plain texts, so that a scan can use it; a regular expression for globs."""
     return value.rlike(to_regex(pattern)) if is_glob(pattern) else value == F.lit(pattern)
