@@ -1,9 +1,15 @@
 import gzip
+import io
 import random
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from tsforge.functions.identity import Registry
+from tsforge.operators import ingest
 from tsforge.sources import line_protocol as lp
+from tsforge.sources import tables
 
 FULL = 'weather\\ station,node=n1,sensor=wxt\\ 536 temperature=2.5,count=-3i,total=4u,ready=true,message="first line\nsecond \\"line\\"" 123'
 
@@ -108,3 +114,37 @@ def test_files_and_data_source(spark, tmp_path):
         assert len(rows) == 8 and want in (None, rows)
         want = rows
     assert max(r[5] or 0 for r in want) == 18446744073709551615
+
+
+@pytest.mark.parametrize("size", [64, 333, 1 << 20])
+def test_splits_give_the_records_of_a_stream(spark, tmp_path, size):
+    """Strings over many lines, with quotes and escapes, whatever the splits; a file's state never leaks into the next."""
+    rng = random.Random(size)
+    parts = ["x", " y=1", ",", "\\\"", "\n", "\n# no comment", "\r\n", "\\\\", "é", "   "]
+    for name in ("a.lp", "b.lp"):
+        with open(tmp_path / name, "w", newline="") as f:
+            for i in range(120):
+                text = "".join(rng.choices(parts, k=rng.randrange(1, 40)))
+                quote = 't"' if rng.random() < 0.2 else "t"
+                f.write(f'm,{quote}=a v="{text}",w={i}i {i}\n' if rng.random() < 0.6 else f"m,{quote}=a w={i}i {i}\n# \"c\n\n")
+    want = sorted(r for name in ("a.lp", "b.lp") for r in lp.records(io.BytesIO((tmp_path / name).read_bytes())))
+    with tables.settings(spark, {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0", "spark.sql.files.minPartitionNum": "1"}):
+        found = sorted(r.record for r in lp.read_records(spark, str(tmp_path)).collect())
+    assert found == want and len(want) == 240
+    (tmp_path / "c.lp").write_text('m v="never ends 1\n')
+    with pytest.raises(Exception, match="does not end|no string|not a"):
+        lp.read_files(spark, str(tmp_path / "c.lp")).collect()
+
+
+def test_identities_of_the_parser_are_those_of_columns(spark):
+    rng = random.Random(4)
+    registry = Registry.from_document({"rules": [{"instrument_id": "one", "match": {"vsn": "W1", "sensor": "a b"}}, {"instrument_id": "zone", "match": {"zone": "x"}}]})
+    lines = set()
+    for _ in range(300):
+        tags = {k: rng.choice(["W1", "a b", "x", "--q--", "A/B.c", "long" * 40]).replace(" ", "\\ ") for k in ("vsn", "sensor", "zone", "task", "deviceName", "device", "node", "other") if rng.random() < 0.4}
+        lines.add(",".join([rng.choice(["wxt.env.temp", "sys.x", "plain"]), *(f"{k}={v}" for k, v in tags.items())]) + " v=1 1")
+    df = spark.createDataFrame([(x,) for x in sorted(lines)], "record string")
+    columns = ["measurement", "series_id", "vsn", "sensor", "instrument_id", "identity_source"]
+    text = lambda points: sorted(str(sorted(r.asDict().items())) for r in points.select(*columns, F.to_json(F.array_sort(F.map_entries("tags"))).alias("tags")).collect())
+    for rules in (None, registry):
+        assert text(ingest.identified(lp.decode(df), rules)) == text(ingest.identified(lp.decode_identified(df, registry=rules)))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -97,6 +98,8 @@ class Registry:
             raise ValueError("a registry holds a list of rules")
         rules = []
         for item in document["rules"]:
+            if isinstance(item, dict) and set(item) - {"instrument_id", "match"}:
+                raise ValueError(f"a rule with unknown keys: {sorted(set(item) - {'instrument_id', 'match'})}")
             match = item.get("match") if isinstance(item, dict) else None
             if not isinstance(match, dict) or not match or not item.get("instrument_id"):
                 raise ValueError("a rule needs instrument_id and match")
@@ -109,8 +112,13 @@ class Registry:
 
     @property
     def fingerprint(self) -> str:
-        text = json.dumps([[r.instrument_id, r.match] for r in self.rules], separators=(",", ":"))
-        return hashlib.sha256(text.encode()).hexdigest()
+        """The digest of the rules, in their order, as compact JSON with sorted keys."""
+        said = [{"instrument_id": r.instrument_id, "match": dict(r.match)} for r in self.rules]
+        return hashlib.sha256(json.dumps(said, separators=(",", ":"), sort_keys=True).encode()).hexdigest()
+
+    def find(self, tags: dict[str, str]) -> str | None:
+        """As ``lookup``, of one series."""
+        return next((r.instrument_id for r in self.rules if all(tags.get(k) == v for k, v in r.match)), None)
 
     def lookup(self, tags: Column) -> Column:
         """The id that the rules give, or null."""
@@ -151,3 +159,27 @@ def instrument(measurement: Column, tags: Column, registry: Registry | None = No
         F.coalesce(listed, fallback).alias("instrument_id"), F.when(listed.isNotNull(), F.lit("registry")).otherwise(F.concat(F.lit("vsn+"), kind_source)).alias("source"),
         confidence.alias("confidence"), (confidence != "high").alias("review_required"), known_vsn.alias("vsn"), kind.alias("kind"), zone.alias("zone"), known_device.alias("device"),
     )
+
+
+def _python_slug(text: str, lower: bool = True, default: str = "unknown") -> str:
+    found = re.sub(r"[^A-Za-z0-9._-]+", "-", text).strip("-.")
+    return (found.lower() if lower else found) or default
+
+
+def python_identity(measurement: str, tags: dict[str, str], registry: Registry | None = None) -> tuple[bytes, str | None, str | None, str, str]:
+    """series_id, vsn, sensor, instrument_id and source of one series, as the columns say; for any text."""
+    registry = registry or Registry()
+    vsn, sensor, device = (tags.get(k) or None for k in ("vsn", "sensor", "deviceName"))
+    device = device or tags.get("device") or None
+    by_tag = next((k for k in KIND_TAGS if tags.get(k)), None)
+    system = measurement.startswith("sys.")
+    kind = tags[by_tag] if by_tag else "system" if system else measurement.split(".", 1)[0]
+    zone = tags.get("zone") or "unknown-zone"
+    listed = registry.find({k: v for k, v in tags.items() if k != DROPPED_TAG})
+    if listed is None and registry.required:
+        raise ValueError("an instrument is not in the registry")
+    said = {"device": device or "unknown-device", "kind": kind, "vsn": vsn or "unknown-vsn", "zone": zone}
+    parts = [_python_slug(said["vsn"], False, "unknown-vsn"), _python_slug(kind), _python_slug(zone), *([_python_slug(device)] if device else [])]
+    own = f"{'--'.join(parts)[:120]}--{hashlib.sha256(json.dumps(said, sort_keys=True).encode()).hexdigest()[:12]}"
+    source = "registry" if listed else f"vsn+{by_tag or ('system' if system else 'measurement')}"
+    return bytes.fromhex(python_series_id(measurement, tags)), vsn, sensor, listed or own, source

@@ -41,7 +41,13 @@ def is_quarantined(fate: Column) -> Column:
 
 
 def identified(points: DataFrame, registry: Registry | None = None) -> DataFrame:
-    """Points with series_id, vsn, sensor and instrument, worked out once for each distinct series."""
+    """Points with series_id, vsn, sensor and instrument, worked out once for each distinct series.
+
+    Points of line protocol bring them from the parser (``decode_identified``), which
+    spares the join; then only the tag that is no part of an identity goes.
+    """
+    if "series_id" in points.columns:
+        return points.withColumn("tags", retained(F.col("tags")))
     none_if_empty = lambda k: F.nullif(F.try_element_at(F.col("tags"), F.lit(k)), F.lit(""))
     key = F.to_json(F.array_sort(F.map_entries("tags")))
     keyed = points.withColumn("_series", F.concat_ws("\x1f", "measurement", key))
@@ -51,10 +57,14 @@ def identified(points: DataFrame, registry: Registry | None = None) -> DataFrame
     return keyed.withColumn("tags", retained(F.col("tags"))).join(facts, "_series").drop("_series")
 
 
-def classify(points: DataFrame, start_ns: int | None = None, end_ns: int | None = None, selection: Selection | None = None, allowed_ids: set[str] | None = None) -> DataFrame:
-    """Identified points with their ``disposition``."""
+def classify(points: DataFrame, start_ns: int | None = None, end_ns: int | None = None, selection: Selection | None = None, allowed_ids: set[str] | DataFrame | None = None) -> DataFrame:
+    """Identified points with their ``disposition``; the list of instruments may be a table (instrument_id) of any length."""
     m, f, tags = F.col("measurement"), F.col("field"), F.col("tags")
     wanted = (selection.matches(m, f, tags), selection.candidates(m, f)) if selection else (None, None)
+    if isinstance(allowed_ids, DataFrame):
+        listed = allowed_ids.select("instrument_id").distinct().withColumn("_listed", F.lit(True))
+        joined = points.join(listed, "instrument_id", "left").select(*points.columns, "_listed")
+        return joined.withColumn("disposition", disposition(start_ns, end_ns, *wanted, F.col("_listed").isNotNull())).drop("_listed")
     allowed = F.col("instrument_id").isin(sorted(allowed_ids)) if allowed_ids is not None else None
     return points.withColumn("disposition", disposition(start_ns, end_ns, *wanted, allowed))
 

@@ -14,6 +14,7 @@ VALUE_COLUMNS = {"float64": "double", "int64": "long", "uint64": "decimal(20,0)"
 _VALUES = ", ".join(f"value_{k} {v}" for k, v in VALUE_COLUMNS.items())
 
 POINTS = f"measurement string, tags map<string,string>, time_ns long, field string, value_type string, {_VALUES}"
+IDENTIFIED_POINTS = f"{POINTS}, series_id binary, vsn string, sensor string, instrument_id string, identity_source string"
 FACTS = f"time_ns long, time timestamp, sensor string, vsn string, instrument_id string, measurement string, field string, series_id binary, value_type string, {_VALUES}"
 SERIES = "series_id binary, sensor string, vsn string, instrument_id string, measurement string, identity_source string, tags map<string,string>, fields array<string>, value_types array<string>, minimum_time long, maximum_time long"
 QUARANTINE = f"time_ns long, time timestamp, measurement string, field string, series_id binary, value_type string, {_VALUES}, tags map<string,string>"

@@ -1,28 +1,31 @@
 """Line protocol: ``measurement,tag=value field=value,... timestamp``.
 
 Records end at newlines outside quoted strings, so a line-based reader can't
-split them. ``read_files`` reads any path that Spark can open; the data source
-``line_protocol`` streams local or mounted files of any size, a partition each.
-Batches of Arrow columns leave Python; every distinct series is parsed once
-while it stays in a bounded table.
+split them on its own. ``read_files`` reads any path that Spark can open, by
+splits: lines whose quotes don't pair flip whether a split ends within a string,
+so one aggregation tells which splits begin within one, and only records that
+cross a split are put together again. The data source ``line_protocol`` streams
+local or mounted files of any size, a partition each. Batches of Arrow columns
+leave Python; every distinct series is parsed, and identified, once while it
+stays in a bounded table.
 """
 
 from __future__ import annotations
 
 import glob
 import gzip
-import io
 import re
-from collections.abc import Iterable, Iterator
-from decimal import Decimal
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 from pyspark.sql.types import StructType
 
-from tsforge.schema import POINTS, VALUE_TYPES
+from tsforge.functions.identity import Registry, python_identity
+from tsforge.schema import IDENTIFIED_POINTS, POINTS, VALUE_TYPES
 
 #: Points in an Arrow batch, and series that a worker keeps.
 BATCH, KEPT = 20_000, 100_000
@@ -31,6 +34,7 @@ _SERIES = re.compile(r"(?:\\.|[^\\ ])*+\\?", re.S)
 _FIELD = re.compile(r'((?:\\.|"(?:\\.|[^"\\])*+"|[^,"\\])++\\?)(?:,|\Z)', re.S)
 _KEY = re.compile(r"(?:[^=]|(?<=\\)=)*+(?<!\\)=", re.S)
 _TAG_PARTS = re.compile(r"(?:\\.|[^\\,])*+\\?", re.S)
+_SKIPPED = re.compile(r"[ \t\x0b\f\r]*(?:#|\Z)")
 _EQUALS = re.compile(r"((?:\\.|[^\\=])*+)=(.*)", re.S)
 _RANGE = {"i": ("int64", -(1 << 63), (1 << 63) - 1), "u": ("uint64", 0, (1 << 64) - 1)}
 
@@ -39,6 +43,10 @@ SCHEMA = pa.schema(
     + [("value_float64", pa.float64()), ("value_int64", pa.int64()), ("value_uint64", pa.decimal128(20, 0)), ("value_bool", pa.bool_()), ("value_string", pa.string())]
 )
 
+#: What a series' identity says, beside its measurement and tags.
+IDENTITY = ("series_id", "vsn", "sensor", "instrument_id", "identity_source")
+IDENTIFIED = pa.schema([*SCHEMA, *(pa.field(name, pa.binary() if name == "series_id" else pa.string()) for name in IDENTITY)])
+
 
 class LineProtocolError(ValueError):
     """A record that is no line protocol."""
@@ -143,7 +151,7 @@ def records(lines: Iterable[bytes]) -> Iterator[str]:
     for raw in lines:
         line = raw.decode("utf-8")
         line = line.removesuffix("\n").removesuffix("\r")
-        if not held and (not line.strip() or line.lstrip().startswith("#")):
+        if not held and _SKIPPED.match(line):
             continue
         held = f"{held}\n{line}" if held else line
         if '"' in held and _open_string(held):
@@ -154,51 +162,71 @@ def records(lines: Iterable[bytes]) -> Iterator[str]:
         raise LineProtocolError("a string that does not end before the input does")
 
 
+def parser_of(registry: Registry | None = None) -> Callable[[], _Columns]:
+    """What makes a parser of points with identities, by the rules of a registry."""
+    return lambda: _Columns(lambda measurement, tags: python_identity(measurement, tags, registry))
+
+
 class _Columns:
-    """Points gathered by column; a batch of one value type needs no look at each value."""
+    """Points gathered by column; what a series says is held once and taken by number."""
 
-    def __init__(self):
-        self.series: dict[str, tuple[str, list]] = {}
+    def __init__(self, identify: Callable[[str, dict[str, str]], tuple] | None = None):
+        self.identify = identify
+        self.schema = SCHEMA if identify is None else IDENTIFIED
+        self.numbers: dict[str, int] = {}
+        self.known: list[tuple] = []
         self._clear()
 
     def _clear(self):
-        self.measurements, self.tags, self.times, self.names, self.kinds, self.values = [], [], [], [], [], []
+        self.series, self.times, self.names, self.kinds = [], [], [], []
+        self.cells: dict[str, tuple[list, list]] = {k: ([], []) for k in VALUE_TYPES}
+        if len(self.known) > KEPT:
+            self.numbers.clear()
+            self.known.clear()
 
     def __len__(self) -> int:
         return len(self.times)
 
     def add(self, record: str):
         key, rest = split_series(record) if "\\" in record else record.split(" ", 1) if " " in record else (record, "")
-        known = self.series.get(key)
-        if known is None:
-            if len(self.series) > KEPT:
-                self.series.clear()
+        number = self.numbers.get(key)
+        if number is None:
             measurement, tags = parse_series(key)
-            known = self.series[key] = (measurement, list(tags.items()))
+            number = self.numbers[key] = len(self.known)
+            named = () if self.identify is None else self.identify(measurement, tags)
+            self.known.append((measurement, list(tags.items()), *named))
         body, _, stamp = rest.rpartition(" ")
         try:
             time_ns = int(stamp)
         except ValueError as e:
             raise LineProtocolError(f"not a timestamp: {stamp!r}") from e
         for name, kind, value in parse_fields(body) if '"' in body or "\\" in body else _plain_fields(body):
-            self.measurements.append(known[0])
-            self.tags.append(known[1])
+            places, values = self.cells[kind]
+            places.append(len(self.times))
+            values.append(value)
+            self.series.append(number)
             self.times.append(time_ns)
             self.names.append(name)
             self.kinds.append(kind)
-            self.values.append(value)
 
     def batch(self) -> pa.RecordBatch:
-        n, present = len(self), set(self.kinds)
-        columns = [pa.array(c, f.type) for c, f in zip((self.measurements, self.tags, self.times, self.names, self.kinds), SCHEMA)]
-        for kind, f in zip(VALUE_TYPES, list(SCHEMA)[5:]):
-            if kind not in present:
-                columns.append(pa.nulls(n, f.type))
+        n = len(self)
+        numbers, at = np.unique(np.array(self.series, np.int64), return_inverse=True)
+        taken, kinds = pa.array(at), {f.name: f.type for f in self.schema}
+        said = list(zip(*(self.known[i] for i in numbers.tolist())))
+        columns = {name: pa.array(values, kinds[name]).take(taken) for name, values in zip(("measurement", "tags", *IDENTITY), said)}
+        columns |= {"time_ns": pa.array(self.times, pa.int64()), "field": pa.array(self.names), "value_type": pa.array(self.kinds)}
+        for kind, (places, values) in self.cells.items():
+            name = f"value_{kind}"
+            if not values:
+                columns[name] = pa.nulls(n, kinds[name])
                 continue
-            mine = self.values if len(present) == 1 else [v if k == kind else None for v, k in zip(self.values, self.kinds)]
-            columns.append(pa.array([None if v is None else Decimal(v) for v in mine] if kind == "uint64" else mine, f.type))
+            held = pa.array(values, pa.uint64()).cast(kinds[name]) if kind == "uint64" else pa.array(values, kinds[name])
+            where = np.full(n, -1)
+            where[places] = np.arange(len(places))
+            columns[name] = held.take(pa.array(where, mask=where < 0))
         self._clear()
-        return pa.RecordBatch.from_arrays(columns, schema=SCHEMA)
+        return pa.RecordBatch.from_arrays([columns[f.name] for f in self.schema], schema=self.schema)
 
 
 def _plain_fields(body: str):
@@ -210,8 +238,8 @@ def _plain_fields(body: str):
         yield (name, *parse_value(text))
 
 
-def batches_of(texts: Iterable[str]) -> Iterator[pa.RecordBatch]:
-    columns = _Columns()
+def batches_of(texts: Iterable[str], columns: _Columns | None = None) -> Iterator[pa.RecordBatch]:
+    columns = _Columns() if columns is None else columns
     for text in texts:
         columns.add(text)
         if len(columns) >= BATCH:
@@ -220,33 +248,151 @@ def batches_of(texts: Iterable[str]) -> Iterator[pa.RecordBatch]:
         yield columns.batch()
 
 
-def decode(df: DataFrame, column: str = "record") -> DataFrame:
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a plan without exchanges, dealt over the cluster if there are fewer partitions than cores: parsing a record costs more than moving it."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df._jdf.rdd().getNumPartitions() >= cores else df.repartition(cores)
+
+
+def decode(df: DataFrame, column: str = "record", make: Callable[[], _Columns] = _Columns, schema: str = POINTS) -> DataFrame:
     """Points of a column of logical records."""
 
     def run(batches):
-        columns = _Columns()
+        columns = make()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text is not None:
                     columns.add(text)
+                    if len(columns) >= BATCH:
+                        yield columns.batch()
             if len(columns):
                 yield columns.batch()
 
-    return df.select(column).mapInArrow(run, POINTS)
+    return df.select(column).mapInArrow(run, schema)
+
 
+def decode_identified(df: DataFrame, column: str = "record", registry: Registry | None = None) -> DataFrame:
+    """Points with series_id, vsn, sensor, instrument_id and identity_source, worked out where a series is first parsed."""
+    return decode(df, column, parser_of(registry), IDENTIFIED_POINTS)
 
-def read_files(spark: SparkSession, path: str) -> DataFrame:
-    """Points of files of up to 2 GB each (gzip by their first bytes), on any store that Spark reads."""
+
+def _changes(text: Column) -> tuple[Column, Column]:
+    """Whether a line that begins outside a string ends within one, and one that begins within a string outside."""
+    bare = F.regexp_replace(text, r"\\.", "")
+    every = F.regexp_count(bare, F.lit('"'))
+    # outside, the quotes of a record's fields count; within, all do
+    in_fields = every - F.regexp_count(F.substring_index(bare, " ", 1), F.lit('"'))
+    return (in_fields % 2 == 1) & ~text.rlike(r"^[ \t\x0B\f\r]*#"), every % 2 == 1
+
+
+def _crossing(lines: DataFrame) -> set[tuple[str, int]]:
+    """The splits (file and offset) that begin within a string.
+
+    A line changes whether one is in a string if its quotes don't pair; only such
+    lines leave the JVM, and a split comes back as where it ends for either way
+    that it may begin.
+    """
+    opens, closes = _changes(F.col("value"))
+    flips = lines.select("file", "offset", opens.alias("opens"), closes.alias("closes")).filter("opens or closes")
+    schema = pa.schema([("file", pa.string()), ("offset", pa.int64()), ("outside", pa.bool_()), ("inside", pa.bool_())])
 
     def run(batches):
+        ends: dict[tuple[str, int], list[bool]] = {}
         for batch in batches:
-            for content in batch.column("content"):
-                data = content.as_py()
-                stream = gzip.open(io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
-                yield from batches_of(records(stream))
-
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, POINTS)
+            for file, offset, opens, closes in zip(*(batch.column(k).to_pylist() for k in ("file", "offset", "opens", "closes"))):
+                state = ends.setdefault((file, offset), [False, True])
+                state[:] = [not closes if inside else opens for inside in state]
+        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, (*split, *state))) for split, state in ends.items()], schema)
+
+    changes = {(r.file, r.offset): (r.outside, r.inside) for r in flips.mapInArrow(run, "file string, offset long, outside boolean, inside boolean").collect()}
+    if not any(outside for outside, _ in changes.values()):
+        return set()
+    found, inside, last = set(), False, None
+    for r in sorted(lines.select("file", "offset").distinct().collect()):
+        inside = inside and r.file == last
+        last = r.file
+        if inside:
+            found.add((r.file, r.offset))
+        inside = changes.get((r.file, r.offset), (False, True))[inside]
+    return found
+
+
+class _Split:
+    """A split's lines, to its records and what it holds of records that cross its ends."""
+
+    def __init__(self, inside: bool):
+        self.head, self.held, self.inside = [], "", inside
+
+    def add(self, line: str) -> str | None:
+        line = line.removesuffix("\r")
+        if self.inside:
+            self.head.append(line)
+            self.inside = re.sub(r"\\.", "", line).count('"') % 2 == 0
+        elif self.held or not _SKIPPED.match(line):
+            self.held = f"{self.held}\n{line}" if self.held else line
+            if '"' not in self.held or not _open_string(self.held):
+                record, self.held = self.held, ""
+                return record
+        return None
+
+    def rest(self):
+        """(text, whether a record begins with it) of records that are not whole."""
+        if self.head:
+            yield "\n".join(self.head), False
+        if self.held:
+            yield self.held, True
+
+
+def _records_of(batches, crossing: set[tuple[str, int]]):
+    """Lines to whole records, and pieces of others with their split."""
+    schema = pa.schema([("record", pa.string()), ("file", pa.string()), ("offset", pa.int64()), ("first", pa.bool_())])
+    at, split, out = None, _Split(False), []
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else ((),) * 4, schema)], schema=schema)
+
+    def rest():
+        for text, first in split.rest():
+            if not crossing:
+                raise LineProtocolError("a string that does not end before the input does")
+            out.append((text, *at, first))
+
+    for batch in batches:
+        for line, *here in zip(*(batch.column(k).to_pylist() for k in ("value", "file", "offset"))):
+            if here != at:
+                rest()
+                at, split = here, _Split(tuple(here) in crossing)
+            if (record := split.add(line)) is not None:
+                out.append((record, None, None, None))
+        yield batch_of(out)
+        out.clear()
+    rest()
+    yield batch_of(out)
+
+
+def read_records(spark: SparkSession, path: str) -> DataFrame:
+    """The logical records of files on any store that Spark reads (gzip by name), split as Spark splits text.
+
+    The driver gets a row for each split that has a line whose quotes don't pair.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("offset"))
+    crossing = _crossing(lines)
+    read = lambda df: df.mapInArrow(lambda it: _records_of(it, crossing), "record string, file string, offset long, first boolean")
+    whole = spread(read(lines).filter("file is null").select("record"))
+    if not crossing:
+        return whole
+    # only splits on either side of a crossing have pieces, a record's first and those that go on with it
+    order = Window.partitionBy("file").orderBy("offset", "first").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    files = sorted({file for file, _ in crossing})
+    pieces = read(lines.filter(F.col("file").isin(files))).filter("file is not null").withColumn("number", F.sum(F.col("first").cast("int")).over(order))
+    parts = F.sort_array(F.collect_list(F.struct("offset", "first", "record")))
+    joined = pieces.groupBy("file", "number").agg(F.array_join(F.transform(parts, lambda p: p["record"]), "\n").alias("record"))
+    return whole.unionByName(joined.select("record"))
+
+
+def read_files(spark: SparkSession, path: str, registry: Registry | None = None) -> DataFrame:
+    """Points of files, with identities."""
+    return decode_identified(read_records(spark, path), registry=registry)
 
 
 class _File(InputPartition):

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import shutil
 import tarfile
+from contextlib import contextmanager
 from datetime import datetime
 from pathlib import Path, PurePosixPath
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,20 +21,35 @@ from tsforge.sources.line_protocol import parse_series
 
 
 def read_facts(spark: SparkSession, path: str, hive: bool = True, union_by_name: bool = True) -> DataFrame:
-    """A Parquet dataset with ``_source_file``; nanosecond times come as longs."""
-    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    reader = spark.read.option("mergeSchema", str(union_by_name).lower())
+    """A Parquet dataset with ``_source_file``; nanosecond times come as longs, partitions as text."""
     base = re.split(r"/[^/]*[*?\[]", path)[0]
+    reader = spark.read.option("mergeSchema", str(union_by_name).lower())
     if base != path:
         reader = reader.option("recursiveFileLookup", str(not hive).lower()).option("pathGlobFilter", "*.parquet")
         reader = reader.option("basePath", base) if hive else reader
+    # no option of a reader, and asked for again when a job starts; without it Spark refuses nanosecond times
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    with settings(spark, {"spark.sql.sources.partitionColumnTypeInference.enabled": "false"}):
         found = reader.parquet(base)
-    else:
-        found = reader.parquet(path)
     return found.withColumn("_source_file", F.col("_metadata.file_path"))
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]):
+    """Settings of the session, put back as they were at the end."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def source_files(facts: DataFrame) -> DataFrame:
     """Path, size and time of each file that holds rows: what an input's fingerprint is made of."""
     return facts.select("_metadata.file_path", "_metadata.file_size", F.unix_micros("_metadata.file_modification_time").alias("modified_us")).distinct().orderBy("file_path")
@@ -49,13 +67,20 @@ def index_rows(lines: DataFrame, column: str = "value", *more: str) -> DataFrame
     return lines.filter(text.rlike(r"^\s*\d+\t")).select(*more, text.alias("_line"), fits.alias("fits"), part(5).alias("series_key"), part(6).alias("field"), low.alias("minimum_time"), high.alias("maximum_time"))
 
 
+def _parsed_keys(batches):
+    for batch in batches:
+        keys = batch.column("series_key").to_pylist()
+        # the optimizer may parse keys before it drops the lines that gave none
+        found = [parse_series(k) if k else (None, None) for k in keys]
+        tags = pa.array([None if t is None else list(t.items()) for _, t in found], pa.map_(pa.string(), pa.string()))
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([m for m, _ in found], pa.string()), tags], names=["series_key", "measurement", "tags"])
+
+
 def with_tags(rows: DataFrame) -> DataFrame:
     """Index rows with measurement and tags: each distinct series key is parsed once."""
-    # the optimizer may parse keys before it drops the lines that gave none
-    parsed = F.udf(lambda key: parse_series(key) if key else None, "struct<measurement:string,tags:map<string,string>>")
-    keys = rows.select("series_key").distinct().withColumn("s", parsed("series_key"))
-    named = rows.join(keys, "series_key").withColumns({"measurement": F.col("s.measurement"), "tags": retained(F.col("s.tags"))})
-    return named.drop("s", "series_key", "fits", "_line")
+    keys = rows.select("series_key").distinct().mapInArrow(_parsed_keys, "series_key string, measurement string, tags map<string,string>")
+    named = rows.join(keys, "series_key").withColumn("tags", retained(F.col("tags")))
+    return named.drop("series_key", "fits", "_line")
 
 
 def parse_index(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -86,7 +111,8 @@ def load_backup(directory: str, bucket_id: str) -> dict:
                     raise ValueError(f"no archive {path}")
                 start, end = (datetime.fromisoformat(group[k].replace("Z", "+00:00")) for k in ("startTime", "endTime"))
                 shards.append({"id": int(shard["id"]), "path": str(path), "size": int(shard["size"]), "start": start, "end": end})
-    return {"bucket_id": bucket_id, "name": buckets[0].get("bucketName"), "shards": sorted(shards, key=lambda s: (s["start"], s["id"]))}
+    snapshot = f"{found[0].name.removesuffix('.manifest')}:{hashlib.sha256(found[0].read_bytes()).hexdigest()}"
+    return {"bucket_id": bucket_id, "name": buckets[0].get("bucketName"), "snapshot": snapshot, "shards": sorted(shards, key=lambda s: (s["start"], s["id"]))}
 
 
 def backup_shards(spark: SparkSession, path: str) -> DataFrame:
@@ -142,6 +168,12 @@ def read_list(path: str) -> set[str]:
     return {line for line in lines if line}
 
 
+def parse_list(lines: DataFrame, column: str = "value") -> DataFrame:
+    """The ids of an allow-list as a table (instrument_id), of lines like those of ``read_list``."""
+    found = F.trim(F.substring_index(column, "#", 1)).alias("instrument_id")
+    return lines.select(found).filter("instrument_id <> ''").distinct()
+
+
 def export_command(binary: str, engine: str, bucket_id: str, measurements: list[str], start: datetime, end: datetime, output: str = "-") -> list[str]:
     """The command that would export a range of a storage engine as line protocol."""
     command = [binary, "inspect", "export-lp", "--engine-path", engine, "--bucket-id", bucket_id, "--output-path", output]

@@ -17,23 +17,24 @@ from tsforge.functions import times
 from tsforge.functions.identity import Registry
 from tsforge.operators import ingest, store
 from tsforge.operators.selection import Selection
-from tsforge.schema import POINTS
-from tsforge.sources.line_protocol import batches_of, records
+from tsforge.schema import IDENTIFIED_POINTS
+from tsforge.sources.line_protocol import batches_of, parser_of, records
 
 
-def points(spark: SparkSession, folder: str) -> DataFrame:
-    """A stream of points."""
+def points(spark: SparkSession, folder: str, registry: Registry | None = None) -> DataFrame:
+    """A stream of points with identities; a landed file is small, and read whole."""
+    make = parser_of(registry)
 
     def run(batches):
         for batch in batches:
             for content in batch.column("content"):
                 data = content.as_py()
                 stream = gzip.open(io.BytesIO(data)) if data[:2] == b"\x1f\x8b" else io.BytesIO(data)
-                yield from batches_of(records(stream))
+                yield from batches_of(records(stream), make())
 
     schema = "path string, modificationTime timestamp, length long, content binary"
     files = spark.readStream.format("binaryFile").schema(schema).load(folder)
-    return files.select("content").mapInArrow(run, POINTS)
+    return files.select("content").mapInArrow(run, IDENTIFIED_POINTS)
 
 
 def ingest_available(spark: SparkSession, folder: str, root: str, checkpoint: str, start_ns: int | None = None, end_ns: int | None = None, selection: Selection | None = None, registry: Registry | None = None) -> None:
@@ -48,7 +49,7 @@ def ingest_available(spark: SparkSession, folder: str, root: str, checkpoint: st
         quarantined.write.mode("overwrite").options(**store.OPTIONS).parquet(f"{root}/_quarantine/batch={number}")
         done.unpersist()
 
-    points(spark, folder).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    points(spark, folder, registry).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 def downsample(observations: DataFrame, width_s: int, expected: int, least_coverage: float = 0.5) -> DataFrame:
