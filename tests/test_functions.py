@@ -93,6 +93,21 @@ def test_periods():
     assert times.iso_duration(1_500_000_000) == "PT1.5S" and times.iso_duration(0) == "PT0S"
 
 
+@pytest.mark.parametrize("period", times.PERIODS)
+def test_periods_of_columns_are_those_of_the_list(spark, period):
+    start, end = datetime(1969, 11, 28, 22, 30, tzinfo=UTC), datetime(1972, 3, 1, 0, 0, 0, 7, tzinfo=UTC)
+    listed = list(times.iter_periods(start, end, period))
+    first, past = times.to_ns(start), times.to_ns(end)
+    edges = sorted({e for p in listed for e in p.bounds})
+    moments = sorted({m for e in edges[:: max(1, len(edges) // 200)] for m in (e - 1, e, e + 1)} | {first - 1, first, past - 1, past})
+    df = spark.createDataFrame([(m,) for m in moments], "t long")
+    p = times.period_of(F.col("t"), start, end, period)
+    for r in df.select("t", p.alias("p"), times.period_id(p["start"], p["end"]).alias("id")).collect():
+        want = next((x for x in listed if x.bounds[0] <= r.t < x.bounds[1]), None)
+        assert (r.p and tuple(r.p), r.id) == ((want.bounds, want.id) if want else (None, None)), r
+    assert [a.end for a in listed[:-1]] == [b.start for b in listed[1:]] and (listed[0].start, listed[-1].end) == (start, end)
+
+
 def test_json_quoting(spark):
     texts = ['a"b', "back\\slash", "line\n", "plain"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")

@@ -1,4 +1,5 @@
 import copy
+import json
 from datetime import UTC, datetime
 
 import pytest
@@ -137,6 +138,8 @@ def test_runs_resume_and_report(spark, rules, tmp_path):
     assert runner.totals(made, run) == {"rows_processed": 9, "findings": 8, "complete": 3, "empty": 1, "missing": 0}
     report = {r.check_id: r for r in runner.report(made, run).collect()}
     assert report["temp_physical"].units_failed == 2 and report["temp_physical"].units_tested == 6
+    said = json.loads((tmp_path / "out/runs/r1/config/resolved.json").read_text())
+    assert said["source"] == f"{tmp_path}/facts" and said["output"] == f"{tmp_path}/out"
     with pytest.raises(FileExistsError):
         runner.run_new(spark, rules, run, "r1")
     place = made.place(run.work_units[0], list(runner._periods(run))[0])
@@ -152,6 +155,25 @@ def test_runs_resume_and_report(spark, rules, tmp_path):
         runner.resume(spark, other, run, "r1")
 
 
+def test_masks_in_one_exchange_are_those_of_findings(spark, rules):
+    profile = rules.profiles["wxt"]
+    rows = seen(spark, rules)
+    rows = rows.unionByName(rows.filter("observed_value is not null").withColumn("observed_value", F.lit(1e6))).unionByName(rows.withColumn("time_ns", F.lit(None).cast("long")))
+    joined = qc.attach_masks(rows, qc.compile_masks(qc.findings(rows, profile, rules), KEYS), KEYS)
+    text = lambda df: sorted(str(sorted(r.asDict().items(), key=str)) for r in df.collect())
+    assert text(qc.flagged(rows, profile, rules, KEYS)) == text(joined.select(*rows.columns, "mask", "qc_bits"))
+
+
+def test_netcdf_is_written_or_refused(spark, rules, tmp_path, monkeypatch):
+    spark.createDataFrame(ROWS, FACTS).write.parquet(f"{tmp_path}/facts")
+    filters = {"sensor": "wxt", "vsn": "W1", "instrument_id": "i"}
+    run = Run.from_document(run_document(tmp_path, output={"root": f"{tmp_path}/out", "netcdf": {"site": "s", "instrument": "i"}}, work_units=[{"id": "u1", "profile": "wxt", "filters": filters}]))
+    monkeypatch.setattr(level1, "has_netcdf", lambda: False)
+    with pytest.raises(ConfigError, match="netCDF4"):
+        runner.run_new(spark, rules, run, "r1")
+    assert not (tmp_path / "out").exists()
+
+
 def test_source_is_checked_before_any_output(spark, rules, tmp_path):
     spark.createDataFrame(ROWS, FACTS).drop("value_string").write.parquet(f"{tmp_path}/facts")
     with pytest.raises(ValueError, match="lacks"):

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from datetime import UTC, date, datetime, timedelta
 
@@ -11,8 +11,34 @@ from pyspark.sql import functions as F
 
 SECOND = 1_000_000_000
 DAY = 86_400 * SECOND
-PERIODS = ("1h", "1d", "1month", "1year", "all")
-_UNITS = {"1h": "HOUR", "1d": "DAY", "1month": "MONTH", "1year": "YEAR"}
+HOUR = 3_600 * SECOND
+EPOCH = datetime(1970, 1, 1, tzinfo=UTC)
+
+
+@dataclass(frozen=True)
+class Unit:
+    """A calendar unit: the number of the one that holds a moment, and where a number begins; the same of columns of dates or times."""
+
+    number: Callable[[datetime], int]
+    begins: Callable[[int], datetime]
+    floor: Callable[[Column], Column]
+    after: Callable[[Column], Column]
+
+
+def _of_length(length: int) -> Unit:
+    step = timedelta(microseconds=length // 1000)
+    return Unit(lambda t: (t - EPOCH) // step, lambda n: EPOCH + n * step, lambda t: floor_div(t, length) * length, lambda start: start + length)
+
+
+def _of_months(months: int, name: str) -> Unit:
+    day = lambda start: F.date_from_unix_date(floor_div(start, DAY).cast("int"))
+    ns = lambda date_: F.unix_date(date_).cast("long") * DAY
+    begins = lambda n: datetime(n * months // 12, n * months % 12 + 1, 1, tzinfo=UTC)
+    return Unit(lambda t: (t.year * 12 + t.month - 1) // months, begins, lambda t: ns(F.trunc(day(t), name)), lambda start: ns(F.add_months(day(start), months)))
+
+
+UNITS = {"1h": _of_length(HOUR), "1d": _of_length(DAY), "1month": _of_months(1, "month"), "1year": _of_months(12, "year")}
+PERIODS = (*UNITS, "all")
 
 
 def floor_div(value: Column, unit: int) -> Column:
@@ -46,10 +72,6 @@ def parse_rfc3339(text: Column) -> Column:
     return F.when(text.rlike(pattern), days * DAY + seconds * SECOND + F.rpad(part(5), 9, "0").try_cast("long"))
 
 
-def floor_period(moment: Column, period: str) -> Column:
-    return F.date_trunc(_UNITS[period], moment)
-
-
 def as_utc(moment: datetime) -> datetime:
     if moment.tzinfo is None:
         raise ValueError("a time without a time zone")
@@ -81,17 +103,6 @@ def boundary_text(moment: datetime) -> str:
     return as_utc(moment).strftime("%Y%m%dT%H%M%S.%fZ" if moment.microsecond else "%Y%m%dT%H%M%SZ")
 
 
-def _after(moment: datetime, period: str) -> datetime:
-    hour = moment.replace(minute=0, second=0, microsecond=0)
-    if period == "1h":
-        return hour + timedelta(hours=1)
-    day = hour.replace(hour=0)
-    if period == "1d":
-        return day + timedelta(days=1)
-    months = moment.year * 12 + (moment.month if period == "1month" else 12)
-    return day.replace(year=months // 12, month=months % 12 + 1, day=1)
-
-
 def iter_periods(start: datetime, end: datetime, period: str) -> Iterator[Period]:
     """Calendar periods from start to end, the first and last clipped."""
     start, end = as_utc(start), as_utc(end)
@@ -99,10 +110,34 @@ def iter_periods(start: datetime, end: datetime, period: str) -> Iterator[Period
         raise ValueError("a range that ends before it starts")
     if period not in PERIODS:
         raise ValueError(f"no such period: {period!r}")
-    while start < end:
-        stop = end if period == "all" else min(end, _after(start, period))
-        yield Period(start, stop)
-        start = stop
+    inner: list[datetime] = []
+    if period != "all":
+        unit = UNITS[period]
+        inner = [unit.begins(n) for n in range(unit.number(start) + 1, unit.number(end - timedelta(microseconds=1)) + 1)]
+    edges = [start, *inner, end]
+    return map(Period, edges, edges[1:])
+
+
+def period_of(time_ns: Column, start: datetime, end: datetime, period: str) -> Column:
+    """A struct of the start and end (ns) of the one of ``iter_periods`` that holds a time; null outside the range."""
+    first, past = (F.lit(to_ns(t)).cast("long") for t in (start, end))
+    if period == "all":
+        low, high = first, past
+    else:
+        low = UNITS[period].floor(time_ns)
+        low, high = F.greatest(low, first), F.least(UNITS[period].after(low), past)
+    return F.when((time_ns >= first) & (time_ns < past), F.struct(low.alias("start"), high.alias("end")))
+
+
+def period_id(start_ns: Column, end_ns: Column) -> Column:
+    """The id of a period, as ``Period.id``."""
+    def text(t):
+        moment = F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), floor_div(t, SECOND).cast("decimal(18,6)"))
+        micros_ = F.call_function("div", F.pmod(t, F.lit(SECOND).cast("long")), F.lit(1000).cast("long"))
+        fraction = F.when(micros_ > 0, F.concat(F.lit("."), F.lpad(micros_.cast("string"), 6, "0"))).otherwise("")
+        return F.concat(F.date_format(moment, "yyyyMMdd'T'HHmmss"), fraction, F.lit("Z"))
+
+    return F.concat(text(start_ns), F.lit("_"), text(end_ns))
 
 
 def dates_between(start: datetime, end: datetime) -> list[date]:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import importlib.util
+import itertools
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -63,30 +67,34 @@ def ordered(flagged: DataFrame, codes: dict[str, int]) -> DataFrame:
     return with_codes(flagged, codes).orderBy("variable_code", "time_ns", "series_id")
 
 
+def has_netcdf() -> bool:
+    return importlib.util.find_spec("netCDF4") is not None
+
+
 def write_netcdf(flagged: DataFrame, codes: dict[str, int], said: dict[str, str], path: str) -> int:
-    """One day's file, written on the driver row by row in blocks; needs netCDF4."""
+    """One day's file on the driver's disk, in blocks, read again before it counts; needs netCDF4. How many rows it holds.
+
+    A file of this format has one writer, so its rows pass the driver, a partition at a time.
+    """
     import netCDF4
     import numpy as np
 
     columns = [("time_ns", "i8"), ("variable_code", "u2"), ("observed_value", "f8"), ("qc_bits", "u8")]
     rows = ordered(flagged, codes).select(*(c for c, _ in columns))
+    masks = np.array([int(m) for m in said["flag_masks"].split()], np.uint64)
     with netCDF4.Dataset(path, "w", format="NETCDF4") as out:
         out.createDimension("obs", None)
-        made = {c: out.createVariable(c, kind, ("obs",), zlib=True) for c, kind in columns}
+        made = {c: out.createVariable(c, kind, ("obs",), zlib=True, **({"fill_value": np.nan} if kind == "f8" else {})) for c, kind in columns}
+        made["time_ns"].setncatts({"units": "nanoseconds since 1970-01-01T00:00:00Z", "calendar": "standard"})
+        made["variable_code"].setncatts({"code_table": json.dumps(codes, sort_keys=True)})
+        made["qc_bits"].setncatts({"flag_masks": masks, "flag_meanings": said["flag_meanings"]})
         out.setncatts(said)
-        at, block = 0, []
-
-        def put():
-            nonlocal at
+        at, rest = 0, rows.toLocalIterator(prefetchPartitions=True)
+        while block := list(itertools.islice(rest, 100_000)):
             for (c, kind), values in zip(columns, zip(*block)):
-                made[c][at : at + len(block)] = np.array([np.nan if v is None else v for v in values], kind)
+                made[c][at : at + len(block)] = np.array([np.nan if v is None else int(v) if kind != "f8" else v for v in values], kind)
             at += len(block)
-            block.clear()
-
-        for row in rows.toLocalIterator():
-            block.append(row)
-            if len(block) == 100_000:
-                put()
-        if block:
-            put()
+    with netCDF4.Dataset(path) as back:
+        if len(back.dimensions["obs"]) != at or json.loads(back["variable_code"].code_table) != codes or back.variables.keys() != dict(columns).keys():
+            raise OSError(f"{path} does not hold what was written")
     return at

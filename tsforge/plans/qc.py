@@ -10,7 +10,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tsforge.plans.qc_config import Check, Profile, Rules, Variable
@@ -117,6 +117,20 @@ def attach_masks(observations: DataFrame, masks: DataFrame, keys: tuple[str, ...
     return filled.withColumn("qc_bits", unsigned("mask"))
 
 
+def flagged(observations: DataFrame, profile: Profile, rules: Rules, keys: tuple[str, ...]) -> DataFrame:
+    """As ``attach_masks`` with the masks of ``findings``, where these are not stored: one exchange, and the input is read once.
+
+    A row's own mask is an expression; rows of the same keys and variable share the OR of theirs.
+    """
+    own = F.lit(0).cast("long")
+    for v, c in profile.checks():
+        own = own.bitwiseOR(F.when((F.col("variable") == v.name) & fails(v, c), bit(F.lit(rules.flags[c.flag]))).otherwise(F.lit(0).cast("long")))
+    known = reduce(and_, [F.col(k).isNotNull() for k in (*keys, "variable")])
+    shared = F.bit_or(F.col("_own")).over(Window.partitionBy(*keys, "variable"))
+    masked = observations.withColumn("_own", own).withColumn("mask", F.when(known, shared).otherwise(F.lit(0).cast("long"))).drop("_own")
+    return masked.withColumn("qc_bits", unsigned("mask"))
+
+
 def report(results: DataFrame) -> DataFrame:
     """Results of all periods summed, with the share of failed units."""
     total = lambda c: F.sum(c).alias(c)

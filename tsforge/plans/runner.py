@@ -1,18 +1,25 @@
-"""Runs: every period of every work unit, once; resumed, recompiled, reported."""
+"""Runs: every period of every work unit, once; resumed, recompiled, reported.
+
+All pending periods of a work unit are one job over the source, partitioned by
+period. Each period's tables are then renamed to its place with their marker.
+"""
 
 from __future__ import annotations
 
 import hashlib
 import json
+import tempfile
+import uuid
+from dataclasses import asdict
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsforge.functions import times
-from tsforge.operators.store import Files, Staged
-from tsforge.plans import qc
-from tsforge.plans.qc_config import Rules, Run, WorkUnit, config_hash
+from tsforge.operators.store import OPTIONS, Files, Staged
+from tsforge.plans import level1, qc
+from tsforge.plans.qc_config import ConfigError, Rules, Run, WorkUnit, config_hash
 from tsforge.sources.tables import read_facts
 
 
@@ -31,8 +38,11 @@ class Store:
         return json.loads(self.files.read_text(path)) if self.files.exists(path) else None
 
     def read(self, name: str, unit: WorkUnit, periods: list[times.Period]) -> DataFrame | None:
+        """A table of complete periods; those without rows have no folder of it."""
         paths = [f"{self.place(unit, p)}/{name}" for p in periods if self.marker(unit, p)]
-        return self.spark.read.parquet(*paths) if paths else None
+        paths = [p for p in paths if self.files.exists(p)]
+        empty = f"{self.path}/_empty/{name}"
+        return self.spark.read.parquet(*paths, *([empty] if self.files.exists(empty) else [])) if paths or self.files.exists(empty) else None
 
 
 def _identity(rules: Rules, run: Run) -> dict:
@@ -56,6 +66,8 @@ def _facts(spark: SparkSession, run: Run) -> tuple[DataFrame, tuple[str, ...]]:
 
 def validate(spark: SparkSession, rules: Rules, run: Run) -> None:
     """Everything that can be checked without a job."""
+    if run.netcdf and not level1.has_netcdf():
+        raise ConfigError("netcdf output needs the package netCDF4")
     facts, keys = _facts(spark, run)
     for u in run.work_units:
         if u.profile not in rules.profiles:
@@ -63,6 +75,11 @@ def validate(spark: SparkSession, rules: Rules, run: Run) -> None:
         qc.validate_source(facts, rules.profiles[u.profile], keys, u.filters)
 
 
+def snapshot(run: Run) -> str:
+    """The run as it was understood, with all paths absolute."""
+    return json.dumps(asdict(run), default=str, sort_keys=True, indent=1)
+
+
 def run_new(spark: SparkSession, rules: Rules, run: Run, run_id: str, documents: list[str] = ()) -> Store:
     """A run of its own id; ``documents`` are local files to keep beside it as they were."""
     validate(spark, rules, run)
@@ -71,10 +88,23 @@ def run_new(spark: SparkSession, rules: Rules, run: Run, run_id: str, documents:
         raise FileExistsError(f"the run {run_id} exists")
     for path in documents:
         store.files.write_text(f"{store.path}/config/{Path(path).name}", Path(path).read_text(encoding="utf-8"))
+    store.files.write_text(f"{store.path}/config/resolved.json", snapshot(run))
     store.files.write_text(f"{store.path}/run.json", json.dumps(_identity(rules, run), sort_keys=True))
     return resume(spark, rules, run, run_id)
 
 
+def marks(observations: DataFrame, found: DataFrame, *by: str) -> DataFrame:
+    """What markers say of each period: rows, findings, and the input files as a number and a fingerprint."""
+    files = F.sort_array(F.collect_set("_source_file"))
+    seen = observations.groupBy(*by).agg(F.count("*").alias("rows_processed"), files.alias("_files"))
+    said = seen.select(*by, "rows_processed", F.size("_files").alias("input_files"), F.sha2(F.array_join("_files", "\n"), 256).alias("input_fingerprint"))
+    counted = found.groupBy(*by).agg(F.count("*").alias("findings"))
+    return said.join(counted, list(by), "left").withColumn("findings", F.coalesce("findings", F.lit(0)).cast("long"))
+
+
+_NOTHING = {"rows_processed": 0, "findings": 0, "input_files": 0, "input_fingerprint": hashlib.sha256(b"").hexdigest()}
+
+
 def resume(spark: SparkSession, rules: Rules, run: Run, run_id: str) -> Store:
     """Works on the periods without a marker; the configuration must be that of the run."""
     store = Store(spark, run.output, run_id)
@@ -83,34 +113,76 @@ def resume(spark: SparkSession, rules: Rules, run: Run, run_id: str) -> Store:
     facts, keys = _facts(spark, run)
     for unit in run.work_units:
         profile, said = rules.profiles[unit.profile], config_hash(rules, run, unit)
-        for period in _periods(run):
-            if store.marker(unit, period):
-                continue
-            selected = qc.select(facts, profile, *period.bounds, unit.filters)
-            observations = qc.normalize(selected, profile, keys, "_source_file").persist()
-            staged = Staged(spark, store.place(unit, period))
-            plain = observations.drop("_source_file")
-            staged.write("findings", qc.findings(plain, profile, rules, run_id, unit.id))
-            staged.write("check_results", qc.check_results(plain, profile, rules, config_hash=said))
-            found = spark.read.parquet(f"{staged.path}/findings")
-            staged.write("qc_flags", qc.compile_masks(found, keys).drop("mask"))
-            inputs = sorted(r[0] for r in observations.select("_source_file").distinct().collect())
-            staged.publish({"config_hash": said, "period": period.id, "rows_processed": observations.count(), "findings": found.count(), "input_files": len(inputs), "input_fingerprint": hashlib.sha256("\n".join(inputs).encode()).hexdigest()})
-            observations.unpersist()
+        todo = {p.bounds[0]: p for p in _periods(run) if not store.marker(unit, p)}
+        if not todo:
+            continue
+        first, past = min(todo), max(p.bounds[1] for p in todo.values())
+        period = times.period_of(F.col("time_ns"), run.start, run.end, run.period)["start"]
+        selected = qc.select(facts, profile, first, past, unit.filters).withColumn("period", period)
+        if len(todo) < sum(first <= p.bounds[0] < past for p in _periods(run)):
+            selected = selected.filter(F.col("period").isin(sorted(todo)))
+        observations = qc.normalize(selected, profile, keys, "_source_file", "period").persist()
+        plain = observations.drop("_source_file")
+        stage = f"{store.path}/periods/_staging/{unit.id}-{uuid.uuid4().hex}"
+
+        def staged(name: str, rows: DataFrame) -> DataFrame:
+            rows.write.options(**OPTIONS).partitionBy("period").parquet(f"{stage}/{name}")
+            if not store.files.exists(f"{store.path}/_empty/{name}"):
+                rows.drop("period").limit(0).coalesce(1).write.mode("overwrite").parquet(f"{store.path}/_empty/{name}")
+            return spark.read.schema(rows.schema).parquet(f"{stage}/{name}")
+
+        found = staged("findings", qc.findings(plain, profile, rules, run_id, unit.id))
+        staged("qc_flags", qc.compile_masks(found, (*keys, "period")).drop("mask"))
+        known = {r["period"]: r.asDict() for r in marks(observations, found, "period").collect()}
+        results = qc.check_results(plain, profile, rules, "period", config_hash=said)
+        # checks are reported of periods without rows as well
+        without = sorted(set(todo) - set(known))
+        nothing = qc.check_results(plain.limit(0), profile, rules, config_hash=said)
+        staged("check_results", results.unionByName(nothing.withColumn("period", F.explode(F.array(*map(F.lit, without)).cast("array<bigint>")))))
+        for start, p in todo.items():
+            _publish(store, rules, run, unit, p, stage, {"config_hash": said, "period": p.id} | _NOTHING | {k: v for k, v in known.get(start, {}).items() if k != "period"}, observations.filter(F.col("period") == start), keys)
+        store.files.delete(stage)
+        observations.unpersist()
     return store
 
 
+def _publish(store: Store, rules: Rules, run: Run, unit: WorkUnit, period: times.Period, stage: str, marker: dict, observations: DataFrame, keys: tuple[str, ...]) -> None:
+    ready = Staged(store.spark, store.place(unit, period))
+    start = period.bounds[0]
+    for name in ("findings", "qc_flags", "check_results"):
+        if store.files.exists(f"{stage}/{name}/period={start}"):
+            store.files.rename(f"{stage}/{name}/period={start}", f"{ready.path}/{name}")
+    if run.netcdf:
+        profile, (site, instrument) = rules.profiles[unit.profile], run.netcdf
+        masks = store.spark.read.parquet(f"{store.path}/_empty/qc_flags", *([p] if store.files.exists(p := f"{ready.path}/qc_flags") else []))
+        flagged = observations.join(masks.select(*keys, "variable", "qc_bits"), [*keys, "variable"], "left").withColumn("qc_bits", F.coalesce("qc_bits", F.lit(0)))
+        span = level1.coverage(observations).first() if marker["rows_processed"] else None
+        name = level1.file_name(site, instrument, dict(unit.filters)["vsn"], period)
+        said = level1.attributes(rules, profile, period, (span.first_second, span.end_second) if span else None)
+        with tempfile.TemporaryDirectory() as folder:
+            level1.write_netcdf(flagged, level1.variable_codes(profile), said, f"{folder}/{name}")
+            store.files.put(f"{folder}/{name}", f"{ready.path}/netcdf/{name}")
+        marker = marker | {"netcdf": name}
+    ready.publish(marker)
+
+
 def recompile(store: Store, run: Run) -> None:
-    """The masks of all complete periods again, from their findings."""
+    """The masks of all complete periods again, from their findings, in one job."""
     keys = tuple("time_ns" if k == run.time_column else k for k in run.keys)
-    for unit in run.work_units:
-        for period in _periods(run):
-            if store.marker(unit, period):
-                place = store.place(unit, period)
-                fresh = f"{place}/qc_flags-{hashlib.sha256(place.encode()).hexdigest()[:8]}.tmp"
-                qc.compile_masks(store.spark.read.parquet(f"{place}/findings"), keys).drop("mask").write.mode("overwrite").parquet(fresh)
-                store.files.delete(f"{place}/qc_flags")
-                store.files.rename(fresh, f"{place}/qc_flags")
+    places = [store.place(u, p) for u in run.work_units for p in _periods(run) if store.marker(u, p)]
+    paths = [p for x in places if store.files.exists(p := f"{x}/findings")]
+    if not paths:
+        return
+    place = F.regexp_extract("_metadata.file_path", r"/periods/([^/]+/[^/]+)/findings/", 1)
+    fresh = f"{store.path}/_recompiled-{uuid.uuid4().hex}"
+    masks = qc.compile_masks(store.spark.read.parquet(*paths).withColumn("place", place), (*keys, "place")).drop("mask")
+    masks.withColumn("place", F.replace("place", F.lit("/"), F.lit(","))).write.options(**OPTIONS).partitionBy("place").parquet(fresh)
+    for name in store.files.names(fresh):
+        if name.startswith("place="):
+            old = f"{store.path}/periods/{name.removeprefix('place=').replace(',', '/')}/qc_flags"
+            store.files.delete(old)
+            store.files.rename(f"{fresh}/{name}", old)
+    store.files.delete(fresh)
 
 
 def report(store: Store, run: Run) -> DataFrame | None:
@@ -122,8 +194,15 @@ def report(store: Store, run: Run) -> DataFrame | None:
     return None if union is None else qc.report(union)
 
 
+def tally(marked: DataFrame) -> DataFrame:
+    """Rows, findings and periods of a table of markers: how many are there, and how many of them are empty."""
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    return marked.agg(total("rows_processed"), total("findings"), F.count("*").alias("complete"), F.count_if(F.col("rows_processed") == 0).alias("empty"))
+
+
 def totals(store: Store, run: Run) -> dict[str, int]:
     """Rows and findings of complete periods, and how many periods are complete, empty, or missing."""
-    marks = [store.marker(u, p) for u in run.work_units for p in _periods(run)]
-    done = [m for m in marks if m]
-    return {"rows_processed": sum(m["rows_processed"] for m in done), "findings": sum(m["findings"] for m in done), "complete": len(done), "empty": sum(not m["rows_processed"] for m in done), "missing": len(marks) - len(done)}
+    found = [store.marker(u, p) for u in run.work_units for p in _periods(run)]
+    done = [(m["rows_processed"], m["findings"]) for m in found if m]
+    summed = tally(store.spark.createDataFrame(done, "rows_processed long, findings long")).first().asDict()
+    return summed | {"missing": len(found) - len(done)}
