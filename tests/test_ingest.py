@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from tsforge import cli
 from tsforge.operators import catalog, ingest, inventory, ranges, store
-from tsforge.operators.selection import Selection
-from tsforge.plans import export
+from tsforge.functions.identity import DROPPED_TAG
+from tsforge.operators.selection import KEYS, NAMES, VERSIONS, Selection
+from tsforge.plans import backup, export
 from tsforge.sources import line_protocol, tables
 from tsforge.streaming import landing
 
@@ -64,16 +65,30 @@ def test_catalogs_reconcile(points):
         catalog.series(facts.withColumn("measurement", F.col("time_ns").cast("string")), "measurement").collect()
 
 
-@pytest.mark.parametrize(
-    "document",
-    [
-        {}, {"selection_version": 3, "selectors": [{"measurement": "a"}]}, {"selection_version": 1, "selectors": []}, {"selection_version": 1, "selectors": [{"measurement": "a*"}]},
-        {"selection_version": 1, "selectors": [{"measurement_glob": "a*"}]}, {"selection_version": 2, "selectors": [{"measurement": "a", "measurement_glob": "a*"}]},
-        {"selection_version": 1, "selectors": [{"measurement": "a", "tags": {"node": ["x"]}}]}, {"selection_version": 1, "selectors": [{"measurement": "a", "fields": []}]},
-        {"selection_version": 1, "selectors": [{"measurement": "a", "tags": {"vsn": []}}]}, {"selection_version": 1, "selectors": [{"measurement": "a", "more": 1}]},
-    ],
-)
-def test_invalid_selections(document):
+def broken_selections():
+    """A sound selection with one rule broken at a time, by the table of keys."""
+    good = {"measurement": "a", "measurement_glob": "a*", "fields": ["x"], "tags": {"vsn": ["W1"]}}
+    wrong = {
+        "measurement": (None, 7, "", ["a"], "a*"), "measurement_glob": (None, 7, "", ["a*"]),
+        "fields": (None, "x", [], [""], ["x", 3]), "tags": (None, ["x"], {"vsn": []}, {"vsn": "W1"}, {DROPPED_TAG: ["x"]}),
+    }
+    assert set(good) == set(wrong) == set(KEYS)
+    whole = lambda selector, version=VERSIONS[-1]: {"selection_version": version, "selectors": [{"measurement": "b"}, selector]}
+    for key, values in wrong.items():
+        rest = {} if key in NAMES else {"measurement": "a"}
+        assert Selection.from_document(whole(rest | {key: good[key]}))
+        yield from (whole(rest | {key: v}) for v in values)
+        yield from (whole(rest | {key: good[key]}, v) for v in VERSIONS if v < KEYS[key].since)
+    yield from (whole({"measurement": "a"}, v) for v in (0, VERSIONS[-1] + 1, "1", None))
+    yield from (whole(s) for s in ({}, good, {"measurement": "a", "more": 1}, "a"))
+    sound = whole({"measurement": "a"})
+    yield from ({k: v for k, v in sound.items() if k != left} for left in sound)
+    yield from (sound | {"selectors": s} for s in ([], {}, None))
+    yield from (sound | {"more": 1}, [], None)
+
+
+@pytest.mark.parametrize("document", list(broken_selections()), ids=str)
+def test_broken_selections(document):
     with pytest.raises(ValueError):
         Selection.from_document(document)
 
@@ -176,6 +191,110 @@ def test_exports_resume_and_reconcile(spark, tmp_path):
         export.export_days(points, root, "r5", start, end, Selection.from_document(SELECTION))
 
 
+@pytest.mark.parametrize("broken", ["write_series", "write_quarantine", "write_facts", "rename"])
+def test_an_export_that_was_cut_short_is_made_good(spark, tmp_path, monkeypatch, broken):
+    """Whatever fails, the next run gives the rows of one that never failed."""
+    points, root = line_protocol.decode(spark.createDataFrame([(x,) for x in LINES], "record string")), str(tmp_path / "out")
+    start, end = export.day_range("2025-01-01")
+
+    def fail(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(store.Files if broken == "rename" else store, broken, fail)
+        with pytest.raises(OSError):
+            export.export_days(points, root, "r1", start, end)
+    assert export.partitions(spark, root) is None
+    only = export.export_days(points.filter("time_ns < 1735689600000000002"), root, "r2", start, end, on_existing="skip")
+    assert spark.read.parquet(f"{root}/facts").count() == only["published_rows"] == 3  # what no audit knows is gone
+    again = export.export_days(points, root, "r1", start, end, on_existing="skip")
+    assert again["status"] == "complete" and again["published_rows"] == 1 and spark.read.parquet(f"{root}/facts").count() == 4
+    assert not store.Files(spark).names(f"{root}/_staging") and len(store.Files(spark).names(f"{root}/_partitions")) == 2
+    found = {(r.vsn, r.row_count): r for r in export.manifests(spark, root).collect()}
+    assert found["W01/West", 3].measurements == {"wxt.env.temp": 3} and found["W01/West", 3].value_types == {"float64": 2, "int64": 1} and found["W02", 1].fields == {"value": 1}
+    assert {r.status for r in found.values()} == {"complete"} and {r.engine for r in found.values()} == {export.__version__}
+
+
+def test_exports_ask_for_review(spark, tmp_path):
+    made = lambda lines, name: export.export_days(line_protocol.decode(spark.createDataFrame([(x,) for x in lines], "record string")), str(tmp_path / name), "r1", *export.day_range("2025-01-01"))
+    plain = [f"m.t,sensor=s,vsn=W1,description=ambient v=1 {DAY}"]
+    assert made(plain, "a")["requires_review"] is False
+    both = made([*plain, f"m.t,sensor=s,vsn=W2,description=enclosure v=1 {DAY}"], "b")
+    assert both["metadata_conflicts"] == 1 and both["requires_review"] is True
+    assert made([*plain, f"m.t,sensor=s v=1 {DAY}"], "c")["requires_review"] is True
+
+
+def inspected(log, index, given):
+    """What a storage binary would say of shards; it notes what it is asked."""
+
+    class Inspected:  # in here, so that workers get it by value
+        def index(self, path):
+            return index
+
+        def lines(self, engine, bucket, measurements, start, end):
+            with open(log, "a") as f:
+                f.write(json.dumps([measurements, str(start), str(end)]) + "\n")
+            return [x.encode() + b"\n" for x in given if x.split(",")[0] in measurements]
+
+    return Inspected()
+
+
+def test_backup_ranges_are_exported_once(spark, tmp_path):
+    document = {"buckets": [{"bucketID": "b1", "bucketName": "n", "retentionPolicies": [{"shardGroups": [{"startTime": "2024-12-30T00:00:00Z", "endTime": "2025-01-03T00:00:00Z", "shards": [{"id": 4, "fileName": "s4.tar.gz", "size": 9}]}, {"startTime": "2025-01-05T00:00:00Z", "endTime": "2025-01-06T00:00:00Z", "shards": [{"id": 5, "fileName": "s5.tar.gz", "size": 9}]}]}]}]}
+    (tmp_path / "snap.manifest").write_text(json.dumps(document))
+    for name in ("s4", "s5"):
+        with tarfile.open(tmp_path / f"{name}.tar.gz", "w:gz") as t:
+            info = tarfile.TarInfo("b1/autogen/1/one.tsm")
+            info.size = 3
+            t.addfile(info, io.BytesIO(b"abc"))
+    entry = lambda i, key: f"  {i}\t2025-01-01T00:00:00Z\t2025-01-02T00:00:00Z\t5\t9\t{key}\tvalue\n"
+    index = ["Index:\n", entry(1, "wxt.env.temp,node=n1,sensor=wxt,vsn=W01"), entry(2, "wxt.env.hum,node=n1,sensor=wxt,vsn=W01"), entry(3, "wxt.env.press,sensor=aqt,vsn=W02")]
+    lines = [f"wxt.env.temp,node=n1,sensor=wxt,vsn=W01 value=1 {DAY + 1}", f"wxt.env.hum,node=n1,sensor=wxt,vsn=W01 value=2 {NEXT + 1}", f"wxt.env.temp,sensor=aqt,vsn=W02 value=9 {NEXT + 2}", f"wxt.env.temp,sensor=wxt,vsn=W01 value=3 {NEXT + 86_400 * 10**9}"]
+    log, out = tmp_path / "log", str(tmp_path / "out")
+    selection = Selection.from_document({"selection_version": 2, "selectors": [{"measurement_glob": "wxt.*", "tags": {"sensor": ["wx?"]}}]})
+    found = tables.load_backup(str(tmp_path), "b1")
+    asked = lambda: [json.loads(x) for x in log.read_text().splitlines()]
+    first = backup.export_backup(spark, found, out, date(2025, 1, 1), date(2025, 1, 3), inspected(str(log), index, lines), selection, work=str(tmp_path))
+    assert first["status"] == "complete" and first["output_rows"] == first["published_rows"] == 2 and first["parsed_rows"] == 4 and not first["requires_review"]
+    assert {tuple(map(str, x)) for x in asked()} == {("['wxt.env.hum', 'wxt.env.temp']", "2025-01-01 00:00:00+00:00", "2025-01-03 00:00:00+00:00")}
+    assert {(r.measurement, str(r.date)) for r in spark.read.parquet(f"{out}/facts").collect()} == {("wxt.env.temp", "2025-01-01"), ("wxt.env.hum", "2025-01-02")}
+    before = asked()
+    (tmp_path / "s4.tar.gz").unlink()
+    second = backup.export_backup(spark, found, out, date(2025, 1, 1), date(2025, 1, 3), inspected(str(log), index, lines), selection)
+    assert second["status"] == "complete" and [s["resumed"] for s in second["shards"]] == [True] and asked() == before
+    # other days: the archive is gone, and one day has no shard; the other shard is exported all the same
+    third = backup.export_backup(spark, found, out, date(2025, 1, 2), date(2025, 1, 6), inspected(str(log), index, []), selection)
+    assert third["status"] == "incomplete" and {e["source"] for e in third["errors"]} == {"s4.tar.gz", "2025-01-03", "2025-01-04"} and len(third["shards"]) == 1
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith("shard-")]
+
+
+def test_discovery_agrees_with_columns(spark):
+    selection = Selection.from_document(SELECTION)
+    rows = [("wxt.a", "value", {"sensor": "wxt", "vsn": "W01"}), ("wxt.b", "other", {"sensor": "wxt", "vsn": "W01"}), ("wxt.c", "value", {"vsn": "W01"}), ("aqt.a", "value", {"sensor": "wxt", "vsn": "W02"}), ("wxt.d", "value", {"sensor": "wxt", "vsn": "W1"})]
+    df = spark.createDataFrame(rows, "measurement string, field string, tags map<string,string>")
+    taken = {r.measurement for r in df.filter(selection.matches(F.col("measurement"), F.col("field"), F.col("tags"))).collect()}
+    assert taken == {m for m, f, t in rows if selection.takes(m, f, t)} == {"wxt.a"}
+    with pytest.raises(ValueError, match="not an index row"):
+        backup.discover(["7\tbroken"], selection)
+
+
+def test_inventories_are_brought_up_to_date(spark, tmp_path):
+    row = "0\t2025-01-01T00:00:00Z\t2025-01-01T01:00:00Z\t5\t9\tm,node=n,vsn=W1\tvalue\n"
+    folder, root = tmp_path / "in", str(tmp_path / "kept")
+    folder.mkdir()
+    (folder / "a.txt").write_text(row * 2)
+    (folder / "b.txt").write_text(row)
+    state = lambda found: {r.source.rsplit("/", 1)[1]: (r.status, r.rows) for r in found.collect()}
+    assert state(inventory.update(spark, str(folder), root)) == {"a.txt": ("complete", 2), "b.txt": ("complete", 1)}
+    files = sorted(p.name for p in (tmp_path / "kept").rglob("*.parquet"))
+    inventory.update(spark, str(folder), root)
+    assert files == sorted(p.name for p in (tmp_path / "kept").rglob("*.parquet"))  # nothing is read again
+    (folder / "b.txt").write_text(row * 3 + "1\tbroken\n")
+    (folder / "c.txt").write_text(row)
+    assert state(inventory.update(spark, str(folder), root)) == {"a.txt": ("complete", 2), "b.txt": ("error", 4), "c.txt": ("complete", 1)}
+    assert inventory.entries(spark, root).count() == 3  # b took back what it gave
+
+
 def test_a_broken_dump_stops_no_other(spark, tmp_path):
     row = "0\t2025-01-01T00:00:00Z\t2025-01-01T01:00:00Z\t5\t9\tm,node=n,vsn=W1\tvalue\n"
     (tmp_path / "a.txt").write_text("Header\n" + row + row)
@@ -200,7 +319,7 @@ def test_ranges(spark):
     assert ranges.missing_days(days.filter("id = 1").select("day"), days.filter("day < '2025-01-02'")).count() == 2
 
 
-def test_command_line(spark, tmp_path, capsys):
+def test_command_line(spark, tmp_path, capsys, monkeypatch):
     (tmp_path / "in.lp").write_text("\n".join(LINES) + "\n")
     (tmp_path / "sel.json").write_text(json.dumps(SELECTION))
     arguments = ["convert", "--input", str(tmp_path / "in.lp"), "--output", str(tmp_path / "out"), "--run-id", "r1", "--date", "2025-01-01", "--selection", str(tmp_path / "sel.json")]
@@ -210,6 +329,10 @@ def test_command_line(spark, tmp_path, capsys):
     assert spark.read.option("header", "true").csv(f"{tmp_path}/out/catalogs/variables").count() == 1
     (tmp_path / "sel.json").write_text(json.dumps({"selection_version": 1, "selectors": [{"measurement": "wxt.env.temp"}]}))
     assert cli.main(arguments) == 2
+    piped = io.TextIOWrapper(io.BytesIO((tmp_path / "in.lp").read_bytes()))
+    monkeypatch.setattr("sys.stdin", piped)
+    assert cli.main(["convert", "--input", "-", "--output", str(tmp_path / "out2"), "--run-id", "r1", "--date", "2025-01-01"]) == 0
+    assert spark.read.parquet(f"{tmp_path}/out2/facts").count() == 4 and not (tmp_path / "out2/_spool").exists()
 
 
 def test_downsampling(spark):

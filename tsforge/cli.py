@@ -1,4 +1,4 @@
-"""``python -m tsforge.cli``: convert, inventory, qc validate, run, resume, compile and report. Findings are no failure."""
+"""``python -m tsforge.cli``: convert, inventory, backup, qc validate, show, run, resume, compile and report. Findings are no failure."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tsforge.functions.identity import Registry
 from tsforge.operators import inventory, store
 from tsforge.operators.selection import Selection
-from tsforge.plans import export, runner
+from tsforge.plans import backup, export, runner
 from tsforge.plans.qc_config import Rules, Run
 from tsforge.sources import line_protocol, tables
 
@@ -29,14 +29,29 @@ def convert(spark: SparkSession, a) -> int:
     registry = Registry.from_document(d, a.require_registry) if (d := _json(a.registry)) else Registry()
     allowed = tables.read_list(a.allow) if a.allow else None
     start, end = export.day_range(a.date, a.last_date)
-    points = line_protocol.read_files(spark, a.input)
+    if a.input == "-":  # what is piped in is kept beside the dataset until it is published
+        a.input = spool = f"{a.output}/_spool/{a.run_id}.lp"
+        store.Files(spark).write_stream(spool, sys.stdin.buffer)
+    points = line_protocol.read_files(spark, a.input, registry)
     print(json.dumps(export.export_days(points, a.output, a.run_id, start, end, selection, registry, allowed, a.on_existing), default=str))
+    store.Files(spark).delete(f"{a.output}/_spool")
     return 0
 
 
+def from_backup(spark: SparkSession, a) -> int:
+    """UTC days of a backup's shards to facts, quarantine, series and catalogs."""
+    selection = Selection.from_document(d) if (d := _json(a.selection)) else None
+    registry = Registry.from_document(d) if (d := _json(a.registry)) else Registry()
+    start, end = (t.date() for t in export.day_range(a.date, a.last_date))
+    found = backup.export_backup(spark, tables.load_backup(a.input, a.bucket), a.output, start, end, backup.Command(a.binary), selection, registry, work=a.work)
+    print(json.dumps(found, default=str))
+    return 0 if found["status"] == "complete" else 1
+
+
 def index(spark: SparkSession, a) -> int:
-    """Index dumps to an inventory of series and of sources; a broken dump is an error row."""
-    entries, sources = inventory.load(spark, a.input)
+    """Index dumps to an inventory of series and of sources that is kept and brought up to date; a broken dump is an error row."""
+    sources = inventory.update(spark, a.input, f"{a.output}/_inventory")
+    entries = inventory.entries(spark, f"{a.output}/_inventory")
     registry = Registry.from_document(d) if (d := _json(a.registry)) else Registry()
     keyed = entries.withColumns({"key": F.to_json(F.array_sort(F.map_entries("tags"))), "ordinal": F.col("source")})
     rolled = inventory.rollup(keyed, "measurement", "field", "key")
@@ -48,7 +63,7 @@ def index(spark: SparkSession, a) -> int:
     store.write_csv(inventory.instrument_variables(resolved, "instrument_id"), f"{a.output}/instrument_variables", "instrument_id", "measurement", "field")
     store.write_csv(inventory.measurements(resolved), f"{a.output}/measurements", "measurement", "field")
     store.write_csv(inventory.status_counts(sources), f"{a.output}/status", "status")
-    store.write_csv(sources, f"{a.output}/sources", "source")
+    store.write_csv(sources.drop("source_id"), f"{a.output}/sources", "source")
     for name, column in (("family_measurements", "measurement"), ("family_instruments", "instrument_id")):
         store.write_lines(inventory.family(resolved, a.family, a.family_sensor, column), f"{a.output}/{name}")
     resolved.unpersist()
@@ -60,6 +75,8 @@ def quality(spark: SparkSession, a) -> int:
     rules = Rules.read(run.rules)
     if a.action == "validate":
         runner.validate(spark, rules, run)
+    elif a.action == "show":
+        print(runner.snapshot(run))
     elif a.action in ("run", "resume"):
         made = runner.run_new(spark, rules, run, a.run_id, [a.run, run.rules]) if a.action == "run" else runner.resume(spark, rules, run, a.run_id)
         print(json.dumps(runner.totals(made, run)))
@@ -83,6 +100,12 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--on-existing", choices=("error", "skip"), default="error")
     c.add_argument("--require-registry", action="store_true")
     c.set_defaults(call=convert)
+    b = sub.add_parser("backup")
+    for name in ("--input", "--bucket", "--output", "--date", "--binary"):
+        b.add_argument(name, required=True)
+    for name in ("--last-date", "--selection", "--registry", "--work"):
+        b.add_argument(name)
+    b.set_defaults(call=from_backup)
     i = sub.add_parser("inventory")
     for name in ("--input", "--output"):
         i.add_argument(name, required=True)
@@ -91,7 +114,7 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--family-sensor", default="vaisala-wxt536", help="sensor whose rows belong to the family as well")
     i.set_defaults(call=index)
     q = sub.add_parser("qc")
-    q.add_argument("action", choices=("validate", "run", "resume", "compile", "report"))
+    q.add_argument("action", choices=("validate", "show", "run", "resume", "compile", "report"))
     q.add_argument("--run", required=True)
     q.add_argument("--run-id", default="run-1")
     q.set_defaults(call=quality)

@@ -12,11 +12,26 @@ def _span(*more: Column) -> list[Column]:
     return [*more, F.min("time_ns").alias("minimum_time"), F.max("time_ns").alias("maximum_time")]
 
 
+def _counted(column: str) -> Column:
+    """Rows by the values of a part of ``variables``, as a map in the order of its keys."""
+    rows = lambda k: F.aggregate(F.filter("variables", lambda v: v[column] == k), F.lit(0).cast("long"), lambda n, v: n + v["rows"])
+    return F.map_from_entries(F.transform(F.array_sort(F.array_distinct(F.col(f"variables.{column}"))), lambda k: F.struct(k, rows(k))))
+
+
+def partition_manifests(stats: DataFrame) -> DataFrame:
+    """What is in each (sensor, vsn, instrument_id, date): rows and times, and rows by measurement, field, value type and variable.
+
+    A partition's variables are some dozens, so they meet as one array; no fact is counted twice.
+    """
+    said = F.array_sort(F.collect_list(F.struct("measurement", "field", "value_type", "rows"))).alias("variables")
+    found = stats.groupBy("sensor", "vsn", "instrument_id", "date").agg(F.sum("rows").alias("row_count"), F.min("minimum_time").alias("minimum_time"), F.max("maximum_time").alias("maximum_time"), said)
+    return found.withColumns({"measurements": _counted("measurement"), "fields": _counted("field"), "value_types": _counted("value_type")})
+
+
 def partition_stats(facts: DataFrame) -> DataFrame:
-    """Rows and times of each (sensor, vsn, instrument_id, date): what a partition's manifest says."""
-    keys = ["sensor", "vsn", "instrument_id"]
-    counts = [F.count_distinct(c).alias(n) for c, n in (("measurement", "measurements"), ("field", "fields"), ("value_type", "value_types"))]
-    return facts.groupBy(*keys, times.date_of(F.col("time_ns")).alias("date")).agg(*_span(F.count("*").alias("row_count")), *counts)
+    """Rows and times of each (sensor, vsn, instrument_id, date), and how many measurements, fields and value types there are."""
+    found = partition_manifests(partition_variables(facts)).drop("variables")
+    return found.withColumns({c: F.size(c).cast("long") for c in ("measurements", "fields", "value_types")})
 
 
 def partition_variables(facts: DataFrame) -> DataFrame:
@@ -47,24 +62,29 @@ def instrument_variables(stats: DataFrame) -> DataFrame:
     return stats.groupBy(*keys).agg(F.sum("rows").alias("rows")).select(named, *keys, "rows")
 
 
+def _same(identity: tuple[str, ...], message: str, found: DataFrame) -> DataFrame:
+    """A group's identity, or an error where the least and the greatest of a column (``_low_``, ``_high_``) differ."""
+    for c in identity:
+        clash = F.raise_error(F.lit(message)).cast(found.schema[f"_low_{c}"].dataType)
+        found = found.withColumn(c, F.when(F.col(f"_low_{c}") != F.col(f"_high_{c}"), clash).otherwise(F.col(f"_low_{c}")))
+    return found.drop(*(f"_{k}_{c}" for k in ("low", "high") for c in identity))
+
+
+def _ends(identity: tuple[str, ...]) -> list[Column]:
+    return [end(c).alias(f"_{k}_{c}") for c in identity for k, end in (("low", F.min), ("high", F.max))]
+
+
 def series(facts: DataFrame, *identity: str) -> DataFrame:
     """Times, fields and value types of each series; differing identities of one id are an error."""
     sets = [F.sort_array(F.collect_set(c)).alias(n) for c, n in (("field", "fields"), ("value_type", "value_types"))]
-    found = facts.groupBy("series_id").agg(*_span(), *sets, *(F.first(c).alias(c) for c in identity), *(F.count_distinct(c).alias(f"_n_{c}") for c in identity))
-    clash = F.lit(False)
-    for c in identity:
-        clash = clash | (F.col(f"_n_{c}") > 1)
-    checked = F.when(clash, F.raise_error(F.lit("two series share an id")).cast(found.schema["series_id"].dataType)).otherwise(F.col("series_id"))
-    return found.withColumn("series_id", checked).drop(*(f"_n_{c}" for c in identity))
+    return _same(identity, "two series share an id", facts.groupBy("series_id").agg(*_span(), *sets, *_ends(identity)))
 
 
 def merge_series(runs: DataFrame, *identity: str) -> DataFrame:
     """The series of several runs: wider times, united fields and types, the same identity or an error."""
     union = lambda c: F.array_sort(F.array_distinct(F.flatten(F.collect_list(c)))).alias(c)
-    found = runs.groupBy("series_id").agg(F.min("minimum_time").alias("minimum_time"), F.max("maximum_time").alias("maximum_time"), union("fields"), union("value_types"), *(F.first(c).alias(c) for c in identity), *(F.count_distinct(c).alias(f"_n_{c}") for c in identity))
-    for c in identity:
-        found = found.withColumn(c, F.when(F.col(f"_n_{c}") > 1, F.raise_error(F.lit("runs disagree about a series")).cast(found.schema[c].dataType)).otherwise(F.col(c)))
-    return found.drop(*(f"_n_{c}" for c in identity))
+    found = runs.groupBy("series_id").agg(F.min("minimum_time").alias("minimum_time"), F.max("maximum_time").alias("maximum_time"), union("fields"), union("value_types"), *_ends(identity))
+    return _same(identity, "runs disagree about a series", found)
 
 
 def metadata_conflicts(series_df: DataFrame, signature: list[str]) -> DataFrame:

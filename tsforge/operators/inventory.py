@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsforge.functions.identity import Registry, instrument
+from tsforge.operators.store import Files
 from tsforge.sources import tables
 
 
-def load(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def load(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, DataFrame]:
     """Entries of the dumps at a path, and their sources with status, rows and first bad line.
 
     A source with a bad line gives no entries at all, and stops no other source.
@@ -22,6 +23,48 @@ def load(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     return tables.with_tags(good).select("measurement", "tags", "field", "minimum_time", "maximum_time", "source"), sources
 
 
+_SOURCES = "source string, size long, modified timestamp, rows long, error string, status string, source_id string"
+_ENTRIES = "measurement string, tags map<string,string>, field string, minimum_time long, maximum_time long, source string, source_id string"
+
+
+def update(spark: SparkSession, path: str, root: str) -> DataFrame:
+    """Brings an inventory up to date with the dumps at a path, and returns its sources.
+
+    A dump that is there unchanged and complete is not read again. A changed one
+    replaces what it gave; one with a bad line takes back what it gave and is an
+    error row. Entries are written before the sources that vouch for them, each
+    source in a partition of its own, so an update that is cut short is made good
+    by the next.
+    """
+    there = spark.read.format("binaryFile").load(path).select(F.col("_metadata.file_path").alias("source"), F.col("_metadata.file_size").alias("size"), F.col("_metadata.file_modification_time").alias("modified"))
+    known = sources(spark, root).filter("status = 'complete'").select("source", "size", "modified")
+    new = there.join(known, ["source", "size", "modified"], "left_anti")
+    fresh = [r.source for r in new.select("source").collect()]
+    if fresh:
+        entries, found = load(spark, fresh)
+        name = F.sha1("source").alias("source_id")
+        said = found.join(there, "source").select("source", "size", "modified", "rows", "error", "status", name)
+        for rows, schema, part in ((entries.select("*", name), _ENTRIES, "entries"), (said, _SOURCES, "sources")):
+            rows = rows.select(*(F.col(f.name) for f in spark.createDataFrame([], schema).schema))
+            rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("source_id").parquet(f"{root}/{part}")
+    return sources(spark, root)
+
+
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path) if Files(spark).exists(path) else spark.createDataFrame([], schema)
+
+
+def sources(spark: SparkSession, root: str) -> DataFrame:
+    """The sources of an inventory, with their status."""
+    return _stored(spark, f"{root}/sources", _SOURCES)
+
+
+def entries(spark: SparkSession, root: str) -> DataFrame:
+    """The entries of an inventory's complete sources."""
+    complete = sources(spark, root).filter("status = 'complete'").select("source_id")
+    return _stored(spark, f"{root}/entries", _ENTRIES).join(complete, "source_id", "left_semi").drop("source_id")
+
+
 def resolve(series: DataFrame, registry: Registry | None = None) -> DataFrame:
     """Rolled-up series (with ``tags`` as a map) with the identity of their instrument and what their tags say."""
     tag = lambda k: F.nullif(F.try_element_at("tags", F.lit(k)), F.lit(""))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def overlapping(ranges: DataFrame, low: str, high: str, start: date, end: date) -> DataFrame:
+def overlapping(ranges: DataFrame, low: str, high: str, start: date | Column, end: date | Column) -> DataFrame:
     """Ranges [low, high) that touch [start, end), clipped to it."""
     first, past = F.greatest(F.col(low), F.lit(start)), F.least(F.col(high), F.lit(end))
     return ranges.withColumns({low: first, high: past}).filter(F.col(low) < F.col(high))

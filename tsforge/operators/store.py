@@ -7,7 +7,9 @@ any store that Spark writes to will do.
 
 from __future__ import annotations
 
+import functools
 import json
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,14 +17,34 @@ from pyspark.sql import functions as F
 
 #: Rows in a file at most; codec of all Parquet files.
 ROWS_PER_FILE = 500_000
-OPTIONS = {"compression": "zstd", "maxRecordsPerFile": str(ROWS_PER_FILE), "parquet.compression.codec.zstd.level": "3"}
+#: Rows in a row group at most.
+ROWS_PER_GROUP = 250_000
+OPTIONS = {"compression": "zstd", "maxRecordsPerFile": str(ROWS_PER_FILE), "parquet.compression.codec.zstd.level": "3", "parquet.block.row.count.limit": str(ROWS_PER_GROUP)}
+#: Tasks that write one partition of facts at most.
+SALTS = 8
 FACT_KEYS = ("sensor", "vsn", "instrument", "date")
 
 
+@functools.cache
+def _own_root() -> str:
+    return tempfile.mkdtemp(prefix="tsforge-")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's path where driver and executors share it; a temporary one only on a local master that names none."""
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        root = _own_root()
+    return f"{root.rstrip('/')}/tsforge-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 class Files:
     """A few operations of Hadoop's file systems."""
 
     def __init__(self, spark: SparkSession):
+        self._gateway = spark.sparkContext._gateway
         self._jvm, self._conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
 
     def _at(self, path: str):
@@ -44,6 +66,20 @@ class Files:
         if fs.exists(target) or not fs.rename(p, target):
             raise FileExistsError(f"can't put {old} at {new}")
 
+    def put(self, local: str, path: str) -> None:
+        """A file of the driver's disk, to any store."""
+        p, fs = self._at(path)
+        fs.mkdirs(p.getParent())
+        fs.copyFromLocalFile(self._at(local if "://" in local else f"file://{local}")[0], p)
+
+    def write_stream(self, path: str, source) -> None:
+        """All that a binary stream gives, in pieces."""
+        p, fs = self._at(path)
+        out = fs.create(p, True)
+        while block := source.read(1 << 20):
+            out.write(bytearray(block))
+        out.close()
+
     def read_text(self, path: str) -> str:
         p, fs = self._at(path)
         stream = fs.open(p)
@@ -58,35 +94,52 @@ class Files:
         stream = fs.create(p, True)
         stream.write(bytearray(text.encode()))
         stream.close()
-        target = self._at(path)[0]
-        if fs.exists(target):
-            fs.delete(target, False)
-        fs.rename(p, target)
+        hadoop = self._jvm.org.apache.hadoop.fs
+        rename = getattr(hadoop, "Options$Rename")
+        options = self._gateway.new_array(rename, 1)
+        options[0] = rename.OVERWRITE
+        files = hadoop.FileContext.getFileContext(fs.makeQualified(p).toUri(), self._conf)
+        files.rename(fs.makeQualified(p), fs.makeQualified(self._at(path)[0]), options)
 
     def names(self, path: str) -> list[str]:
         p, fs = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def partition_path(spark: SparkSession, root: str, values: dict[str, str]) -> str:
+    """The folder of a partition of facts, with names escaped as Spark's writer does."""
+    escape = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    return "/".join([f"{root}/facts", *(f"{k}={escape(values[k])}" for k in FACT_KEYS)])
+
+
 def write_facts(facts: DataFrame, root: str) -> None:
     """Facts under sensor=/vsn=/instrument=/date=, the instrument_id in the files as well.
 
-    A partition's rows are dealt by its key and a salt of their series, so a
-    partition that holds most rows is written by several tasks.
+    What a partition held is replaced, so a write that was cut short can be
+    repeated. A partition's rows are dealt by its key and a salt of their series
+    and hour, so one that holds most rows is written by several tasks, be it of a
+    single dense series.
     """
     spark = facts.sparkSession
-    rows = facts.withColumns({"instrument": F.col("instrument_id"), "date": F.date_format(F.date_from_unix_date(F.expr("cast((time_ns - pmod(time_ns, 86400000000000L)) div 86400000000000L as int)")), "yyyy-MM-dd")})
-    salt = F.pmod(F.xxhash64("series_id"), F.lit(8))
+    day, hour = 86_400 * 10**9, 3_600 * 10**9
+    floor = lambda unit: F.expr(f"(time_ns - pmod(time_ns, {unit}L)) div {unit}L")
+    rows = facts.withColumns({"instrument": F.col("instrument_id"), "date": F.date_format(F.date_from_unix_date(floor(day).cast("int")), "yyyy-MM-dd")})
+    salt = F.pmod(F.xxhash64("series_id", floor(hour)), F.lit(SALTS))
     dealt = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *FACT_KEYS, salt)
-    dealt.sortWithinPartitions(*FACT_KEYS, "measurement", "field").write.mode("append").options(**OPTIONS).partitionBy(*FACT_KEYS).parquet(f"{root}/facts")
+    _replace(dealt.sortWithinPartitions(*FACT_KEYS, "measurement", "field"), f"{root}/facts", *FACT_KEYS)
+
+
+def _replace(rows: DataFrame, path: str, *by: str) -> None:
+    """Write partitions in place of what they hold; others stay."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").options(**OPTIONS).partitionBy(*by).parquet(path)
 
 
 def write_quarantine(rows: DataFrame, root: str, run_id: str) -> None:
-    rows.withColumn("run", F.lit(run_id)).write.mode("append").options(**OPTIONS).partitionBy("reason", "date", "run").parquet(f"{root}/_quarantine")
+    _replace(rows.withColumn("run", F.lit(run_id)), f"{root}/_quarantine", "run", "reason", "date")
 
 
 def write_series(series: DataFrame, root: str, run_id: str) -> None:
-    series.orderBy("series_id").write.options(**OPTIONS).parquet(f"{root}/_series/run={run_id}")
+    series.orderBy("series_id").write.mode("overwrite").options(**OPTIONS).parquet(f"{root}/_series/run={run_id}")
 
 
 def write_csv(table: DataFrame, path: str, *order: str) -> None:
