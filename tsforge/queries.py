@@ -8,6 +8,8 @@ fields). Each query is an operator of the engine over those facts.
 from __future__ import annotations
 
 from datetime import UTC, date, datetime
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,11 +17,11 @@ from pyspark.sql import functions as F
 from tsforge import schema
 from tsforge.functions import identity, times
 from tsforge.functions.globs import matches
-from tsforge.operators import catalog, ingest, inventory, ranges
+from tsforge.operators import catalog, ingest, inventory, ranges, store
 from tsforge.operators.selection import Selection
-from tsforge.plans import export, level1, qc
-from tsforge.plans.qc_config import Rules
-from tsforge.sources import line_protocol
+from tsforge.plans import export, level1, qc, runner
+from tsforge.plans.qc_config import Rules, Run
+from tsforge.sources import line_protocol, tables
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -79,11 +81,18 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", "user_id", "props", "event_type", (micros * 1000 + n % 1000).alias("time_ns"), F.concat(F.lit("evt."), F.col("event_type")).alias("measurement"), F.lit("value").alias("field"), F.lit("float64").alias("value_type"), sensor.alias("sensor"), vsn.alias("vsn"), zone.alias("zone"), tags.alias("tags"), value.alias("value"))
 
 
+SERIES = ("measurement", "sensor", "vsn", "zone")
+
+
 def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events with their series' and instruments' identities (JVM-side: these tags are ASCII)."""
-    m, tags = F.col("measurement"), F.col("tags")
-    named = events(spark, sf_dir).withColumns({"series_id": identity.series_id(m, tags), "instrument": identity.instrument(m, tags)})
-    return named.withColumns({"instrument_id": F.col("instrument.instrument_id"), "identity_source": F.col("instrument.source"), "confidence": F.col("instrument.confidence"), "day": F.date_format(times.date_of(F.col("time_ns")), "yyyy-MM-dd")})
+    """Events with their series' and instruments' identities, worked out once for each series (JVM-side: these tags are ASCII)."""
+    rows = events(spark, sf_dir)
+    m, tags = F.col("measurement"), F.map_filter(F.create_map(*(x for k in SERIES[1:] for x in (F.lit(k), F.col(k)))), lambda _, v: v.isNotNull())
+    series = rows.select(*SERIES).distinct()
+    named = series.select(*(F.col(k).alias(f"_{k}") for k in SERIES), identity.series_id(m, tags).alias("series_id"), identity.instrument(m, tags).alias("instrument"))
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in SERIES])
+    joined = rows.join(named, same).drop(*(f"_{k}" for k in SERIES))
+    return joined.withColumns({"instrument_id": F.col("instrument.instrument_id"), "identity_source": F.col("instrument.source"), "confidence": F.col("instrument.confidence"), "day": F.date_format(times.date_of(F.col("time_ns")), "yyyy-MM-dd")})
 
 
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,8 +156,7 @@ def observations(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
 
 
 def _flagged(spark, sf_dir):
-    seen = observations(spark, sf_dir)
-    return qc.attach_masks(seen, qc.compile_masks(qc.findings(seen, PROFILE, RULES), KEYS), KEYS)
+    return qc.flagged(observations(spark, sf_dir), PROFILE, RULES, KEYS)
 
 
 @query(sql("SELECT sensor, vsn, coalesce(bits, 0)::VARCHAR AS qc_bits, count(*) AS n, min(time_ns) AS first_ns FROM obs LEFT JOIN masks USING (time_ns, series_id, variable) GROUP BY ALL", _OBS, _CHECKS, _FIND, _MASKS))
@@ -220,10 +228,10 @@ def run_report(spark, sf_dir):
 
 @query(sql("SELECT (SELECT count(*) FROM obs) AS rows_processed, (SELECT count(*) FROM find) AS findings, (SELECT count(DISTINCT day) FROM obs) AS periods", _OBS, _CHECKS, _FIND))
 def run_totals(spark, sf_dir):
-    seen = observations(spark, sf_dir)
-    a = seen.groupBy("day").agg(F.count("*").alias("n")).agg(F.sum("n").alias("rows_processed"), F.count("*").alias("periods"))
-    b = qc.findings(seen, PROFILE, RULES).agg(F.count("*").alias("findings"))
-    return a.withColumn("k", F.lit(0)).join(b.withColumn("k", F.lit(0)), "k").select("rows_processed", "findings", "periods")
+    """The markers of all periods of a run (here days), summed."""
+    seen = observations(spark, sf_dir).withColumn("_source_file", F.lit("events"))
+    marked = runner.marks(seen, qc.findings(seen.drop("_source_file"), PROFILE, RULES), "day")
+    return runner.tally(marked).select("rows_processed", "findings", F.col("complete").alias("periods"))
 
 
 @query(sql("SELECT time_ns, series_id, variable, CASE WHEN bits >= 9223372036854775808 THEN (bits::HUGEINT - 18446744073709551616)::BIGINT ELSE bits::BIGINT END AS mask FROM masks", _OBS, _CHECKS, _FIND, _MASKS))
@@ -238,7 +246,10 @@ def qc_bits_u64(spark, sf_dir):
 
 @query(sql("SELECT event_id, variable, v AS observed_value, coalesce(bits, 0)::VARCHAR AS qc_bits FROM obs LEFT JOIN masks USING (time_ns, series_id, variable)", _OBS, _CHECKS, _FIND, _MASKS))
 def flag_attach(spark, sf_dir):
-    return _flagged(spark, sf_dir).select("event_id", "variable", "observed_value", F.col("qc_bits").cast("string").alias("qc_bits"))
+    """Compiled masks of stored findings, joined to the observations."""
+    seen = observations(spark, sf_dir)
+    joined = qc.attach_masks(seen, qc.compile_masks(qc.findings(seen, PROFILE, RULES), KEYS), KEYS)
+    return joined.select("event_id", "variable", "observed_value", F.col("qc_bits").cast("string").alias("qc_bits"))
 
 
 @query(sql("""SELECT variable, first_second, end_second, 'PT' || (end_second - first_second)::VARCHAR || 'S' AS duration FROM
@@ -258,7 +269,7 @@ def variable_codes(spark, sf_dir):
 @query(sql("""SELECT measurement, sensor, vsn, zone, time_ns, value, event_id AS "event id", user_id::VARCHAR AS "user", event_id % 2 = 0 AS even, props || chr(10) || 'end' AS props FROM ev WHERE value IS NOT NULL AND NOT isnan(value)"""))
 def lp_roundtrip(spark, sf_dir):
     """Events written as line protocol and read again."""
-    points = line_protocol.decode(lines(spark, sf_dir))
+    points = line_protocol.decode(line_protocol.spread(lines(spark, sf_dir)))
     tag = lambda k: F.try_element_at("tags", F.lit(k))
     one = lambda field, c, out: F.max(F.when(F.col("field") == field, F.col(c))).alias(out)
     rows = points.groupBy("measurement", tag("sensor").alias("sensor"), tag("vsn").alias("vsn"), tag("zone").alias("zone"), "time_ns")
@@ -268,7 +279,7 @@ def lp_roundtrip(spark, sf_dir):
 @query(sql("""SELECT f AS field, t AS value_type, count(*) AS n FROM ev, (VALUES ('value', 'float64'), ('event id', 'int64'), ('user', 'uint64'), ('even', 'bool'), ('props', 'string')) AS x(f, t)
     WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY ALL"""))
 def lp_field_types(spark, sf_dir):
-    points = line_protocol.decode(lines(spark, sf_dir))
+    points = line_protocol.decode(line_protocol.spread(lines(spark, sf_dir)))
     return points.filter(schema.filled() == 1).groupBy("field", "value_type").agg(F.count("*").alias("n"))
 
 
@@ -364,12 +375,15 @@ def glob_match(spark, sf_dir):
     return events(spark, sf_dir).filter(matches(F.col("event_type"), "[ce]*k")).select("event_id", "event_type")
 
 
-@query(sql("SELECT sensor, vsn, instrument_id, count(*) AS n FROM ev WHERE vsn IN ('W001', 'W002', 'W063') AND sensor = 'click' GROUP BY ALL"))
+@query(sql("""SELECT coalesce(sensor, '') AS sensor, coalesce(vsn, '') AS vsn, CASE WHEN vsn IS NULL THEN 'missing-vsn' WHEN sensor IS NULL THEN 'missing-sensor'
+    WHEN vsn IN ('W001', 'W002', 'W063') AND sensor = 'click' THEN 'output' ELSE 'filtered_instrument' END AS fate, count(*) AS n FROM ev GROUP BY ALL"""))
 def allowlist_filter(spark, sf_dir):
-    """Rows of listed instruments; the list is a table, as long as it may be."""
+    """The fate of rows by a list of instruments, read from lines with comments; the list is a table, as long as it may be."""
     rows = facts(spark, sf_dir)
-    listed = rows.filter("vsn in ('W001', 'W002', 'W063') and sensor = 'click'").select("instrument_id").distinct()
-    return rows.filter("vsn is not null and sensor is not null").join(listed, "instrument_id", "left_semi").groupBy("sensor", "vsn", "instrument_id").agg(F.count("*").alias("n"))
+    ids = rows.filter("vsn in ('W001', 'W002', 'W063') and sensor = 'click'").select("instrument_id").distinct()
+    text = ids.select(F.concat(F.lit("  "), "instrument_id", F.lit("  # listed")).alias("value")).unionByName(spark.createDataFrame([("# a comment",), ("",)], "value string"))
+    fate = ingest.classify(rows, allowed_ids=tables.parse_list(text))
+    return fate.groupBy(F.coalesce("sensor", F.lit("")).alias("sensor"), F.coalesce("vsn", F.lit("")).alias("vsn"), F.col("disposition").alias("fate")).agg(F.count("*").alias("n"))
 
 
 @query(sql("SELECT disposition AS reason, day AS date, event_id, series_id FROM fate WHERE disposition LIKE 'missing-%'", _FATE))
@@ -393,6 +407,22 @@ def export_manifest(spark, sf_dir):
     return export.rollup(ingest.summary(classified(spark, sf_dir)), datetime(2024, 1, 1, tzinfo=UTC), datetime(2024, 1, 21, tzinfo=UTC))
 
 
+@query(sql("""SELECT day AS date, count(*) FILTER (disposition LIKE 'missing-%') AS quarantined_rows, count(DISTINCT said) > 1 AS conflict,
+    count(*) FILTER (disposition LIKE 'missing-%') > 0 OR count(DISTINCT said) > 1 AS requires_review
+    FROM (SELECT *, CASE WHEN disposition = 'output' AND sensor = 'error' THEN CASE WHEN user_id % 5 = 0 AND day > '2024-01-10' THEN 'K' ELSE 'C' END END AS said FROM fate) GROUP BY day""", _FATE))
+def export_review(spark, sf_dir):
+    """Which days' exports someone must look at: rows in quarantine, or a variable that is described in two ways."""
+    done = classified(spark, sf_dir)
+    days = ingest.summary(done).select(F.date_format("date", "yyyy-MM-dd").alias("date"), "quarantined_rows")
+    units = F.when((F.col("user_id") % 5 == 0) & (F.col("day") > "2024-01-10"), "K").otherwise("C")
+    kept = done.filter((F.col("disposition") == ingest.OUTPUT) & (F.col("sensor") == "error")).withColumn("units", units)
+    # the days stand where sensors do: conflicts are found within each
+    found = catalog.metadata_conflicts(kept.select(F.col("day").alias("sensor"), "measurement", F.array("field").alias("fields"), "units").distinct(), ["units"])
+    conflicts = found.groupBy(F.col("sensor").alias("date")).agg(F.count("*").alias("n"))
+    joined = days.join(conflicts, "date", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    return joined.select("date", "quarantined_rows", (F.col("n") > 0).alias("conflict"), export.review(F.col("quarantined_rows"), F.col("n")).alias("requires_review"))
+
+
 @query(sql("SELECT measurement, count(*) AS rows FROM fate WHERE disposition = 'output' GROUP BY measurement", _FATE))
 def kept_measurements(spark, sf_dir):
     return ingest.kept_counts(classified(spark, sf_dir), "measurement", by_day=False)
@@ -419,6 +449,15 @@ def partition_stats(spark, sf_dir):
     return catalog.partition_stats(_named(spark, sf_dir)).withColumn("date", F.date_format("date", "yyyy-MM-dd"))
 
 
+@query(sql(f"""SELECT sensor, vsn, instrument_id, day AS date, count(*) AS row_count, {_SPAN}, string_agg(DISTINCT measurement, ',' ORDER BY measurement) AS variables,
+    'evt.' || sensor || '=' || count(*) AS measurements, 'value=' || count(*) AS fields, 'float64=' || count(*) AS value_types FROM f GROUP BY ALL""", _NAMED))
+def partition_manifest(spark, sf_dir):
+    """What each partition's manifest counts, by measurement, field, value type and variable."""
+    found = catalog.partition_manifests(_stats(spark, sf_dir))
+    text = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string"))), ",").alias(c)
+    return found.select("sensor", "vsn", "instrument_id", F.date_format("date", "yyyy-MM-dd").alias("date"), "row_count", "minimum_time", "maximum_time", F.array_join(F.col("variables.measurement"), ",").alias("variables"), *map(text, ("measurements", "fields", "value_types")))
+
+
 @query(sql(f"SELECT series_id, {_SPAN}, string_agg(DISTINCT field, ',') AS fields, string_agg(DISTINCT value_type, ',') AS value_types, any_value(measurement) AS measurement FROM ev GROUP BY series_id"))
 def series_stats(spark, sf_dir):
     found = catalog.series(facts(spark, sf_dir), "measurement")
@@ -523,14 +562,23 @@ def status_counts(spark, sf_dir):
 # ---------------------------------------------------------------- periods, shards, resume
 
 
+#: A range whose first and last periods are clipped.
+_FROM, _TO = datetime(2024, 1, 1, 1, 30, tzinfo=UTC), datetime(2024, 1, 28, 12, 15, tzinfo=UTC)
+
+
 def _periods(spark, sf_dir, unit):
-    t = F.timestamp_seconds(times.floor_div(F.col("time_ns"), times.SECOND))
-    start = F.unix_seconds(times.floor_period(t, unit)) * times.SECOND
-    return events(spark, sf_dir).groupBy(F.greatest(start, F.lit(START_NS + 5_400 * times.SECOND)).alias("period_start_ns")).agg(F.count("*").alias("n"), F.max("time_ns").alias("last_ns"))
+    period = times.period_of(F.col("time_ns"), _FROM, _TO, unit)
+    rows = events(spark, sf_dir).select("time_ns", period.alias("p")).filter("p is not null").groupBy("p").agg(F.count("*").alias("n"), F.max("time_ns").alias("last_ns"))
+    return rows.select(times.period_id(F.col("p.start"), F.col("p.end")).alias("period_id"), F.col("p.start").alias("period_start_ns"), F.col("p.end").alias("period_end_ns"), "n", "last_ns")
 
 
 def _period_sql(unit):
-    return sql(f"SELECT greatest(epoch_us(date_trunc('{unit}', make_timestamp(time_ns // 1000))) * 1000, {START_NS + 5_400 * times.SECOND}) AS period_start_ns, count(*) AS n, max(time_ns) AS last_ns FROM ev GROUP BY ALL")
+    low, high = times.to_ns(_FROM), times.to_ns(_TO)
+    text = lambda c: f"strftime(make_timestamp({c} // 1000), '%Y%m%dT%H%M%SZ')"
+    start = f"greatest(epoch_us(date_trunc('{unit}', make_timestamp(time_ns // 1000))) * 1000, {low})"
+    end = f"least(epoch_us(date_trunc('{unit}', make_timestamp(time_ns // 1000)) + INTERVAL 1 {unit}) * 1000, {high})"
+    inner = f"p AS (SELECT {start} AS a, {end} AS b, time_ns FROM ev WHERE time_ns >= {low} AND time_ns < {high})"
+    return sql(f"SELECT {text('a')} || '_' || {text('b')} AS period_id, a AS period_start_ns, b AS period_end_ns, count(*) AS n, max(time_ns) AS last_ns FROM p GROUP BY a, b", inner)
 
 
 @query(_period_sql("hour"))
@@ -553,11 +601,11 @@ def period_split_year(spark, sf_dir):
     return _periods(spark, sf_dir, "1year")
 
 
-_SHARDS = "s AS (SELECT o_orderkey AS shard, o_orderdate::DATE AS d0, (o_orderdate::DATE + (o_orderkey % 5 + 1)::INT)::DATE AS d1 FROM orders WHERE o_orderkey % 10 = 3)"
+_SHARDS = "s AS (SELECT o_orderkey AS shard, o_orderdate::DATE AS d0, (o_orderdate::DATE + (o_orderkey % 5 + 1)::INT)::DATE AS d1 FROM orders)"
 
 
 def _shards(spark, sf_dir):
-    o = _read(spark, sf_dir, "orders").filter("o_orderkey % 10 = 3")
+    o = _read(spark, sf_dir, "orders")
     d = F.col("o_orderdate").cast("date")
     return o.select(F.col("o_orderkey").alias("shard"), d.alias("d0"), F.date_add(d, (F.col("o_orderkey") % 5 + 1).cast("int")).alias("d1"))
 
@@ -594,3 +642,81 @@ def union_by_name(spark, sf_dir):
     a = _read(spark, sf_dir, "nation").select(F.col("n_name").alias("name"), F.col("n_regionkey").cast("double").alias("region"))
     b = _read(spark, sf_dir, "supplier").select(F.col("s_acctbal").alias("balance"), F.col("s_name").alias("name"))
     return a.unionByName(b, allowMissingColumns=True)
+
+
+# ---------------------------------------------------------------- files written and read again
+
+
+@query(sql("""SELECT measurement, f AS field, t AS value_type, count(*) AS n, count(DISTINCT series_id) AS series, count(DISTINCT instrument_id) AS instruments, min(time_ns) AS first_ns
+    FROM ev, (VALUES ('value', 'float64'), ('event id', 'int64'), ('user', 'uint64'), ('even', 'bool'), ('props', 'string')) AS x(f, t) WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY ALL"""))
+def lp_files(spark, sf_dir):
+    """Files of line protocol, with records over several lines, read by splits; identities come from the parser."""
+    folder = store.scratch(spark, "lines")
+    lines(spark, sf_dir).write.text(folder)
+    points = line_protocol.read_files(spark, folder)
+    return points.groupBy("measurement", "field", "value_type").agg(F.count("*").alias("n"), F.count_distinct("series_id").alias("series"), F.count_distinct("instrument_id").alias("instruments"), F.min("time_ns").alias("first_ns"))
+
+
+@query(sql("SELECT measurement, sensor, vsn, zone, count(*) AS blocks, min(time_ns) AS minimum_time, max(time_ns + 1000) AS maximum_time FROM ev GROUP BY ALL"))
+def index_dump(spark, sf_dir):
+    """The rows of an index dump, parsed and rolled up by series."""
+    e = events(spark, sf_dir)
+    key = F.concat_ws(",", "measurement", F.lit("node=n1"), *(F.concat(F.lit(f"{k}="), F.replace(F.col(k), F.lit(" "), F.lit("\\ "))) for k in SERIES[1:]))
+    t = F.col("time_ns")
+    text = F.concat_ws("\t", F.concat(F.lit("  "), F.col("event_id").cast("string")), times.rfc3339(t), times.rfc3339(t + 1000), F.lit("5"), F.lit("9"), key, F.lit("value"))
+    header = spark.createDataFrame([("Index:",), ("  Pos\tMin Time\tMax Time\tOfs\tSize\tKey\tField",)], "value string")
+    rows = tables.parse_index(header.unionByName(e.select(text.alias("value"))))
+    tag = lambda k: F.try_element_at("tags", F.lit(k)).alias(k)
+    entries = rows.select("measurement", *map(tag, SERIES[1:]), "minimum_time", "maximum_time", F.lit("dump").alias("source"), F.lit(0).alias("ordinal"))
+    return inventory.rollup(entries, *SERIES).drop("first_source", "last_source")
+
+
+@query("SELECT o_orderstatus AS bucket_id, o_orderkey AS shard_id, 's' || o_orderkey || '.tar.gz' AS file, o_custkey AS size, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS start FROM orders")
+def backup_manifest(spark, sf_dir):
+    """The shards of a backup's manifests, one file for each status of orders."""
+    folder = store.scratch(spark, "manifests")
+    shard = F.struct(F.col("o_orderkey").alias("id"), F.concat(F.lit("s"), F.col("o_orderkey").cast("string"), F.lit(".tar.gz")).alias("fileName"), F.col("o_custkey").alias("size"))
+    start = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    group = F.struct(start.alias("startTime"), start.alias("endTime"), F.array(shard).alias("shards"))
+    policies = F.array(F.struct(F.collect_list(group).alias("shardGroups")))
+    # some hundred shards to a document, as no manifest holds a whole table
+    some = _read(spark, sf_dir, "orders").groupBy("o_orderstatus", F.expr("o_orderkey div 512").alias("part")).agg(policies.alias("p"))
+    some.select(F.array(F.struct(F.col("o_orderstatus").alias("bucketID"), F.col("p").alias("retentionPolicies"))).alias("buckets")).withColumn("file", F.monotonically_increasing_id()).repartition("file").write.partitionBy("file").json(folder)
+    return tables.backup_shards(spark, f"{folder}/*/*.json").drop("end")
+
+
+@query(sql(f"SELECT sensor, vsn, instrument_id, day AS date, count(*) AS n, {_SPAN}, sum(CASE WHEN isnan(value) THEN 1 ELSE 0 END)::BIGINT AS nans FROM f GROUP BY ALL", _NAMED))
+def store_roundtrip(spark, sf_dir):
+    """Facts written by sensor, node, instrument and day, and read again with their files."""
+    root = store.scratch(spark, "facts")
+    store.write_facts(_named(spark, sf_dir).select("time_ns", "sensor", "vsn", "instrument_id", "measurement", "field", "series_id", "value"), root)
+    back = tables.read_facts(spark, f"{root}/facts/**/*.parquet").filter(F.col("_source_file").contains("date=") & (F.col("instrument") == F.col("instrument_id")))
+    return back.groupBy("sensor", "vsn", "instrument_id", "date").agg(F.count("*").alias("n"), F.min("time_ns").alias("minimum_time"), F.max("time_ns").alias("maximum_time"), F.sum(F.coalesce(F.isnan("value"), F.lit(False)).cast("long")).alias("nans"))
+
+
+@query(sql(f"SELECT sensor, vsn, instrument_id, day AS date, count(*) AS row_count, {_SPAN}, 'complete' AS status FROM ev WHERE time_ns < {END_NS} AND {_MATCH} AND vsn IS NOT NULL AND sensor IS NOT NULL GROUP BY ALL"))
+def export_resume(spark, sf_dir):
+    """An export of days that is made, and made again without publishing anything twice; what its manifests say."""
+    root = store.scratch(spark, "export")
+    values = [F.col("value").alias("value_float64"), *(F.lit(None).cast(t).alias(f"value_{k}") for k, t in schema.VALUE_COLUMNS.items() if k != "float64")]
+    points = events(spark, sf_dir).select("measurement", "tags", "time_ns", "field", "value_type", *values)
+    start, end = datetime(2024, 1, 1, tzinfo=UTC), datetime(2024, 1, 21, tzinfo=UTC)
+    for run_id in ("r1", "r2"):
+        export.export_days(points, root, run_id, start, end, _SELECTION, on_existing="skip")
+    return export.manifests(spark, root).select("sensor", "vsn", "instrument_id", "date", "row_count", "minimum_time", "maximum_time", "status")
+
+
+@query(sql(f"""SELECT variable, variable || suffix AS check_id, flag_name, bit, count(time_ns) AS units_tested, coalesce(sum(CASE WHEN time_ns IS NOT NULL AND {_FAILED} THEN 1 ELSE 0 END), 0)::BIGINT AS units_failed
+    FROM checks LEFT JOIN (SELECT * FROM obs WHERE day BETWEEN '2024-01-03' AND '2024-01-19') AS o USING (variable) GROUP BY ALL""", _OBS, _CHECKS))
+def run_store(spark, sf_dir):
+    """A run over a store of facts, a period for each day, resumed once, and the report of its periods."""
+    root = store.scratch(spark, "run")
+    facts(spark, sf_dir).select(*KEYS, "measurement", "field", "value").write.parquet(f"{root}/facts")
+    document = {
+        "schema_version": 1, "source": {"path": f"{root}/facts", "time": {"column": "time_ns"}, "observation_keys": list(KEYS)}, "quality": {"rules": "rules.yaml"}, "processing": {"period": "1d"},
+        "selection": {"start": "2024-01-03T00:00:00Z", "end": "2024-01-20T00:00:00Z"}, "work_units": [{"id": "all", "profile": "events"}], "output": {"root": f"{root}/out"},
+    }
+    run = Run.from_document(document)
+    made = runner.run_new(spark, RULES, run, "r1")
+    made.files.delete(made.place(run.work_units[0], next(iter(times.iter_periods(run.start, run.end, run.period)))))
+    return runner.report(runner.resume(spark, RULES, run, "r1"), run).select("variable", "check_id", "flag_name", "bit", "units_tested", "units_failed")
