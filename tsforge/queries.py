@@ -450,7 +450,7 @@ def partition_stats(spark, sf_dir):
 
 
 @query(sql(f"""SELECT sensor, vsn, instrument_id, day AS date, count(*) AS row_count, {_SPAN}, string_agg(DISTINCT measurement, ',' ORDER BY measurement) AS variables,
-    'evt.' || sensor || '=' || count(*) AS measurements, 'value=' || count(*) AS fields, 'float64=' || count(*) AS value_types FROM f GROUP BY ALL""", _NAMED))
+    'evt.' || sensor || '=' || count(*) AS measurements, 'value=' || count(*) AS fields, 'float64=' || count(*) AS value_types FROM f GROUP BY sensor, vsn, instrument_id, day""", _NAMED))
 def partition_manifest(spark, sf_dir):
     """What each partition's manifest counts, by measurement, field, value type and variable."""
     found = catalog.partition_manifests(_stats(spark, sf_dir))
