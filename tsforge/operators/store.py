@@ -15,13 +15,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tsforge.functions import times
+
 #: Rows in a file at most; codec of all Parquet files.
 ROWS_PER_FILE = 500_000
 #: Rows in a row group at most.
 ROWS_PER_GROUP = 250_000
 OPTIONS = {"compression": "zstd", "maxRecordsPerFile": str(ROWS_PER_FILE), "parquet.compression.codec.zstd.level": "3", "parquet.block.row.count.limit": str(ROWS_PER_GROUP)}
-#: Tasks that write one partition of facts at most.
-SALTS = 8
 FACT_KEYS = ("sensor", "vsn", "instrument", "date")
 
 
@@ -116,16 +116,12 @@ def write_facts(facts: DataFrame, root: str) -> None:
     """Facts under sensor=/vsn=/instrument=/date=, the instrument_id in the files as well.
 
     What a partition held is replaced, so a write that was cut short can be
-    repeated. A partition's rows are dealt by its key and a salt of their series
-    and hour, so one that holds most rows is written by several tasks, be it of a
-    single dense series.
+    repeated. Rows are rebalanced by the partition's key: adaptive execution splits
+    what is too much for a task, be it of a single dense series, and joins what is
+    too little, so that small partitions are one file.
     """
-    spark = facts.sparkSession
-    day, hour = 86_400 * 10**9, 3_600 * 10**9
-    floor = lambda unit: F.expr(f"(time_ns - pmod(time_ns, {unit}L)) div {unit}L")
-    rows = facts.withColumns({"instrument": F.col("instrument_id"), "date": F.date_format(F.date_from_unix_date(floor(day).cast("int")), "yyyy-MM-dd")})
-    salt = F.pmod(F.xxhash64("series_id", floor(hour)), F.lit(SALTS))
-    dealt = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *FACT_KEYS, salt)
+    rows = facts.withColumns({"instrument": F.col("instrument_id"), "date": F.date_format(times.date_of(F.col("time_ns")), "yyyy-MM-dd")})
+    dealt = rows.hint("rebalance", *map(F.col, FACT_KEYS))
     _replace(dealt.sortWithinPartitions(*FACT_KEYS, "measurement", "field"), f"{root}/facts", *FACT_KEYS)
 
 

@@ -685,24 +685,40 @@ def backup_manifest(spark, sf_dir):
     return tables.backup_shards(spark, f"{folder}/*/*.json").drop("end")
 
 
-@query(sql(f"SELECT sensor, vsn, instrument_id, day AS date, count(*) AS n, {_SPAN}, sum(CASE WHEN isnan(value) THEN 1 ELSE 0 END)::BIGINT AS nans FROM f GROUP BY ALL", _NAMED))
+#: Ten nodes at a time as one, without zones: some hundred partitions, as large as they are in use.
+_NODES = """n AS (SELECT * EXCLUDE (vsn, instrument_id), substr(vsn, 1, 3) AS vsn, substr(vsn, 1, 3) || '--' || sensor || '--unknown-zone--' ||
+    substr(sha256('{"device": "unknown-device", "kind": "' || sensor || '", "vsn": "' || substr(vsn, 1, 3) || '", "zone": "unknown-zone"}'), 1, 12) AS instrument_id FROM ev WHERE vsn IS NOT NULL AND sensor IS NOT NULL)"""
+
+
+def _nodes(spark, sf_dir):
+    vsn = F.substring("vsn", 1, 3)
+    tags = F.create_map(F.lit("sensor"), F.col("sensor"), F.lit("vsn"), vsn, F.lit("node"), F.lit("n1"))
+    return events(spark, sf_dir).filter("vsn is not null and sensor is not null").withColumns({"vsn": vsn, "tags": tags})
+
+
+@query(sql(f"SELECT sensor, vsn, instrument_id, day AS date, count(*) AS n, {_SPAN}, sum(CASE WHEN isnan(value) THEN 1 ELSE 0 END)::BIGINT AS nans FROM n GROUP BY ALL", _NODES))
 def store_roundtrip(spark, sf_dir):
     """Facts written by sensor, node, instrument and day, and read again with their files."""
     root = store.scratch(spark, "facts")
-    store.write_facts(_named(spark, sf_dir).select("time_ns", "sensor", "vsn", "instrument_id", "measurement", "field", "series_id", "value"), root)
+    named = ingest.identified(_nodes(spark, sf_dir).drop("sensor", "vsn"))
+    store.write_facts(named.select("time_ns", "sensor", "vsn", "instrument_id", "measurement", "field", "series_id", "value"), root)
     back = tables.read_facts(spark, f"{root}/facts/**/*.parquet").filter(F.col("_source_file").contains("date=") & (F.col("instrument") == F.col("instrument_id")))
     return back.groupBy("sensor", "vsn", "instrument_id", "date").agg(F.count("*").alias("n"), F.min("time_ns").alias("minimum_time"), F.max("time_ns").alias("maximum_time"), F.sum(F.coalesce(F.isnan("value"), F.lit(False)).cast("long")).alias("nans"))
 
 
-@query(sql(f"SELECT sensor, vsn, instrument_id, day AS date, count(*) AS row_count, {_SPAN}, 'complete' AS status FROM ev WHERE time_ns < {END_NS} AND {_MATCH} AND vsn IS NOT NULL AND sensor IS NOT NULL GROUP BY ALL"))
+_WANTED = Selection.from_document({"selection_version": 2, "selectors": [{"measurement": "evt.click", "tags": {"vsn": ["W0[0-4]"]}}, {"measurement_glob": "evt.?r*", "fields": ["val*"]}]})
+_IS_WANTED = "((measurement = 'evt.click' AND vsn < 'W05') OR regexp_full_match(measurement, 'evt\\..r.*'))"
+
+
+@query(sql(f"SELECT sensor, vsn, instrument_id, day AS date, count(*) AS row_count, {_SPAN}, 'complete' AS status FROM n WHERE time_ns < {END_NS} AND {_IS_WANTED} GROUP BY ALL", _NODES))
 def export_resume(spark, sf_dir):
     """An export of days that is made, and made again without publishing anything twice; what its manifests say."""
     root = store.scratch(spark, "export")
     values = [F.col("value").alias("value_float64"), *(F.lit(None).cast(t).alias(f"value_{k}") for k, t in schema.VALUE_COLUMNS.items() if k != "float64")]
-    points = events(spark, sf_dir).select("measurement", "tags", "time_ns", "field", "value_type", *values)
+    points = _nodes(spark, sf_dir).select("measurement", "tags", "time_ns", "field", "value_type", *values)
     start, end = datetime(2024, 1, 1, tzinfo=UTC), datetime(2024, 1, 21, tzinfo=UTC)
     for run_id in ("r1", "r2"):
-        export.export_days(points, root, run_id, start, end, _SELECTION, on_existing="skip")
+        export.export_days(points, root, run_id, start, end, _WANTED, on_existing="skip")
     return export.manifests(spark, root).select("sensor", "vsn", "instrument_id", "date", "row_count", "minimum_time", "maximum_time", "status")
 
 
