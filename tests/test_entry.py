@@ -38,3 +38,14 @@ def test_query_equals_its_sql(spark, db, name):
 def test_entry_and_registration(spark):
     assert entry.entry(spark).count() > 0
     assert set(queries.QUERIES) <= set(entry.queries()) and set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_days_of_order_keys_beyond_64_bit_nanoseconds(spark, tmp_path):
+    """Keys from 366,504 on lie past 2262; the first and last years have fewer or more than four digits."""
+    keys = [None, 0, 499, 500, 366_503, 366_504, 367_000, 8_999_999, 10_055_643, 10_056_000, 100_000_000, 7_000_000_000, -366_000, -2_460_000, -2_467_500, -2_475_000, -2_600_000, -3_000_000, -100_000_000]
+    spark.createDataFrame([(k,) for k in keys], "o_orderkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    c = duckdb.connect()
+    c.sql(f"create view orders as select * from '{tmp_path}/orders.parquet/*.parquet'")
+    want = c.sql(queries.ORACLE_SQL["ns_day_partition"]).fetchall()
+    found = [tuple(r) for r in queries.QUERIES["ns_day_partition"](spark, str(tmp_path)).collect()]
+    assert sorted(found, key=str) == sorted(want, key=str) and len(found) == len(keys)

@@ -48,9 +48,17 @@ def floor_div(value: Column, unit: int) -> Column:
 
 
 def date_of(time_ns: Column) -> Column:
+    """The day of a time; nanoseconds that 64 bits can't hold come as a decimal without fraction."""
     return F.date_from_unix_date(floor_div(time_ns, DAY).cast("int"))
 
 
+def day_text(day: Column) -> Column:
+    """Year, month and day as digits in any year: the astronomical one, with a minus before 0 and no plus after 9999."""
+    year = F.year(day).cast("string")
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    return F.concat(F.when(F.year(day).between(0, 999), F.lpad(year, 4, "0")).otherwise(year), F.lit("-"), two(F.month(day)), F.lit("-"), two(F.day(day)))
+
+
 def micros(time_ns: Column) -> Column:
     return F.timestamp_micros(floor_div(time_ns, 1000))
 

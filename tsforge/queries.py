@@ -331,9 +331,9 @@ def instrument_registry(spark, sf_dir):
 
 @query("SELECT o_orderkey, strftime(DATE '1970-01-01' + floor((o_orderkey - 500) * 3600.0 * 7 / 86400)::INT, '%Y-%m-%d') AS day FROM orders")
 def ns_day_partition(spark, sf_dir):
-    """Days of times before and after 1970."""
-    t = (F.col("o_orderkey") - 500) * (7 * 3600 * times.SECOND)
-    return _read(spark, sf_dir, "orders").select("o_orderkey", F.date_format(times.date_of(t), "yyyy-MM-dd").alias("day"))
+    """Days of times before and after 1970, be they beyond the years that 64-bit nanoseconds reach (1677 to 2262)."""
+    t = (F.col("o_orderkey") - 500).cast("decimal(19,0)") * F.lit(7 * 3600 * times.SECOND).cast("decimal(14,0)")
+    return _read(spark, sf_dir, "orders").select("o_orderkey", times.day_text(times.date_of(t)).alias("day"))
 
 
 @query(sql("SELECT event_id, strftime(make_timestamp(time_ns // 1000), '%Y-%m-%dT%H:%M:%S') || '.' || lpad((time_ns % 1000000000)::VARCHAR, 9, '0') || 'Z' AS text, time_ns AS parsed FROM ev"))
