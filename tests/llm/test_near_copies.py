@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -74,3 +75,69 @@ def test_the_stage_takes_out_a_pair_that_simhash_leaves(spark, documents):
     pair = [" ".join(words), " ".join(w if i not in (50, 150, 200) else "x" for i, w in enumerate(words))]
     assert (simhash.fingerprint(pair[0].encode()) ^ simhash.fingerprint(pair[1].encode())).bit_count() > simhash.DISTANCE
     assert [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, documents(pair), "").collect()] == [0]
+
+
+def test_the_stage_goes_by_simhash_fingerprints(spark, documents, monkeypatch):
+    """A bit is the majority of the shingles' hashes; near copies whose fingerprints share no block don't meet."""
+    rng = np.random.default_rng(3)
+    for n in (1, 2, 4, 15, 16, 1275, 1276, 3000):
+        found = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+        hashes = found[:, None] * near_copies._FACTORS
+        bits = np.unpackbits((hashes ^ hashes >> np.uint64(32)).view(np.uint8), axis=1, bitorder="little")
+        want = bits.sum(axis=0, dtype=np.int64) * 2 > n
+        assert np.array_equal(np.unpackbits(near_copies.fingerprint(found).view(np.uint8), bitorder="little"), want)
+    words = [f"w{i}" for i in range(100)]
+    docs = documents([" ".join(words), " ".join(words[:-1])])
+    assert near_copies.representatives(docs).count() == 1
+    monkeypatch.setattr(near_copies, "fingerprint", lambda found: np.full(near_copies.WORDS, len(found) * 0x0001000100010001, np.uint64))
+    near = near_copies._keys([pa.RecordBatch.from_pylist([{"doc_id": i, "mark": i, "text": t} for i, t in enumerate([" ".join(words), " ".join(words[:-1])])])])
+    blocks = near_copies._blocks(near, 1)
+    assert list(near_copies._groups(blocks)) == []
+
+
+def test_pairs_at_four_fifths_share_blocks():
+    """The sizes at which most bits differ: by calculation 5 in 100,000 pairs of the first share no block, fewer of the others."""
+    rng = np.random.default_rng(4)
+    for both, a, b in ((12, 0, 3), (20, 2, 3), (80, 10, 10)):
+        for _ in range(200):
+            s = rng.integers(0, 1 << 64, both + a + b, dtype=np.uint64)
+            x, y = near_copies.fingerprint(s[: both + a]), near_copies.fingerprint(np.r_[s[:both], s[both + a :]])
+            assert (x.view("<u2") == y.view("<u2")).any() and np.bitwise_count(x[:2] ^ y[:2]).sum() <= near_copies.DISTANCE
+
+
+def test_four_shingles_of_five(documents, monkeypatch):
+    """Such pairs are found without their fingerprints."""
+    monkeypatch.setattr(near_copies, "_blocks", lambda batches, n: iter(()))
+    rows = []
+    for i in range(40):
+        words = [f"w{i}x{j}" for j in range(9)]
+        rows += [(10 * i, " ".join(words), "s"), (10 * i + 1, " ".join(words[i % 2 :][:8]), "s"), (10 * i + 2, " ".join(words[:7]), "s")]
+    found = sorted((r.doc_id, r.text) for r in near_copies.representatives(documents(rows)).collect())
+    assert found == brute(rows) and len(found) == 80
+
+
+def test_groups_are_what_links_connect():
+    rng = np.random.default_rng(5)
+    rows = np.zeros(700, near_copies._AT)
+    rows["key"], rows["mark"] = np.sort(np.r_[np.full(300, 7), rng.integers(10, 90, 400)]), rng.permutation(700)
+    base = rng.integers(0, 1 << 64, (8, 2), dtype=np.uint64)
+    for i, r in enumerate(rng.integers(0, 8, 700)):
+        flips = [sum(1 << int(b) for b in set(rng.integers(0, 64, 12))) for _ in range(2)]
+        rows["first"][i], rows["second"][i] = base[r][0] ^ np.uint64(flips[0]), base[r][1] ^ np.uint64(flips[1])
+    root = list(range(700))
+    for i in range(700):
+        for j in range(i):
+            if rows["key"][i] == rows["key"][j] and near_copies._apart(rows[i], rows[j]) <= near_copies.DISTANCE and root[i] != root[j]:
+                root = [root[i] if x == root[j] else x for x in root]
+    want = {}
+    for i, x in enumerate(root):
+        want.setdefault(x, []).append(int(rows["mark"][i]))
+    shuffled = rng.permutation(rows)
+    batch = pa.RecordBatch.from_pydict({"task": [0, 0], "rows": [shuffled[:100].tobytes(), shuffled[100:].tobytes()]})
+    got = {}
+    for out in near_copies._groups([batch]):
+        for r in out.to_pylist():
+            got.setdefault((r["key"], r["hub"], r["m"]), []).append(r["mark"])
+    assert sorted(map(sorted, got.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
+    assert all(hub == min(g) and m == len(g) for (_, hub, m), g in got.items())
+    assert list(near_copies._groups([])) == []

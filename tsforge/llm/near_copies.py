@@ -1,18 +1,23 @@
-"""Near copies by 5-word shingles: MinHash candidates, true similarity verified.
+"""Near copies by 5-word shingles: wide SimHash, pigeonhole blocks, true similarity verified.
 
 The near-dedup stage of the pipeline. Its rule is wider than the digest contract
 of op7: two texts link if the sets of their 5-word shingles have a Jaccard
-similarity of 0.8 or more. Fingerprints of 64 bits differ in some ten bits
-there, which no pigeonhole keys that are worth dealing can reach, so candidates
-come from ``BANDS`` keys of ``ROWS`` minima each: a pair at 0.8 misses all keys
-once in 13,000 times, a closer one more rarely.
-
-Of the texts that share a key, all are compared with the key's least one by their
-true similarity; what agrees is one class. Pairs that remain are those of a key
-whose texts are of several classes: the largest class is cut in chunks, and the
-texts of the others go to every chunk, where only pairs of different classes are
-compared. So a group of copies, however large, costs one comparison for each
-member and key, and no pair that shares a key is lost.
+similarity of 0.8 or more. The method is op7's, with a fingerprint wide enough for
+that: at 0.8 about 15 % of a SimHash's bits differ, so of 64 bits no block worth
+dealing stays equal. ``WORDS`` words of 64 bits are cut in blocks of 16, each of which
+is a key. By pigeonhole, texts whose fingerprints differ in fewer bits than there
+are blocks share one; a pair at 0.8 shares none once in 160,000 times if the sets
+are large, once in 20,000 at the worst of small ones (12 and 15 shingles). The one
+size where more pairs would be lost, four shingles of a text with five, is looked
+up exactly.
+
+Of the texts that share a block, those within ``DISTANCE`` in the first two words
+are a group, and so is what such links connect. In a group all are compared with
+the least one by their true similarity; what agrees is one class. Pairs that
+remain are those of a group whose texts are of several classes: the largest class
+is cut in chunks, and the texts of the others go to every chunk, where only pairs
+of different classes are compared. So a group of copies, however large, costs one
+comparison for each member and block, and no pair of a group is lost.
 
 Defined results: words are as in ``simhash``, ASCII letters in lower case; a
 null text counts as empty; texts without words are alike; fewer than five words
@@ -30,18 +35,26 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import partitions, sent_if_small, small_batches, text_of, written
+from tsforge.llm.common import deal_exactly, partitions, sent_if_small, small_batches, text_of, written
 from tsforge.llm.simhash import _LOWER, _link_batch, components
 
 SHINGLE = 5
 SIMILARITY = Fraction(4, 5)
 SEED = 42
-#: Keys of a text, and minima in each.
-BANDS, ROWS = 24, 5
+#: Words of 64 bits of a fingerprint, each of four blocks of 16 bits.
+WORDS = 40
+#: Bits of the first two words that near copies may differ in: at 0.8 that is 20 bits on average, and one pair in 300,000 has more.
+DISTANCE = 40
+#: Rows of blocks for one task, and groups up to which all pairs are taken at once.
+DEALT, SMALL = 1 << 20, 64
 #: Texts of one group in a chunk.
 CHUNK = 512
 
-_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+_FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, WORDS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
+#: Shingles that are added up before bits are unpacked, and rows of them in a step.
+_ADDED, _STEP = 15, 85
+#: A text at one of its blocks: the block with its number, the text, the words that are compared.
+_AT = np.dtype([("key", "<u4"), ("mark", "<i8"), ("first", "<u8"), ("second", "<u8")])
 
 
 def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -58,23 +71,131 @@ def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
     return np.unique(np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends[size - 1 :].tolist())), np.uint64, n))
 
 
-def keys(found: np.ndarray) -> np.ndarray:
-    """The keys of a set of shingles, one for each band."""
-    least = np.full(len(_FACTORS), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(found), 1 << 10):
-        least = np.minimum(least, (found[None, at : at + (1 << 10)] * _FACTORS[:, None]).min(axis=1))
-    bands = least.reshape(BANDS, ROWS)
-    return np.array([xxhash.xxh64_intdigest(b.tobytes(), i) for i, b in enumerate(bands)], np.uint64)
+def _added(rows: np.ndarray) -> list[np.ndarray]:
+    """The binary digits, lowest first, of the sums of each bit over the first axis, by full adders."""
+    digits, level = [], list(rows)
+    while level:
+        above = []
+        while len(level) > 2:
+            a, b, c = level.pop(), level.pop(), level.pop()
+            either = a ^ b
+            above.append(a & b | either & c)
+            level.append(either ^ c)
+        if len(level) == 2:
+            a, b = level
+            above.append(a & b)
+            level = [a ^ b]
+        digits.append(level[0])
+        level = above
+    return digits
+
+
+def fingerprint(found: np.ndarray) -> np.ndarray:
+    """The words of the SimHash of a set of shingles: a bit is 1 if set in over half of their hashes of that width."""
+    ones = np.zeros(64 * WORDS, np.int64)
+    for at in range(0, len(found), _ADDED * _STEP):
+        part = found[at : at + _ADDED * _STEP]
+        hashes = np.zeros((-(-len(part) // _ADDED) * _ADDED, WORDS), np.uint64)
+        np.multiply(part[:, None], _FACTORS[None], out=hashes[: len(part)])
+        hashes ^= hashes >> np.uint64(32)
+        for i, digit in enumerate(_added(hashes.reshape(_ADDED, -1, WORDS))):
+            ones += np.unpackbits(digit.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8).astype(np.int64) << i
+    return np.packbits(2 * ones > len(found), bitorder="little").view("<u8")
+
+
+def _sums(found: np.ndarray) -> np.ndarray:
+    """Of four shingles their sum, of five that of any four, else nothing."""
+    total = found.sum(dtype=np.uint64)
+    return total[None] if len(found) == 4 else total - found if len(found) == 5 else found[:0]
 
 
 def _keys(batches):
+    """The words of each text's fingerprint, and the sums of four or five shingles after them."""
     for batch in batches:
-        found = [keys(shingles(t.as_py() or b"")).view(np.int64) for t in batch.column("text").cast(pa.binary())]
-        offsets = np.arange(0, BANDS * (len(found) + 1), BANDS, dtype=np.int32)
+        sets = [shingles(t.as_py() or b"") for t in batch.column("text").cast(pa.binary())]
+        found = [np.concatenate([fingerprint(s), _sums(s)]).view(np.int64) for s in sets]
+        offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
         flat = np.concatenate(found) if found else np.zeros(0, np.int64)
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "mark", "keys"])
 
 
+def _blocks(batches, n: int):
+    """The rows of texts' blocks for each of ``n`` tasks, as bytes."""
+    for batch in batches:
+        marks, words = batch.column("mark").to_numpy(), batch.column("keys").to_pylist()
+        words = [np.array(w[:WORDS], np.int64).view("<u2") for w in words]
+        if not words:
+            continue
+        of = np.repeat(np.arange(len(words)), [len(w) for w in words])
+        rows = np.zeros(len(of), _AT)
+        rows["key"] = np.concatenate([np.arange(len(w), dtype=np.uint32) << 16 | w for w in words])
+        rows["mark"] = marks[of]
+        compared = np.zeros((len(words), 8), "<u2")
+        for i, w in enumerate(words):
+            compared[i, : len(w[:8])] = w[:8]
+        rows["first"], rows["second"] = compared.view("<u8")[of].T
+        task = (rows["key"] * np.uint32(0x9E3779B1) >> np.uint32(8)) % np.uint32(n)
+        order = np.argsort(task, kind="stable")
+        task, rows = task[order], rows[order]
+        cuts = np.r_[0, np.flatnonzero(task[1:] != task[:-1]) + 1, len(task)].tolist()
+        yield pa.RecordBatch.from_arrays([pa.array(task[cuts[:-1]].astype(np.int32)), pa.array([rows[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], names=["task", "rows"])
+
+
+def _apart(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """Bits of the compared words that differ."""
+    return np.bitwise_count(rows["first"] ^ others["first"]) + np.bitwise_count(rows["second"] ^ others["second"])
+
+
+def _small_groups(rows: np.ndarray, at: np.ndarray) -> list[list[int]]:
+    """What is connected by links within a distance among rows of one key, for all keys at once; ``at`` are those of small keys."""
+    group, step = {}, 1
+    while len(at):
+        at = at[at + step < len(rows)]
+        at = at[rows["key"][at + step] == rows["key"][at]]
+        for i in at[_apart(rows[at], rows[at + step]) <= DISTANCE].tolist():
+            a, b = group.setdefault(i, [i]), group.setdefault(i + step, [i + step])
+            if a is not b:
+                a, b = (a, b) if len(a) >= len(b) else (b, a)
+                a += b
+                group.update(dict.fromkeys(b, a))
+        step += 1
+    return list({id(g): g for g in group.values()}.values())
+
+
+def _large_groups(rows: np.ndarray):
+    """The same for one key, by what each text met reaches of the rest."""
+    rest = rows
+    while len(rest) > 1:
+        met, rest = [rest[:1]], rest[1:]
+        while len(met[-1]) and len(rest):
+            near, step = np.zeros(len(rest), bool), max(1, (1 << 18) // len(rest))
+            for at in range(0, len(met[-1]), step):
+                near |= (_apart(met[-1][at : at + step, None], rest[None]) <= DISTANCE).any(axis=0)
+            met.append(rest[near])
+            rest = rest[~near]
+        if len(met[1:]) and len(met[1]):
+            yield np.concatenate(met)
+
+
+def _groups(batches):
+    """Groups of what meets in one task: a key for its texts, the least of them, how many there are, and each."""
+    joined = b"".join(r for batch in batches for r in batch.column("rows").to_pylist())
+    if not joined:
+        return
+    rows = np.frombuffer(joined, _AT)
+    rows = rows[np.argsort(rows["key"], kind="stable")]
+    cuts = np.r_[0, np.flatnonzero(rows["key"][1:] != rows["key"][:-1]) + 1, len(rows)]
+    sizes = np.diff(cuts)
+    found = [rows[g] for g in _small_groups(rows, np.flatnonzero(np.repeat(sizes <= SMALL, sizes)))]
+    found += [g for i in np.flatnonzero(sizes > SMALL).tolist() for g in _large_groups(rows[cuts[i] : cuts[i + 1]])]
+    marks = {xxhash.xxh64_intdigest(m.tobytes(), SEED): m for m in (np.sort(g["mark"]) for g in found)}
+    for i in range(0, len(marks), 512):
+        some = dict(list(marks.items())[i : i + 512])
+        sizes = [len(m) for m in some.values()]
+        keys, hubs = np.array(list(some), np.uint64).view(np.int64), np.array([m[0] for m in some.values()])
+        yield pa.RecordBatch.from_arrays([pa.array(np.repeat(x, sizes)) for x in (keys, hubs, np.array(sizes, np.int64))] + [pa.array(np.concatenate(list(some.values())))], names=["key", "hub", "m", "mark"])
+
+
 def _sets(batches):
     for batch in batches:
         found = [shingles(t.as_py() or b"").tobytes() for t in batch.column("text").cast(pa.binary())]
@@ -149,27 +270,30 @@ def _dealt(rows: DataFrame, *order: str) -> DataFrame:
 
 
 def links(docs: DataFrame, distinct: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Links (u, v) between marks of texts that span what is similar; ``distinct`` has each mark with its keys."""
+    """Links (u, v) between marks of texts that span what is similar; ``distinct`` has each mark with its fingerprint."""
     spark = docs.sparkSession
-    keyed = distinct.select("mark", F.explode("keys").alias("key"))
-    shared = written(keyed.groupBy("key").agg(F.min("mark").alias("hub"), F.count("*").alias("m"), F.sum(F.xxhash64("mark").cast("decimal(38,0)")).alias("who")).filter("m > 1"), "shared-keys")
-    # keys of the same texts are asked once
-    asked = written(shared.groupBy("hub", "m", "who").agg(F.min("key").alias("key")).drop("who"), "asked-keys")
-    members = written(keyed.join(sent_if_small(asked), "key").select("key", "hub", "m", "mark"), "candidates")
-    needed = written(members.select("mark").distinct(), "needed")
+    distinct = written(distinct, "fingerprints")
+    n = max(partitions(spark), -(-distinct.count() * 4 * WORDS // DEALT))
+    dealt = distinct.mapInArrow(lambda it: _blocks(it, n), "task int, rows binary")
+    # groups of the same texts are asked once
+    members = written(deal_exactly(dealt, F.col("task"), n).mapInArrow(_groups, "key long, hub long, m long, mark long").distinct(), "candidates")
+    sums = distinct.select("mark", F.size("keys").alias("n"), F.explode(F.expr(f"slice(keys, {WORDS + 1}, 5)")).alias("sum"))
+    fours = sums.filter(f"n = {WORDS + 1}").groupBy("sum").agg(F.min("mark").alias("group"))
+    fives = written(sums.filter(f"n = {WORDS + 5}").join(fours, "sum").select("group", "mark").distinct(), "of-four-shingles")
+    needed = written(members.select("mark").unionByName(fives.select("mark")).unionByName(fives.select(F.col("group").alias("mark"))).distinct(), "needed")
     small_batches(spark)
     texts = _marked(docs).select("mark", "text").join(sent_if_small(needed), "mark").dropDuplicates(["mark"])
     sets = written(texts.select("mark", "text").mapInArrow(_sets, "mark long, found binary"), "shingles")
 
-    # each text with the hub of each of its keys
-    spokes = members.filter("mark <> hub").select(F.col("hub").alias("group"), "mark").distinct()
+    # each text with the hub of each of its groups
+    spokes = members.filter("mark <> hub").select(F.col("hub").alias("group"), "mark").unionByName(fives).distinct()
     sizes = written(spokes.groupBy("group").agg(F.ceil(F.count("*") / chunk).alias("parts")), "hubs")
     spokes = spokes.join(sent_if_small(sizes), "group").withColumn("part", F.pmod(F.xxhash64("mark"), F.col("parts")))
     hubs = sizes.select("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("group").alias("mark"))
     rows = spokes.select("group", "part", "mark", F.lit(1).alias("last")).unionByName(hubs.withColumn("last", F.lit(0))).join(sets, "mark")
     first = written(_dealt(rows, "last").mapInArrow(lambda it: _by_group(it, ("mark", "found"), _with_hub), "u long, v long"), "first-links")
 
-    # pairs of a key's texts that are of different classes by now
+    # pairs of a group's texts that are of different classes by now
     roots = written(components(first), "classes")
     classed = members.filter("m > 2").join(sent_if_small(roots.withColumnRenamed("node", "mark")), "mark", "left").withColumn("root", F.coalesce("root", "mark"))
     counted = classed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("classes"), F.max("n").alias("most"))
