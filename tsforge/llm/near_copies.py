@@ -43,7 +43,7 @@ SIMILARITY = Fraction(4, 5)
 SEED = 42
 #: Words of 64 bits of a fingerprint, each of four blocks of 16 bits.
 WORDS = 40
-#: Bits of the first two words that near copies may differ in: at 0.8 that is 20 bits on average, and one pair in 300,000 has more.
+#: Bits of the first two words that near copies may differ in: at 0.8 that is 20 bits on average, and by calculation one pair in 150,000 at the worst size has more.
 DISTANCE = 40
 #: Rows of blocks for one task, and groups up to which all pairs are taken at once.
 DEALT, SMALL = 1 << 20, 64
