@@ -141,3 +141,22 @@ def test_groups_are_what_links_connect():
     assert sorted(map(sorted, got.values())) == sorted(sorted(g) for g in want.values() if len(g) > 1)
     assert all(hub == min(g) and m == len(g) for (_, hub, m), g in got.items())
     assert list(near_copies._groups([])) == []
+
+
+@pytest.mark.parametrize("largest", [1 << 14, 50])
+def test_a_text_of_many_blocks_is_compared_in_one_group(documents, monkeypatch, largest):
+    """Versions of one text that are half similar or more meet in most of their blocks; all pairs are found, in few rows for a text."""
+    dealt, real = [], near_copies._dealt
+    monkeypatch.setattr(near_copies, "_dealt", lambda rows, *order: dealt.append(rows.count()) or real(rows, *order))
+    monkeypatch.setattr(near_copies, "LARGEST", largest, raising=False)
+    rng = random.Random(12)
+    base = [f"w{rng.randrange(9000)}" for _ in range(150)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(rng.randrange(3, 11) if i % 8 else 1):
+            words[rng.randrange(150)] = f"x{rng.randrange(9000)}"
+        rows.append((i, " ".join(words), "s"))
+    found = sorted((r.doc_id, r.text) for r in near_copies.representatives(documents(rows), 64).collect())
+    assert found == brute(rows) and 50 < len(found) < 390
+    assert sum(dealt) < 20 * len(rows) or largest == 50

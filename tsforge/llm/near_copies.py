@@ -12,12 +12,20 @@ size where more pairs would be lost, four shingles of a text with five, is looke
 up exactly.
 
 Of the texts that share a block, those within ``DISTANCE`` in the first two words
-are a group, and so is what such links connect. In a group all are compared with
-the least one by their true similarity; what agrees is one class. Pairs that
-remain are those of a group whose texts are of several classes: the largest class
-is cut in chunks, and the texts of the others go to every chunk, where only pairs
-of different classes are compared. So a group of copies, however large, costs one
-comparison for each member and block, and no pair of a group is lost.
+meet, and so does what such links connect. A task of blocks returns what meets in
+any of them as stars, and a group is what the stars of all tasks connect: each text
+is in one group, however many blocks it shares. Only where more than ``LARGEST``
+texts are connected, the groups are those of each block, so that texts which
+share no block are not compared for being at two ends of a long chain.
+
+A group of more than a chunk is compared with ``HUBS`` of its texts first, by true
+similarity; what agrees is one class. Pairs that remain are those of different
+classes: the largest class is cut in chunks, and so are the others, and every two
+chunks are a cell, but for two of the largest class. In a cell, texts of different
+classes whose fingerprints differ in ``APART`` bits at most are compared. So a class,
+however large, costs a comparison with the hubs for each member and one row for
+each chunk of other classes. No pair of a group is left out but one that differs in
+more bits than ``APART``, by calculation eight deviations above the mean at 0.8.
 
 Defined results: words are as in ``simhash``, ASCII letters in lower case; a
 null text counts as empty; texts without words are alike; fewer than five words
@@ -45,10 +53,12 @@ SEED = 42
 WORDS = 40
 #: Bits of the first two words that near copies may differ in: at 0.8 that is 20 bits on average, and by calculation one pair in 150,000 at the worst size has more.
 DISTANCE = 40
-#: Rows of blocks for one task, and groups up to which all pairs are taken at once.
+#: Bits of a whole fingerprint that similar texts may differ in: at 0.8 that is 410 bits at most on average, with a deviation of 19 (but for four shingles of five, which are looked up).
+APART = 560
+#: Rows of blocks for one task, and texts of a block up to which all pairs are taken at once.
 DEALT, SMALL = 1 << 20, 64
-#: Texts of one group in a chunk.
-CHUNK = 512
+#: Texts of one group in a chunk, hubs of a group that has more, texts in a group over all blocks.
+CHUNK, HUBS, LARGEST = 512, 8, 1 << 14
 
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, WORDS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 #: Shingles that are added up before bits are unpacked, and rows of them in a step.
@@ -196,10 +206,28 @@ def _groups(batches):
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(x, sizes)) for x in (keys, hubs, np.array(sizes, np.int64))] + [pa.array(np.concatenate(list(some.values())))], names=["key", "hub", "m", "mark"])
 
 
+def _stars(batches):
+    """What the groups of one task connect: links of the least text with each other one."""
+    root: dict[int, int] = {}
+
+    def find(x):
+        while (up := root.setdefault(x, x)) != x:
+            root[x] = x = root[up]
+        return x
+
+    for batch in _groups(batches):
+        for hub, mark in zip(batch.column("hub").to_pylist(), batch.column("mark").to_pylist()):
+            a, b = find(hub), find(mark)
+            root[max(a, b)] = min(a, b)
+    yield _link_batch([(least, x) for x in root if (least := find(x)) != x])
+
+
 def _sets(batches):
+    """The shingles of each text, and the words of its fingerprint."""
     for batch in batches:
         found = [shingles(t.as_py() or b"").tobytes() for t in batch.column("text").cast(pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column("mark"), pa.array(found, pa.binary())], names=["mark", "found"])
+        words = [np.array(w[:WORDS], np.int64).tobytes().ljust(8 * WORDS, b"\0") for w in batch.column("keys").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("mark"), pa.array(found, pa.binary()), pa.array(words, pa.binary())], names=["mark", "found", "words"])
 
 
 def _similar(own: np.ndarray, others: list[np.ndarray], sizes: np.ndarray) -> np.ndarray:
@@ -215,12 +243,17 @@ def _similar(own: np.ndarray, others: list[np.ndarray], sizes: np.ndarray) -> np
     return found
 
 
-def forest(sets: list[np.ndarray], classes: np.ndarray | None = None) -> list[tuple[int, int]]:
-    """Links that connect what pairs of similar sets connect, of which the classes are connected already."""
-    root = np.arange(len(sets)) if classes is None else np.unique(classes, return_inverse=True)[1]
+def forest(sets: list[np.ndarray], classes: np.ndarray, words: np.ndarray, first: int = 0) -> list[tuple[int, int]]:
+    """Links that connect what pairs of similar sets connect, of which the classes are connected already.
+
+    Pairs are those of all sets, or those of the ``first`` ones with the rest.
+    """
+    root = np.unique(classes, return_inverse=True)[1]
     sizes, links = np.array([len(s) for s in sets], np.int64), []
-    for i in range(len(sets) - 1):
-        rest = np.flatnonzero(root[i + 1 :] != root[i]) + i + 1
+    for i in range(first or len(sets) - 1):
+        start = first or i + 1
+        rest = np.flatnonzero(root[start:] != root[i]) + start
+        rest = rest[np.bitwise_count(words[rest] ^ words[i]).sum(axis=1, dtype=np.int64) <= APART]
         if len(rest):
             for j in rest[_similar(sets[i], [sets[j] for j in rest.tolist()], sizes[rest])].tolist():
                 if root[j] != root[i]:
@@ -256,9 +289,13 @@ def _with_hub(rows):
 
 
 def _across(rows):
-    """Links between rows of different classes."""
-    marks, classes, sets = zip(*((mark, root, np.frombuffer(found, np.uint64)) for mark, root, found in rows))
-    return [(marks[i], marks[j]) for i, j in forest(list(sets), np.array(classes))]
+    """Links between rows of different classes in a cell: of two chunks, or of one with itself."""
+    marks, classes, sides, found, words = zip(*rows)
+    if sides[0] or len(set(classes)) == 1:
+        return []
+    first = sides.index(1) if sides[-1] else 0
+    sets, words = [np.frombuffer(f, np.uint64) for f in found], np.frombuffer(b"".join(words), np.uint64).reshape(-1, WORDS)
+    return [(marks[i], marks[j]) for i, j in forest(sets, np.array(classes), words, first)]
 
 
 def _marked(docs: DataFrame) -> DataFrame:
@@ -269,38 +306,63 @@ def _dealt(rows: DataFrame, *order: str) -> DataFrame:
     return rows.repartition(partitions(rows.sparkSession), "group", "part").sortWithinPartitions("group", "part", *order)
 
 
+def _members(distinct: DataFrame) -> DataFrame:
+    """Groups: a key for its texts, how many there are, and each."""
+    spark = distinct.sparkSession
+    # as few tasks as their memory allows: a task's stars have a text once for all its blocks
+    n = max(1, -(-distinct.count() * 4 * WORDS // DEALT))
+
+    def met(texts, function, schema):
+        return deal_exactly(texts.mapInArrow(lambda it: _blocks(it, n), "task int, rows binary"), F.col("task"), n).mapInArrow(function, schema)
+
+    connected = written(components(met(distinct, _stars, "u long, v long")), "connected")
+    sizes = written(connected.groupBy("root").agg(F.count("*").alias("m")), "sizes")
+    members = connected.join(sent_if_small(sizes), "root").select(F.col("root").alias("key"), "m", F.col("node").alias("mark"))
+    if not sizes.filter(F.col("m") > LARGEST).head(1):
+        return written(members, "members")
+    chained = written(members.filter(F.col("m") > LARGEST).select("mark"), "chained")
+    by_block = met(distinct.join(sent_if_small(chained), "mark"), _groups, "key long, hub long, m long, mark long")
+    return written(members.filter(F.col("m") <= LARGEST).unionByName(by_block.select("key", "m", "mark").distinct()), "members")
+
+
 def links(docs: DataFrame, distinct: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Links (u, v) between marks of texts that span what is similar; ``distinct`` has each mark with its fingerprint."""
     spark = docs.sparkSession
     distinct = written(distinct, "fingerprints")
-    n = max(partitions(spark), -(-distinct.count() * 4 * WORDS // DEALT))
-    dealt = distinct.mapInArrow(lambda it: _blocks(it, n), "task int, rows binary")
-    # groups of the same texts are asked once
-    members = written(deal_exactly(dealt, F.col("task"), n).mapInArrow(_groups, "key long, hub long, m long, mark long").distinct(), "candidates")
+    members = _members(distinct)
     sums = distinct.select("mark", F.size("keys").alias("n"), F.explode(F.expr(f"slice(keys, {WORDS + 1}, 5)")).alias("sum"))
     fours = sums.filter(f"n = {WORDS + 1}").groupBy("sum").agg(F.min("mark").alias("group"))
     fives = written(sums.filter(f"n = {WORDS + 5}").join(fours, "sum").select("group", "mark").distinct(), "of-four-shingles")
     needed = written(members.select("mark").unionByName(fives.select("mark")).unionByName(fives.select(F.col("group").alias("mark"))).distinct(), "needed")
     small_batches(spark)
     texts = _marked(docs).select("mark", "text").join(sent_if_small(needed), "mark").dropDuplicates(["mark"])
-    sets = written(texts.select("mark", "text").mapInArrow(_sets, "mark long, found binary"), "shingles")
+    prints = distinct.select("mark", F.expr(f"slice(keys, 1, {WORDS})").alias("keys"))
+    sets = written(texts.join(prints, "mark").select("mark", "text", "keys").mapInArrow(_sets, "mark long, found binary, words binary"), "shingles")
 
-    # each text with the hub of each of its groups
-    spokes = members.filter("mark <> hub").select(F.col("hub").alias("group"), "mark").unionByName(fives).distinct()
+    # each text of a large group with the group's hubs
+    large = members.filter(F.col("m") > chunk)
+    hubs = written(large.groupBy("key", F.pmod("mark", F.lit(HUBS))).agg(F.min("mark").alias("group")).select("key", "group"), "hubs-of-groups")
+    spokes = large.join(sent_if_small(hubs), "key").filter("mark <> group").select("group", "mark").unionByName(fives).distinct()
     sizes = written(spokes.groupBy("group").agg(F.ceil(F.count("*") / chunk).alias("parts")), "hubs")
     spokes = spokes.join(sent_if_small(sizes), "group").withColumn("part", F.pmod(F.xxhash64("mark"), F.col("parts")))
     hubs = sizes.select("group", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("group").alias("mark"))
-    rows = spokes.select("group", "part", "mark", F.lit(1).alias("last")).unionByName(hubs.withColumn("last", F.lit(0))).join(sets, "mark")
+    rows = spokes.select("group", "part", "mark", F.lit(1).alias("last")).unionByName(hubs.withColumn("last", F.lit(0))).join(sets.select("mark", "found"), "mark")
     first = written(_dealt(rows, "last").mapInArrow(lambda it: _by_group(it, ("mark", "found"), _with_hub), "u long, v long"), "first-links")
 
-    # pairs of a group's texts that are of different classes by now
+    # pairs of a group's texts that are of different classes by now: cells of two chunks
     roots = written(components(first), "classes")
-    classed = members.filter("m > 2").join(sent_if_small(roots.withColumnRenamed("node", "mark")), "mark", "left").withColumn("root", F.coalesce("root", "mark"))
-    counted = classed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("classes"), F.max("n").alias("most"))
-    mixed = written(counted.filter("classes > 1").select("key", "largest", F.ceil(F.col("most") / chunk).alias("parts")), "mixed-keys")
-    own = F.when(F.col("root") == F.col("largest"), F.array(F.pmod(F.xxhash64("mark"), F.col("parts")))).otherwise(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
-    rows = classed.join(sent_if_small(mixed), "key").select(F.col("key").alias("group"), F.explode(own).alias("part"), "mark", "root").join(sets, "mark")
-    second = _dealt(rows).mapInArrow(lambda it: _by_group(it, ("mark", "root", "found"), _across), "u long, v long")
+    classed = members.join(sent_if_small(roots.withColumnRenamed("node", "mark")), "mark", "left").withColumn("root", F.coalesce("root", "mark"))
+    counted = classed.groupBy("key", "root").agg(F.count("*").alias("n")).groupBy("key").agg(F.max_by("root", F.struct("n", "root")).alias("largest"), F.count("*").alias("classes"), F.max("n").alias("most"), F.sum("n").alias("all"))
+    one = F.col("all") <= chunk
+    others, own = F.when(one, 1).otherwise(F.ceil((F.col("all") - F.col("most")) / chunk)), F.when(one, 0).otherwise(F.ceil(F.col("most") / chunk))
+    mixed = written(counted.filter("classes > 1").select("key", "largest", others.cast("long").alias("others"), own.cast("long").alias("own")), "mixed-groups")
+    inside, spread = (F.col("own") > 0) & (F.col("root") == F.col("largest")), F.xxhash64("mark")
+    rows = classed.join(sent_if_small(mixed), "key").withColumn("chunk", F.when(inside, F.col("others") + F.pmod(spread, "own")).otherwise(F.pmod(spread, "others")))
+    chunks = F.col("others") + F.col("own")
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.when(inside, F.col("others")).otherwise(chunks) - 1)))
+    cell = F.least("chunk", "other") * chunks + F.greatest("chunk", "other")
+    rows = rows.select(F.col("key").alias("group"), cell.alias("part"), "mark", "root", (F.col("chunk") > F.col("other")).cast("int").alias("side")).join(sets, "mark")
+    second = _dealt(rows, "side").mapInArrow(lambda it: _by_group(it, ("mark", "root", "side", "found", "words"), _across), "u long, v long")
     return first.unionByName(second.distinct())
 
 
