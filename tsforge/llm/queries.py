@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tsforge.llm import bpe, exact_dedup, html_text, line_dedup, media, mixing, quality, simhash, substring_dedup, token_files
+from tsforge.llm import bpe, exact_dedup, filter_audit, html_text, line_dedup, media, mixing, quality, simhash, substring_dedup, token_files
 from tsforge.llm.common import table
 
 
@@ -53,6 +53,10 @@ def op10_media_columns(spark, sf_dir):
     return media.payload_features(media.store_texts(table(spark, sf_dir, "documents")))
 
 
+def op11_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -64,6 +68,7 @@ QUERIES = {
     "op8_source_mixing": op8_source_mixing,
     "op9_html_extraction": op9_html_extraction,
     "op10_media_columns": op10_media_columns,
+    "op11_filter_audit": op11_filter_audit,
 }
 
 ORACLE_SQL = {
@@ -94,4 +99,24 @@ ORACLE_SQL = {
         SELECT doc_id, len(ls) AS n_lines, len(ls) - coalesce(n, 0) AS n_deleted, sha256(coalesce(kept, '')) AS kept_sha256
         FROM w LEFT JOIN k USING (doc_id)
     """,
+    # each flag by row, each step by counting rows: nothing of the cube
+    "op11_filter_audit": r"""
+        WITH t AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+             l AS (SELECT doc_id, coalesce(max(CASE WHEN quality = 1 THEN 1 END), 0) AS good, coalesce(max(CASE WHEN toxic = 1 THEN 1 END), 0) AS toxic FROM labels GROUP BY doc_id),
+             f AS (SELECT part, len(ws) < 50 AS A, 100 * len(list_distinct(ws)) < 65 * len(ws) AS B,
+                          100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * len(text) AS C, regexp_matches(text, '[#$%&*|]') AS D,
+                          coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS E, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic
+                   FROM t LEFT JOIN l USING (doc_id)),
+             b AS (SELECT part, [A, B, C, D, E] AS fails, list_sum([A::INT, B::INT, C::INT, D::INT, E::INT]) AS n_fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY ALL),
+             c AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+             o AS (SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM c a, c b, c c, c d, c e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+             s AS (SELECT filter_order, unnest(range(1, 6)) AS step FROM o),
+             m AS (SELECT part, filter_order, step, ascii(substr(filter_order, step, 1)) - 64 AS k, n_fails, fails, n, good, toxic,
+                          list_bool_or([false] || list_transform(range(1, step), lambda i: fails[ascii(substr(filter_order, i, 1)) - 64])) AS gone FROM b, s),
+             r AS (SELECT part, filter_order, step, k, coalesce(sum(n) FILTER (NOT gone AND NOT fails[k]), 0)::BIGINT AS kept, coalesce(sum(n) FILTER (NOT gone AND fails[k]), 0)::BIGINT AS removed,
+                          coalesce(sum(n) FILTER (gone AND fails[k]), 0)::BIGINT AS redundant, coalesce(sum(n) FILTER (n_fails = 1 AND fails[k]), 0)::BIGINT AS unique_fails,
+                          coalesce(sum(good) FILTER (NOT gone AND fails[k]), 0)::BIGINT AS good_lost, coalesce(sum(toxic) FILTER (NOT gone AND fails[k]), 0)::BIGINT AS toxic_lost
+                   FROM m GROUP BY ALL)
+        SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, k))::BIGINT AS shapley FROM r
+    """,
 }
