@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tsforge.llm import bpe, exact_dedup, filter_audit, html_text, line_dedup, media, mixing, quality, simhash, substring_dedup, token_files
+from tsforge.llm import bpe, decontamination, exact_dedup, filter_audit, html_text, line_dedup, media, mixing, quality, simhash, substring_dedup, token_files
 from tsforge.llm.common import table
 
 
@@ -57,6 +57,13 @@ def op11_filter_audit(spark, sf_dir):
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op12_decontamination(spark, sf_dir):
+    found = decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    words = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["end"] - h["start"])
+    ids = F.sha2(F.array_join("items", ","), 256)
+    return found.select("doc_id", "n_words", words.alias("n_hit"), F.size("items").cast("long").alias("n_items"), ids.alias("items_sha256"), (words > 0).alias("contaminated"))
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -69,6 +76,7 @@ QUERIES = {
     "op9_html_extraction": op9_html_extraction,
     "op10_media_columns": op10_media_columns,
     "op11_filter_audit": op11_filter_audit,
+    "op12_decontamination": op12_decontamination,
 }
 
 ORACLE_SQL = {
@@ -119,4 +127,17 @@ ORACLE_SQL = {
                    FROM m GROUP BY ALL)
         SELECT part, filter_order, step::INT AS step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, k))::BIGINT AS shapley FROM r
     """,
+    "op12_decontamination": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+             b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+             i AS (SELECT item_id, ws, least(len(ws), 10) AS n, unnest(range(len(ws) - least(len(ws), 10) + 1)) AS a FROM b WHERE len(ws) > 0),
+             w AS (SELECT DISTINCT item_id, n, array_to_string(ws[a + 1:a + n], ' ') AS said FROM i),
+             k AS (SELECT DISTINCT n FROM w),
+             p AS (SELECT doc_id, ws, n, unnest(range(len(ws) - n + 1)) AS a FROM d, k WHERE len(ws) >= n),
+             f AS (SELECT doc_id, n, a, item_id FROM (SELECT doc_id, n, a, array_to_string(ws[a + 1:a + n], ' ') AS said FROM p) JOIN w USING (n, said)),
+             h AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, a + o AS pos FROM f, range(10) AS r(o) WHERE o < n) GROUP BY doc_id),
+             t AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM f) GROUP BY doc_id)
+        SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
+    """,
 }
