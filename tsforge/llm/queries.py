@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tsforge.llm import bpe, decontamination, exact_dedup, filter_audit, html_text, line_dedup, media, mixing, quality, simhash, substring_dedup, token_files
+from tsforge.llm import bpe, conversations, decontamination, exact_dedup, filter_audit, html_text, line_dedup, media, mixing, quality, simhash, substring_dedup, token_files
 from tsforge.llm.common import table
 
 
@@ -64,6 +64,15 @@ def op12_decontamination(spark, sf_dir):
     return found.select("doc_id", "n_words", words.alias("n_hit"), F.size("items").cast("long").alias("n_items"), ids.alias("items_sha256"), (words > 0).alias("contaminated"))
 
 
+def op13_conversation_repair(spark, sf_dir):
+    return conversations.Repair(conversations.damaged(table(spark, sf_dir, "conversations"))).results()
+
+
+def _then(key: str, cost: str, letter: str) -> str:
+    """SQL: a key (eight digits of cost, then letters; least is cheapest, then least in letters) with an edit before it."""
+    return f"CASE WHEN {key} < '9' THEN printf('%08d', left({key}, 8)::INT + {cost}) || '{letter}' || substr({key}, 9) ELSE '99999999' END"
+
+
 QUERIES = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_exact_dedup": op2_exact_dedup,
@@ -77,6 +86,7 @@ QUERIES = {
     "op10_media_columns": op10_media_columns,
     "op11_filter_audit": op11_filter_audit,
     "op12_decontamination": op12_decontamination,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 
 ORACLE_SQL = {
@@ -140,4 +150,43 @@ ORACLE_SQL = {
         SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM d LEFT JOIN h USING (doc_id) LEFT JOIN t USING (doc_id)
     """,
+    # states from the last row to the first: s0 nothing yet, ss after s, su after u, sa after a
+    "op13_conversation_repair": rf"""
+        WITH RECURSIVE
+             o AS (SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS c, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                          coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS id FROM conversations),
+             w AS (SELECT *, xor(4294967295, list_reduce([4294967295] || flatten(list_transform(string_split(id, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+                                 lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, (a & 1) * 3988292384) END)) % 20 AS draw FROM o),
+             d AS (SELECT c, turn, CASE WHEN draw = 4 THEN 'user' ELSE role END AS role,
+                          CASE draw WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE draw WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM w),
+             n AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM d),
+             f AS (SELECT *, left(role, 1) || lead(left(role, 1)) OVER (PARTITION BY c ORDER BY i) AS pair,
+                          CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN row_number() OVER (PARTITION BY c, role, text ORDER BY i) > 1 THEN 'duplicate'
+                               WHEN regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM n),
+             r AS (SELECT *, left(role, 1) AS k, fault IN ('blank', 'duplicate') AS goes, CASE fault WHEN 'truncated' THEN 1 ELSE 0 END AS late FROM f),
+             p AS (
+                SELECT c, max(i) + 1 AS i, '00000000' AS s0, '00000004II' AS ss, '00000002I' AS su, '00000000' AS sa FROM r GROUP BY c
+                UNION ALL
+                SELECT c, i, least(s0, {_then("su", "2", "I")}), least(ss, {_then("su", "2", "I")}), su, sa
+                FROM (SELECT c, i, s0, ss, least(su, {_then("sa", "2", "I")}) AS su, least(sa, {_then("su", "2", "I")}) AS sa
+                FROM (SELECT c, i, least(d0, CASE WHEN goes THEN '99999999' WHEN k = 's' THEN ks WHEN k = 'u' THEN ku WHEN k = '' THEN k0 ELSE '99999999' END, ru) AS s0,
+                             least(ds, CASE WHEN goes THEN '99999999' WHEN k = 'u' THEN ku WHEN k = '' THEN ks ELSE '99999999' END, ru) AS ss,
+                             least(du, CASE WHEN goes THEN '99999999' WHEN k = 'a' THEN ka WHEN k = '' THEN ku ELSE '99999999' END, ra) AS su,
+                             least(da, CASE WHEN goes THEN '99999999' WHEN k = 'u' THEN ku WHEN k = '' THEN ka ELSE '99999999' END, ru) AS sa
+                FROM (SELECT p.c, r.i, goes, k, {_then("s0", "3", "D")} AS d0, {_then("ss", "3", "D")} AS ds, {_then("su", "3", "D")} AS du, {_then("sa", "3", "D")} AS da,
+                             {_then("s0", "late", "K")} AS k0, {_then("ss", "late", "K")} AS ks, {_then("su", "late", "K")} AS ku, {_then("sa", "late", "K")} AS ka,
+                             CASE WHEN goes THEN '99999999' ELSE {_then("su", "2 + late", "R")} END AS ru, CASE WHEN goes THEN '99999999' ELSE {_then("sa", "2 + late", "R")} END AS ra
+                FROM p JOIN r ON r.c = p.c AND r.i = p.i - 1)))),
+             b AS (SELECT c, left(s0, 8)::BIGINT AS cost, substr(s0, 9) AS audit FROM p WHERE i = 1),
+             l AS (SELECT c, unnest(range(1, length(audit) + 1)) AS j, unnest(string_split(audit, '')) AS letter FROM b WHERE audit <> ''),
+             a AS (SELECT *, sum(CASE WHEN letter = 'I' THEN 0 ELSE 1 END) OVER (PARTITION BY c ORDER BY j) AS i FROM l),
+             e AS (SELECT a.c, j, letter, role, text, k, CASE WHEN letter = 'D' OR letter = 'K' AND k IN ('s', '') THEN 0 ELSE 1 END AS counts FROM a LEFT JOIN r ON r.c = a.c AND r.i = a.i AND letter <> 'I'),
+             t AS (SELECT c, j, letter, role, CASE letter WHEN 'I' THEN '' ELSE text END AS text, coalesce(sum(counts) OVER (PARTITION BY c ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) % 2 AS odd FROM e),
+             m AS (SELECT c, string_agg(CASE WHEN letter = 'K' THEN role WHEN odd = 0 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY j) AS said FROM t WHERE letter <> 'D' GROUP BY c),
+             g AS (SELECT c, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                          count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM r GROUP BY c)
+        SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+               coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+        FROM (SELECT DISTINCT c, conv_id FROM o) LEFT JOIN g USING (c) LEFT JOIN b USING (c) LEFT JOIN m USING (c)
+    """,
 }
