@@ -43,7 +43,9 @@ def from_backup(spark: SparkSession, a) -> int:
     selection = Selection.from_document(d) if (d := _json(a.selection)) else None
     registry = Registry.from_document(d) if (d := _json(a.registry)) else Registry()
     start, end = (t.date() for t in export.day_range(a.date, a.last_date))
-    found = backup.export_backup(spark, tables.load_backup(a.input, a.bucket), a.output, start, end, backup.Command(a.binary), selection, registry, work=a.work)
+    inspector = backup.Command(a.binary) if a.binary else None
+    allowed = tables.read_list(a.allow) if a.allow else None
+    found = backup.export_backup(spark, tables.load_backup(a.input, a.bucket), a.output, start, end, inspector, selection, registry, work=a.work, allowed_ids=allowed)
     print(json.dumps(found, default=str))
     return 0 if found["status"] == "complete" else 1
 
@@ -101,10 +103,12 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--require-registry", action="store_true")
     c.set_defaults(call=convert)
     b = sub.add_parser("backup")
-    for name in ("--input", "--bucket", "--output", "--date", "--binary"):
+    for name in ("--input", "--bucket", "--output", "--date"):
         b.add_argument(name, required=True)
-    for name in ("--last-date", "--selection", "--registry", "--work"):
+    for name in ("--last-date", "--selection", "--registry", "--allow"):
         b.add_argument(name)
+    b.add_argument("--work", help="a folder that all machines share, for what archives hold")
+    b.add_argument("--binary", help="the storage engine's binary, to read shards with it instead")
     b.set_defaults(call=from_backup)
     i = sub.add_parser("inventory")
     for name in ("--input", "--output"):

@@ -79,10 +79,10 @@ def quarantine_of(classified: DataFrame) -> DataFrame:
     return classified.filter(is_quarantined(F.col("disposition"))).select(F.col("disposition").alias("reason"), times.date_of(F.col("time_ns")).alias("date"), "time_ns", "measurement", "field", "series_id", *values, "tags")
 
 
-def summary(classified: DataFrame, by_day: bool = True) -> DataFrame:
-    """Counts of each fate, for each day; they add up to the parsed rows."""
+def summary(classified: DataFrame, by_day: bool = True, *by: str) -> DataFrame:
+    """Counts of each fate, for each day (and what else is asked for); they add up to the parsed rows."""
     fate = F.col("disposition")
-    keys = [times.date_of(F.col("time_ns")).alias("date")] if by_day else []
+    keys = [times.date_of(F.col("time_ns")).alias("date"), *by] if by_day else [*by]
     count = lambda c: F.sum(c.cast("long"))
     return classified.groupBy(*keys).agg(
         F.count("*").alias("parsed_rows"), count(fate == OUTPUT).alias("output_rows"), count(is_quarantined(fate)).alias("quarantined_rows"),

@@ -75,9 +75,14 @@ def recover(spark: SparkSession, root: str) -> int:
 
 def export_days(
     points: DataFrame, root: str, run_id: str, start: datetime, end: datetime, selection: Selection | None = None, registry: Registry | None = None,
-    allowed_ids: set[str] | None = None, on_existing: str = "error", source: dict[str, str] | None = None,
+    allowed_ids: set[str] | None = None, on_existing: str = "error", source: dict[str, str] | None = None, parts: str | None = None,
 ) -> dict:
-    """Publishes the points of [start, end) and returns the export's manifest."""
+    """Publishes the points of [start, end) and returns the export's manifest.
+
+    Points may come from parts (a column's name) that can fail: a row with an
+    ``error`` takes all rows of its part out, and the manifest says which parts
+    failed and what each of the others gave.
+    """
     spark, files = points.sparkSession, store.Files(points.sparkSession)
     identity = identity_of(selection, registry, source)
     store.guard_identity(spark, root, identity)
@@ -85,7 +90,12 @@ def export_days(
     stage = f"{root}/_staging/{run_id}"
     # written once: the points are parsed in Python, and nothing below depends on where they came from
     ingest.classify(ingest.identified(points, registry), times.to_ns(start), times.to_ns(end), selection, allowed_ids).write.options(**store.OPTIONS).parquet(f"{stage}/points")
-    done = spark.read.parquet(f"{stage}/points")
+    done, said = spark.read.parquet(f"{stage}/points"), {}
+    if parts:
+        failed = {r[0]: r[1] for r in done.filter("error is not null").groupBy(parts).agg(F.min("error")).collect()}
+        done = done.filter(~F.col(parts).isin([*failed])) if failed else done
+        counts = {r[parts]: r.asDict() for r in ingest.summary(done, False, parts).collect()}
+        said = {"parts": {k: {c: n for c, n in row.items() if c != parts} for k, row in counts.items()}, "failed": failed}
     facts = ingest.facts_of(done).withColumns({"instrument": F.col("instrument_id"), "date": F.date_format(times.date_of(F.col("time_ns")), "yyyy-MM-dd")})
     known, fresh = partitions(spark, root), facts
     if known is not None:
@@ -104,7 +114,7 @@ def export_days(
     manifest = rollup(ingest.summary(done), start, end).first().asDict()
     if published:
         files.rename(f"{stage}/plan", f"{root}/_partitions/run={run_id}")  # last: what it names is there
-    manifest |= {"run_id": run_id, "published_rows": published, "skipped_existing_rows": manifest["output_rows"] - published, "identity": identity, "metadata_conflicts": write_catalogs(spark, root)}
+    manifest |= said | {"run_id": run_id, "published_rows": published, "skipped_existing_rows": manifest["output_rows"] - published, "identity": identity, "metadata_conflicts": write_catalogs(spark, root)}
     manifest["requires_review"] = review(manifest["quarantined_rows"], manifest["metadata_conflicts"])
     files.write_text(f"{root}/_exports/{run_id}.json", json.dumps(manifest, default=str, sort_keys=True, indent=1))
     files.delete(stage)

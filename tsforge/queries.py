@@ -19,9 +19,9 @@ from tsforge.functions import identity, times
 from tsforge.functions.globs import matches
 from tsforge.operators import catalog, ingest, inventory, ranges, store
 from tsforge.operators.selection import Selection
-from tsforge.plans import export, level1, qc, runner
+from tsforge.plans import backup, export, level1, qc, runner
 from tsforge.plans.qc_config import Rules, Run
-from tsforge.sources import line_protocol, tables
+from tsforge.sources import line_protocol, tables, tsm
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -736,3 +736,79 @@ def run_store(spark, sf_dir):
     made = runner.run_new(spark, RULES, run, "r1")
     made.files.delete(made.place(run.work_units[0], next(iter(times.iter_periods(run.start, run.end, run.period)))))
     return runner.report(runner.resume(spark, RULES, run, "r1"), run).select("variable", "check_id", "flag_name", "bit", "units_tested", "units_failed")
+
+
+# ---------------------------------------------------------------- storage files
+
+_FIELDS = ("('value', 'float64', round(value * 100)::BIGINT), ('event id', 'int64', event_id), ('user', 'uint64', user_id), "
+           "('even', 'bool', (event_id % 2 = 0)::BIGINT), ('props', 'string', length(props))")
+_STORED = f"st AS (SELECT ev.*, f AS stored_field, t AS stored_type, n AS amount FROM ev, LATERAL (VALUES {_FIELDS}) AS x(f, t, n) WHERE value IS NOT NULL AND NOT isnan(value))"
+
+
+def stored_points(spark, sf_dir):
+    """Five typed points of each event that has a value."""
+    e = events(spark, sf_dir).filter("value is not null and not isnan(value)")
+    cells = {"float64": F.col("value"), "int64": F.col("event_id"), "uint64": F.col("user_id"), "bool": F.col("event_id") % 2 == 0, "string": F.col("props")}
+    names = {"float64": "value", "int64": "event id", "uint64": "user", "bool": "even", "string": "props"}
+    value = lambda kind, k: (cells[k] if k == kind else F.lit(None)).cast(schema.VALUE_COLUMNS[k]).alias(f"value_{k}")
+    rows = F.array(*[F.struct(F.lit(names[kind]).alias("field"), F.lit(kind).alias("value_type"), *[value(kind, k) for k in schema.VALUE_TYPES]) for kind in schema.VALUE_TYPES])
+    return e.select("measurement", "tags", "time_ns", F.inline(rows))
+
+
+def _amounts(points):
+    """What the values of each type add up to, as whole numbers."""
+    amount = F.coalesce(F.round(F.col("value_float64") * 100).cast("long"), "value_int64", F.col("value_uint64").cast("long"), F.col("value_bool").cast("long"), F.length("value_string").cast("long"))
+    return points.groupBy("measurement", "field", "value_type").agg(F.count("*").alias("n"), F.count_distinct("series_id").alias("series"), F.count_distinct("instrument_id").alias("instruments"), F.min("time_ns").alias("first_ns"), F.max("time_ns").alias("last_ns"), F.sum(amount).alias("amount"))
+
+
+_STORED_WANTED = Selection.from_document({"selection_version": 2, "selectors": [{"measurement": "evt.click", "tags": {"vsn": ["W0[0-4]*"]}}, {"measurement_glob": "evt.?[ir]*", "fields": ["val*", "e*"]}]})
+_IS_STORED_WANTED = "((measurement = 'evt.click' AND vsn < 'W05') OR (regexp_full_match(measurement, 'evt\\..[ir].*') AND (stored_field LIKE 'val%' OR stored_field LIKE 'e%')))"
+_LOW, _HIGH = times.to_ns(datetime(2024, 1, 5, 7, tzinfo=UTC)), times.to_ns(datetime(2024, 1, 19, tzinfo=UTC))
+
+
+@query(sql(f"""SELECT measurement, stored_field AS field, stored_type AS value_type, count(*) AS n, count(DISTINCT series_id) AS series, count(DISTINCT instrument_id) AS instruments, min(time_ns) AS first_ns,
+    max(time_ns) AS last_ns, sum(amount)::BIGINT AS amount FROM st WHERE time_ns >= {_LOW} AND time_ns < {_HIGH} AND {_IS_STORED_WANTED} GROUP BY ALL""", _STORED))
+def shard_scan(spark, sf_dir):
+    """Storage files written from events and scanned: a range and a selection prune blocks by their footers."""
+    folder = backup.shared(spark)
+    tsm.write(stored_points(spark, sf_dir), folder, 8)
+    return _amounts(tsm.scan(spark, folder, _LOW, _HIGH, _STORED_WANTED.takes))
+
+
+@query(sql("""SELECT measurement, sensor, vsn, zone, stored_field AS field, stored_type AS value_type, min(time_ns) AS minimum_time, max(time_ns) AS maximum_time FROM st
+    GROUP BY measurement, sensor, vsn, zone, stored_field, stored_type""", _STORED))
+def shard_index(spark, sf_dir):
+    """The series of storage files, from footers alone, and rolled up without the tag that is no part of a series."""
+    folder = backup.shared(spark)
+    tsm.write(stored_points(spark, sf_dir), folder, 8)
+    found = tsm.series_index(tsm.index(spark, folder))
+    tags = [F.try_element_at("tags", F.lit(k)).alias(k) for k in SERIES[1:]]
+    return found.select("measurement", *tags, "field", "value_type", "minimum_time", "maximum_time").groupBy("measurement", *SERIES[1:], "field", "value_type").agg(F.min("minimum_time").alias("minimum_time"), F.max("maximum_time").alias("maximum_time"))
+
+
+#: Shards of a backup: half-open days of January 2024.
+_BACKUP_SHARDS = ((1, 8), (8, 15), (15, 22))
+
+
+def _backup(spark, sf_dir, folder):
+    """A backup of three shards, with an archive for each."""
+    # ten nodes at a time as one, as in the stores below: some hundred partitions
+    points = _nodes(spark, sf_dir).filter("value is not null and not isnan(value)").select("measurement", "tags", "time_ns", "field", "value_type", F.col("value").alias("value_float64"), *(F.lit(None).cast(t).alias(f"value_{k}") for k, t in schema.VALUE_COLUMNS.items() if k != "float64"))
+    shards = []
+    for number, days in enumerate(_BACKUP_SHARDS, 1):
+        low, high = (datetime(2024, 1, d, tzinfo=UTC) for d in days)
+        tsm.write(points.filter(F.col("time_ns").between(times.to_ns(low), times.to_ns(high) - 1)), f"{folder}/engine/b1/autogen/{number}", 2)
+        shards.append({"id": number, "path": f"{folder}/s{number}.tar.gz", "size": 1000, "start": low, "end": high})
+    backup.archive(spark, [(s["path"], f"{folder}/engine", f"b1/autogen/{s['id']}") for s in shards])
+    return {"bucket_id": "b1", "name": "events", "snapshot": "s", "shards": shards}
+
+
+@query(sql(f"""SELECT sensor, vsn, instrument_id, day AS date, count(*) AS row_count, {_SPAN}, 'complete' AS status FROM n
+    WHERE value IS NOT NULL AND NOT isnan(value) AND day >= '2024-01-03' AND day < '2024-01-20' AND {_IS_WANTED} GROUP BY ALL""", _NODES))
+def backup_export(spark, sf_dir):
+    """The archives of a backup exported as one job, and again without reading an archive; what the manifests say."""
+    folder, root = backup.shared(spark), store.scratch(spark, "export")
+    made = _backup(spark, sf_dir, folder)
+    for _ in range(2):
+        backup.export_backup(spark, made, root, date(2024, 1, 3), date(2024, 1, 20), selection=_WANTED)
+    return export.manifests(spark, root).select("sensor", "vsn", "instrument_id", "date", "row_count", "minimum_time", "maximum_time", "status")
