@@ -5,9 +5,11 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tsforge.functions import times
 from tsforge.functions.times import Period
 from tsforge.plans import level1, qc, runner
 from tsforge.plans.qc_config import ConfigError, Rules, Run, config_hash
+from tsforge.sources import cdf
 
 DAY = 1_735_689_600_000_000_000
 T0, T3 = datetime(2025, 1, 1, tzinfo=UTC), datetime(2025, 1, 4, tzinfo=UTC)
@@ -164,14 +166,32 @@ def test_masks_in_one_exchange_are_those_of_findings(spark, rules):
     assert text(qc.flagged(rows, profile, rules, KEYS)) == text(joined.select(*rows.columns, "mask", "qc_bits"))
 
 
-def test_netcdf_is_written_or_refused(spark, rules, tmp_path, monkeypatch):
-    spark.createDataFrame(ROWS, FACTS).write.parquet(f"{tmp_path}/facts")
-    filters = {"sensor": "wxt", "vsn": "W1", "instrument_id": "i"}
-    run = Run.from_document(run_document(tmp_path, output={"root": f"{tmp_path}/out", "netcdf": {"site": "s", "instrument": "i"}}, work_units=[{"id": "u1", "profile": "wxt", "filters": filters}]))
-    monkeypatch.setattr(level1, "has_netcdf", lambda: False)
-    with pytest.raises(ConfigError, match="netCDF4"):
-        runner.run_new(spark, rules, run, "r1")
-    assert not (tmp_path / "out").exists()
+def test_level1_files_hold_the_observations_of_each_day(spark, rules, tmp_path):
+    ids = F.unhex(F.substring(F.sha2("series_id", 256), 1, 32))
+    days = spark.createDataFrame([(t + d * 86_400 * 10**9, *rest) for d in (0, 2) for t, *rest in ROWS for _ in range(d // 2 + 1)], FACTS)
+    days.withColumns({"series_id": ids, "vsn": F.lit("W1"), "instrument_id": F.lit("i")}).write.parquet(f"{tmp_path}/facts")
+    document = run_document(tmp_path, output={"root": f"{tmp_path}/out", "netcdf": {"site": "s", "instrument": "i"}})
+    document["work_units"] = [{"id": "u1", "profile": "wxt", "filters": {"sensor": "wxt", "vsn": "W1", "instrument_id": "i"}}]
+    run = Run.from_document(document)
+    made = runner.run_new(spark, rules, run, "r1")
+    profile, rows, files = rules.profiles["wxt"], 0, []
+    for p in times.iter_periods(run.start, run.end, run.period):
+        marker = made.marker(run.work_units[0], p)
+        path = f"{made.place(run.work_units[0], p)}/netcdf/{marker['netcdf']}"
+        header, found = cdf.read_header(path), cdf.read(spark, path).collect()
+        assert len(found) == marker["rows_processed"] and header["attributes"]["instrument_model"] == "wxt" and header["attributes"]["source_file_count"] == marker["input_files"]
+        assert all(p.bounds[0] <= r.time_ns < p.bounds[1] for r in found)
+        table = json.loads(header["variables"]["variable"]["attributes"]["code_table"])
+        assert [table[str(i)]["name"] for i in range(len(table))] == [v.name for v in profile.variables]
+        bits = {}
+        if (kept := made.read("qc_flags", run.work_units[0], [p])) is not None:
+            bits = {(r.time_ns, bytes(r.series_id), r.variable): int(r.qc_bits) for r in kept.collect()}
+        for r in found:
+            assert int(r.qc_bits) == bits.get((r.time_ns, bytes(r.series_id), table[str(r.variable)]["name"]), 0)
+        assert [(r.variable, r.time_ns) for r in found] == sorted((r.variable, r.time_ns) for r in found)
+        rows += len(found)
+        files.append(path)
+    assert rows == runner.totals(made, run)["rows_processed"] > 0 and len(set(files)) == len(files) > 1
 
 
 def test_source_is_checked_before_any_output(spark, rules, tmp_path):
@@ -184,9 +204,6 @@ def test_source_is_checked_before_any_output(spark, rules, tmp_path):
 def test_level1(spark, rules):
     profile = rules.profiles["wxt"]
     rows = qc.attach_masks(seen(spark, rules), qc.compile_masks(qc.findings(seen(spark, rules), profile, rules), KEYS), KEYS)
-    codes = level1.variable_codes(profile)
-    ordered = level1.ordered(rows, codes).collect()
-    assert [r.variable_code for r in ordered] == sorted(r.variable_code for r in ordered)
     with pytest.raises(Exception, match="no code"):
         level1.with_codes(rows, {"wind": 0}).collect()
     day = Period(T0, datetime(2025, 1, 2, tzinfo=UTC))

@@ -11,6 +11,7 @@ import functools
 import json
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +41,15 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/tsforge-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def mounted(spark: SparkSession, name: str) -> str:
+    """A new folder under the cluster's shared one, for what is read and written by places in files; it must be mounted where executors run."""
+    path = scratch(spark, name).removeprefix("file:")
+    if "://" in path:
+        raise ValueError("spark.checkpoint.dir must be mounted where executors run")
+    Path(path).mkdir(parents=True, exist_ok=True)
+    return path
+
+
 class Files:
     """A few operations of Hadoop's file systems."""
 
@@ -66,11 +76,13 @@ class Files:
         if fs.exists(target) or not fs.rename(p, target):
             raise FileExistsError(f"can't put {old} at {new}")
 
-    def put(self, local: str, path: str) -> None:
-        """A file of the driver's disk, to any store."""
+    def put(self, local: str, path: str, move: bool = False) -> None:
+        """A file that the driver sees mounted, to any store; moved within one file system, it is renamed."""
         p, fs = self._at(path)
         fs.mkdirs(p.getParent())
-        fs.copyFromLocalFile(self._at(local if "://" in local else f"file://{local}")[0], p)
+        source, own = self._at(local if "://" in local else f"file://{local}")
+        if not (move and own.getUri().equals(fs.getUri()) and fs.rename(source, p)):
+            fs.copyFromLocalFile(move, source, p)
 
     def write_stream(self, path: str, source) -> None:
         """All that a binary stream gives, in pieces."""

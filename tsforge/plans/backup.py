@@ -224,7 +224,7 @@ def export_backup(
     if pending:
         run_id = "backup-" + hashlib.sha256(json.dumps(sorted(markers[s["id"]] for s in pending)).encode()).hexdigest()[:16]
         low, high = (datetime.fromisoformat(f([s[k] for s in pending])) for f, k in ((min, "start"), (max, "end")))
-        with tempfile.TemporaryDirectory(prefix="shards-", dir=work or (None if inspector else shared(spark))) as folder:
+        with tempfile.TemporaryDirectory(prefix="shards-", dir=work or (None if inspector else store.mounted(spark, "shards"))) as folder:
             made_of = (spark, pending, backup["bucket_id"])
             points = _through(*made_of, inspector, selection, registry, work) if inspector else shard_points(*made_of, folder, selection, registry)
             made = export.export_days(points, root, run_id, low, high, selection, registry, allowed_ids, on_existing, source, parts="shard")
@@ -245,15 +245,6 @@ def export_backup(
     return manifest
 
 
-def shared(spark: SparkSession) -> str:
-    """A new folder under the cluster's shared one, which must be mounted where executors run."""
-    path = store.scratch(spark, "shards").removeprefix("file:")
-    if "://" in path:
-        raise ValueError("storage files are read from a mounted folder: name one (work)")
-    Path(path).mkdir(parents=True, exist_ok=True)
-    return path
-
-
 def archive(spark: SparkSession, wanted: list[tuple[str, str, str]]) -> None:
     """Archives of folders: (archive, root, folder below it that is taken), a task each; an archive appears when it is whole."""
 

@@ -1,17 +1,18 @@
-"""Level-1 tables: observations with their masks, codes and coverage; files where netCDF4 is there."""
+"""Level-1 tables and files: observations with their masks, codes and coverage; a file for each day, all days of a run as one job."""
 
 from __future__ import annotations
 
-import importlib.util
-import itertools
 import json
+import re
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tsforge.functions import times
 from tsforge.functions.times import DAY, SECOND, Period
 from tsforge.plans.qc_config import Profile, Rules
+from tsforge.sources import cdf
 
 
 def variable_codes(profile: Profile) -> dict[str, int]:
@@ -62,39 +63,36 @@ def file_name(site: str, name: str, vsn: str, period: Period) -> str:
     return f"{site}.{name}.{vsn}.native.a1.{stamp(period.start)}-{stamp(period.end)}.nc"
 
 
-def ordered(flagged: DataFrame, codes: dict[str, int]) -> DataFrame:
-    """The rows of a file in their order: variable, time, series."""
-    return with_codes(flagged, codes).orderBy("variable_code", "time_ns", "series_id")
+_FLAG_NAME = re.compile(r"[A-Za-z0-9_]+")
 
 
-def has_netcdf() -> bool:
-    return importlib.util.find_spec("netCDF4") is not None
-
-
-def write_netcdf(flagged: DataFrame, codes: dict[str, int], said: dict[str, str], path: str) -> int:
-    """One day's file on the driver's disk, in blocks, read again before it counts; needs netCDF4. How many rows it holds.
-
-    A file of this format has one writer, so its rows pass the driver, a partition at a time.
+def file_variables(rules: Rules, profile: Profile, keys: dict[str, str]) -> list[cdf.Variable]:
+    """The variables of a file; ``keys`` are the observation keys with their types: times as numbers, 16-byte ids as bytes, others as texts."""
+    if bad := [name for name in rules.flags if not _FLAG_NAME.fullmatch(name)]:
+        raise ValueError(f"flags of a file are named by letters, digits and underscores: {bad}")
+    table = {str(i): {"name": v.name, **{k: dict(v.where).get(k, "") for k in ("measurement", "field")}, "units": v.units or "1", "data_type": "string" if v.is_string else "numeric"} for i, v in enumerate(profile.variables)}
+    by_bit = sorted(rules.flags.items(), key=lambda x: x[1])
+    out = [cdf.Variable("time_ns", "i8", {"long_name": "observation time", "standard_name": "time", "units": "nanoseconds since 1970-01-01 00:00:00 UTC", "calendar": "proleptic_gregorian"})]
+    for key, kind in keys.items():
+        if key != "time_ns":
+            said = {"long_name": f"observation key: {key}"}
+            out.append(cdf.Variable(key, "u1", said, 16) if kind == "binary" else cdf.Variable(key, "text", said))
+    return [
+        *out,
+        cdf.Variable("variable", "u2", {"long_name": "variable code", "code_table": json.dumps(table, sort_keys=True, separators=(",", ":")), "flag_values": np.arange(len(table), dtype=np.uint16), "flag_meanings": " ".join(variable_codes(profile))}),
+        cdf.Variable("observed_value", "f8", {"long_name": "numeric observation after quality control", "coordinates": "time_ns", "_FillValue": np.float64("nan")}),
+        cdf.Variable("observed_value_string", "text", {"long_name": "string observation after quality control", "coordinates": "time_ns", "missing_value": ""}),
+        cdf.Variable("qc_bits", "u8", {"long_name": "quality mask; zero means that no check failed", "coordinates": "time_ns", "flag_masks": np.array([1 << b for _, b in by_bit], np.uint64), "flag_meanings": " ".join(n for n, _ in by_bit)}),
+    ]
+
+
+def write_files(flagged: DataFrame, by: str, rules: Rules, profile: Profile, keys: tuple[str, ...], paths: dict[str, str], said: dict[str, dict]) -> dict[str, int]:
+    """A file for each value of ``by`` (texts) that ``paths`` names, in the order of variable, time and other keys; how many rows each holds.
+
+    The folder is one that executors share. Rows never pass the driver.
     """
-    import netCDF4
-    import numpy as np
-
-    columns = [("time_ns", "i8"), ("variable_code", "u2"), ("observed_value", "f8"), ("qc_bits", "u8")]
-    rows = ordered(flagged, codes).select(*(c for c, _ in columns))
-    masks = np.array([int(m) for m in said["flag_masks"].split()], np.uint64)
-    with netCDF4.Dataset(path, "w", format="NETCDF4") as out:
-        out.createDimension("obs", None)
-        made = {c: out.createVariable(c, kind, ("obs",), zlib=True, **({"fill_value": np.nan} if kind == "f8" else {})) for c, kind in columns}
-        made["time_ns"].setncatts({"units": "nanoseconds since 1970-01-01T00:00:00Z", "calendar": "standard"})
-        made["variable_code"].setncatts({"code_table": json.dumps(codes, sort_keys=True)})
-        made["qc_bits"].setncatts({"flag_masks": masks, "flag_meanings": said["flag_meanings"]})
-        out.setncatts(said)
-        at, rest = 0, rows.toLocalIterator(prefetchPartitions=True)
-        while block := list(itertools.islice(rest, 100_000)):
-            for (c, kind), values in zip(columns, zip(*block)):
-                made[c][at : at + len(block)] = np.array([np.nan if v is None else int(v) if kind != "f8" else v for v in values], kind)
-            at += len(block)
-    with netCDF4.Dataset(path) as back:
-        if len(back.dimensions["obs"]) != at or json.loads(back["variable_code"].code_table) != codes or back.variables.keys() != dict(columns).keys():
-            raise OSError(f"{path} does not hold what was written")
-    return at
+    kinds = dict(flagged.dtypes)
+    coded = with_codes(flagged, variable_codes(profile)).drop("variable").withColumnRenamed("variable_code", "variable")
+    texts = {k: F.col(k).cast("string") for k in keys if k != "time_ns" and kinds[k] not in ("binary", "string")}
+    order = ["variable", "time_ns", *(k for k in keys if k != "time_ns")]
+    return cdf.write(coded.withColumns(texts) if texts else coded, by, order, file_variables(rules, profile, {k: kinds[k] for k in keys}), paths, said)

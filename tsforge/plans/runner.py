@@ -8,18 +8,19 @@ from __future__ import annotations
 
 import hashlib
 import json
-import tempfile
 import uuid
 from dataclasses import asdict
 from pathlib import Path
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tsforge import __version__
 from tsforge.functions import times
-from tsforge.operators.store import OPTIONS, Files, Staged
+from tsforge.operators.store import OPTIONS, Files, Staged, mounted
 from tsforge.plans import level1, qc
-from tsforge.plans.qc_config import ConfigError, Rules, Run, WorkUnit, config_hash
+from tsforge.plans.qc_config import Rules, Run, WorkUnit, config_hash
 from tsforge.sources.tables import read_facts
 
 
@@ -66,8 +67,6 @@ def _facts(spark: SparkSession, run: Run) -> tuple[DataFrame, tuple[str, ...]]:
 
 def validate(spark: SparkSession, rules: Rules, run: Run) -> None:
     """Everything that can be checked without a job."""
-    if run.netcdf and not level1.has_netcdf():
-        raise ConfigError("netcdf output needs the package netCDF4")
     facts, keys = _facts(spark, run)
     for u in run.work_units:
         if u.profile not in rules.profiles:
@@ -121,9 +120,11 @@ def resume(spark: SparkSession, rules: Rules, run: Run, run_id: str) -> Store:
         selected = qc.select(facts, profile, first, past, unit.filters).withColumn("period", period)
         if len(todo) < sum(first <= p.bounds[0] < past for p in _periods(run)):
             selected = selected.filter(F.col("period").isin(sorted(todo)))
-        observations = qc.normalize(selected, profile, keys, "_source_file", "period").persist()
-        plain = observations.drop("_source_file")
         stage = f"{store.path}/periods/_staging/{unit.id}-{uuid.uuid4().hex}"
+        # written once: what follows reads it several times, and a lost executor takes nothing of it away
+        qc.normalize(selected, profile, keys, "_source_file", "period").write.options(**OPTIONS).parquet(f"{stage}/observations")
+        observations = spark.read.parquet(f"{stage}/observations")
+        plain = observations.drop("_source_file")
 
         def staged(name: str, rows: DataFrame) -> DataFrame:
             rows.write.options(**OPTIONS).partitionBy("period").parquet(f"{stage}/{name}")
@@ -132,37 +133,55 @@ def resume(spark: SparkSession, rules: Rules, run: Run, run_id: str) -> Store:
             return spark.read.schema(rows.schema).parquet(f"{stage}/{name}")
 
         found = staged("findings", qc.findings(plain, profile, rules, run_id, unit.id))
-        staged("qc_flags", qc.compile_masks(found, (*keys, "period")).drop("mask"))
+        masks = staged("qc_flags", qc.compile_masks(found, (*keys, "period")).drop("mask"))
         known = {r["period"]: r.asDict() for r in marks(observations, found, "period").collect()}
         results = qc.check_results(plain, profile, rules, "period", config_hash=said)
         # checks are reported of periods without rows as well
         without = sorted(set(todo) - set(known))
         nothing = qc.check_results(plain.limit(0), profile, rules, config_hash=said)
         staged("check_results", results.unionByName(nothing.withColumn("period", F.explode(F.array(*map(F.lit, without)).cast("array<bigint>")))))
+        markers = {start: {"config_hash": said, "period": p.id} | _NOTHING | {k: v for k, v in known.get(start, {}).items() if k != "period"} for start, p in todo.items()}
+        made = _level1(store, rules, run, unit, todo, markers, plain, masks, keys) if run.netcdf else {}
         for start, p in todo.items():
-            _publish(store, rules, run, unit, p, stage, {"config_hash": said, "period": p.id} | _NOTHING | {k: v for k, v in known.get(start, {}).items() if k != "period"}, observations.filter(F.col("period") == start), keys)
+            _publish(store, unit, p, stage, markers[start], made.get(start))
         store.files.delete(stage)
-        observations.unpersist()
     return store
 
 
-def _publish(store: Store, rules: Rules, run: Run, unit: WorkUnit, period: times.Period, stage: str, marker: dict, observations: DataFrame, keys: tuple[str, ...]) -> None:
+def _level1(store: Store, rules: Rules, run: Run, unit: WorkUnit, todo: dict[int, times.Period], markers: dict[int, dict], observations: DataFrame, masks: DataFrame, keys: tuple[str, ...]) -> dict[int, str]:
+    """The files of all pending periods, in one job, in a folder that executors share; their paths by period."""
+    profile, (site, instrument) = rules.profiles[unit.profile], run.netcdf
+    on = [*keys, "variable", "period"]
+    flagged = observations.join(masks.select(*on, "qc_bits"), on, "left").withColumns({"qc_bits": F.coalesce("qc_bits", F.lit(0).cast("decimal(20,0)")), "period": F.col("period").cast("string")})
+    spans = {r.period: (r.first_second, r.end_second) for r in level1.coverage(observations, "period").collect()}
+    folder, filters = mounted(store.spark, "level1"), dict(unit.filters)
+    paths, said = {}, {}
+    for start, p in todo.items():
+        span = spans.get(start)
+        if span and not p.bounds[0] <= span[0] * times.SECOND <= span[1] * times.SECOND <= p.bounds[1]:
+            raise ValueError(f"observations outside {p.id}")
+        paths[str(start)] = f"{folder}/{start}/{level1.file_name(site, instrument, filters['vsn'], p)}"
+        moment = lambda t: t.strftime("%Y-%m-%dT%H:%M:%SZ")
+        said[str(start)] = {
+            "title": f"{instrument} native level 1 observations", "Conventions": "CF-1.10, ACDD-1.3", "source_snapshot": run.source, "source_dataset_fingerprint": markers[start]["input_fingerprint"],
+            "source_file_count": np.int64(markers[start]["input_files"]), "qaqc_rule_fingerprint": markers[start]["config_hash"], "aggregation_rule_fingerprint": "not_applicable",
+            "processing_software_version": __version__, "site_id": site, "vsn": filters["vsn"], "instrument_id": filters["instrument_id"], "instrument_model": filters["sensor"], "run_id": store.run_id,
+            "work_unit_id": unit.id, "nominal_period_start": moment(p.start), "nominal_period_end": moment(p.end), **level1.attributes(rules, profile, p, span),
+        }
+    rows = level1.write_files(flagged, "period", rules, profile, keys, paths, said)
+    if wrong := [p.id for start, p in todo.items() if rows[str(start)] != markers[start]["rows_processed"]]:
+        raise OSError(f"files that don't hold what was observed: {wrong}")
+    return {int(start): path for start, path in paths.items()}
+
+
+def _publish(store: Store, unit: WorkUnit, period: times.Period, stage: str, marker: dict, file: str | None) -> None:
     ready = Staged(store.spark, store.place(unit, period))
-    start = period.bounds[0]
     for name in ("findings", "qc_flags", "check_results"):
-        if store.files.exists(f"{stage}/{name}/period={start}"):
-            store.files.rename(f"{stage}/{name}/period={start}", f"{ready.path}/{name}")
-    if run.netcdf:
-        profile, (site, instrument) = rules.profiles[unit.profile], run.netcdf
-        masks = store.spark.read.parquet(f"{store.path}/_empty/qc_flags", *([p] if store.files.exists(p := f"{ready.path}/qc_flags") else []))
-        flagged = observations.join(masks.select(*keys, "variable", "qc_bits"), [*keys, "variable"], "left").withColumn("qc_bits", F.coalesce("qc_bits", F.lit(0)))
-        span = level1.coverage(observations).first() if marker["rows_processed"] else None
-        name = level1.file_name(site, instrument, dict(unit.filters)["vsn"], period)
-        said = level1.attributes(rules, profile, period, (span.first_second, span.end_second) if span else None)
-        with tempfile.TemporaryDirectory() as folder:
-            level1.write_netcdf(flagged, level1.variable_codes(profile), said, f"{folder}/{name}")
-            store.files.put(f"{folder}/{name}", f"{ready.path}/netcdf/{name}")
-        marker = marker | {"netcdf": name}
+        if store.files.exists(f"{stage}/{name}/period={period.bounds[0]}"):
+            store.files.rename(f"{stage}/{name}/period={period.bounds[0]}", f"{ready.path}/{name}")
+    if file:
+        store.files.put(file, f"{ready.path}/netcdf/{Path(file).name}", move=True)
+        marker = marker | {"netcdf": Path(file).name}
     ready.publish(marker)
 
 

@@ -21,7 +21,7 @@ from tsforge.operators import catalog, ingest, inventory, ranges, store
 from tsforge.operators.selection import Selection
 from tsforge.plans import backup, export, level1, qc, runner
 from tsforge.plans.qc_config import Rules, Run
-from tsforge.sources import line_protocol, tables, tsm
+from tsforge.sources import cdf, line_protocol, tables, tsm
 
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -770,7 +770,7 @@ _LOW, _HIGH = times.to_ns(datetime(2024, 1, 5, 7, tzinfo=UTC)), times.to_ns(date
     max(time_ns) AS last_ns, sum(amount)::BIGINT AS amount FROM st WHERE time_ns >= {_LOW} AND time_ns < {_HIGH} AND {_IS_STORED_WANTED} GROUP BY ALL""", _STORED))
 def shard_scan(spark, sf_dir):
     """Storage files written from events and scanned: a range and a selection prune blocks by their footers."""
-    folder = backup.shared(spark)
+    folder = store.mounted(spark, "shards")
     tsm.write(stored_points(spark, sf_dir), folder, 8)
     return _amounts(tsm.scan(spark, folder, _LOW, _HIGH, _STORED_WANTED.takes))
 
@@ -779,7 +779,7 @@ def shard_scan(spark, sf_dir):
     GROUP BY measurement, sensor, vsn, zone, stored_field, stored_type""", _STORED))
 def shard_index(spark, sf_dir):
     """The series of storage files, from footers alone, and rolled up without the tag that is no part of a series."""
-    folder = backup.shared(spark)
+    folder = store.mounted(spark, "shards")
     tsm.write(stored_points(spark, sf_dir), folder, 8)
     found = tsm.series_index(tsm.index(spark, folder))
     tags = [F.try_element_at("tags", F.lit(k)).alias(k) for k in SERIES[1:]]
@@ -807,8 +807,26 @@ def _backup(spark, sf_dir, folder):
     WHERE value IS NOT NULL AND NOT isnan(value) AND day >= '2024-01-03' AND day < '2024-01-20' AND {_IS_WANTED} GROUP BY ALL""", _NODES))
 def backup_export(spark, sf_dir):
     """The archives of a backup exported as one job, and again without reading an archive; what the manifests say."""
-    folder, root = backup.shared(spark), store.scratch(spark, "export")
+    folder, root = store.mounted(spark, "shards"), store.scratch(spark, "export")
     made = _backup(spark, sf_dir, folder)
     for _ in range(2):
         backup.export_backup(spark, made, root, date(2024, 1, 3), date(2024, 1, 20), selection=_WANTED)
     return export.manifests(spark, root).select("sensor", "vsn", "instrument_id", "date", "row_count", "minimum_time", "maximum_time", "status")
+
+
+# ---------------------------------------------------------------- level-1 files
+
+
+@query(sql("SELECT day, variable, coalesce(bits, 0)::VARCHAR AS qc_bits, count(*) AS n, sum(CASE WHEN v IS NULL THEN 1 ELSE 0 END)::BIGINT AS missing, min(time_ns) AS first_ns, max(time_ns) AS last_ns, sum(round(coalesce(v, 0) * 100)::BIGINT)::BIGINT AS hundredths, count(DISTINCT series_id) AS series FROM obs LEFT JOIN masks USING (time_ns, series_id, variable) GROUP BY ALL", _OBS, _CHECKS, _FIND, _MASKS))
+def level1_files(spark, sf_dir):
+    """A level-1 file for each day, written by many tasks at planned places, and read again by ranges of rows."""
+    rows = _flagged(spark, sf_dir).withColumn("series_id", F.unhex("series_id"))
+    folder = store.mounted(spark, "level1")
+    days = [r.day for r in rows.select("day").distinct().collect()]
+    paths = {day: f"{folder}/{day}.nc" for day in days}
+    level1.write_files(rows, "day", RULES, PROFILE, KEYS, paths, {day: {"title": f"events of {day}"} for day in days})
+    back = cdf.read(spark, list(paths.values()))
+    names = F.create_map(*[F.lit(x) for name, code in level1.variable_codes(PROFILE).items() for x in (code, name)])
+    v = F.when(~F.isnan("observed_value"), F.col("observed_value"))
+    keyed = back.select(F.regexp_extract("file", r"([^/]+)\.nc$", 1).alias("day"), F.element_at(names, F.col("variable")).alias("variable"), F.col("qc_bits").cast("string").alias("qc_bits"), "time_ns", "series_id", v.alias("v"))
+    return keyed.groupBy("day", "variable", "qc_bits").agg(F.count("*").alias("n"), F.count_if(F.col("v").isNull()).alias("missing"), F.min("time_ns").alias("first_ns"), F.max("time_ns").alias("last_ns"), F.sum(F.round(F.coalesce("v", F.lit(0.0)) * 100).cast("long")).alias("hundredths"), F.count_distinct("series_id").alias("series"))
