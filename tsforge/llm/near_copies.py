@@ -4,19 +4,24 @@ The near-dedup stage of the pipeline. Its rule is wider than the digest contract
 of op7: two texts link if the sets of their 5-word shingles have a Jaccard
 similarity of 0.8 or more. The method is op7's, with a fingerprint wide enough for
 that: at 0.8 about 15 % of a SimHash's bits differ, so of 64 bits no block worth
-dealing stays equal. ``WORDS`` words of 64 bits are cut in blocks of 16, each of which
-is a key. By pigeonhole, texts whose fingerprints differ in fewer bits than there
-are blocks share one; a pair at 0.8 shares none once in 160,000 times if the sets
-are large, once in 20,000 at the worst of small ones (12 and 15 shingles). The one
-size where more pairs would be lost, four shingles of a text with five, is looked
-up exactly.
-
-Of the texts that share a block, those within ``DISTANCE`` in the first two words
-meet, and so does what such links connect. A task of blocks returns what meets in
-any of them as stars, and a group is what the stars of all tasks connect: each text
-is in one group, however many blocks it shares. Only where more than ``LARGEST``
-texts are connected, the groups are those of each block, so that texts which
-share no block are not compared for being at two ends of a long chain.
+dealing stays equal. ``WORDS`` words of 64 bits are cut in keys; by pigeonhole, texts
+whose fingerprints differ in fewer bits than there are keys share one. A key has
+16 bits at least, and as many as it takes that no more than ``CHANCE`` texts have it by
+chance: two bits more for four times as many texts. Longer keys stay equal less
+often, so there are more of them (``Plan``: 160 of 16 bits, 19 % more for each bit), cut
+from the fingerprint in seeded orders of its bits. So a text meets at most
+``CHANCE`` others by chance at each of its keys, and what it costs grows with the
+fourth root of the corpus, not with the corpus. A pair at 0.8 shares no key once in
+160,000 times if the sets are large, once in 20,000 at the worst of small ones (12
+and 15 shingles). The one size where more pairs would be lost, four shingles of a
+text with five, is looked up exactly.
+
+Of the texts that share a key, those within ``DISTANCE`` in the first three words
+meet (by chance, one comparison in a thousand million), and so does what such links
+connect. A task of keys returns what meets at any of them as stars, and a group is
+what the stars of all tasks connect: each text is in one group, however many keys
+it shares. A group so large that its cells, below, would be more rows for a text than
+it has keys is compared key by key, where the same pairs meet that keys promise.
 
 A group of more than a chunk is compared with ``HUBS`` of its texts first, by true
 similarity; what agrees is one class. Pairs that remain are those of different
@@ -29,12 +34,14 @@ more bits than ``APART``, by calculation eight deviations above the mean at 0.8.
 
 Defined results: words are as in ``simhash``, ASCII letters in lower case; a
 null text counts as empty; texts without words are alike; fewer than five words
-are one shingle. Texts count as equal by 64 bits of their hash.
-An empty table gives an empty result.
+are one shingle. Texts are named by 64 bits of a hash; if two that differ ever had
+the same, that would be an error, never a silent drop. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
+import functools
+from dataclasses import dataclass
 from fractions import Fraction
 
 import numpy as np
@@ -49,22 +56,59 @@ from tsforge.llm.simhash import _LOWER, _link_batch, components
 SHINGLE = 5
 SIMILARITY = Fraction(4, 5)
 SEED = 42
-#: Words of 64 bits of a fingerprint, each of four blocks of 16 bits.
-WORDS = 40
-#: Bits of the first two words that near copies may differ in: at 0.8 that is 20 bits on average, and by calculation one pair in 150,000 at the worst size has more.
-DISTANCE = 40
+#: Words of 64 bits of a fingerprint, and the first ones that are compared where texts share a key.
+WORDS, COMPARED = 40, 3
+#: Bits of a key at least, the share of them that stays equal at 0.8 (at the worst size), and texts that may share a key by chance.
+BITS, SAME, CHANCE = 16, 0.84, 32
+#: Bits of the compared words that near copies may differ in: at 0.8 that is 31 bits at most on average, and by calculation one pair in 400,000 at the worst size has more.
+DISTANCE = 54
 #: Bits of a whole fingerprint that similar texts may differ in: at 0.8 that is 410 bits at most on average, with a deviation of 19 (but for four shingles of five, which are looked up).
 APART = 560
-#: Rows of blocks for one task, and texts of a block up to which all pairs are taken at once.
+#: Rows of keys for one task, and texts of a key up to which all pairs are taken at once.
 DEALT, SMALL = 1 << 20, 64
-#: Texts of one group in a chunk, hubs of a group that has more, texts in a group over all blocks.
-CHUNK, HUBS, LARGEST = 512, 8, 1 << 14
+#: Texts of one group in a chunk, hubs of a group that has more.
+CHUNK, HUBS = 512, 8
 
 _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, WORDS, dtype=np.uint64) << np.uint64(1) | np.uint64(1)
 #: Shingles that are added up before bits are unpacked, and rows of them in a step.
 _ADDED, _STEP = 15, 85
-#: A text at one of its blocks: the block with its number, the text, the words that are compared.
-_AT = np.dtype([("key", "<u4"), ("mark", "<i8"), ("first", "<u8"), ("second", "<u8")])
+#: A text at one of its keys: the key's hash (among those of a task), the text, the words that are compared.
+_AT = np.dtype([("key", "<u4"), ("mark", "<i8"), ("words", "<u8", (COMPARED,))])
+_MIX = np.uint64(0x9E3779B97F4A7C15)
+
+
+@dataclass(frozen=True)
+class Plan:
+    """The keys of so many texts: bits of each, and how many."""
+
+    bits: int
+    keys: int
+
+    @classmethod
+    def of(cls, texts: int) -> Plan:
+        bits = max(BITS, (max(texts, 1) // CHANCE).bit_length())
+        return cls(bits, round(64 * WORDS // 16 * SAME ** (16 - bits)))
+
+    @functools.cached_property
+    def places(self) -> np.ndarray:
+        """The bits of each key: the fingerprint cut as it is, then again and again in other orders."""
+        width, rng, cuts = 64 * WORDS, np.random.default_rng(SEED), []
+        each = width // self.bits
+        while sum(map(len, cuts)) < self.keys:
+            order = rng.permutation(width) if cuts else np.arange(width)
+            cuts.append(order[: each * self.bits].reshape(each, self.bits))
+        return np.concatenate(cuts)[: self.keys]
+
+    def of_words(self, words: np.ndarray) -> np.ndarray:
+        """The keys of fingerprints (a row each), mixed with their numbers."""
+        bits = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")
+        found = np.zeros((len(words), self.keys), np.uint64)
+        for column in self.places.T:
+            found <<= np.uint64(1)
+            found |= bits[:, column]
+        found ^= np.arange(self.keys, dtype=np.uint64) << np.uint64(48)
+        found = (found ^ found >> np.uint64(31)) * _MIX
+        return found ^ found >> np.uint64(29)
 
 
 def shingles(text: bytes, size: int = SHINGLE) -> np.ndarray:
@@ -126,34 +170,33 @@ def _keys(batches):
         found = [np.concatenate([fingerprint(s), _sums(s)]).view(np.int64) for s in sets]
         offsets = np.cumsum([0, *map(len, found)], dtype=np.int32)
         flat = np.concatenate(found) if found else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("mark"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "mark", "keys"])
+        own = [batch.column(c) for c in ("doc_id", "mark", "digest")]
+        yield pa.RecordBatch.from_arrays([*own, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["doc_id", "mark", "digest", "keys"])
 
 
-def _blocks(batches, n: int):
-    """The rows of texts' blocks for each of ``n`` tasks, as bytes."""
+def _blocks(batches, n: int, plan: Plan):
+    """The rows of texts' keys for each of ``n`` tasks, as bytes."""
     for batch in batches:
-        marks, words = batch.column("mark").to_numpy(), batch.column("keys").to_pylist()
-        words = [np.array(w[:WORDS], np.int64).view("<u2") for w in words]
-        if not words:
-            continue
-        of = np.repeat(np.arange(len(words)), [len(w) for w in words])
-        rows = np.zeros(len(of), _AT)
-        rows["key"] = np.concatenate([np.arange(len(w), dtype=np.uint32) << 16 | w for w in words])
-        rows["mark"] = marks[of]
-        compared = np.zeros((len(words), 8), "<u2")
-        for i, w in enumerate(words):
-            compared[i, : len(w[:8])] = w[:8]
-        rows["first"], rows["second"] = compared.view("<u8")[of].T
-        task = (rows["key"] * np.uint32(0x9E3779B1) >> np.uint32(8)) % np.uint32(n)
-        order = np.argsort(task, kind="stable")
-        task, rows = task[order], rows[order]
-        cuts = np.r_[0, np.flatnonzero(task[1:] != task[:-1]) + 1, len(task)].tolist()
-        yield pa.RecordBatch.from_arrays([pa.array(task[cuts[:-1]].astype(np.int32)), pa.array([rows[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], names=["task", "rows"])
+        for at in range(0, batch.num_rows, 128):
+            some = batch.slice(at, 128)
+            words = np.zeros((some.num_rows, WORDS), np.uint64)
+            for i, w in enumerate(some.column("keys").to_pylist()):
+                words[i, : len(w[:WORDS])] = np.array(w[:WORDS], np.int64).view(np.uint64)
+            keys = plan.of_words(words)
+            rows = np.zeros(keys.shape, _AT)
+            rows["key"] = keys & np.uint64(0xFFFFFFFF)
+            rows["mark"] = some.column("mark").to_numpy()[:, None]
+            rows["words"] = words[:, None, :COMPARED]
+            task = ((keys >> np.uint64(32)) % np.uint64(n)).astype(np.int64).ravel()
+            order = np.argsort(task, kind="stable")
+            task, rows = task[order], rows.ravel()[order]
+            cuts = np.r_[0, np.flatnonzero(task[1:] != task[:-1]) + 1, len(task)].tolist()
+            yield pa.RecordBatch.from_arrays([pa.array(task[cuts[:-1]].astype(np.int32)), pa.array([rows[a:b].tobytes() for a, b in zip(cuts, cuts[1:])], pa.binary())], names=["task", "rows"])
 
 
 def _apart(rows: np.ndarray, others: np.ndarray) -> np.ndarray:
     """Bits of the compared words that differ."""
-    return np.bitwise_count(rows["first"] ^ others["first"]) + np.bitwise_count(rows["second"] ^ others["second"])
+    return np.bitwise_count(rows["words"] ^ others["words"]).sum(axis=-1, dtype=np.int64)
 
 
 def _small_groups(rows: np.ndarray, at: np.ndarray) -> list[list[int]]:
@@ -299,37 +342,43 @@ def _across(rows):
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("mark"), text_of().alias("text"))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_of()).alias("mark"), F.unhex(F.sha2(text_of(), 256)).alias("digest"), text_of().alias("text"))
 
 
 def _dealt(rows: DataFrame, *order: str) -> DataFrame:
     return rows.repartition(partitions(rows.sparkSession), "group", "part").sortWithinPartitions("group", "part", *order)
 
 
-def _members(distinct: DataFrame) -> DataFrame:
+def _patience(plan: Plan, chunk: int) -> int:
+    """Texts of a group from which its cells would be more rows for a text than it has keys."""
+    return chunk * plan.keys
+
+
+def _members(distinct: DataFrame, chunk: int) -> DataFrame:
     """Groups: a key for its texts, how many there are, and each."""
-    spark = distinct.sparkSession
-    # as few tasks as their memory allows: a task's stars have a text once for all its blocks
-    n = max(1, -(-distinct.count() * 4 * WORDS // DEALT))
+    texts = distinct.count()
+    plan = Plan.of(texts)
+    # as few tasks as their memory allows: a task's stars have a text once for all its keys
+    n, most = max(1, -(-texts * plan.keys // DEALT)), _patience(plan, chunk)
 
     def met(texts, function, schema):
-        return deal_exactly(texts.mapInArrow(lambda it: _blocks(it, n), "task int, rows binary"), F.col("task"), n).mapInArrow(function, schema)
+        return deal_exactly(texts.mapInArrow(lambda it: _blocks(it, n, plan), "task int, rows binary"), F.col("task"), n).mapInArrow(function, schema)
 
     connected = written(components(met(distinct, _stars, "u long, v long")), "connected")
     sizes = written(connected.groupBy("root").agg(F.count("*").alias("m")), "sizes")
     members = connected.join(sent_if_small(sizes), "root").select(F.col("root").alias("key"), "m", F.col("node").alias("mark"))
-    if not sizes.filter(F.col("m") > LARGEST).head(1):
+    if not sizes.filter(F.col("m") > most).head(1):
         return written(members, "members")
-    chained = written(members.filter(F.col("m") > LARGEST).select("mark"), "chained")
-    by_block = met(distinct.join(sent_if_small(chained), "mark"), _groups, "key long, hub long, m long, mark long")
-    return written(members.filter(F.col("m") <= LARGEST).unionByName(by_block.select("key", "m", "mark").distinct()), "members")
+    chained = written(members.filter(F.col("m") > most).select("mark"), "chained")
+    by_key = met(distinct.join(sent_if_small(chained), "mark"), _groups, "key long, hub long, m long, mark long")
+    return written(members.filter(F.col("m") <= most).unionByName(by_key.select("key", "m", "mark").distinct()), "members")
 
 
 def links(docs: DataFrame, distinct: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """Links (u, v) between marks of texts that span what is similar; ``distinct`` has each mark with its fingerprint."""
     spark = docs.sparkSession
     distinct = written(distinct, "fingerprints")
-    members = _members(distinct)
+    members = _members(distinct, chunk)
     sums = distinct.select("mark", F.size("keys").alias("n"), F.explode(F.expr(f"slice(keys, {WORDS + 1}, 5)")).alias("sum"))
     fours = sums.filter(f"n = {WORDS + 1}").groupBy("sum").agg(F.min("mark").alias("group"))
     fives = written(sums.filter(f"n = {WORDS + 5}").join(fours, "sum").select("group", "mark").distinct(), "of-four-shingles")
@@ -372,8 +421,9 @@ def representatives(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     Rows without a doc_id can't be told apart and stay.
     """
     small_batches(docs.sparkSession)
-    found = written(_marked(docs).mapInArrow(_keys, "doc_id long, mark long, keys array<long>"), "keys")
-    distinct = found.groupBy("mark").agg(F.first("keys").alias("keys"))
+    found = written(_marked(docs).mapInArrow(_keys, "doc_id long, mark long, digest binary, keys array<long>"), "keys")
+    same = F.when(F.min("digest") == F.max("digest"), F.first("keys")).otherwise(F.raise_error(F.lit("two texts share a hash of 64 bits")))
+    distinct = found.groupBy("mark").agg(same.alias("keys"))
     roots = written(components(links(docs, distinct, chunk)), "components")
     named = found.select("doc_id", "mark").join(sent_if_small(roots.withColumnRenamed("node", "mark")), "mark", "left").withColumn("root", F.coalesce("root", "mark"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")).filter("n > 1")
