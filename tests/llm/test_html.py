@@ -45,6 +45,56 @@ def test_names_alone_lose_no_article(start, end):
     assert main_text(f"<nav>{MENU}</nav>{start}<h1>Title</h1>{BODY}{end}<div class='cookie-notice'>Cookies, we use.</div><div class='comments'><p>Nice, really, well, done.</p></div>") == WANT
 
 
+LONG = "".join(f"<p>Paragraph {i} of the article, which goes on, with commas, for as long as a paragraph of an article does.</p>" for i in range(3))
+THREE = [f"Paragraph {i} of the article, which goes on, with commas, for as long as a paragraph of an article does." for i in range(3)]
+
+
+@pytest.mark.parametrize(
+    "start,end",
+    [
+        ('<section id="discussion"><h2>X</h2>', "</section>"), ('<h2 id="discussion">', "</h2>"), ('<section id="discussion-and-conclusion"><h2>X</h2>', "</section>"), ('<h2 id="comments-by-darwin">', "</h2>"),
+        ('<h2 id="comments">', "</h2>"), ('<h2 id="navigation">', "</h2>"), ('<h2 id="notices">', "</h2>"), ('<section id="legal">', "</section>"), ('<section id="side-effects">', "</section>"),
+        ('<section id="related-work"><h2>X</h2>', "</section>"), ('<p>So <math><mi>', "</mi></math></p>"), ('<div id="social-history"><h3>X</h3>', "</div>"), ('<section class="alert-systems">', "</section>"),
+    ],
+)
+@pytest.mark.parametrize("wrap", ["article", "main", "div"])
+def test_names_of_sections_and_headings_lose_nothing(start, end, wrap):
+    if wrap == "div" and ("section" in start or "div" in start) and "discussion" not in start:
+        pytest.skip("outside a marked article names weigh more")
+    text = main_text(f"<nav>{MENU}</nav><{wrap}>{LONG}{start}Here is more of it, all told.{end}</{wrap}><div class='comments'><p>Nice, really, well, done.</p></div>")
+    assert text.startswith("\n".join(THREE)) and "Here is more of it, all told." in text and ("X" in text) == (">X<" in start) and "Nice" not in text
+
+
+@pytest.mark.parametrize(
+    "piece",
+    [
+        '<div class="ad">Buy it, now, here.</div>', '<div class="ad-slot"><p>Buy it, now, here.</p></div>', '<div class="cookie-bar"><p>We use cookies, many.</p></div>', '<div class="related"><a href=1>Other one</a> <a href=2>Another</a></div>',
+        '<section id="discussion"><div class="reply">Nice, really, well, done, all of it, as ever.</div></section>', '<section class="comment-list"><p>Nice, really, well done.</p></section>', '<div id="disqus_thread">Nice, really.</div>',
+        '<div class="legal"><input name=q> Search it all.</div>', '<div class="share-buttons">Share it, now.</div>', '<div class="newsletter"><p>Subscribe, please, to our letter.</p></div>', '<div class="notice">Note</div>',
+        '<form><p>Your name, please, and your letter, too.</p><input><textarea>x</textarea></form>', '<ol class="comments"><li>One, two.</li><li>Three.</li></ol>',
+    ],
+)
+def test_what_is_no_part_of_an_article_goes(piece):
+    assert main_text(f"<article>{LONG}{piece}</article>") == "\n".join(THREE)
+
+
+def test_a_form_around_the_page_is_a_wrapper():
+    want = "\n".join(THREE)
+    assert want in main_text(f'<form id="aspnetForm"><input type=hidden><nav>{MENU}</nav><div>{LONG}</div><input name=q></form><p>Powered by it, with love.</p>')
+    assert main_text(f'<form id="aspnetForm"><article>{LONG}</article></form><p>{"Powered by it, with love, and more. " * 40}</p>').startswith(want)
+
+
+def test_all_articles_of_one_main_element():
+    more = "<p>Another article, of some length, that the page has as well, under the same main element.</p>"
+    page = f"<main><article>{LONG}</article><article>{more}</article><div><p>And prose, beside both, that belongs to it.</p></div><ul><li><a href=1>a</a></li><li><a href=2>b</a></li><li><a href=3>c</a></li></ul></main>"
+    assert main_text(page) == "\n".join([*THREE, re.sub("<[^>]*>", "", more), "And prose, beside both, that belongs to it."])
+
+
+def test_sources_without_a_marked_article():
+    listed = "<ul><li><a href=1>One</a></li><li><a href=2>Two</a></li><li><a href=3>Three</a></li></ul>"
+    assert main_text(f"<div>{LONG}<h2>References</h2>{listed}</div>{listed}") == "\n".join([*THREE, "References", "One", "Two", "Three"])
+
+
 def test_comments_never_outweigh_the_article():
     many = "<article class='comment-body'><p>Well, said, I agree, with all of this, as often before, and at length.</p></article>" * 30
     assert main_text(f"<article><h1>Title</h1>{BODY}</article><div id='comments'>{many}</div>") == WANT

@@ -7,19 +7,27 @@ cut in blocks at block elements.
 
 Each block is a paragraph that has points: for being there, for its commas, and
 for its length, discounted by the share of its characters that are links. Names
-of classes and ids are evidence only. A whole name such as "sidebar" drops its
-subtree, unless the marked article is in it with most of the points; a part of a
-name ("cookie-notice", "ad-slot") does unless most points of the page are there;
-parts that say how a page looks ("has-sidebar", "category-legal") say nothing.
-Comments of readers never count as the page's points.
+of classes and ids are evidence only, and say nothing of a heading. Outside a
+marked article, a whole name such as "sidebar" drops its subtree, unless the
+article is in it with most of the points; a part of a name ("cookie-notice",
+"ad-slot") does unless most points of the page are there; parts that say how a
+page looks ("has-sidebar", "category-legal") say nothing. Inside a marked article
+only names that mean nothing else do ("ad", "cookie-bar"); others ("legal",
+"related-work", "side-effects") leave it to what the element holds: links or
+fields of a form, or neither a heading nor prose. Comments of readers are named
+so by words that go together ("comment-list"; not "comments-by-darwin"), never
+count as the page's points, and a "discussion" is one only if replies, authors
+or fields are in it. A form counts as one by its points: around most of the page,
+or around the article, it is a mere wrapper.
 
 A block passes its points to the element that holds it, and fewer to each
 ancestor. An element's score is discounted once more by the link density of its
-whole subtree. The best element, or the article or main element around it, is
-the container; siblings of it that score well, or hold prose with few links, are
-kept as well. All blocks of the kept subtrees are returned in page order. Lists
-of links are left out where no element marks the article; in a marked one they
-are part of it. All steps are linear in the page.
+whole subtree. The best element, or the main or else the article element around
+it, is the container, so all articles and prose of one main element belong to it;
+siblings of it that score well, or hold prose with few links, are kept as well.
+All blocks of the kept subtrees are returned in page order. Lists of links are
+left out where no article is around them, unless a heading calls them sources or
+the like; in an article they are part of it. All steps are linear in the page.
 
 Defined results: a null page counts as empty; a page without text gives an empty
 text; repeated rows each get a row; null ids and urls stay null; broken markup,
@@ -42,7 +50,7 @@ from tsforge.llm.common import small_batches
 # Elements of HTML by their role here, and words of class and id names.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style noscript template iframe textarea xmp noembed noframes title".split())
-DROPPED = frozenset("head nav footer aside button select option dialog menu svg math object canvas audio video map datalist progress meter".split()) | RAW
+DROPPED = frozenset("head nav footer aside button select option dialog menu svg object canvas audio video map datalist progress meter".split()) | RAW
 BLOCKS = frozenset(
     "address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
     "head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split()
@@ -68,7 +76,15 @@ LIKELY = frozenset("article post entry content main story text body".split())
 OWN_PARTS = frozenset("header tags side banner".split())
 #: First parts of names that say how a page looks or is filed.
 STATES = frozenset("has no not with without is hide show category tag type format status".split())
-READERS = frozenset("comment comments respond replies disqus discussion".split())
+READERS = frozenset("comment comments respond replies disqus".split())
+TALK = frozenset("discussion discussions reply thread".split())
+#: Words that go with those of readers' comments, and words that an article's own parts never have for a name.
+WITH_READERS = frozenset("area author avatar block body box container content count counter entry facebook fb feed form group header footer inner item label layout link links list main meta module number page panel post reply respond section single story tab thread threads title tree user view widget wp wrap wrapper article".split())
+ALIEN = frozenset("ad ads adv advert adverts advertisement advertisements advertising adsense sponsor sponsored sponsors promo promos cookie cookies consent gdpr newsletter popup modal outbrain taboola sidebar share sharing pagination pager breadcrumb breadcrumbs navbar hidden offscreen".split())
+WITH_ALIEN = frozenset("area bar block bottom box button buttons container content holder image inline inner item left link links list module notice panel policy right row section signup slot tools top unit wrap wrapper post article entry".split())
+#: Names of what only readers' comments hold.
+SIGNS = frozenset("avatar gravatar reply replies permalink commenter upvote downvote".split())
+FIELDS = frozenset("input select textarea button".split())
 ROLES = frozenset("navigation banner contentinfo complementary search alert alertdialog dialog menu menubar toolbar".split())
 MARKED = {"article": 2, "main": 1}
 ENDS = tuple(".!?…:;\"'”’»)。！？")
@@ -78,11 +94,17 @@ _ATTRIBUTE = re.compile(r"""(class|id|role|hidden|style|aria-hidden)(?:\s*=\s*(?
 _PARTS = re.compile(r"[a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _COMMA = re.compile("[,،、，;；]")
+_SOURCES = re.compile(r"(?:sources?|references?|bibliography|(?:foot)?notes?|literature|citations?|works cited|further reading|see also|(?:external |web)?links|credits)\W*", re.I)
 _CLOSE = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 
 
-#: What names say of an element: nothing, a part of one is unlikely, a whole one is, its readers speak there; or it is no text at all.
-NOTHING, PART, WHOLE, COMMENTS, NEVER = range(5)
+#: What names say of an element: nothing; that it depends on what it holds; a part of one is unlikely, a whole one is; readers may speak there, or do; or it is no text at all.
+NOTHING, HELD, PART, WHOLE, TALKED, COMMENTS, NEVER = range(7)
+
+
+def _within(words: frozenset, parts: list[str], others: frozenset) -> bool:
+    """Whether the first or last part is one of the words, and all others go with them."""
+    return (parts[0] in words or parts[-1] in words) and all(p in words or p in others or p.isdigit() for p in parts)
 
 
 def _named(names: str, in_article: bool) -> int:
@@ -92,32 +114,42 @@ def _named(names: str, in_article: bool) -> int:
         if not parts or len(parts) > 1 and parts[0] in STATES:
             continue
         first, last = parts[0], parts[-1]
-        if first in READERS or last in READERS:
+        if _within(READERS, parts, WITH_READERS):
             return COMMENTS
-        if len(parts) == 1:
+        if _within(TALK, parts, WITH_READERS):
+            found = max(found, TALKED)
+        elif in_article:
+            if _within(ALIEN, parts, WITH_ALIEN):
+                found = max(found, WHOLE if len(parts) == 1 else PART)
+            elif (first in UNLIKELY or last in UNLIKELY) and not (first in LIKELY and last in OWN_PARTS):
+                found = max(found, HELD)
+        elif first in READERS or last in READERS or first in TALK or last in TALK:
+            continue
+        elif len(parts) == 1:
             found = max(found, WHOLE * (first in UNLIKELY))
-        elif (first in UNLIKELY or last in UNLIKELY) and not (in_article and first in LIKELY and last in OWN_PARTS):
+        elif first in UNLIKELY or last in UNLIKELY:
             found = max(found, PART)
     return found
 
 
-def _evidence(tag: str, attributes: str, in_article: bool) -> tuple[int, int]:
-    """What speaks against an element, and whether it marks the article (2) or the main part (1)."""
-    marked = MARKED.get(tag, 0)
+def _evidence(tag: str, attributes: str, in_article: bool) -> tuple[int, int, bool]:
+    """What speaks against an element, whether it marks the article (2) or the main part (1), and whether it is a sign of readers."""
+    marked, sign = MARKED.get(tag, 0), False
     if tag in DROPPED or tag == "header" and not in_article:
-        return NEVER, 0
-    found = WHOLE if tag == "form" else NOTHING
+        return NEVER, 0, False
+    found = NOTHING
     if not attributes or tag in ("html", "body"):
-        return found, marked
+        return found, marked, False
     for name, *values in _ATTRIBUTE.findall(attributes):
         name, value = name.lower(), "".join(values).lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and _HIDDEN.search(value) or name == "role" and value in ROLES:
-            return NEVER, 0
+            return NEVER, 0, False
         if name == "role":
             marked = max(marked, MARKED.get(value, 0))
         if name in ("class", "id"):
-            found = max(found, _named(value, in_article))
-    return (found if found == COMMENTS or not marked else NOTHING), marked
+            found = max(found, _named(value, in_article) if tag not in HEADINGS else NOTHING)
+            sign = sign or any(p in SIGNS for p in _PARTS.findall(value))
+    return (found if found == COMMENTS or not marked else NOTHING), marked, sign or found == COMMENTS
 
 
 class _Page:
@@ -128,6 +160,8 @@ class _Page:
         self.against, self.marks = [NOTHING], [0]
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters in links
         self.links: list[int] = [0]  # links in each node itself
+        self.fields: list[int] = [0]  # fields of forms, likewise
+        self.signs: list[bool] = [False]
         self._open, self._dropped, self._articles, self._anchors = [0], 0, 0, 0
         self._holders, self._count = [0], Counter()  # open block elements; open elements by name
         self._text: list[str] = []
@@ -187,6 +221,8 @@ class _Page:
             self._flush()
         if tag == "br" or tag == "hr":
             self._say(" ")
+        if tag in FIELDS and "hidden" not in attributes:
+            self.fields[self._open[-1]] += 1
         if tag in VOID:
             return
         if tag == "a" and (depth := self._find({"a"}, BLOCKS)):
@@ -196,14 +232,16 @@ class _Page:
         self.parents.append(self._open[-1])
         self.ends.append(0)
         self.links.append(0)
+        self.fields.append(0)
         if tag == "a":
             self.links[self._open[-1]] += 1
         self._open.append(node)
         self._count[tag] += 1
         if tag in BLOCKS:
             self._holders.append(node)
-        against, marked = _evidence(tag, attributes, self._articles > 0)
+        against, marked, sign = _evidence(tag, attributes, self._articles > 0)
         self.against.append(against)
+        self.signs.append(sign)
         self.marks.append(marked)
         if against == NEVER and not self._dropped:
             self._dropped = node
@@ -265,29 +303,52 @@ def _points(page: _Page, blocks) -> list[float]:
 
 
 def _dead(page: _Page) -> list[bool]:
-    """The nodes that names speak against, when points are asked, and all within them."""
-    n, against, parents = len(page.tags), page.against, page.parents
-    if not any(against):
+    """The nodes that names speak against, when points and what they hold are asked, and all within them."""
+    n, tags, against, parents = len(page.tags), page.tags, page.against, page.parents
+    if not any(against) and "form" not in tags:
         return [False] * n
-    readers = _down([a == COMMENTS for a in against], parents)
-    own = [0.0] * n
-    for (node, _, _), gain in zip(page.blocks, _points(page, page.blocks)):
+    fields, signs = _up(page.fields, parents), _up([int(x) for x in page.signs], parents)
+    talk = [a == COMMENTS or a == TALKED and (signs[i] > 0 or fields[i] > 0) for i, a in enumerate(against)]
+    readers = _down(talk, parents)
+    own, sizes, linked, prose = [0.0] * n, [0] * n, [0] * n, [0] * n
+    for (node, text, link), gain in zip(page.blocks, _points(page, page.blocks)):
         own[node] += gain * (not readers[node])
+        sizes[node] += len(text)
+        linked[node] += link
+        prose[node] += tags[node] in HEADINGS or (tags[node] in ("p", "pre", "blockquote") or text.endswith(ENDS)) and text.count(" ") > 1
     points, marked = _up(own, parents), _up([int(m > 0) for m in page.marks], parents)
-    unlikely = _down([a >= PART for a in against], parents)
+    sizes, linked, prose = (_up(x, parents) for x in (sizes, linked, prose))
+    unlikely = _down([PART <= a <= COMMENTS for a in against], parents)
     rest = sum(p for p, u in zip(own, unlikely) if not u)
     dead = [False] * n
     for i in range(1, n):
         most = 2 * points[i] > points[0]
-        if dead[parents[i]] or against[i] == COMMENTS:
+        if dead[parents[i]] or talk[i]:
             dead[i] = dead[parents[i]] or points[0] > 0
+        elif tags[i] == "form":
+            dead[i] = not most and not marked[i]
         elif against[i] == WHOLE:
             dead[i] = not (most and (marked[i] or not rest))
         elif against[i] == PART:
             dead[i] = not most
+        elif against[i] == HELD:
+            dead[i] = not most and (3 * linked[i] >= sizes[i] or fields[i] > 0 or not prose[i])
     return dead
 
 
+def _called_sources(page: _Page, blocks) -> set[int]:
+    """The elements that follow a heading such as "Sources" (where the next block begins, up to what holds the heading)."""
+    out, heading = set(), None
+    for node, text, _ in blocks:
+        if heading is not None:
+            i, last = node, page.parents[heading]
+            while i > last:
+                out.add(i)
+                i = page.parents[i]
+        heading = node if page.tags[node] in HEADINGS and _SOURCES.fullmatch(text) else None
+    return out
+
+
 def main_text(html: str) -> str:
     """The main text of a page, its blocks joined by newlines."""
     page = _Page(html)
@@ -312,8 +373,8 @@ def main_text(html: str) -> str:
     scores = [p * (1 - d) for p, d in zip(points, density)]
     best = max(range(n), key=lambda i: (scores[i], -i))
     container, i = best, best
-    while i:  # the outermost article, or else main, around it
-        if marks[i] == 2 or marks[i] == 1 and marks[container] != 2:
+    while i:  # the outermost main, or else article, around it
+        if marks[i] == 1 or marks[i] == 2 and marks[container] != 1:
             container = i
         i = parents[i]
     least, loose = max(2.0, 0.2 * scores[best]), parents[container]
@@ -329,8 +390,10 @@ def main_text(html: str) -> str:
                 kept[i] = True
     kept = _down(kept, parents)
     menus = [False] * n
-    if not marks[container]:
-        menus = _down([tags[i] in ("ul", "ol", "dl", "div", "table", "p") and links[i] >= 3 and density[i] >= 0.8 for i in range(n)], parents)
+    if marks[container] != 2:
+        inside = _down([m == 2 for m in marks], parents)
+        called = _called_sources(page, blocks)
+        menus = _down([tags[i] in ("ul", "ol", "dl", "div", "table", "p") and links[i] >= 3 and density[i] >= 0.8 and not inside[i] and i not in called for i in range(n)], parents)
     beside = lambda node, text, link: container and node == loose and tags[loose] != "#" and 4 * link < len(text)
     return "\n".join(text for node, text, link in blocks if (kept[node] or beside(node, text, link)) and not menus[node])
 
