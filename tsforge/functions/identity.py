@@ -7,6 +7,7 @@ JSON with spaced separators. Both must stay as they are to the bit.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 import re
@@ -96,17 +97,18 @@ class Registry:
     def from_document(cls, document: dict, required: bool = False) -> Registry:
         if set(document) - {"rules"} or not isinstance(document.get("rules"), list):
             raise ValueError("a registry holds a list of rules")
-        rules = []
+        rules, ids = [], set()
         for item in document["rules"]:
             if isinstance(item, dict) and set(item) - {"instrument_id", "match"}:
                 raise ValueError(f"a rule with unknown keys: {sorted(set(item) - {'instrument_id', 'match'})}")
             match = item.get("match") if isinstance(item, dict) else None
             if not isinstance(match, dict) or not match or not item.get("instrument_id"):
                 raise ValueError("a rule needs instrument_id and match")
-            if any(r.instrument_id == item["instrument_id"] for r in rules):
+            if item["instrument_id"] in ids:
                 raise ValueError("two rules give one instrument_id")
             if DROPPED_TAG in match:
                 raise ValueError(f"the tag {DROPPED_TAG!r} is no part of an identity")
+            ids.add(item["instrument_id"])
             rules.append(Rule(str(item["instrument_id"]), tuple(sorted((str(k), str(v)) for k, v in match.items()))))
         return cls(tuple(rules), required)
 
@@ -116,9 +118,18 @@ class Registry:
         said = [{"instrument_id": r.instrument_id, "match": dict(r.match)} for r in self.rules]
         return hashlib.sha256(json.dumps(said, separators=(",", ":"), sort_keys=True).encode()).hexdigest()
 
+    @functools.cached_property
+    def _by_shape(self) -> dict[tuple[str, ...], dict[tuple[str, ...], int]]:
+        """For each set of tag names, the first rule of each of their values."""
+        shapes: dict[tuple[str, ...], dict[tuple[str, ...], int]] = {}
+        for number, rule in enumerate(self.rules):
+            shapes.setdefault(tuple(k for k, _ in rule.match), {}).setdefault(tuple(v for _, v in rule.match), number)
+        return shapes
+
     def find(self, tags: dict[str, str]) -> str | None:
-        """As ``lookup``, of one series."""
-        return next((r.instrument_id for r in self.rules if all(tags.get(k) == v for k, v in r.match)), None)
+        """As ``lookup``, of one series; its work grows with the sets of tag names, not with the rules."""
+        found = [n for shape, rules in self._by_shape.items() if (n := rules.get(tuple(tags.get(k) for k in shape))) is not None]
+        return self.rules[min(found)].instrument_id if found else None
 
     def lookup(self, tags: Column) -> Column:
         """The id that the rules give, or null."""
@@ -131,8 +142,11 @@ class Registry:
         return found
 
 
-def instrument(measurement: Column, tags: Column, registry: Registry | None = None) -> Column:
-    """A struct: instrument_id, source, confidence, review_required, vsn, kind, zone, device."""
+def instrument(measurement: Column, tags: Column, registry: Registry | None = None, listed: Column | None = None) -> Column:
+    """A struct: instrument_id, source, confidence, review_required, vsn, kind, zone, device.
+
+    ``listed`` is what the registry gives, where that was looked up already (``operators.registry``).
+    """
     registry = registry or Registry()
     vsn = _tag(tags, "vsn")
     named = F.coalesce(*(_tag(tags, k) for k in KIND_TAGS))
@@ -148,7 +162,7 @@ def instrument(measurement: Column, tags: Column, registry: Registry | None = No
     text = F.concat(F.lit("{"), F.concat_ws(", ", pair("device", known_device), pair("kind", kind), pair("vsn", known_vsn), pair("zone", zone)), F.lit("}"))
     parts = F.concat_ws("--", slug(known_vsn, lower=False, default="unknown-vsn"), slug(kind), slug(zone), F.when(device.isNotNull(), slug(device)))
     fallback = F.concat(F.substring(parts, 1, 120), F.lit("--"), F.substring(F.sha2(text, 256), 1, 12))
-    listed = registry.lookup(tags)
+    listed = registry.lookup(tags) if listed is None else listed
     if registry.required:
         listed = F.coalesce(listed, F.raise_error(F.lit("an instrument is not in the registry")).cast("string"))
     confidence = (

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from tsforge.functions import times
 from tsforge.functions.identity import Registry, instrument, retained, with_series_id
+from tsforge.operators import many_selectors
+from tsforge.operators import registry as rules
 from tsforge.operators.selection import Selection
+from tsforge.operators.store import sent_if_small
 
 OUTPUT, UPPER, UNSELECTED, UNLISTED = "output", "upper_boundary", "filtered_selection", "filtered_instrument"
 NO_VSN, NO_SENSOR = "missing-vsn", "missing-sensor"
@@ -51,22 +54,30 @@ def identified(points: DataFrame, registry: Registry | None = None) -> DataFrame
     none_if_empty = lambda k: F.nullif(F.try_element_at(F.col("tags"), F.lit(k)), F.lit(""))
     key = F.to_json(F.array_sort(F.map_entries("tags")))
     keyed = points.withColumn("_series", F.concat_ws("\x1f", "measurement", key))
-    series = keyed.groupBy("_series").agg(F.first("measurement").alias("measurement"), F.first("tags").alias("tags"))
-    named = with_series_id(series.withColumns({"vsn": none_if_empty("vsn"), "sensor": none_if_empty("sensor"), "instrument": instrument(F.col("measurement"), F.col("tags"), registry)}))
+    series = rules.with_listed(keyed.groupBy("_series").agg(F.first("measurement").alias("measurement"), F.first("tags").alias("tags")), registry, ["_series"])
+    named = with_series_id(series.withColumns({"vsn": none_if_empty("vsn"), "sensor": none_if_empty("sensor"), "instrument": instrument(F.col("measurement"), F.col("tags"), registry, F.col("_listed"))}).drop("_listed"))
     facts = named.select("_series", "series_id", "vsn", "sensor", F.col("instrument.instrument_id").alias("instrument_id"), F.col("instrument.source").alias("identity_source"))
     return keyed.withColumn("tags", retained(F.col("tags"))).join(facts, "_series").drop("_series")
 
 
 def classify(points: DataFrame, start_ns: int | None = None, end_ns: int | None = None, selection: Selection | None = None, allowed_ids: set[str] | DataFrame | None = None) -> DataFrame:
-    """Identified points with their ``disposition``; the list of instruments may be a table (instrument_id) of any length."""
+    """Identified points with their ``disposition``; the list of instruments may be a table (instrument_id) of any length.
+
+    A selection of many selectors is answered for distinct series, and its answers join the points; such tables are
+    broadcast up to a checked size.
+    """
+    columns = points.columns
     m, f, tags = F.col("measurement"), F.col("field"), F.col("tags")
-    wanted = (selection.matches(m, f, tags), selection.candidates(m, f)) if selection else (None, None)
+    wanted = (selection.matches(m, f, tags), selection.candidates(m, f)) if selection and len(selection.selectors) <= many_selectors.INLINE else (None, None)
+    if selection and wanted[0] is None:
+        points, wanted = many_selectors.answered(points, selection), (F.col("_takes"), F.col("_candidate"))
     if isinstance(allowed_ids, DataFrame):
         listed = allowed_ids.select("instrument_id").distinct().withColumn("_listed", F.lit(True))
-        joined = points.join(listed, "instrument_id", "left").select(*points.columns, "_listed")
-        return joined.withColumn("disposition", disposition(start_ns, end_ns, *wanted, F.col("_listed").isNotNull())).drop("_listed")
-    allowed = F.col("instrument_id").isin(sorted(allowed_ids)) if allowed_ids is not None else None
-    return points.withColumn("disposition", disposition(start_ns, end_ns, *wanted, allowed))
+        points = points.join(sent_if_small(listed), "instrument_id", "left")
+        allowed = F.col("_listed").isNotNull()
+    else:
+        allowed = F.col("instrument_id").isin(sorted(allowed_ids)) if allowed_ids is not None else None
+    return points.withColumn("disposition", disposition(start_ns, end_ns, *wanted, allowed)).select(*columns, "disposition")
 
 
 def facts_of(classified: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsforge.functions.identity import Registry, instrument
+from tsforge.operators import registry as rules
 from tsforge.operators.store import Files
 from tsforge.sources import tables
 
@@ -68,7 +69,8 @@ def entries(spark: SparkSession, root: str) -> DataFrame:
 def resolve(series: DataFrame, registry: Registry | None = None) -> DataFrame:
     """Rolled-up series (with ``tags`` as a map) with the identity of their instrument and what their tags say."""
     tag = lambda k: F.nullif(F.try_element_at("tags", F.lit(k)), F.lit(""))
-    named = series.withColumn("i", instrument(F.col("measurement"), F.col("tags"), registry))
+    listed = rules.with_listed(series.withColumn("_tags", F.to_json(F.array_sort(F.map_entries("tags")))), registry, ["measurement", "field", "_tags"])
+    named = listed.withColumn("i", instrument(F.col("measurement"), F.col("tags"), registry, F.col("_listed"))).drop("_tags", "_listed")
     return named.select("*", tag("sensor").alias("sensor"), tag("units").alias("units"), tag("missing").alias("missing"), *[F.col(f"i.{c}").alias(c) for c in ("instrument_id", "source", "confidence", "review_required", "vsn", "kind", "zone")]).drop("i")
 
 

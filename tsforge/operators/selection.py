@@ -8,6 +8,7 @@ nothing but that form is kept: predicates and the fingerprint are made from it.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import json
 from collections.abc import Callable, Iterator
@@ -112,7 +113,7 @@ class Selection:
     def of_measurements(cls, names) -> Selection:
         return cls.from_document({"selection_version": 1, "selectors": [{"measurement": n} for n in names]})
 
-    @property
+    @functools.cached_property
     def selectors(self) -> list[dict]:
         return json.loads(self.canonical)["selectors"]
 
@@ -136,14 +137,34 @@ class Selection:
 
     def takes(self, measurement: str, field: str, tags: dict[str, str]) -> bool:
         """As ``matches``, of one point's texts."""
+        if self._index is not None:
+            return self._index.takes(measurement, field, tags)
         agree = {
             "measurement": lambda v: measurement == v, "measurement_glob": lambda v: is_match(measurement, v),
             "fields": lambda v: any(is_match(field, x) for x in v), "tags": lambda v: all(k in tags and any(is_match(tags[k], x) for x in wanted) for k, wanted in v.items()),
         }
         return any(all(agree[k](v) for k, v in s.items()) for s in self.selectors)
 
+    @functools.cached_property
+    def _index(self):
+        """For many selectors, what answers without asking each."""
+        from tsforge.operators import many_selectors
+
+        return many_selectors.Index(self) if len(self.selectors) > many_selectors.INLINE else None
+
+    def __getstate__(self):
+        return {"canonical": self.canonical}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+
     def measurements(self, index: DataFrame) -> DataFrame:
         """Measurements to export: those of an index (measurement, field, tags) that match, and all exact ones."""
         exact = [(s["measurement"],) for s in self.selectors if "measurement" in s]
-        found = index.filter(self.matches(F.col("measurement"), F.col("field"), F.col("tags"))).select("measurement")
+        if self._index is not None:
+            from tsforge.operators import many_selectors
+
+            found = many_selectors.answered(index.select("measurement", "field", "tags"), self).filter("_takes").select("measurement")
+        else:
+            found = index.filter(self.matches(F.col("measurement"), F.col("field"), F.col("tags"))).select("measurement")
         return found.unionByName(index.sparkSession.createDataFrame(exact, "measurement string")).distinct()

@@ -41,6 +41,13 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/tsforge-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
 
 
+def kept(rows: DataFrame, name: str) -> DataFrame:
+    """A small table written where executors share it, and read again; what follows doesn't work it out twice."""
+    path = scratch(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def mounted(spark: SparkSession, name: str) -> str:
     """A new folder under the cluster's shared one, for what is read and written by places in files; it must be mounted where executors run."""
     path = scratch(spark, name).removeprefix("file:")
@@ -50,6 +57,15 @@ def mounted(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Bytes, by the widths that the planner gives to types, up to which a table is sent to every task.
+BROADCAST_BYTES = 24 << 20
+
+
+def sent_if_small(df: DataFrame) -> DataFrame:
+    """A narrow table, which is counted first, marked for broadcast if it is small; beyond that it is shuffled."""
+    return F.broadcast(df) if df.count() * df._jdf.schema().defaultSize() <= BROADCAST_BYTES else df
+
+
 class Files:
     """A few operations of Hadoop's file systems."""
 

@@ -146,7 +146,7 @@ def staged(spark: SparkSession, shards: list[dict], bucket: str, folder: str) ->
                     rows = [{"shard": shard["id"], "error": _said(e)}]
                 yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return tsm.kept(_shard_rows(spark, shards).mapInArrow(run, "shard long, file string, error string"), "staged")
+    return store.kept(_shard_rows(spark, shards).mapInArrow(run, "shard long, file string, error string"), "staged")
 
 
 def _measurements(selection: Selection | None):
@@ -172,10 +172,10 @@ def shard_points(spark: SparkSession, shards: list[dict], bucket: str, folder: s
     clip = spark.createDataFrame(bounds, "shard long, low long, high long")
     low, high = min(b[1] for b in bounds), max(b[2] for b in bounds)
     blocks = tsm.index(spark, files.filter("file is not null"), low, high)
-    owned = tsm.kept(blocks.join(files.select("file", "shard"), "file"), "index")
+    owned = store.kept(blocks.join(files.select("file", "shard"), "file"), "index")
     inside = owned.filter("error is null").join(F.broadcast(clip), "shard").filter("minimum_time < high and maximum_time >= low").drop("low", "high")
     wanted = inside.select("shard", "measurement", "series_key", "field").distinct().mapInArrow(_measurements(selection), "shard long, measurement string").distinct()
-    chosen = tsm.kept(inside.join(wanted, ["shard", "measurement"], "left_semi").drop("shard").unionByName(owned.filter("error is not null").drop("shard")), "chosen")
+    chosen = store.kept(inside.join(wanted, ["shard", "measurement"], "left_semi").drop("shard").unionByName(owned.filter("error is not null").drop("shard")), "chosen")
     found = tsm.points(spark, chosen, low, high, registry, strict=False).join(files.filter("file is not null").select("file", "shard"), "file").drop("file")
     clipped = found.join(F.broadcast(clip), "shard").filter("error is not null or time_ns >= low and time_ns < high").drop("low", "high")
     columns = [*IDENTIFIED.names, "shard", "error"]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tsforge import schema
 from tsforge.functions import identity, times
 from tsforge.functions.globs import matches
-from tsforge.operators import catalog, ingest, inventory, ranges, store
+from tsforge.operators import catalog, ingest, inventory, many_selectors, ranges, registry, store
 from tsforge.operators.selection import Selection
 from tsforge.plans import backup, export, level1, qc, runner
 from tsforge.plans.qc_config import Rules, Run
@@ -830,3 +830,70 @@ def level1_files(spark, sf_dir):
     v = F.when(~F.isnan("observed_value"), F.col("observed_value"))
     keyed = back.select(F.regexp_extract("file", r"([^/]+)\.nc$", 1).alias("day"), F.element_at(names, F.col("variable")).alias("variable"), F.col("qc_bits").cast("string").alias("qc_bits"), "time_ns", "series_id", v.alias("v"))
     return keyed.groupBy("day", "variable", "qc_bits").agg(F.count("*").alias("n"), F.count_if(F.col("v").isNull()).alias("missing"), F.min("time_ns").alias("first_ns"), F.max("time_ns").alias("last_ns"), F.sum(F.round(F.coalesce("v", F.lit(0.0)) * 100).cast("long")).alias("hundredths"), F.count_distinct("series_id").alias("series"))
+
+
+# ---------------------------------------------------------------- many rules, selectors and ranges
+
+_RULE_TAGS = "CASE o_orderkey % 3 WHEN 0 THEN {a} WHEN 1 THEN {b} ELSE {c} END"
+_RULES = """rules AS (SELECT o_orderkey AS number, 'o' || o_orderkey AS id, o_orderkey % 3 AS shape, 'W' || lpad((o_custkey % 80)::VARCHAR, 3, '0') AS rv,
+    ['click', 'error', 'view', 'none'][1 + o_orderkey // 3 % 4] AS rs, ['core', 'shield roof', 'none'][1 + o_orderkey // 12 % 3] AS rz FROM orders),
+f2 AS (SELECT min(number) AS first, vsn, sensor, zone FROM rules JOIN (SELECT DISTINCT measurement, sensor, vsn, zone FROM ev) ON
+    (shape = 0 AND rv = vsn AND rs = sensor) OR (shape = 1 AND rv = vsn AND rz = zone AND number % 5 = 1) OR (shape = 2 AND rv = vsn AND rs = sensor AND rz = zone) GROUP BY vsn, sensor, zone)"""
+
+
+@query(sql("SELECT measurement, ev.sensor, ev.vsn, ev.zone, 'o' || first AS listed, count(*) AS n FROM ev LEFT JOIN f2 ON ev.vsn IS NOT DISTINCT FROM f2.vsn AND ev.sensor IS NOT DISTINCT FROM f2.sensor AND ev.zone IS NOT DISTINCT FROM f2.zone GROUP BY ALL", _RULES))
+def registry_rules(spark, sf_dir):
+    """A rule for each order, of three shapes, asked for all series of events: the first that agrees."""
+    o = _read(spark, sf_dir, "orders")
+    n = F.col("o_orderkey")
+    vsn = F.concat(F.lit("W"), F.lpad((F.col("o_custkey") % 80).cast("string"), 3, "0"))
+    one = lambda values, by: F.element_at(F.array(*map(F.lit, values)), (F.expr(f"o_orderkey div {by}") % len(values) + 1).cast("int"))
+    sensor, zone = one(("click", "error", "view", "none"), 3), one(("core", "shield roof", "none"), 12)
+    pair = lambda **kv: F.create_map(*[x for k, v in kv.items() for x in (F.lit(k), v)])
+    match = F.when(n % 3 == 0, pair(vsn=vsn, sensor=sensor)).when(n % 3 == 2, pair(vsn=vsn, sensor=sensor, zone=zone)).when(n % 5 == 1, pair(vsn=vsn, zone=zone)).otherwise(pair(vsn=vsn, zone=zone, never=F.lit("x")))
+    rules = o.select(n.alias("number"), F.concat(F.lit("o"), n.cast("string")).alias("instrument_id"), match.alias("match"))
+    tags = F.map_filter(F.create_map(*(x for k in SERIES[1:] for x in (F.lit(k), F.col(k)))), lambda _, v: v.isNotNull())
+    series = events(spark, sf_dir).groupBy(*SERIES).agg(F.count("*").alias("n")).withColumn("tags", tags)
+    return registry.listed(series, rules, list(SERIES)).drop("tags")
+
+
+_PATTERNS = """pat AS (SELECT DISTINCT 'evt.' || ['c', 'e', 'v', 'z'][1 + c_custkey % 4] || '%' AS m, 'W' || lpad((c_custkey // 4 % 70)::VARCHAR, 3, '0') AS v, ['core', 'shield%', '%roof', 'none'][1 + c_nationkey % 4] AS z FROM customer),
+hit AS (SELECT DISTINCT measurement, vsn, zone FROM (SELECT DISTINCT measurement, vsn, zone FROM ev) JOIN pat ON vsn = v AND measurement LIKE m AND zone LIKE z)"""
+
+
+@query(sql("SELECT measurement, vsn, zone, count(*) AS n, min(time_ns) AS first_ns FROM ev JOIN hit USING (measurement, vsn, zone) GROUP BY ALL", _PATTERNS))
+def selection_many(spark, sf_dir):
+    """A selector for each kind of customer, asked for distinct series by one automaton for each column."""
+    c = _read(spark, sf_dir, "customer")
+    one = lambda values, by: F.element_at(F.array(*map(F.lit, values)), (F.col(by) % len(values) + 1).cast("int"))
+    made = c.select(F.concat(F.lit("evt."), one(("c", "e", "v", "z"), "c_custkey"), F.lit("*")).alias("m"), F.concat(F.lit("W"), F.lpad((F.expr("c_custkey div 4") % 70).cast("string"), 3, "0")).alias("v"), one(("core", "shield*", "*roof", "none"), "c_nationkey").alias("z")).distinct()
+    wanted = Selection.from_document({"selection_version": 2, "selectors": [{"measurement_glob": r.m, "tags": {"vsn": [r.v], "zone": [r.z]}} for r in made.collect()]})
+    found = many_selectors.answered(events(spark, sf_dir), wanted).filter("_takes")
+    return found.groupBy("measurement", "vsn", "zone").agg(F.count("*").alias("n"), F.min("time_ns").alias("first_ns"))
+
+
+_ORDERED = "DATE '1970-01-01'"
+_SPANS = f"""li AS (SELECT l_partkey AS k, l_shipdate::DATE - {_ORDERED} AS a0, l_shipdate::DATE - {_ORDERED} + l_quantity::BIGINT AS a1 FROM lineitem),
+od AS (SELECT o_custkey AS k, o_orderdate::DATE - {_ORDERED} AS b0, o_orderdate::DATE - {_ORDERED} + o_orderkey % 40 AS b1 FROM orders)"""
+
+
+def _spans(spark, sf_dir):
+    day = lambda c: F.unix_date(F.col(c).cast("date")).cast("long")
+    li = _read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("k"), day("l_shipdate").alias("low"), (day("l_shipdate") + F.col("l_quantity").cast("long")).alias("high"))
+    od = _read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("k"), day("o_orderdate").alias("low"), (day("o_orderdate") + F.col("o_orderkey") % 40).alias("high"))
+    return li, od
+
+
+@query(f"WITH {_SPANS} SELECT k, count(*) AS pairs, sum(least(a1, b1) - greatest(a0, b0))::BIGINT AS days FROM li JOIN od USING (k) WHERE greatest(a0, b0) < least(a1, b1) GROUP BY k")
+def range_join(spark, sf_dir):
+    """Ranges of line items against ranges of orders that overlap, in bins, each pair once."""
+    li, od = _spans(spark, sf_dir)
+    found = ranges.joined(li, od, 32, ["k"])
+    return found.groupBy("k").agg(F.count("*").alias("pairs"), F.sum(F.col("high") - F.col("low")).alias("days"))
+
+
+@query(f"""WITH {_SPANS}, r AS (SELECT k, b0, max(b1) OVER (PARTITION BY k ORDER BY b0, b1 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM od WHERE b0 < b1)
+    SELECT k, reach AS low, b0 AS high FROM r WHERE b0 > reach""")
+def range_gaps(spark, sf_dir):
+    """Where, between a customer's first and last range, none of them is; swept in bins, no day has a row."""
+    return ranges.gaps(_spans(spark, sf_dir)[1], 365, ["k"])

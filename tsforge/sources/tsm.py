@@ -264,18 +264,11 @@ def points(spark: SparkSession, blocks: DataFrame, low: int | None = None, high:
     return dealt.drop("slot").mapInArrow(lambda batches: _decode_slots(batches, registry, low, high, strict), SCANNED)
 
 
-def kept(rows: DataFrame, name: str) -> DataFrame:
-    """A small table written where executors share it, and read again."""
-    path = store.scratch(rows.sparkSession, name)
-    rows.write.parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
 def scan(
     spark: SparkSession, path: str | Iterable[str] | DataFrame, low: int | None = None, high: int | None = None, wanted: Wanted | None = None, registry: Registry | None = None, strict: bool = True
 ) -> DataFrame:
     """Points of [low, high) of the series that are wanted, as ``points``."""
-    return points(spark, kept(index(spark, path, low, high, wanted), "tsm-index"), low, high, registry, strict)
+    return points(spark, store.kept(index(spark, path, low, high, wanted), "tsm-index"), low, high, registry, strict)
 
 
 def newest(points: DataFrame) -> DataFrame:
@@ -439,4 +432,4 @@ def write(points: DataFrame, folder: str, files: int, block: int = BLOCK) -> Dat
     rows = points.select(key, "time_ns", "value_type", *(f"value_{k}" for k in VALUE_TYPES))
     dealt = rows.repartitionByRange(files, "_key", "time_ns").sortWithinPartitions("_key", "time_ns")
     made = dealt.mapInArrow(lambda batches: _write_partition(batches, folder, block), "file string, blocks long, points long")
-    return kept(made, "tsm-written")
+    return store.kept(made, "tsm-written")
