@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tsforge.functions.identity import Registry, instrument
+from tsforge.operators import catalog
 from tsforge.operators import registry as rules
 from tsforge.operators.store import Files
 from tsforge.sources import tables
@@ -81,7 +82,8 @@ def rollup(entries: DataFrame, *series_keys: str) -> DataFrame:
 
 
 def instruments(resolved: DataFrame, *keys: str) -> DataFrame:
-    return resolved.groupBy(*keys).agg(F.min("minimum_time").alias("minimum_time"), F.max("maximum_time").alias("maximum_time"), F.count("*").alias("series"), F.count_distinct(F.struct("measurement", "field")).alias("variables"))
+    found = resolved.groupBy(*keys).agg(F.min("minimum_time").alias("minimum_time"), F.max("maximum_time").alias("maximum_time"), F.count("*").alias("series"))
+    return catalog.with_counts(found, resolved, list(keys), {"variables": F.struct("measurement", "field")})
 
 
 def instrument_variables(resolved: DataFrame, *keys: str) -> DataFrame:
@@ -91,7 +93,8 @@ def instrument_variables(resolved: DataFrame, *keys: str) -> DataFrame:
 
 
 def measurements(resolved: DataFrame) -> DataFrame:
-    return resolved.groupBy("measurement", "field").agg(F.count_distinct("instrument_id").alias("instruments"), F.count("*").alias("series"), F.min("minimum_time").alias("minimum_time"), F.max("maximum_time").alias("maximum_time"))
+    found = resolved.groupBy("measurement", "field").agg(F.count("*").alias("series"), F.min("minimum_time").alias("minimum_time"), F.max("maximum_time").alias("maximum_time"))
+    return catalog.with_counts(found, resolved, ["measurement", "field"], {"instruments": F.col("instrument_id")})
 
 
 def family(resolved: DataFrame, prefix: str, sensor: str, column: str) -> DataFrame:

@@ -7,6 +7,7 @@ fields). Each query is an operator of the engine over those facts.
 
 from __future__ import annotations
 
+import uuid
 from datetime import UTC, date, datetime
 from functools import reduce
 from operator import and_
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from tsforge import schema
 from tsforge.functions import identity, times
 from tsforge.functions.globs import matches
-from tsforge.operators import catalog, ingest, inventory, many_selectors, ranges, registry, store
+from tsforge.operators import buckets, catalog, ingest, inventory, many_selectors, ranges, registry, store
 from tsforge.operators.selection import Selection
 from tsforge.plans import backup, export, level1, qc, runner
 from tsforge.plans.qc_config import Rules, Run
@@ -897,3 +898,17 @@ def range_join(spark, sf_dir):
 def range_gaps(spark, sf_dir):
     """Where, between a customer's first and last range, none of them is; swept in bins, no day has a row."""
     return ranges.gaps(_spans(spark, sf_dir)[1], 365, ["k"])
+
+
+# ---------------------------------------------------------------- kept tables
+
+
+@query(sql("SELECT variable, coalesce(bits, 0)::VARCHAR AS qc_bits, count(*) AS n, min(time_ns) AS first_ns FROM obs LEFT JOIN masks USING (time_ns, series_id, variable) GROUP BY ALL", _OBS, _CHECKS, _FIND, _MASKS))
+def flag_attach_stored(spark, sf_dir):
+    """Observations and the masks of their findings, stored in the same buckets: their join moves nothing."""
+    seen = observations(spark, sf_dir)
+    layout, folder, tag = buckets.Layout((*KEYS, "variable"), 8), store.scratch(spark, "buckets"), uuid.uuid4().hex
+    kept = layout.write(seen.select(*KEYS, "variable", "observed_value", "observed_value_string"), f"observations_{tag}", f"{folder}/observations")
+    masks = layout.write(qc.compile_masks(qc.findings(kept, PROFILE, RULES), KEYS), f"masks_{tag}", f"{folder}/masks")
+    joined = qc.attach_masks(kept.hint("merge"), masks, KEYS)
+    return joined.groupBy("variable", F.col("qc_bits").cast("string").alias("qc_bits")).agg(F.count("*").alias("n"), F.min("time_ns").alias("first_ns"))
