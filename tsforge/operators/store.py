@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import json
+import os
 import tempfile
 import uuid
 from pathlib import Path
@@ -129,6 +130,31 @@ class Files:
         files = hadoop.FileContext.getFileContext(fs.makeQualified(p).toUri(), self._conf)
         files.rename(fs.makeQualified(p), fs.makeQualified(self._at(path)[0]), options)
 
+    def create_new(self, path: str, text: str) -> None:
+        """A whole file under a name that nobody has, or FileExistsError: of two writers at a time one succeeds.
+
+        Local disks link the file to its name, other stores rename it, which fails if the name is there.
+        """
+        p, fs = self._at(path)
+        part = f"{path}.{uuid.uuid4().hex}.tmp"
+        q = self._at(part)[0]
+        fs.mkdirs(p.getParent())
+        stream = fs.create(q, True)
+        stream.write(bytearray(text.encode()))
+        stream.close()
+        try:
+            if fs.getUri().getScheme() == "file":
+                os.link(fs.makeQualified(q).toUri().getPath(), fs.makeQualified(p).toUri().getPath())
+            else:
+                none = self._gateway.new_array(getattr(self._jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+                self._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(p).toUri(), self._conf).rename(fs.makeQualified(q), fs.makeQualified(p), none)
+        except Exception as e:
+            if self.exists(path):
+                raise FileExistsError(path) from e
+            raise
+        finally:
+            fs.delete(q, False)
+
     def names(self, path: str) -> list[str]:
         p, fs = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []

@@ -8,6 +8,7 @@ fields). Each query is an operator of the engine over those facts.
 from __future__ import annotations
 
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, date, datetime
 from functools import reduce
 from operator import and_
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from tsforge import schema
 from tsforge.functions import identity, times
 from tsforge.functions.globs import matches
-from tsforge.operators import buckets, catalog, ingest, inventory, many_selectors, ranges, registry, store
+from tsforge.operators import buckets, catalog, commits, ingest, inventory, many_selectors, ranges, registry, store
 from tsforge.operators.selection import Selection
 from tsforge.plans import backup, export, level1, qc, runner
 from tsforge.plans.qc_config import Rules, Run
@@ -912,3 +913,15 @@ def flag_attach_stored(spark, sf_dir):
     masks = layout.write(qc.compile_masks(qc.findings(kept, PROFILE, RULES), KEYS), f"masks_{tag}", f"{folder}/masks")
     joined = qc.attach_masks(kept.hint("merge"), masks, KEYS)
     return joined.groupBy("variable", F.col("qc_bits").cast("string").alias("qc_bits")).agg(F.count("*").alias("n"), F.min("time_ns").alias("first_ns"))
+
+
+@query(sql(f"SELECT sensor, vsn, instrument_id, day AS date, count(*) AS n, {_SPAN}, sum(CASE WHEN isnan(value) THEN 1 ELSE 0 END)::BIGINT AS nans FROM n GROUP BY ALL", _NODES))
+def commit_log(spark, sf_dir):
+    """Three exports of overlapping days at the same time, by an optimistic log; the facts of its last snapshot."""
+    data = commits.Dataset(spark, store.scratch(spark, "shared"))
+    named = store.kept(ingest.identified(_nodes(spark, sf_dir).drop("sensor", "vsn")).select("time_ns", "sensor", "vsn", "instrument_id", "measurement", "field", "value_type", "series_id", "value"), "facts")
+    day = F.date_format(times.date_of(F.col("time_ns")), "yyyy-MM-dd")
+    runs = {"a": day < "2024-01-12", "b": (day >= "2024-01-08") & (day < "2024-01-20"), "c": day >= "2024-01-15"}
+    with ThreadPoolExecutor(len(runs)) as pool:
+        list(pool.map(lambda run: data.publish(named.filter(runs[run]), run, policy="skip"), runs))
+    return data.facts().groupBy("sensor", "vsn", "instrument_id", "date").agg(F.count("*").alias("n"), F.min("time_ns").alias("minimum_time"), F.max("time_ns").alias("maximum_time"), F.count_if(F.isnan("value")).alias("nans"))
