@@ -74,6 +74,8 @@ _FACTORS = np.random.default_rng(SEED).integers(0, 1 << 63, WORDS, dtype=np.uint
 _ADDED, _STEP = 15, 85
 #: A text at one of its keys: the key's hash (among those of a task), the text, the words that are compared.
 _AT = np.dtype([("key", "<u4"), ("mark", "<i8"), ("words", "<u8", (COMPARED,))])
+#: Rows that are compared at once.
+_SOME = 1 << 15
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -205,7 +207,9 @@ def _small_groups(rows: np.ndarray, at: np.ndarray) -> list[list[int]]:
     while len(at):
         at = at[at + step < len(rows)]
         at = at[rows["key"][at + step] == rows["key"][at]]
-        for i in at[_apart(rows[at], rows[at + step]) <= DISTANCE].tolist():
+        # some at a time: what is compared is copied
+        met = [some[_apart(rows[some], rows[some + step]) <= DISTANCE] for some in np.split(at, range(_SOME, len(at), _SOME))]
+        for i in np.concatenate(met).tolist():
             a, b = group.setdefault(i, [i]), group.setdefault(i + step, [i + step])
             if a is not b:
                 a, b = (a, b) if len(a) >= len(b) else (b, a)
@@ -232,10 +236,11 @@ def _large_groups(rows: np.ndarray):
 
 def _groups(batches):
     """Groups of what meets in one task: a key for its texts, the least of them, how many there are, and each."""
-    joined = b"".join(r for batch in batches for r in batch.column("rows").to_pylist())
-    if not joined:
+    parts = [np.frombuffer(b"".join(batch.column("rows").to_pylist()), _AT) for batch in batches]
+    if not any(map(len, parts)):
         return
-    rows = np.frombuffer(joined, _AT)
+    rows = np.concatenate(parts)
+    del parts
     rows = rows[np.argsort(rows["key"], kind="stable")]
     cuts = np.r_[0, np.flatnonzero(rows["key"][1:] != rows["key"][:-1]) + 1, len(rows)]
     sizes = np.diff(cuts)
