@@ -88,3 +88,17 @@ def test_listed_instruments_from_the_command_line(spark, made, tmp_path):
     assert cli.main(args) == 0
     facts = spark.read.parquet(f"{tmp_path}/b/facts")
     assert facts.count() == first["output_rows"] / 2 and {r.vsn for r in facts.select("vsn").distinct().collect()} == {"W2"}
+
+
+def test_days_of_an_engine_folder(spark, made, tmp_path, capsys):
+    engine = tmp_path / "engine"
+    (engine / "data").mkdir(parents=True)
+    (engine / "data" / "b1").symlink_to(f"{made}/engine/b1")
+    (tmp_path / "wanted.json").write_text(json.dumps({"selection_version": 2, "selectors": [{"measurement_glob": "wxt.*", "tags": {"sensor": ["wx?"]}}]}))
+    args = ["engine", "--input", str(engine), "--bucket", "b1", "--output", str(tmp_path / "out"), "--run-id", "r1", "--date", "2025-01-02", "--last-date", "2025-01-05", "--selection", str(tmp_path / "wanted.json")]
+    for run, expected in (("r1", 160), ("r2", 0)):  # and nothing twice
+        args[8] = run
+        assert cli.main(args) == 0
+        said = json.loads(capsys.readouterr().out)
+        assert (said["output_rows"], said["quarantined_rows"], said["filtered_selection_rows"], said["published_rows"]) == (160, 2, 10, expected)
+    assert spark.read.parquet(f"{tmp_path}/out/facts").count() == 160

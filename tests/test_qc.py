@@ -5,6 +5,7 @@ from datetime import UTC, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tsforge import cli
 from tsforge.functions import times
 from tsforge.functions.times import Period
 from tsforge.plans import level1, qc, runner
@@ -194,6 +195,33 @@ def test_level1_files_hold_the_observations_of_each_day(spark, rules, tmp_path):
     assert rows == runner.totals(made, run)["rows_processed"] > 0 and len(set(files)) == len(files) > 1
 
 
+def test_parts_of_a_run_from_the_command_line(spark, rules, tmp_path, capsys):
+    import yaml
+
+    spark.createDataFrame(ROWS, FACTS).write.parquet(f"{tmp_path}/facts")
+    document = run_document(tmp_path)
+    document["work_units"] = [{"id": u, "profile": "wxt"} for u in ("u1", "u2")]
+    document["quality"] = {"rules": str(tmp_path / "rules.yaml")}
+    (tmp_path / "rules.yaml").write_text(yaml.safe_dump(RULES))
+    (tmp_path / "run.yaml").write_text(yaml.safe_dump(document))
+    run = Run.read(str(tmp_path / "run.yaml"))
+    at = lambda action, *more: cli.main(["qc", action, "--run", str(tmp_path / "run.yaml"), "--run-id", "r1", *more])
+    assert at("run", "--work-unit", "u9") == 2 and at("run", "--work-unit", "u2") == 0
+    made = runner.Store(spark, run.output, "r1")
+    first = next(iter(times.iter_periods(run.start, run.end, run.period)))
+    assert made.marker(run.work_units[0], first) is None and made.marker(run.work_units[1], first)
+    assert at("resume") == 0 and made.marker(run.work_units[0], first)
+    masks = lambda: sorted((r.time_ns, r.variable, int(r.qc_bits)) for r in made.read("qc_flags", run.work_units[0], [first]).collect())
+    before = masks()
+    made.files.delete(f"{made.place(run.work_units[0], first)}/qc_flags")
+    assert at("compile", "--period", "never") == 2 and at("compile", "--period", first.id, "--work-unit", "u1") == 0 and masks() == before
+    capsys.readouterr()
+    assert at("report", "--format", "text") == 0
+    said = capsys.readouterr().out.splitlines()
+    assert said[0] == "run\tr1" and "variable\tbit\tflag_name\tcheck_id\tunits_tested\tunits_passed\tunits_failed\tfraction_failed" in said
+    assert any(line.startswith("temperature\t0\tmissing_value\ttemp_missing\t10\t6\t4\t0.4") for line in said)
+
+
 def test_source_is_checked_before_any_output(spark, rules, tmp_path):
     spark.createDataFrame(ROWS, FACTS).drop("value_string").write.parquet(f"{tmp_path}/facts")
     with pytest.raises(ValueError, match="lacks"):

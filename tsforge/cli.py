@@ -1,4 +1,4 @@
-"""``python -m tsforge.cli``: convert, inventory, backup, qc validate, show, run, resume, compile and report. Findings are no failure."""
+"""``python -m tsforge.cli``: convert, inventory, backup, engine, qc validate, show, run, resume, compile and report. Findings are no failure."""
 
 from __future__ import annotations
 
@@ -50,6 +50,16 @@ def from_backup(spark: SparkSession, a) -> int:
     return 0 if found["status"] == "complete" else 1
 
 
+def from_engine(spark: SparkSession, a) -> int:
+    """UTC days of a storage engine's folder to facts, quarantine, series and catalogs."""
+    selection = Selection.from_document(d) if (d := _json(a.selection)) else None
+    registry = Registry.from_document(d) if (d := _json(a.registry)) else Registry()
+    start, end = (t.date() for t in export.day_range(a.date, a.last_date))
+    allowed = tables.read_list(a.allow) if a.allow else None
+    print(json.dumps(backup.export_engine(spark, a.input, a.bucket, a.output, a.run_id, start, end, selection, registry, a.on_existing, allowed), default=str))
+    return 0
+
+
 def index(spark: SparkSession, a) -> int:
     """Index dumps to an inventory of series and of sources that is kept and brought up to date; a broken dump is an error row."""
     sources = inventory.update(spark, a.input, f"{a.output}/_inventory")
@@ -80,12 +90,14 @@ def quality(spark: SparkSession, a) -> int:
     elif a.action == "show":
         print(runner.snapshot(run))
     elif a.action in ("run", "resume"):
-        made = runner.run_new(spark, rules, run, a.run_id, [a.run, run.rules]) if a.action == "run" else runner.resume(spark, rules, run, a.run_id)
+        made = runner.run_new(spark, rules, run, a.run_id, [a.run, run.rules], a.work_unit) if a.action == "run" else runner.resume(spark, rules, run, a.run_id, a.work_unit)
         print(json.dumps(runner.totals(made, run)))
     else:
         made = runner.Store(spark, run.output, a.run_id)
         if a.action == "compile":
-            runner.recompile(made, run)
+            runner.recompile(made, run, a.period, a.work_unit)
+        elif a.format == "text":
+            print(runner.report_text(made, run))
         elif (found := runner.report(made, run)) is not None:
             print(json.dumps([r.asDict() for r in found.collect()]))
     return 0
@@ -110,6 +122,13 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--work", help="a folder that all machines share, for what archives hold")
     b.add_argument("--binary", help="the storage engine's binary, to read shards with it instead")
     b.set_defaults(call=from_backup)
+    e = sub.add_parser("engine")
+    for name in ("--input", "--bucket", "--output", "--run-id", "--date"):
+        e.add_argument(name, required=True)
+    for name in ("--last-date", "--selection", "--registry", "--allow"):
+        e.add_argument(name)
+    e.add_argument("--on-existing", choices=("error", "skip"), default="skip")
+    e.set_defaults(call=from_engine)
     i = sub.add_parser("inventory")
     for name in ("--input", "--output"):
         i.add_argument(name, required=True)
@@ -121,6 +140,9 @@ def parser() -> argparse.ArgumentParser:
     q.add_argument("action", choices=("validate", "show", "run", "resume", "compile", "report"))
     q.add_argument("--run", required=True)
     q.add_argument("--run-id", default="run-1")
+    q.add_argument("--work-unit", action="append", help="only these (run, resume, compile)")
+    q.add_argument("--period", action="append", help="only these ids (compile)")
+    q.add_argument("--format", choices=("json", "text"), default="json", help="of the report")
     q.set_defaults(call=quality)
     return p
 

@@ -24,7 +24,7 @@ import subprocess
 import tarfile
 import tempfile
 from collections.abc import Iterable, Iterator
-from datetime import date, datetime, timedelta
+from datetime import UTC, date, datetime, timedelta
 from pathlib import Path
 from typing import Protocol
 
@@ -260,3 +260,25 @@ def archive(spark: SparkSession, wanted: list[tuple[str, str, str]]) -> None:
 
     rows = spark.createDataFrame([(json.dumps(w),) for w in wanted], "said string").repartition(max(1, len(wanted)))
     rows.mapInArrow(run, "said string").write.format("noop").mode("overwrite").save()
+
+
+def engine_points(spark: SparkSession, engine: str, bucket: str, start: datetime, end: datetime, selection: Selection | None = None, registry: Registry | None = None) -> DataFrame:
+    """The points of a storage engine's folder in [start, end): whole measurements of which the selection takes any series."""
+    low, high = times.to_ns(start), times.to_ns(end)
+    blocks = store.kept(tsm.index(spark, f"{engine}/data/{bucket}", low, high), "index")
+    if broken := blocks.filter("error is not null").select("file", "error").head(1):
+        raise ValueError(f"{broken[0].file}: {broken[0].error}")
+    series = blocks.select(F.lit(0).cast("long").alias("shard"), "measurement", "series_key", "field").distinct()
+    wanted = series.mapInArrow(_measurements(selection), "shard long, measurement string").select("measurement").distinct()
+    chosen = store.kept(blocks.join(wanted, "measurement", "left_semi"), "chosen")
+    return tsm.points(spark, chosen, low, high, registry).select(*IDENTIFIED.names)
+
+
+def export_engine(
+    spark: SparkSession, engine: str, bucket: str, root: str, run_id: str, start: date, end: date, selection: Selection | None = None, registry: Registry | None = None,
+    on_existing: str = "skip", allowed_ids: set[str] | None = None,
+) -> dict:
+    """Publishes the days [start, end) of a storage engine's folder (``data/<bucket>`` below it), as one export."""
+    low, high = (datetime.combine(d, datetime.min.time(), UTC) for d in (start, end))
+    points = engine_points(spark, engine, bucket, low, high, selection, registry)
+    return export.export_days(points, root, run_id, low, high, selection, registry, allowed_ids, on_existing, {"bucket": bucket})

@@ -79,8 +79,9 @@ def snapshot(run: Run) -> str:
     return json.dumps(asdict(run), default=str, sort_keys=True, indent=1)
 
 
-def run_new(spark: SparkSession, rules: Rules, run: Run, run_id: str, documents: list[str] = ()) -> Store:
+def run_new(spark: SparkSession, rules: Rules, run: Run, run_id: str, documents: list[str] = (), units: list[str] | None = None) -> Store:
     """A run of its own id; ``documents`` are local files to keep beside it as they were."""
+    chosen(run, units)
     validate(spark, rules, run)
     store = Store(spark, run.output, run_id)
     if store.files.exists(f"{store.path}/run.json"):
@@ -89,7 +90,7 @@ def run_new(spark: SparkSession, rules: Rules, run: Run, run_id: str, documents:
         store.files.write_text(f"{store.path}/config/{Path(path).name}", Path(path).read_text(encoding="utf-8"))
     store.files.write_text(f"{store.path}/config/resolved.json", snapshot(run))
     store.files.write_text(f"{store.path}/run.json", json.dumps(_identity(rules, run), sort_keys=True))
-    return resume(spark, rules, run, run_id)
+    return resume(spark, rules, run, run_id, units)
 
 
 def marks(observations: DataFrame, found: DataFrame, *by: str) -> DataFrame:
@@ -104,13 +105,20 @@ def marks(observations: DataFrame, found: DataFrame, *by: str) -> DataFrame:
 _NOTHING = {"rows_processed": 0, "findings": 0, "input_files": 0, "input_fingerprint": hashlib.sha256(b"").hexdigest()}
 
 
-def resume(spark: SparkSession, rules: Rules, run: Run, run_id: str) -> Store:
-    """Works on the periods without a marker; the configuration must be that of the run."""
+def chosen(run: Run, units: list[str] | None) -> list[WorkUnit]:
+    """The work units of a run, or those named."""
+    if units and (unknown := set(units) - {u.id for u in run.work_units}):
+        raise ValueError(f"no such work units: {sorted(unknown)}")
+    return [u for u in run.work_units if not units or u.id in units]
+
+
+def resume(spark: SparkSession, rules: Rules, run: Run, run_id: str, units: list[str] | None = None) -> Store:
+    """Works on the periods without a marker, of all work units or those named; the configuration must be that of the run."""
     store = Store(spark, run.output, run_id)
     if json.loads(store.files.read_text(f"{store.path}/run.json")) != _identity(rules, run):
         raise ValueError("the configuration is not that of the run")
     facts, keys = _facts(spark, run)
-    for unit in run.work_units:
+    for unit in chosen(run, units):
         profile, said = rules.profiles[unit.profile], config_hash(rules, run, unit)
         todo = {p.bounds[0]: p for p in _periods(run) if not store.marker(unit, p)}
         if not todo:
@@ -185,10 +193,13 @@ def _publish(store: Store, unit: WorkUnit, period: times.Period, stage: str, mar
     ready.publish(marker)
 
 
-def recompile(store: Store, run: Run) -> None:
-    """The masks of all complete periods again, from their findings, in one job."""
+def recompile(store: Store, run: Run, periods: list[str] | None = None, units: list[str] | None = None) -> None:
+    """The masks of complete periods again, from their findings, in one job: of all, or of the period ids and work units named."""
     keys = tuple("time_ns" if k == run.time_column else k for k in run.keys)
-    places = [store.place(u, p) for u in run.work_units for p in _periods(run) if store.marker(u, p)]
+    every = _periods(run)
+    if periods and (unknown := set(periods) - {p.id for p in every}):
+        raise ValueError(f"no such periods: {sorted(unknown)}")
+    places = [store.place(u, p) for u in chosen(run, units) for p in every if (not periods or p.id in periods) and store.marker(u, p)]
     paths = [p for x in places if store.files.exists(p := f"{x}/findings")]
     if not paths:
         return
@@ -225,3 +236,13 @@ def totals(store: Store, run: Run) -> dict[str, int]:
     done = [(m["rows_processed"], m["findings"]) for m in found if m]
     summed = tally(store.spark.createDataFrame(done, "rows_processed long, findings long")).first().asDict()
     return summed | {"missing": len(found) - len(done)}
+
+
+def report_text(store: Store, run: Run) -> str:
+    """A report for people: the run's totals, then a line for each check with tabs between."""
+    lines = [f"run\t{store.run_id}", *(f"{k}\t{v}" for k, v in totals(store, run).items())]
+    columns = ("variable", "bit", "flag_name", "check_id", "units_tested", "units_passed", "units_failed", "fraction_failed")
+    found = report(store, run)
+    rows = [] if found is None else found.select(*columns).collect()
+    said = ["\t".join(f"{v:.6f}" if isinstance(v, float) else str(v) for v in r) for r in rows]
+    return "\n".join([*lines, "", "\t".join(columns), *said])

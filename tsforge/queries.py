@@ -662,15 +662,20 @@ def lp_files(spark, sf_dir):
 @query(sql("SELECT measurement, sensor, vsn, zone, count(*) AS blocks, min(time_ns) AS minimum_time, max(time_ns + 1000) AS maximum_time FROM ev GROUP BY ALL"))
 def index_dump(spark, sf_dir):
     """The rows of an index dump, parsed and rolled up by series."""
+    rows = tables.parse_index(_dump(spark, sf_dir))
+    tag = lambda k: F.try_element_at("tags", F.lit(k)).alias(k)
+    entries = rows.select("measurement", *map(tag, SERIES[1:]), "minimum_time", "maximum_time", F.lit("dump").alias("source"), F.lit(0).alias("ordinal"))
+    return inventory.rollup(entries, *SERIES).drop("first_source", "last_source")
+
+
+def _dump(spark, sf_dir):
+    """The lines of an index dump, a row for each event."""
     e = events(spark, sf_dir)
     key = F.concat_ws(",", "measurement", F.lit("node=n1"), *(F.concat(F.lit(f"{k}="), F.replace(F.col(k), F.lit(" "), F.lit("\\ "))) for k in SERIES[1:]))
     t = F.col("time_ns")
     text = F.concat_ws("\t", F.concat(F.lit("  "), F.col("event_id").cast("string")), times.rfc3339(t), times.rfc3339(t + 1000), F.lit("5"), F.lit("9"), key, F.lit("value"))
     header = spark.createDataFrame([("Index:",), ("  Pos\tMin Time\tMax Time\tOfs\tSize\tKey\tField",)], "value string")
-    rows = tables.parse_index(header.unionByName(e.select(text.alias("value"))))
-    tag = lambda k: F.try_element_at("tags", F.lit(k)).alias(k)
-    entries = rows.select("measurement", *map(tag, SERIES[1:]), "minimum_time", "maximum_time", F.lit("dump").alias("source"), F.lit(0).alias("ordinal"))
-    return inventory.rollup(entries, *SERIES).drop("first_source", "last_source")
+    return header.unionByName(e.select(text.alias("value")))
 
 
 @query("SELECT o_orderstatus AS bucket_id, o_orderkey AS shard_id, 's' || o_orderkey || '.tar.gz' AS file, o_custkey AS size, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS start FROM orders")
@@ -925,3 +930,45 @@ def commit_log(spark, sf_dir):
     with ThreadPoolExecutor(len(runs)) as pool:
         list(pool.map(lambda run: data.publish(named.filter(runs[run]), run, policy="skip"), runs))
     return data.facts().groupBy("sensor", "vsn", "instrument_id", "date").agg(F.count("*").alias("n"), F.min("time_ns").alias("minimum_time"), F.max("time_ns").alias("maximum_time"), F.count_if(F.isnan("value")).alias("nans"))
+
+
+@query(sql("SELECT measurement, sensor, vsn, zone, count(*) AS blocks, min(time_ns) AS minimum_time, max(time_ns + 1000) AS maximum_time FROM ev GROUP BY ALL"))
+def inventory_kept(spark, sf_dir):
+    """An inventory that is kept, of eight dumps: made from seven and a broken one, and brought up to date when that is mended."""
+    folder, root, lines_ = store.scratch(spark, "dumps"), store.scratch(spark, "inventory"), _dump(spark, sf_dir)
+    part = F.pmod(F.xxhash64("value"), F.lit(8)).alias("part")
+    lines_.select("value", part).repartition(8, "part").write.partitionBy("part").text(folder)
+    spark.createDataFrame([("1\tbroken",)], "value string").coalesce(1).write.mode("append").text(f"{folder}/part=3")
+    for _ in range(2):
+        inventory.update(spark, f"{folder}/part=*/part-*", root)
+    bad = inventory.sources(spark, root).filter("status = 'error'").select("source").collect()
+    for r in bad:
+        store.Files(spark).delete(r.source)
+    inventory.update(spark, f"{folder}/part=*/part-*", root)
+    tag = lambda k: F.try_element_at("tags", F.lit(k)).alias(k)
+    rows = inventory.entries(spark, root).select("measurement", *map(tag, SERIES[1:]), "minimum_time", "maximum_time", "source", F.lit(0).alias("ordinal"))
+    return inventory.rollup(rows, *SERIES).drop("first_source", "last_source")
+
+
+_NAMELESS = """q AS (SELECT 'quarantine' AS what, CASE WHEN vsn IS NULL THEN 'missing-vsn' ELSE 'missing-sensor' END AS name, day AS date, count(*) AS n, count(DISTINCT measurement) AS measurements FROM ev
+    WHERE vsn IS NULL OR sensor IS NULL GROUP BY ALL),
+s AS (SELECT 'series' AS what, sensor AS name, strftime(make_timestamp(min(time_ns) // 1000), '%Y-%m-%d') AS date, 1::BIGINT AS n, count(DISTINCT measurement) AS measurements FROM ev
+    WHERE vsn IS NOT NULL AND sensor IS NOT NULL GROUP BY sensor, substr(vsn, 1, 3))"""
+
+
+@query(sql(f"SELECT * FROM q WHERE date < '{datetime(2024, 1, 21):%Y-%m-%d}' UNION ALL SELECT what, name, min(date), sum(n)::BIGINT, max(measurements) FROM (SELECT s.* FROM s) GROUP BY what, name", _NAMELESS))
+def export_tables(spark, sf_dir):
+    """What an export keeps beside its facts: quarantined rows by reason and day, and the series of each sensor."""
+    root = store.scratch(spark, "export")
+    vsn = F.substring("vsn", 1, 3)
+    tags = F.map_filter(F.create_map(F.lit("sensor"), F.col("sensor"), F.lit("vsn"), vsn), lambda _, v: v.isNotNull())
+    values = [F.col("value").alias("value_float64"), *(F.lit(None).cast(t).alias(f"value_{k}") for k, t in schema.VALUE_COLUMNS.items() if k != "float64")]
+    points = events(spark, sf_dir).select("measurement", tags.alias("tags"), "time_ns", "field", "value_type", *values)
+    export.export_days(points, root, "r1", datetime(2024, 1, 1, tzinfo=UTC), datetime(2024, 1, 21, tzinfo=UTC))
+    held = spark.read.option("basePath", f"{root}/_quarantine").parquet(f"{root}/_quarantine")
+    date_ = F.col("date").cast("string").alias("date")
+    nameless = held.groupBy(F.lit("quarantine").alias("what"), F.col("reason").alias("name"), date_).agg(F.count("*").alias("n"), F.count_distinct("measurement").alias("measurements"))
+    series = spark.read.option("recursiveFileLookup", "true").parquet(f"{root}/_series")
+    first = F.date_format(times.date_of(F.min("minimum_time")), "yyyy-MM-dd").alias("date")
+    named = series.groupBy(F.lit("series").alias("what"), F.col("sensor").alias("name")).agg(first, F.count("*").alias("n"), F.lit(1).cast("long").alias("measurements"))
+    return nameless.unionByName(named)
