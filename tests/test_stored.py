@@ -45,3 +45,30 @@ def test_distinct_counts_by_owners(spark):
     assert "Expand" not in plan_of(found)
     one = catalog.sensors(spark.range(1000).selectExpr("'only' as sensor", "cast(id % 50 as string) as vsn", "cast(id as string) as instrument_id", "1L as rows", "id as minimum_time", "id as maximum_time"))
     assert tuple(one.first()) == ("only", 1000, 0, 999, 50, 1000) and "Expand" not in plan_of(one)
+
+
+def test_files_are_skipped_before_they_are_opened(spark, tmp_path):
+    from tsforge.operators import file_index
+
+    facts, index = str(tmp_path / "facts"), str(tmp_path / "index")
+    rows = spark.range(4000).selectExpr("id % 20 as part", "id div 4 as t", "unhex(substr(sha2(cast(id % 20 * 100 + id % 100 div 20 as string), 256), 1, 32)) as series_id", "id as value").withColumnRenamed("t", "time_ns")
+    rows.repartitionByRange(20, "part").write.partitionBy("part").parquet(facts)
+    assert file_index.update(spark, facts, index) == 20 and file_index.update(spark, facts, index) == 0
+    for key in (0, 503, 1904):
+        one = rows.filter(F.col("series_id") == F.unhex(F.substring(F.sha2(F.lit(str(key)), 256), 1, 32)))
+        series = bytes(one.first().series_id)
+        found = file_index.read(spark, facts, index, series=[series])
+        assert sorted(r.value for r in found.collect()) == sorted(r.value for r in one.collect())
+        assert file_index.candidates(spark, index, series=[series]).count() <= 2
+    assert file_index.candidates(spark, index, series=[b"none"]).count() <= 1 and file_index.candidates(spark, index, series=[]).count() == 0
+    late = spark.range(10).selectExpr("99 as part", "id + 5000 as time_ns", "cast('x' as binary) as series_id", "id as value")
+    late.write.partitionBy("part").mode("append").parquet(facts)
+    assert file_index.update(spark, facts, index) == 1 if late.rdd.getNumPartitions() == 1 else file_index.update(spark, facts, index) > 0
+    found = file_index.read(spark, facts, index, 5002, 5004)
+    assert sorted(r.time_ns for r in found.collect()) == [5002, 5003] and {r.part for r in found.select("part").collect()} == {99}
+    assert found.select("_metadata.file_path").distinct().count() <= 2
+    nothing = spark.createDataFrame([(7, None, None, 1)], "part int, time_ns long, series_id binary, value long")
+    nothing.write.partitionBy("part").mode("append").parquet(facts)
+    file_index.update(spark, facts, index)
+    assert file_index.candidates(spark, index, 10**9, None).count() == 1
+    assert file_index.read(spark, facts, index, 10**9).count() == 0

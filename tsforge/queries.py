@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tsforge import schema
 from tsforge.functions import identity, times
 from tsforge.functions.globs import matches
-from tsforge.operators import buckets, catalog, commits, ingest, inventory, many_selectors, ranges, registry, store
+from tsforge.operators import buckets, catalog, commits, file_index, ingest, inventory, many_selectors, ranges, registry, store
 from tsforge.operators.selection import Selection
 from tsforge.plans import backup, export, level1, qc, runner
 from tsforge.plans.qc_config import Rules, Run
@@ -972,3 +972,16 @@ def export_tables(spark, sf_dir):
     first = F.date_format(times.date_of(F.min("minimum_time")), "yyyy-MM-dd").alias("date")
     named = series.groupBy(F.lit("series").alias("what"), F.col("sensor").alias("name")).agg(first, F.count("*").alias("n"), F.lit(1).cast("long").alias("measurements"))
     return nameless.unionByName(named)
+
+
+@query(sql(f"SELECT day, measurement, count(*) AS n, min(time_ns) AS first_ns, max(time_ns) AS last_ns, count(DISTINCT series_id) AS series FROM ev WHERE series_id < '04' AND time_ns >= {times.to_ns(datetime(2024, 1, 3, tzinfo=UTC))} AND time_ns < {times.to_ns(datetime(2024, 1, 11, 6, tzinfo=UTC))} GROUP BY ALL"))
+def file_skipping(spark, sf_dir):
+    """Facts of some series and days, from files that an index of zone maps and filters names."""
+    folder, index = store.scratch(spark, "facts"), store.scratch(spark, "index")
+    rows = facts(spark, sf_dir).select("time_ns", F.unhex("series_id").alias("series_id"), "measurement", "day")
+    rows.repartitionByRange(32, "day", "series_id").write.parquet(folder)
+    file_index.update(spark, folder, index)
+    wanted = [bytes(r[0]) for r in rows.select("series_id").filter(F.lower(F.hex("series_id")) < "04").distinct().collect()]
+    found = file_index.read(spark, folder, index, times.to_ns(datetime(2024, 1, 3, tzinfo=UTC)), times.to_ns(datetime(2024, 1, 11, 6, tzinfo=UTC)), wanted)
+    found = spark.createDataFrame([], rows.schema) if found is None else found
+    return found.groupBy("day", "measurement").agg(F.count("*").alias("n"), F.min("time_ns").alias("first_ns"), F.max("time_ns").alias("last_ns"), F.count_distinct("series_id").alias("series"))
