@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tsforge import schema
 from tsforge.functions import identity, times
 from tsforge.functions.globs import matches
-from tsforge.operators import buckets, catalog, commits, file_index, ingest, inventory, many_selectors, ranges, registry, store
+from tsforge.operators import buckets, catalog, commits, file_index, ingest, inventory, kept_series, many_selectors, ranges, registry, store
 from tsforge.operators.selection import Selection
 from tsforge.plans import backup, export, level1, qc, runner
 from tsforge.plans.qc_config import Rules, Run
@@ -985,3 +985,14 @@ def file_skipping(spark, sf_dir):
     found = file_index.read(spark, folder, index, times.to_ns(datetime(2024, 1, 3, tzinfo=UTC)), times.to_ns(datetime(2024, 1, 11, 6, tzinfo=UTC)), wanted)
     found = spark.createDataFrame([], rows.schema) if found is None else found
     return found.groupBy("day", "measurement").agg(F.count("*").alias("n"), F.min("time_ns").alias("first_ns"), F.max("time_ns").alias("last_ns"), F.count_distinct("series_id").alias("series"))
+
+
+@query(sql("SELECT series_id, sensor, vsn, instrument_id, measurement, min(time_ns) AS minimum_time, max(time_ns) AS maximum_time FROM ev WHERE sensor IS NOT NULL AND vsn IS NOT NULL AND day <> '2024-01-09' GROUP BY ALL"))
+def series_kept(spark, sf_dir):
+    """A catalog of series that is kept over six exports: one replaces days of another, and a day is taken back."""
+    named = store.kept(facts(spark, sf_dir).filter("sensor is not null and vsn is not null").withColumn("series_id", F.unhex("series_id")), "facts")
+    kept = kept_series.KeptSeries(spark, store.scratch(spark, "series"))
+    for low, high in (("2024-01-01", "2024-01-05"), ("2024-01-05", "2024-01-10"), ("2024-01-08", "2024-01-15"), ("2024-01-15", "2024-01-22"), ("2024-01-22", "9999")):
+        kept.add(kept_series.rows_of(named.filter((F.col("day") >= low) & (F.col("day") < high))))
+    kept.retract(named.filter("day = '2024-01-09'").select("sensor", "vsn", "instrument_id", F.col("day").alias("date")))
+    return kept.series().select(F.lower(F.hex("series_id")).alias("series_id"), "sensor", "vsn", "instrument_id", "measurement", "minimum_time", "maximum_time")
