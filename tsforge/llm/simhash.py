@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tsforge.llm.common import partitions, small_batches, written
+from tsforge.llm.common import partitions, sent_if_small, small_batches, written
 
 SHINGLE = 3
 DISTANCE = 3
@@ -150,7 +150,11 @@ def links(distinct: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node and root (the smallest node of its component) for each node of the links (u, v)."""
+    """node and root (the smallest node of its component) for each node of the links (u, v).
+
+    What a node's links share is written before it meets them: it is broadcast while it is small, and beyond that
+    adaptive execution can split the links of a node that has very many.
+    """
     def state(df):
         return df.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
 
@@ -159,11 +163,12 @@ def components(edges: DataFrame) -> DataFrame:
     while before[0]:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("w")).select("u", F.least("u", "w").alias("w"))
+        least = sent_if_small(written(least, "least-of-links"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("w").alias("v")).filter("u != v").distinct()
         large = written(large, "large-star")
         # every link now points from the larger node to the smaller
-        least = large.groupBy("u").agg(F.min("v").alias("w"))
-        moved = large.join(least, "u").filter("v != w").select(F.col("v").alias("u"), F.col("w").alias("v"))
+        least = written(large.groupBy("u").agg(F.min("v").alias("w")), "least-of-links")
+        moved = large.join(sent_if_small(least), "u").filter("v != w").select(F.col("v").alias("u"), F.col("w").alias("v"))
         edges = written(moved.unionByName(least.select("u", F.col("w").alias("v"))).distinct(), "small-star")
         now = state(edges)
         if now == before:
@@ -179,5 +184,5 @@ def groups(docs: DataFrame) -> DataFrame:
     roots = components(links(distinct))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = named.join(smallest, "root").select("fp", "component_id")
+    labels = sent_if_small(written(named.join(smallest, "root").select("fp", "component_id"), "labels"))
     return fps.join(labels, "fp").select("doc_id", "fp", "component_id")
