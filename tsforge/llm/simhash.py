@@ -184,5 +184,5 @@ def groups(docs: DataFrame) -> DataFrame:
     roots = components(links(distinct))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = named.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    labels = sent_if_small(written(named.join(smallest, "root").select("fp", "component_id"), "labels"))
+    labels = written(named.join(smallest, "root").select("fp", "component_id"), "labels")
     return fps.join(labels, "fp").select("doc_id", "fp", "component_id")
