@@ -39,7 +39,18 @@ def scratch(spark: SparkSession, name: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         root = _own_root()
-    return f"{root.rstrip('/')}/tsforge-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    return f"{_kept_until_exit(spark, f"{root.rstrip('/')}/tsforge-{spark.sparkContext.applicationId}")}/{name}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _kept_until_exit(spark: SparkSession, root: str) -> str:
+    """The application's folder, that goes when the driver's JVM does."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return root
 
 
 def kept(rows: DataFrame, name: str) -> DataFrame:
