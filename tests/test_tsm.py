@@ -211,3 +211,55 @@ def test_two_types_under_one_key_are_an_error(spark, tmp_path):
     rows = [("m", {}, 1, "f", "int64", None, 1, None, None, None), ("m", {}, 2, "f", "bool", None, None, None, True, None)]
     with pytest.raises(Exception, match="two types"):
         tsm.write(spark.createDataFrame(rows, schema.POINTS), str(tmp_path), 1).count()
+
+
+def test_a_files_index_is_not_held_while_it_is_written(tmp_path):
+    """Forty thousand series of one block: what a task holds does not grow with them."""
+    import tracemalloc
+
+    writer, peaks = tsm._Writer(str(tmp_path / "x.tsm")), []
+    tracemalloc.start()
+    for i in range(40_000):
+        writer.add(f"m,n={i:06d}{tsm.SEPARATOR}f", "int64", i, i + 1, 2, b"x" * 20)
+        if i % 20_000 == 19_999:
+            peaks.append(tracemalloc.get_traced_memory()[0])
+    tracemalloc.stop()
+    assert peaks[1] - peaks[0] < 200_000
+    assert writer.finish()["blocks"] == 40_000
+    found = list(tsm.read_index(str(tmp_path / "x.tsm")))
+    assert len(found) == 40_000 and found[7][1:4] == ("m,n=000007", "f", "int64") and found[7][4]["offset"].tolist() == [5 + 7 * 20]
+
+
+def test_files_grow_in_number_with_the_points(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(tsm, "PER_FILE", 500)
+    rows = points_of(5)
+    made = tsm.write(spark.createDataFrame(rows, schema.POINTS).repartition(3), str(tmp_path), 2).collect()
+    assert len(made) == 9 and max(r.points for r in made) < 1500 and sum(r.points for r in made) == len(rows) == 4500
+    found = tsm.scan(spark, str(tmp_path))
+    assert plain(found.select(*found.columns[:10]).collect()) == plain(rows)
+
+
+def test_blocks_that_are_encoded_together_are_those_encoded_alone():
+    rng = random.Random(9)
+    sizes = np.array([rng.choice([1, 2, 3, 60, 241, 1000]) for _ in range(40)])
+    parts = [np.array(series_of(rng, n), np.int64) for n in sizes]
+    floats = [np.array([rng.choice([rng.random(), 1.5, 0.0]) for _ in range(n)]) for n in sizes]
+    for kind, values in (("int64", parts), ("uint64", [p.view(np.uint64) for p in parts]), ("float64", floats), ("bool", [p % 2 == 0 for p in parts])):
+        together = codec.encode_all(kind, np.concatenate(parts), np.concatenate(values), sizes)
+        assert together == [codec.encode(kind, t, v) for t, v in zip(parts, values)]
+        for (times, found), t, v in zip(codec.decode(kind, together), parts, values):
+            assert times.tolist() == t.tolist() and found.view(v.dtype).tolist() == v.tolist()
+
+
+@pytest.mark.parametrize("together", [7, 100_000])
+def test_blocks_go_on_over_batches(together, monkeypatch):
+    import pyarrow as pa
+
+    rows = [(f"k{i // 95}", i, "int64") for i in range(300)]
+    table = pa.table({"_key": [r[0] for r in rows], "time_ns": [r[1] for r in rows], "value_type": [r[2] for r in rows], "value_int64": [i * i for i in range(300)]})
+    made, rest = [], table.slice(0, 0)
+    for at in range(0, 300, together):
+        found, rest = tsm._blocks(pa.concat_tables([rest, table.slice(at, together)]), 40, at + together >= 300)
+        made += found
+    assert [m[:5] for m in made] == [(f"k{k}", "int64", a, min(a + 40, b) - 1, min(a + 40, b) - a) for k, (s, b) in enumerate([(0, 95), (95, 190), (190, 285), (285, 300)]) for a in range(s, b, 40)]
+    assert np.concatenate([v for _, v in codec.decode("int64", [m[5] for m in made])]).tolist() == [i * i for i in range(300)]

@@ -19,12 +19,17 @@ from __future__ import annotations
 
 import glob
 import os
+import shutil
 import struct
+import tempfile
 from collections.abc import Callable, Iterable, Iterator
+from functools import reduce
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
@@ -39,8 +44,10 @@ from tsforge.sources.tsm_codec import KINDS, MAGIC, SEPARATOR, VERSION, TsmError
 
 #: Bytes of a file whose blocks are one task's; bytes of blocks decoded together; a gap that is read rather than skipped.
 SLOT, TOGETHER, GAP = 32 << 20, 4 << 20, 64 << 10
-#: Points in a block that is written.
-BLOCK = 1000
+#: Points in a block that is written, in a file (more or less), and that are encoded together.
+BLOCK, PER_FILE, ENCODED = 1000, 1_000_000, 100_000
+#: Rows of an index in a batch, and series that a task keeps.
+ROWS, KEPT = 20_000, 20_000
 
 _ENTRY = np.dtype([("low", ">i8"), ("high", ">i8"), ("offset", ">i8"), ("size", ">u4")])
 _INDEX = "file string, measurement string, series_key string, field string, value_type string, minimum_time long, maximum_time long, offset long, size long, error string"
@@ -71,7 +78,7 @@ def read_index(path: str, low: int | None = None, high: int | None = None, wante
             raise TsmError("an index outside its file")
         file.seek(start)
         index = file.read(size - _FOOTER - start)
-    at = 0
+    at, known, parsed = 0, None, None
     while at < len(index):
         try:
             n = struct.unpack_from(">H", index, at)[0]
@@ -91,7 +98,9 @@ def read_index(path: str, low: int | None = None, high: int | None = None, wante
         if not separator:
             raise TsmError("a key without a field")
         if len(entries):
-            measurement, tags = _parsed(series)
+            if series != known:  # the fields of a series stand together
+                known, parsed = series, _parsed(series)
+            measurement, tags = parsed
             if wanted is None or wanted(measurement, field, tags):
                 yield measurement, series, field, KINDS[kind], entries
 
@@ -186,6 +195,8 @@ class _Points:
         found = self.known.get(key)
         if found is None:
             measurement, tags = _parsed(key)
+            if len(self.known) >= KEPT:
+                self.known.clear()
             found = self.known[key] = (measurement, list(tags.items()), *(self.identify(measurement, tags) if self.identify else ()))
         return found
 
@@ -353,44 +364,86 @@ def register(spark: SparkSession) -> None:
 
 def series_key(measurement: str | Column, tags: str | Column) -> Column:
     """The key of a series: tags sorted by name, with their escapes."""
-    escaped = lambda c, what: F.regexp_replace(c, f"([{what}])", r"\\$1")
+    escaped = lambda c, what: reduce(lambda text, x: F.replace(text, F.lit(x), F.lit(f"\\{x}")), what, c)
     measurement, tags = (F.col(c) if isinstance(c, str) else c for c in (measurement, tags))
     each = F.transform(F.array_sort(F.map_entries(tags)), lambda e: F.concat(F.lit(","), escaped(e["key"], ",= "), F.lit("="), escaped(e["value"], ",= ")))
     return F.concat(escaped(measurement, ", "), F.array_join(each, ""))
 
 
 class _Writer:
-    """One file, block by block; its index is held until the end."""
+    """One file, block by block; its index lies in a temporary file until the end, but for the entries of the key at hand."""
 
     def __init__(self, path: str):
         self.path, self.part = path, f"{path}.{os.getpid()}.part"
-        self.file = open(self.part, "wb")  # noqa: SIM115 - closed in finish
+        self.file, self.index = open(self.part, "wb"), tempfile.TemporaryFile()  # noqa: SIM115 - closed in finish
         self.file.write(MAGIC + bytes([VERSION]))
-        self.at, self.points = 5, 0
-        self.entries: list[tuple[bytes, int, list[tuple]]] = []
+        self.at, self.points, self.blocks = 5, 0, 0
+        self.key, self.kind, self.entries = None, None, []
 
-    def add(self, key: str, kind: str, times: np.ndarray, values) -> None:
-        block = codec.encode(kind, times, values)
+    def add(self, key: str, kind: str, low: int, high: int, points: int, block: bytes) -> None:
         said = key.encode("utf-8")
         if len(said) > 0xFFFF:
             raise TsmError("a key of more than 65,535 bytes")
-        if not self.entries or self.entries[-1][0] != said or len(self.entries[-1][2]) == 0xFFFF:
-            self.entries.append((said, KINDS.index(kind), []))
-        elif self.entries[-1][1] != KINDS.index(kind):
+        if said != self.key or len(self.entries) == 0xFFFF:
+            self._indexed()
+        elif kind != self.kind:
             raise TsmError(f"values of two types under one key: {key}")
-        self.entries[-1][2].append((int(times[0]), int(times[-1]), self.at, len(block)))
+        self.key, self.kind = said, kind
+        self.entries.append(struct.pack(">qqqI", low, high, self.at, len(block)))
         self.file.write(block)
         self.at += len(block)
-        self.points += len(times)
+        self.points += points
+        self.blocks += 1
+
+    def _indexed(self) -> None:
+        if self.entries:
+            self.index.write(struct.pack(">H", len(self.key)) + self.key + struct.pack(">BH", KINDS.index(self.kind), len(self.entries)) + b"".join(self.entries))
+            self.entries = []
 
     def finish(self) -> dict:
-        blocks = sum(len(e) for _, _, e in self.entries)
-        for key, kind, entries in self.entries:
-            self.file.write(struct.pack(">H", len(key)) + key + struct.pack(">BH", kind, len(entries)) + b"".join(struct.pack(">qqqI", *e) for e in entries))
+        self._indexed()
+        self.index.seek(0)
+        shutil.copyfileobj(self.index, self.file, 1 << 20)
+        self.index.close()
         self.file.write(struct.pack(">q", self.at))
         self.file.close()
         os.replace(self.part, self.path)  # a task that runs again writes the same file again
-        return {"file": self.path, "blocks": blocks, "points": self.points}
+        return {"file": self.path, "blocks": self.blocks, "points": self.points}
+
+
+def _values(kind: str, column: pa.Array):
+    if column.null_count:
+        raise TsmError("no null can be stored")
+    if kind == "string":
+        return column.to_pylist()
+    return (column.cast(pa.uint64()) if kind == "uint64" else column).to_numpy(zero_copy_only=False)
+
+
+def _blocks(rows: pa.Table, block: int, last: bool) -> tuple[list[tuple], pa.Table]:
+    """Sorted points to blocks (key, type, times, points, bytes), all of a type encoded together; the last may go on, and its rows come back."""
+    rows = rows.combine_chunks()
+    keys, kinds, times = rows.column("_key").combine_chunks(), rows.column("value_type").combine_chunks(), rows.column("time_ns").to_numpy()
+    n = len(times)
+    other_key, other_kind = (np.r_[True, pc.not_equal(c[1:], c[:-1]).to_numpy(zero_copy_only=False)] for c in (keys, kinds))
+    if (two := np.flatnonzero(other_kind & ~other_key)).size:
+        raise TsmError(f"values of two types under one key: {keys[int(two[0])].as_py()}")
+    runs = np.flatnonzero(other_key)
+    number = np.arange(n) - np.repeat(runs, np.diff(np.r_[runs, n]))
+    starts = np.flatnonzero(number % block == 0)
+    end = n if last else int(starts[-1])
+    starts = starts[starts < end]
+    if not len(starts):
+        return [], rows
+    sizes = np.diff(np.r_[starts, end])
+    said = [x.take(pa.array(starts)).to_pylist() for x in (keys, kinds)]
+    made: list = [None] * len(starts)
+    for kind in sorted(set(said[1])):
+        own = np.array([k == kind for k in said[1]])
+        inside = np.repeat(own, sizes)
+        values = _values(kind, rows.column(f"value_{kind}").slice(0, end).combine_chunks().filter(pa.array(inside)))
+        for i, encoded in zip(np.flatnonzero(own).tolist(), codec.encode_all(kind, times[:end][inside], values, sizes[own])):
+            made[i] = encoded
+    return list(zip(*said, times[starts].tolist(), times[starts + sizes - 1].tolist(), sizes.tolist(), made)), rows.slice(end)
 
 
 def _write_partition(batches, folder: str, block: int):
@@ -398,38 +451,34 @@ def _write_partition(batches, folder: str, block: int):
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId()
-    writer, key, kind, times, values = None, None, None, [], []
-
-    def flush():
-        if times:
-            column = values if kind == "string" else np.array([int(v) for v in values], np.uint64) if kind == "uint64" else np.array(values)
-            writer.add(key, kind, np.array(times, np.int64), column)
-            times.clear()
-            values.clear()
-
-    for batch in batches:
-        columns = {c: batch.column(c).to_pylist() for c in batch.schema.names}
-        for i, (k, t) in enumerate(zip(columns["_key"], columns["value_type"])):
+    writer, held, n = None, [], 0
+    for batch in chain(batches, [None]):
+        if batch is not None and batch.num_rows:
+            held.append(pa.Table.from_batches([batch]))
+            n += batch.num_rows
+        if n and (batch is None or n >= max(ENCODED, 2 * block)):
             if writer is None:
                 os.makedirs(folder, exist_ok=True)
                 writer = _Writer(f"{folder}/000000001-{number + 1:09d}.tsm")
-            if k != key or t != kind or len(times) == block:
-                flush()
-                key, kind = k, t
-            times.append(columns["time_ns"][i])
-            values.append(columns[f"value_{t}"][i])
+            found, rest = _blocks(pa.concat_tables(held), block, batch is None)
+            for made in found:
+                writer.add(*made)
+            held, n = [rest], rest.num_rows
     if writer is not None:
-        flush()
         yield pa.RecordBatch.from_pylist([writer.finish()], schema=pa.schema([("file", pa.string()), ("blocks", pa.int64()), ("points", pa.int64())]))
 
 
 def write(points: DataFrame, folder: str, files: int, block: int = BLOCK) -> DataFrame:
     """Points to files, a task each, dealt by ranges of key and time; the files, blocks and points that were written.
 
-    The folder is one that executors share. A long series spans several files. Values of NaN or null can't be stored.
+    There are ``files`` of them, or as many as keep each near ``PER_FILE`` points. The folder is one that executors share. A long series spans several files. Values of NaN or null can't be stored.
     """
     key = F.concat(series_key("measurement", "tags"), F.lit(SEPARATOR), F.col("field")).alias("_key")
     rows = points.select(key, "time_ns", "value_type", *(f"value_{k}" for k in VALUE_TYPES))
-    dealt = rows.repartitionByRange(files, "_key", "time_ns").sortWithinPartitions("_key", "time_ns")
+    # written once: counted, sampled for its ranges and dealt, the points are worked out no more than that
+    path = store.scratch(points.sparkSession, "tsm-points")
+    rows.write.options(**store.OPTIONS).parquet(path)
+    rows = points.sparkSession.read.schema(rows.schema).parquet(path)
+    dealt = rows.repartitionByRange(max(files, -(-rows.count() // PER_FILE)), "_key", "time_ns").sortWithinPartitions("_key", "time_ns")
     made = dealt.mapInArrow(lambda batches: _write_partition(batches, folder, block), "file string, blocks long, points long")
     return store.kept(made, "tsm-written")
