@@ -263,3 +263,19 @@ def test_blocks_go_on_over_batches(together, monkeypatch):
         made += found
     assert [m[:5] for m in made] == [(f"k{k}", "int64", a, min(a + 40, b) - 1, min(a + 40, b) - a) for k, (s, b) in enumerate([(0, 95), (95, 190), (190, 285), (285, 300)]) for a in range(s, b, 40)]
     assert np.concatenate([v for _, v in codec.decode("int64", [m[5] for m in made])]).tolist() == [i * i for i in range(300)]
+
+
+def test_index_rows_of_many_keys_are_one_batch(spark, stored, monkeypatch):
+    folder, rows = stored
+    path = tsm.files_of(folder)[0]
+    every = [(m, s, f, k, *e) for m, s, f, k, entries in tsm.read_index(path) for e in entries.tolist()]
+    for size, batches in ((20_000, 1), (10, None)):
+        monkeypatch.setattr(tsm, "ROWS", size)
+        found = list(tsm._index_batches(path, tsm.read_index(path)))
+        assert [tuple(r.values())[1:9] for b in found for r in b.to_pylist()] == every
+        assert len(found) == batches or batches is None and len(found) > 3
+
+
+def test_series_come_from_footers_that_are_read_once(spark, stored):
+    plan = tsm.series_index(tsm.index(spark, stored[0]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2  # footers, and tags of what is grouped

@@ -112,15 +112,38 @@ def _parsed(series: str) -> tuple[str, dict[str, str]]:
         raise TsmError(str(e)) from e
 
 
+def _index_batches(path: str, found: Iterable[tuple]) -> Iterator[pa.RecordBatch]:
+    """Index rows of many keys in one batch."""
+    said, entries, n = [], [], 0
+
+    def batch() -> pa.RecordBatch:
+        owner = pa.array(np.repeat(np.arange(len(said)), [len(e) for e in entries]))
+        same = [pa.array(c, pa.string()).take(owner) for c in ([path] * len(said), *zip(*said))]
+        every = np.concatenate(entries)
+        numbers = [pa.array(every[k].astype(np.int64)) for k in ("low", "high", "offset", "size")]
+        return pa.RecordBatch.from_arrays([*same, *numbers, pa.nulls(n, pa.string())], schema=_INDEX_TYPES)
+
+    try:
+        for *what, own in found:
+            said.append(what)
+            entries.append(own)
+            n += len(own)
+            if n >= ROWS:
+                yield batch()
+                said, entries, n = [], [], 0
+    except TsmError:  # what stands before a broken place is given, as it was read
+        if n:
+            yield batch()
+        raise
+    if n:
+        yield batch()
+
+
 def _index_rows(batches, low, high, wanted):
     for batch in batches:
         for path in batch.column("file").to_pylist():
             try:
-                for *said, entries in read_index(path, low, high, wanted):
-                    n = len(entries)
-                    same = [pa.array([x]).take(pa.array(np.zeros(n, np.int32))) for x in (path, *said)]
-                    numbers = [pa.array(entries[k].astype(np.int64)) for k in ("low", "high", "offset", "size")]
-                    yield pa.RecordBatch.from_arrays([*same, *numbers, pa.nulls(n, pa.string())], schema=_INDEX_TYPES)
+                yield from _index_batches(path, read_index(path, low, high, wanted))
             except (OSError, TsmError) as e:
                 yield pa.RecordBatch.from_pylist([{"file": path, "error": str(e)}], schema=_INDEX_TYPES)
 
@@ -158,17 +181,17 @@ def index(spark: SparkSession, path: str | Iterable[str] | DataFrame, low: int |
 
 def _tags(batches):
     for batch in batches:
-        keys = batch.column("series_key").to_pylist()
-        tags = pa.array([list(parse_series(k)[1].items()) for k in keys], pa.map_(pa.string(), pa.string()))
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), tags], names=["series_key", "tags"])
+        keys = batch.column("series_key").dictionary_encode()
+        parsed = pa.array([list(parse_series(k)[1].items()) for k in keys.dictionary.to_pylist()], pa.map_(pa.string(), pa.string()))
+        columns = {name: batch.column(name) for name in batch.schema.names if name != "series_key"} | {"tags": parsed.take(keys.indices)}
+        yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
 
 def series_index(blocks: DataFrame) -> DataFrame:
-    """An index by series and field: measurement, tags, field, type, files, blocks and times; each distinct key is parsed once."""
+    """An index by series and field: measurement, tags, field, type, files, blocks and times; a key is parsed once in a batch, and footers are read once."""
     keys = ("measurement", "series_key", "field", "value_type")
     rows = blocks.filter("error is null").groupBy(*keys).agg(F.count_distinct("file").alias("files"), F.count("*").alias("blocks"), F.min("minimum_time").alias("minimum_time"), F.max("maximum_time").alias("maximum_time"))
-    tags = rows.select("series_key").distinct().mapInArrow(_tags, "series_key string, tags map<string,string>")
-    return rows.join(tags, "series_key").drop("series_key")
+    return rows.mapInArrow(_tags, "measurement string, field string, value_type string, files long, blocks long, minimum_time long, maximum_time long, tags map<string,string>")
 
 
 # ---------------------------------------------------------------- blocks to points
