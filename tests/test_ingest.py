@@ -340,3 +340,25 @@ def test_downsampling(spark):
     df = spark.createDataFrame(rows, "series_id long, variable string, time_ns long, observed_value double")
     out = {r.window_start_s: (r.samples, r.mean) for r in landing.downsample(df, 60, 60, 0.75).collect()}
     assert out == {0: (60, 29.5), 60: (30, None)}
+
+
+def test_manifests_on_lines(spark, tmp_path):
+    """Many manifests in a file give their shards; numbers may be text, and one that is broken is an error."""
+    manifest = lambda i, n: {"other": 1, "buckets": [{"bucketID": f"b{i}", "retentionPolicies": [{"shardGroups": [{"startTime": "s", "endTime": "e", "shards": [{"id": n, "fileName": f"{n}.tar.gz", "size": 9}]}]}]}]}
+    (tmp_path / "a.json").write_text("\n".join(json.dumps(manifest(i, i if i % 2 else str(i))) for i in range(50)) + "\n")
+    found = tables.backup_shards(spark, str(tmp_path), lines=True)
+    assert sorted((r.bucket_id, r.shard_id, r.size, r.end) for r in found.collect()) == sorted((f"b{i}", i, 9, "e") for i in range(50))
+    (tmp_path / "b.json").write_text('{"buckets": [{"bucketID": "b1"')
+    for lines in (True, False):
+        with pytest.raises(Exception, match=r"(?i)malformed"):
+            tables.backup_shards(spark, str(tmp_path / "b.json"), lines).collect()
+
+
+def test_the_manifests_of_a_table_are_few_files(spark, tmp_path, monkeypatch):
+    """Files grow with the bytes and not with the manifests."""
+    from tsforge import queries
+
+    spark.range(40_000).selectExpr("id o_orderkey", "'F' o_orderstatus", "id % 7 o_custkey", "timestamp_ntz'2024-01-01 00:00:00' o_orderdate").write.parquet(str(tmp_path / "orders.parquet"))
+    monkeypatch.setattr(queries.store, "scratch", lambda spark, name: str(tmp_path / name))
+    assert queries.backup_manifest(spark, str(tmp_path)).count() == 40_000
+    assert len(list((tmp_path / "manifests").rglob("*.json"))) <= 8

@@ -680,7 +680,7 @@ def _dump(spark, sf_dir):
 
 @query("SELECT o_orderstatus AS bucket_id, o_orderkey AS shard_id, 's' || o_orderkey || '.tar.gz' AS file, o_custkey AS size, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS start FROM orders")
 def backup_manifest(spark, sf_dir):
-    """The shards of a backup's manifests, one file for each status of orders."""
+    """The shards of a backup's manifests, of each status of orders, gathered in files with a manifest on each line."""
     folder = store.scratch(spark, "manifests")
     shard = F.struct(F.col("o_orderkey").alias("id"), F.concat(F.lit("s"), F.col("o_orderkey").cast("string"), F.lit(".tar.gz")).alias("fileName"), F.col("o_custkey").alias("size"))
     start = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
@@ -688,8 +688,8 @@ def backup_manifest(spark, sf_dir):
     policies = F.array(F.struct(F.collect_list(group).alias("shardGroups")))
     # some hundred shards to a document, as no manifest holds a whole table
     some = _read(spark, sf_dir, "orders").groupBy("o_orderstatus", F.expr("o_orderkey div 512").alias("part")).agg(policies.alias("p"))
-    some.select(F.array(F.struct(F.col("o_orderstatus").alias("bucketID"), F.col("p").alias("retentionPolicies"))).alias("buckets")).withColumn("file", F.monotonically_increasing_id()).repartition("file").write.partitionBy("file").json(folder)
-    return tables.backup_shards(spark, f"{folder}/*/*.json").drop("end")
+    some.select(F.array(F.struct(F.col("o_orderstatus").alias("bucketID"), F.col("p").alias("retentionPolicies"))).alias("buckets")).write.json(folder)
+    return tables.backup_shards(spark, folder, lines=True).drop("end")
 
 
 #: Ten nodes at a time as one, without zones: some hundred partitions, as large as they are in use.

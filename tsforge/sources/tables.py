@@ -115,11 +115,18 @@ def load_backup(directory: str, bucket_id: str) -> dict:
     return {"bucket_id": bucket_id, "name": buckets[0].get("bucketName"), "snapshot": snapshot, "shards": sorted(shards, key=lambda s: (s["start"], s["id"]))}
 
 
-def backup_shards(spark: SparkSession, path: str) -> DataFrame:
-    """The shards of all buckets of manifests on any store: bucket_id, shard_id, file, size, start, end."""
-    buckets = spark.read.option("multiLine", "true").json(path).select(F.explode("buckets").alias("b"))
+#: What is read of a manifest; numbers as their text, so that one that does not fit is an error.
+_MANIFEST = "buckets array<struct<bucketID:string,retentionPolicies:array<struct<shardGroups:array<struct<startTime:string,endTime:string,shards:array<struct<id:string,fileName:string,size:string>>>>>>>>"
+
+
+def backup_shards(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """The shards of all buckets of manifests on any store: bucket_id, shard_id, file, size, start, end.
+
+    A manifest is a file, or (``lines``) a line of files that hold many. One that is no JSON is an error.
+    """
+    buckets = spark.read.schema(_MANIFEST).option("multiLine", str(not lines).lower()).option("mode", "FAILFAST").json(path).select(F.explode("buckets").alias("b"))
     groups = buckets.select(F.col("b.bucketID").alias("bucket_id"), F.explode("b.retentionPolicies").alias("p")).select("bucket_id", F.explode("p.shardGroups").alias("g"))
-    return groups.select("bucket_id", "g.startTime", "g.endTime", F.explode("g.shards").alias("s")).select("bucket_id", F.col("s.id").alias("shard_id"), F.col("s.fileName").alias("file"), F.col("s.size").alias("size"), F.col("startTime").alias("start"), F.col("endTime").alias("end"))
+    return groups.select("bucket_id", "g.startTime", "g.endTime", F.explode("g.shards").alias("s")).select("bucket_id", F.col("s.id").cast("long").alias("shard_id"), F.col("s.fileName").alias("file"), F.col("s.size").cast("long").alias("size"), F.col("startTime").alias("start"), F.col("endTime").alias("end"))
 
 
 def staged_members(names: list[tuple[str, int]], prefix: str, archive_size: int) -> list[str]:
