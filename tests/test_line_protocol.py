@@ -148,3 +148,14 @@ def test_identities_of_the_parser_are_those_of_columns(spark):
     text = lambda points: sorted(str(sorted(r.asDict().items())) for r in points.select(*columns, F.to_json(F.array_sort(F.map_entries("tags"))).alias("tags")).collect())
     for rules in (None, registry):
         assert text(ingest.identified(lp.decode(df), rules)) == text(ingest.identified(lp.decode_identified(df, registry=rules)))
+
+
+def test_made_text_is_dealt_by_its_bytes(spark, monkeypatch):
+    """Records that are made of a few packed rows are as many tasks as their bytes want."""
+    made = spark.range(0, 900, 1, 1).selectExpr("concat('m,a=b f=\"', repeat('x', 1000), '\" ', id) record")
+    assert lp.spread(made, "record").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(lp, "DEALT", 50_000)
+    dealt = lp.spread(made, "record")
+    assert dealt.rdd.getNumPartitions() == 19 and max(dealt.rdd.glom().map(len).collect()) < 100
+    assert lp.decode(dealt).count() == 900
+    assert lp.spread(made.limit(0), "record").count() == 0

@@ -271,7 +271,7 @@ def variable_codes(spark, sf_dir):
 @query(sql("""SELECT measurement, sensor, vsn, zone, time_ns, value, event_id AS "event id", user_id::VARCHAR AS "user", event_id % 2 = 0 AS even, props || chr(10) || 'end' AS props FROM ev WHERE value IS NOT NULL AND NOT isnan(value)"""))
 def lp_roundtrip(spark, sf_dir):
     """Events written as line protocol and read again."""
-    points = line_protocol.decode(line_protocol.spread(lines(spark, sf_dir)))
+    points = line_protocol.decode(line_protocol.spread(lines(spark, sf_dir), "record"))
     tag = lambda k: F.try_element_at("tags", F.lit(k))
     one = lambda field, c, out: F.max(F.when(F.col("field") == field, F.col(c))).alias(out)
     rows = points.groupBy("measurement", tag("sensor").alias("sensor"), tag("vsn").alias("vsn"), tag("zone").alias("zone"), "time_ns")
@@ -281,7 +281,7 @@ def lp_roundtrip(spark, sf_dir):
 @query(sql("""SELECT f AS field, t AS value_type, count(*) AS n FROM ev, (VALUES ('value', 'float64'), ('event id', 'int64'), ('user', 'uint64'), ('even', 'bool'), ('props', 'string')) AS x(f, t)
     WHERE value IS NOT NULL AND NOT isnan(value) GROUP BY ALL"""))
 def lp_field_types(spark, sf_dir):
-    points = line_protocol.decode(line_protocol.spread(lines(spark, sf_dir)))
+    points = line_protocol.decode(line_protocol.spread(lines(spark, sf_dir), "record"))
     return points.filter(schema.filled() == 1).groupBy("field", "value_type").agg(F.count("*").alias("n"))
 
 

@@ -29,6 +29,8 @@ from tsforge.schema import IDENTIFIED_POINTS, POINTS, VALUE_TYPES
 
 #: Points in an Arrow batch, and series that a worker keeps.
 BATCH, KEPT = 20_000, 100_000
+#: Bytes of made text that are one task's.
+DEALT = 16 << 20
 
 _SERIES = re.compile(r"(?:\\.|[^\\ ])*+\\?", re.S)
 _FIELD = re.compile(r'((?:\\.|"(?:\\.|[^"\\])*+"|[^,"\\])++\\?)(?:,|\Z)', re.S)
@@ -248,10 +250,16 @@ def batches_of(texts: Iterable[str], columns: _Columns | None = None) -> Iterato
         yield columns.batch()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Rows of a plan without exchanges, dealt over the cluster if there are fewer partitions than cores: parsing a record costs more than moving it."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df._jdf.rdd().getNumPartitions() >= cores else df.repartition(cores)
+def spread(df: DataFrame, column: str | None = None) -> DataFrame:
+    """Rows of a plan without exchanges, dealt over the cluster if there are fewer partitions than cores: parsing a record costs more than moving it.
+
+    Text that is made of packed columns may be many times their size. Its ``column`` is measured, and dealt by
+    ``DEALT`` bytes, so that what a task parses (and sorts after that) doesn't grow with the input.
+    """
+    cores, have = df.sparkSession.sparkContext.defaultParallelism, df._jdf.rdd().getNumPartitions()
+    size = df.agg(F.sum(F.octet_length(column))).first()[0] or 0 if column else 0
+    wanted = max(cores, -(-size // DEALT))
+    return df if have >= wanted else df.repartition(wanted)
 
 
 def decode(df: DataFrame, column: str = "record", make: Callable[[], _Columns] = _Columns, schema: str = POINTS) -> DataFrame:
