@@ -362,3 +362,16 @@ def test_the_manifests_of_a_table_are_few_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(queries.store, "scratch", lambda spark, name: str(tmp_path / name))
     assert queries.backup_manifest(spark, str(tmp_path)).count() == 40_000
     assert len(list((tmp_path / "manifests").rglob("*.json"))) <= 8
+
+
+def test_an_index_line_is_taken_apart_once(spark):
+    """Odd lines, and a plan in which no regular expression is repeated for what is made of a line."""
+    row = lambda low="2025-01-01T00:00:00Z", key="m,a=b", field="f": f" 1\t{low}\t2025-01-02T03:04:05.000000006Z\t5\t9\t{key}\t{field}"
+    text = [row(), row("1960-01-01T00:00:00.5Z"), row(field="a\tb"), row(field="f\r"), row("2025-13-01T00:00:00Z"), row("2025-01-01T00:00:00"), row("9999-01-01T00:00:00Z"), row(key=""), row(key="m,broken"), "2\tno", "x", None]
+    lines = spark.createDataFrame([(t, i) for i, t in enumerate(text)], "value string, n int")
+    found = {r.n: r for r in tables.index_rows(lines, "value", "n").collect()}
+    assert {n for n, r in found.items() if r.fits} == {0, 1, 2, 3} and {n for n, r in found.items() if not r.fits} == set(range(4, 10))
+    assert found[1].minimum_time == -315_619_200 * 10**9 + 500_000_000 and found[0].maximum_time == DAY + (86_400 + 3 * 3600 + 4 * 60 + 5) * 10**9 + 6
+    assert (found[2].field, found[3].field, found[0].measurement, found[0].tags, found[9]._line) == ("a\tb", "f", "m", {"a": "b"}, "2\tno")
+    plan = tables.parse_index(lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RLIKE") == 1 and "Join" not in plan and len(plan) < 5000

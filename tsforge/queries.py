@@ -675,7 +675,7 @@ def _dump(spark, sf_dir):
     t = F.col("time_ns")
     text = F.concat_ws("\t", F.concat(F.lit("  "), F.col("event_id").cast("string")), times.rfc3339(t), times.rfc3339(t + 1000), F.lit("5"), F.lit("9"), key, F.lit("value"))
     header = spark.createDataFrame([("Index:",), ("  Pos\tMin Time\tMax Time\tOfs\tSize\tKey\tField",)], "value string")
-    return header.unionByName(e.select(text.alias("value")))
+    return header.unionByName(line_protocol.spread(e.select(text.alias("value")), "value"))
 
 
 @query("SELECT o_orderstatus AS bucket_id, o_orderkey AS shard_id, 's' || o_orderkey || '.tar.gz' AS file, o_custkey AS size, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS start FROM orders")

@@ -8,12 +8,13 @@ import re
 import shutil
 import tarfile
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import date, datetime
 from pathlib import Path, PurePosixPath
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, StringType
 
 from tsforge.functions import times
 from tsforge.functions.identity import retained
@@ -56,31 +57,81 @@ def source_files(facts: DataFrame) -> DataFrame:
 
 
 INDEX_ROW = r"^\s*\d+\t(\S+Z)\t(\S+Z)\t(\d+)\t(\d+)\t([^\t]*)\t(.*)$"
+#: The same for Python, with the ends of lines that Spark's expressions know; and a time.
+_ENDS = "\n\r\x85\u2028\u2029"
+_ROW = re.compile(INDEX_ROW.replace("(.*)$", rf"([^{_ENDS}]*)(?:\r\n|[{_ENDS}])?\Z"), re.A)
+_TIME = re.compile(r"(\d{4}-\d{2}-\d{2})T(\d{2}):(\d{2}):(\d{2})(?:\.(\d{1,9}))?Z", re.A)
+#: Series and days that a task keeps.
+_KEPT = 100_000
+_INDEX_COLUMNS = pa.schema(
+    [("_line", pa.string()), ("fits", pa.bool_()), ("series_key", pa.string()), ("measurement", pa.string()), ("tags", pa.map_(pa.string(), pa.string())), ("field", pa.string())]
+    + [("minimum_time", pa.int64()), ("maximum_time", pa.int64())]
+)
+
+
+class _IndexLines:
+    """Lines of a dump to their parts; each series and day is worked out once while it is kept."""
+
+    def __init__(self):
+        self.series: dict[str, tuple] = {}
+        self.days: dict[str, int] = {}
+
+    def _time(self, text: str) -> int:
+        m = _TIME.fullmatch(text)
+        if not m:
+            raise ValueError(text)
+        if (day := self.days.get(m[1])) is None:
+            if len(self.days) >= _KEPT:
+                self.days.clear()
+            day = self.days[m[1]] = (date.fromisoformat(m[1]) - date(1970, 1, 1)).days * 86_400
+        found = (day + int(m[2]) * 3600 + int(m[3]) * 60 + int(m[4])) * times.SECOND + int((m[5] or "").ljust(9, "0"))
+        if not -(1 << 63) <= found < 1 << 63:
+            raise ValueError(text)
+        return found
+
+    def _named(self, key: str) -> tuple:
+        if (found := self.series.get(key)) is None:
+            if len(self.series) >= _KEPT:
+                self.series.clear()
+            measurement, tags = parse_series(key)
+            found = self.series[key] = (key, measurement, list(tags.items()))
+        return found
+
+    def row(self, line: str) -> tuple:
+        """Whether it is an index row, series key, measurement, tags, field and times."""
+        m = _ROW.match(line)
+        try:
+            return (True, *self._named(m[5]), m[6], self._time(m[1]), self._time(m[2])) if m else (False, *[None] * 6)
+        except ValueError:
+            return False, *[None] * 6
+
+
+def _parts_of(column: str, more: tuple[str, ...]):
+    def run(batches):
+        parser = _IndexLines()
+        for batch in batches:
+            lines = batch.column(column)
+            columns = zip(*map(parser.row, lines.to_pylist())) if batch.num_rows else [()] * 7
+            made = [pa.array(c, f.type) for c, f in zip(columns, list(_INDEX_COLUMNS)[1:])]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in more), lines, *made], names=[*more, *_INDEX_COLUMNS.names])
+
+    return run
 
 
 def index_rows(lines: DataFrame, column: str = "value", *more: str) -> DataFrame:
-    """Index rows with ``fits``: whether a line that begins with a number and a tab is one."""
-    text = F.col(column)
-    part = lambda i: F.regexp_extract(text, INDEX_ROW, i)
-    low, high = times.parse_rfc3339(part(1)), times.parse_rfc3339(part(2))
-    fits = text.rlike(INDEX_ROW) & low.isNotNull() & high.isNotNull()
-    return lines.filter(text.rlike(r"^\s*\d+\t")).select(*more, text.alias("_line"), fits.alias("fits"), part(5).alias("series_key"), part(6).alias("field"), low.alias("minimum_time"), high.alias("maximum_time"))
+    """Index rows with ``fits``: whether a line that begins with a number and a tab is one, with times and a series key that can be read.
 
-
-def _parsed_keys(batches):
-    for batch in batches:
-        keys = batch.column("series_key").to_pylist()
-        # the optimizer may parse keys before it drops the lines that gave none
-        found = [parse_series(k) if k else (None, None) for k in keys]
-        tags = pa.array([None if t is None else list(t.items()) for _, t in found], pa.map_(pa.string(), pa.string()))
-        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([m for m, _ in found], pa.string()), tags], names=["series_key", "measurement", "tags"])
+    A line is taken apart once. As expressions its parts would be put into all that is made of them, each with the regular expression again.
+    """
+    schema = lines.select(*more).schema
+    for name, kind in (("_line", "string"), ("fits", "boolean"), ("series_key", "string"), ("measurement", "string"), ("tags", "map<string,string>"), ("field", "string"), ("minimum_time", "long"), ("maximum_time", "long")):
+        schema = schema.add(name, kind if "<" not in kind else MapType(StringType(), StringType()))
+    return lines.filter(F.col(column).rlike(r"^\s*\d+\t")).select(*more, column).mapInArrow(_parts_of(column, more), schema)
 
 
 def with_tags(rows: DataFrame) -> DataFrame:
-    """Index rows with measurement and tags: each distinct series key is parsed once."""
-    keys = rows.select("series_key").distinct().mapInArrow(_parsed_keys, "series_key string, measurement string, tags map<string,string>")
-    named = rows.join(keys, "series_key").withColumn("tags", retained(F.col("tags")))
-    return named.drop("series_key", "fits", "_line")
+    """Index rows that fit, with measurement and the tags that are part of a series."""
+    return rows.withColumn("tags", retained(F.col("tags"))).drop("series_key", "fits", "_line")
 
 
 def parse_index(lines: DataFrame, column: str = "value") -> DataFrame:
@@ -90,8 +141,8 @@ def parse_index(lines: DataFrame, column: str = "value") -> DataFrame:
     don't fit are errors.
     """
     rows = index_rows(lines, column)
-    checked = F.when(F.col("fits"), F.col("series_key")).otherwise(F.raise_error(F.concat(F.lit("not an index row: "), F.col("_line"))).cast("string"))
-    return with_tags(rows.withColumn("series_key", checked)).select("measurement", "tags", "field", "minimum_time", "maximum_time")
+    checked = F.when(F.col("fits"), F.col("measurement")).otherwise(F.raise_error(F.concat(F.lit("not an index row: "), F.col("_line"))).cast("string"))
+    return with_tags(rows.withColumn("measurement", checked)).select("measurement", "tags", "field", "minimum_time", "maximum_time")
 
 
 def load_backup(directory: str, bucket_id: str) -> dict:
