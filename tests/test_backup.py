@@ -102,3 +102,17 @@ def test_days_of_an_engine_folder(spark, made, tmp_path, capsys):
         said = json.loads(capsys.readouterr().out)
         assert (said["output_rows"], said["quarantined_rows"], said["filtered_selection_rows"], said["published_rows"]) == (160, 2, 10, expected)
     assert spark.read.parquet(f"{tmp_path}/out/facts").count() == 160
+
+
+def test_a_shard_that_grows_is_written_as_more_files(spark, tmp_path, monkeypatch):
+    """The query's backup: as many files (and tasks) to a shard as its points want."""
+    from tsforge import queries
+
+    rows = spark.range(6000).selectExpr("id event_id", "timestampadd(SECOND, id * 280, timestamp_ntz'2024-01-01 00:00:00') ts", "id % 50 user_id", "'click' event_type", "id / 7.0D value", "'p' props")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(tsm, "PER_FILE", 300)
+    found = queries._backup(spark, str(tmp_path), str(tmp_path / "b"))["shards"]
+    files = [tsm.files_of(f"{tmp_path}/b/engine/b1/autogen/{s['id']}") for s in found]
+    assert all(len(f) >= 5 for f in files)
+    read = tsm.scan(spark, [x for f in files for x in f])
+    assert read.count() == queries._nodes(spark, str(tmp_path)).filter("value is not null and not isnan(value) and time_ns < 1705881600000000000").count()
