@@ -116,3 +116,32 @@ def test_a_shard_that_grows_is_written_as_more_files(spark, tmp_path, monkeypatc
     assert all(len(f) >= 5 for f in files)
     read = tsm.scan(spark, [x for f in files for x in f])
     assert read.count() == queries._nodes(spark, str(tmp_path)).filter("value is not null and not isnan(value) and time_ns < 1705881600000000000").count()
+
+
+def test_the_shards_of_a_backup_are_written_in_one_pass(spark, tmp_path, monkeypatch):
+    from tsforge import queries
+
+    rows = spark.range(3000).selectExpr("id event_id", "timestampadd(SECOND, id * 580, timestamp_ntz'2024-01-01 00:00:00') ts", "id % 50 user_id", "'click' event_type", "id / 7.0D value", "'p' props")
+    rows.write.parquet(str(tmp_path / "events.parquet"))
+    calls, write = [], tsm.write
+    monkeypatch.setattr(tsm, "write", lambda *a, **k: calls.append(a) or write(*a, **k))
+    found = queries._backup(spark, str(tmp_path), str(tmp_path / "b"))["shards"]
+    assert len(calls) == 1
+    for s in found:
+        low, high = (int(s[k].timestamp()) * 10**9 for k in ("start", "end"))
+        want = queries._nodes(spark, str(tmp_path)).filter(f"value is not null and not isnan(value) and time_ns >= {low} and time_ns < {high}")
+        read = tsm.scan(spark, f"{tmp_path}/b/engine/b1/autogen/{s['id']}")
+        assert read.count() == want.count() > 0 and read.agg({"time_ns": "min"}).first()[0] >= low and read.agg({"time_ns": "max"}).first()[0] < high
+
+
+def test_each_archive_and_each_footer_is_a_task(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    tasks = lambda rows: rows.groupBy(F.spark_partition_id()).count().collect()
+    for n in (3, 8, 20):
+        assert [r[1] for r in tasks(backup._shard_rows(spark, [{"id": i, "path": f"/s{i}"} for i in range(n)]))] == [1] * n
+    rows = [row("m.x", {"sensor": "s", "vsn": f"W{i % 12}"}, 1, i, 1.0) for i in range(240)]
+    tsm.write(spark.createDataFrame(rows, schema.POINTS), str(tmp_path), 6)
+    found = tsm.files_of(str(tmp_path))
+    for listed in (str(tmp_path), spark.createDataFrame([(f,) for f in found], "file string")):
+        assert len(tasks(tsm.index(spark, listed))) == len(found) > 3

@@ -95,6 +95,8 @@ def test_broken_blocks_are_errors():
 
 from decimal import Decimal  # noqa: E402
 
+from pyspark.sql import functions as F  # noqa: E402
+
 from tsforge import schema  # noqa: E402
 from tsforge.functions.identity import python_identity  # noqa: E402
 from tsforge.operators.selection import Selection  # noqa: E402
@@ -166,6 +168,15 @@ def test_a_range_of_blocks_is_a_task(spark, stored, monkeypatch):
     assert plain(found.select(*found.columns[:10]).collect()) == plain(rows)
 
 
+def test_many_small_blocks_are_many_tasks(spark, tmp_path):
+    """A file far below a range of bytes is dealt by its blocks."""
+    rows = [("m", {"a": "b"}, i * 10**9, "f", "float64", i / 2, None, None, None, None) for i in range(6000)]
+    assert tsm.write(spark.createDataFrame(rows, schema.POINTS), str(tmp_path), 1, block=1).first().blocks == 6000
+    found = tsm.scan(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() == 60
+    assert plain(found.select(*found.columns[:10]).collect()) == plain(rows)
+
+
 def test_broken_files_stop_no_other(spark, stored, tmp_path):
     folder, rows = stored
     good, cut, bad = tsm.files_of(folder)
@@ -239,6 +250,19 @@ def test_files_grow_in_number_with_the_points(spark, tmp_path, monkeypatch):
     assert plain(found.select(*found.columns[:10]).collect()) == plain(rows)
 
 
+def test_points_of_several_folders_are_one_job(spark, tmp_path):
+    """Tasks meet the ends of folders, whose series have the same keys."""
+    rows = points_of(5)
+    points = spark.createDataFrame(rows, schema.POINTS).withColumn("to", F.concat(F.lit("b/"), F.pmod(F.hash("time_ns"), F.lit(3)).cast("string")))
+    made = tsm.write(points, str(tmp_path), 2, below="to").collect()
+    assert sum(r.points for r in made) == len(rows) and 3 <= len(tsm.files_of(str(tmp_path))) == len(made) <= 4  # of two tasks
+    for k in range(3):
+        own, found = points.filter(f"to = 'b/{k}'").drop("to").collect(), tsm.scan(spark, f"{tmp_path}/b/{k}")
+        assert own and plain(found.select(*found.columns[:10]).collect()) == plain(own)
+    with pytest.raises(Exception, match="without a folder"):
+        tsm.write(points.withColumn("to", F.nullif("to", F.lit("b/1"))), str(tmp_path / "x"), 2, below="to")
+
+
 def test_blocks_that_are_encoded_together_are_those_encoded_alone():
     rng = random.Random(9)
     sizes = np.array([rng.choice([1, 2, 3, 60, 241, 1000]) for _ in range(40)])

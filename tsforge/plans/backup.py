@@ -108,9 +108,14 @@ def _inspected(shard: dict, bucket: str, inspector: Inspector, selection: Select
                 yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(n, shard["id"])), pa.nulls(n, pa.string())], schema=_SHARD_TYPES)
 
 
+def _a_task_each(spark: SparkSession, texts: list[str], name: str) -> DataFrame:
+    """Texts by ranges, one to each: dealt in turn, as ``repartition`` does it, few rows may well be one task's."""
+    return spark.createDataFrame([(t,) for t in texts], f"{name} string").repartitionByRange(max(1, len(texts)), name)
+
+
 def _shard_rows(spark: SparkSession, shards: list[dict]) -> DataFrame:
     """A task for each shard."""
-    return spark.createDataFrame([(json.dumps(s),) for s in shards], "shard string").repartition(max(1, len(shards)))
+    return _a_task_each(spark, [json.dumps(s) for s in shards], "shard")
 
 
 def _said(error: Exception) -> str:
@@ -258,7 +263,7 @@ def archive(spark: SparkSession, wanted: list[tuple[str, str, str]]) -> None:
                 os.replace(part, path)
         yield from ()
 
-    rows = spark.createDataFrame([(json.dumps(w),) for w in wanted], "said string").repartition(max(1, len(wanted)))
+    rows = _a_task_each(spark, [json.dumps(w) for w in wanted], "said")
     rows.mapInArrow(run, "said string").write.format("noop").mode("overwrite").save()
 
 

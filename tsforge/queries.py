@@ -801,11 +801,13 @@ def _backup(spark, sf_dir, folder):
     """A backup of three shards, with an archive for each."""
     # ten nodes at a time as one, as in the stores below: some hundred partitions
     points = _nodes(spark, sf_dir).filter("value is not null and not isnan(value)").select("measurement", "tags", "time_ns", "field", "value_type", F.col("value").alias("value_float64"), *(F.lit(None).cast(t).alias(f"value_{k}") for k, t in schema.VALUE_COLUMNS.items() if k != "float64"))
-    shards = []
+    shards, owner = [], []
     for number, days in enumerate(_BACKUP_SHARDS, 1):
         low, high = (datetime(2024, 1, d, tzinfo=UTC) for d in days)
-        tsm.write(points.filter(F.col("time_ns").between(times.to_ns(low), times.to_ns(high) - 1)), f"{folder}/engine/b1/autogen/{number}", 2)
+        owner.append(F.when(F.col("time_ns").between(times.to_ns(low), times.to_ns(high) - 1), f"b1/autogen/{number}"))
         shards.append({"id": number, "path": f"{folder}/s{number}.tar.gz", "size": 1000, "start": low, "end": high})
+    # all shards in one pass over the events
+    tsm.write(points.withColumn("shard", F.coalesce(*owner)).filter("shard is not null"), f"{folder}/engine", 2 * len(shards), below="shard")
     backup.archive(spark, [(s["path"], f"{folder}/engine", f"b1/autogen/{s['id']}") for s in shards])
     return {"bucket_id": "b1", "name": "events", "snapshot": "s", "shards": shards}
 

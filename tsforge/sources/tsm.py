@@ -3,9 +3,10 @@
 A file is blocks, then an index with the series, field, times and place of each
 block, then the index's place. A scan has two steps. First the footers alone are
 read, a task for some files, and blocks whose times or series nobody asked for
-are dropped there. Then what is left is dealt by ranges of bytes (``SLOT``), so
-that a large file is many tasks and its blocks are read in runs and decoded many
-at a time (``tsm_codec``).
+are dropped there. Then what is left is dealt by ranges of bytes (``SLOT``) and
+of blocks (``DEALT``, as blocks of steady values are a few bytes), so that a
+large file is many tasks and its blocks are read in runs and decoded many at a
+time (``tsm_codec``).
 
 Files lie where executors have them mounted. A block that can't be read raises,
 or is a row with its file and ``error`` (``strict=False``), so that one broken
@@ -24,13 +25,14 @@ import struct
 import tempfile
 from collections.abc import Callable, Iterable, Iterator
 from functools import reduce
-from itertools import chain
+from itertools import chain, groupby
+from operator import itemgetter
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
 from pyspark.sql.types import StructType
@@ -44,6 +46,8 @@ from tsforge.sources.tsm_codec import KINDS, MAGIC, SEPARATOR, VERSION, TsmError
 
 #: Bytes of a file whose blocks are one task's; bytes of blocks decoded together; a gap that is read rather than skipped.
 SLOT, TOGETHER, GAP = 32 << 20, 4 << 20, 64 << 10
+#: Blocks of a file that are one task's at most, however small they are.
+DEALT = 100
 #: Points in a block that is written, in a file (more or less), and that are encoded together.
 BLOCK, PER_FILE, ENCODED = 1000, 1_000_000, 100_000
 #: Rows of an index in a batch, and series that a task keeps.
@@ -171,11 +175,9 @@ def _in_order(parts: Iterator[pa.RecordBatch], rows: int = 50_000) -> Iterator[p
 
 def index(spark: SparkSession, path: str | Iterable[str] | DataFrame, low: int | None = None, high: int | None = None, wanted: Wanted | None = None) -> DataFrame:
     """The blocks of files (a glob, a folder, a list, or a table with ``file``) that touch [low, high), from their footers."""
-    if isinstance(path, DataFrame):
-        listed = path.select("file").repartition("file")
-    else:
-        found = files_of(path)
-        listed = spark.createDataFrame([(f,) for f in found], "file string").repartition(max(1, min(len(found), 4096)))
+    listed = path.select("file") if isinstance(path, DataFrame) else spark.createDataFrame([(f,) for f in files_of(path)], "file string")
+    # by ranges and to a number of tasks, as few small rows are otherwise put together in one
+    listed = listed.repartitionByRange(max(1, min(listed.count(), 4096)), "file")
     return listed.mapInArrow(lambda batches: _in_order(_index_rows(batches, low, high, wanted)), _INDEX)
 
 
@@ -292,7 +294,8 @@ def _decode_slots(batches, registry, low, high, strict):
 
 def points(spark: SparkSession, blocks: DataFrame, low: int | None = None, high: int | None = None, registry: Registry | None = None, strict: bool = True) -> DataFrame:
     """Points of the blocks of an index (a written table) in [low, high), with identities, ``file`` and ``error`` (null unless not ``strict``)."""
-    slots = blocks.withColumn("slot", F.coalesce(F.expr(f"offset div {SLOT}"), F.lit(0)))
+    number = F.row_number().over(Window.partitionBy("file").orderBy("offset"))
+    slots = blocks.withColumn("slot", F.struct(F.expr(f"offset div {SLOT}"), F.floor((number - 1) / DEALT)))
     n = slots.agg(F.count_distinct("file", "slot")).first()[0]
     dealt = slots.repartition(max(1, min(n, 20_000)), "file", "slot").sortWithinPartitions("file", "offset")
     return dealt.drop("slot").mapInArrow(lambda batches: _decode_slots(batches, registry, low, high, strict), SCANNED)
@@ -469,11 +472,27 @@ def _blocks(rows: pa.Table, block: int, last: bool) -> tuple[list[tuple], pa.Tab
     return list(zip(*said, times[starts].tolist(), times[starts + sizes - 1].tolist(), sizes.tolist(), made)), rows.slice(end)
 
 
+def _cut(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, pa.RecordBatch]]:
+    """Batches cut where their folder changes, with its name."""
+    for batch in batches:
+        below = batch.column("_below")
+        if below.null_count:
+            raise TsmError("a point without a folder")
+        edges = [0, *(np.flatnonzero(pc.not_equal(below[1:], below[:-1]).to_numpy(zero_copy_only=False)) + 1).tolist(), len(below)]
+        for a, b in zip(edges, edges[1:]):
+            yield below[a].as_py(), batch.slice(a, b - a)
+
+
 def _write_partition(batches, folder: str, block: int):
-    """Sorted points to one file; the name has the partition's number as its sequence."""
+    """Sorted points to a file in each of their folders; the name has the partition's number as its sequence."""
     from pyspark import TaskContext
 
     number = TaskContext.get().partitionId()
+    for name, own in groupby(_cut(b for b in batches if b.num_rows), itemgetter(0)):
+        yield from _write_file((b for _, b in own), f"{folder}/{name}" if name else folder, number, block)
+
+
+def _write_file(batches, folder: str, number: int, block: int):
     writer, held, n = None, [], 0
     for batch in chain(batches, [None]):
         if batch is not None and batch.num_rows:
@@ -491,17 +510,20 @@ def _write_partition(batches, folder: str, block: int):
         yield pa.RecordBatch.from_pylist([writer.finish()], schema=pa.schema([("file", pa.string()), ("blocks", pa.int64()), ("points", pa.int64())]))
 
 
-def write(points: DataFrame, folder: str, files: int, block: int = BLOCK) -> DataFrame:
+def write(points: DataFrame, folder: str, files: int, block: int = BLOCK, below: str | None = None) -> DataFrame:
     """Points to files, a task each, dealt by ranges of key and time; the files, blocks and points that were written.
 
     There are ``files`` of them, or as many as keep each near ``PER_FILE`` points. The folder is one that executors share. A long series spans several files. Values of NaN or null can't be stored.
+    ``below`` is a column with the folder below it that a point goes to: all folders are one job, and a task that meets the end of one goes on with the next.
     """
     key = F.concat(series_key("measurement", "tags"), F.lit(SEPARATOR), F.col("field")).alias("_key")
-    rows = points.select(key, "time_ns", "value_type", *(f"value_{k}" for k in VALUE_TYPES))
+    place = (F.col(below) if below else F.lit("")).alias("_below")
+    rows = points.select(place, key, "time_ns", "value_type", *(f"value_{k}" for k in VALUE_TYPES))
     # written once: counted, sampled for its ranges and dealt, the points are worked out no more than that
     path = store.scratch(points.sparkSession, "tsm-points")
     rows.write.options(**store.OPTIONS).parquet(path)
     rows = points.sparkSession.read.schema(rows.schema).parquet(path)
-    dealt = rows.repartitionByRange(max(files, -(-rows.count() // PER_FILE)), "_key", "time_ns").sortWithinPartitions("_key", "time_ns")
+    order = ("_below", "_key", "time_ns")
+    dealt = rows.repartitionByRange(max(files, -(-rows.count() // PER_FILE)), *order).sortWithinPartitions(*order)
     made = dealt.mapInArrow(lambda batches: _write_partition(batches, folder, block), "file string, blocks long, points long")
     return store.kept(made, "tsm-written")
