@@ -173,7 +173,7 @@ def test_many_small_blocks_are_many_tasks(spark, tmp_path):
     rows = [("m", {"a": "b"}, i * 10**9, "f", "float64", i / 2, None, None, None, None) for i in range(6000)]
     assert tsm.write(spark.createDataFrame(rows, schema.POINTS), str(tmp_path), 1, block=1).first().blocks == 6000
     found = tsm.scan(spark, str(tmp_path))
-    assert found.rdd.getNumPartitions() == 60
+    assert found.rdd.getNumPartitions() == 12
     assert plain(found.select(*found.columns[:10]).collect()) == plain(rows)
 
 

@@ -47,7 +47,7 @@ from tsforge.sources.tsm_codec import KINDS, MAGIC, SEPARATOR, VERSION, TsmError
 #: Bytes of a file whose blocks are one task's; bytes of blocks decoded together; a gap that is read rather than skipped.
 SLOT, TOGETHER, GAP = 32 << 20, 4 << 20, 64 << 10
 #: Blocks of a file that are one task's at most, however small they are.
-DEALT = 100
+DEALT = 500
 #: Points in a block that is written, in a file (more or less), and that are encoded together.
 BLOCK, PER_FILE, ENCODED = 1000, 1_000_000, 100_000
 #: Rows of an index in a batch, and series that a task keeps.
